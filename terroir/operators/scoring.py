@@ -40,18 +40,28 @@ def price_recommendations(base: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ M06
 def price_projection(trend: DataFrame, lo: int = 2005, hi: int = 2023, steps: int = 2) -> DataFrame:
-    """OLS per variety over years lo..hi, next ``steps`` years (≥0)."""
-    t = trend.withColumn("_y", F.col("anio").try_cast("int")).filter(F.col("_y").between(lo, hi))
+    """OLS per variety over years lo..hi, next ``steps`` years (>= 0).
+
+    The fit uses exact integer sums (prices in cents), so slope and
+    projection do not depend on summation order.
+    """
+    t = (trend.withColumn("_x", F.col("anio").try_cast("long")).filter(F.col("_x").between(lo, hi))
+         .withColumn("_y", F.round(F.col("precio_promedio") * 100).cast("long")))
     fit = (t.groupBy("variedad")
-           .agg(F.regr_slope("precio_promedio", "_y").alias("b"), F.regr_intercept("precio_promedio", "_y").alias("a"),
-                F.max("_y").alias("ultimo"), F.count(F.lit(1)).alias("n"))
+           .agg(F.count(F.lit(1)).alias("n"), F.sum("_x").alias("sx"), F.sum("_y").alias("sy"),
+                F.sum(F.col("_x") * F.col("_y")).alias("sxy"), F.sum(F.col("_x") * F.col("_x")).alias("sxx"),
+                F.max("_x").alias("ultimo"))
            .filter(F.col("n") >= 2))
-    proj = fit.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(steps))))
+    ratio = ((F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")).cast("double")
+             / (F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")).cast("double"))
+    proj = fit.withColumn("_b", ratio).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(steps))))
     year = F.col("ultimo") + F.col("k")
+    yhat = ((F.col("sy").cast("double") + F.col("_b") * (F.col("n") * year - F.col("sx")).cast("double"))
+            / F.col("n").cast("double") / F.lit(100.0))
     return proj.select(
         "variedad", year.cast("int").alias("anio"),
-        round_half_up(F.greatest(F.lit(0.0), F.col("a") + F.col("b") * year), 2).alias("precio_proyectado"),
-        round_half_up("b", 4).alias("pendiente"))
+        round_half_up(F.greatest(F.lit(0.0), yhat), 2).alias("precio_proyectado"),
+        round_half_up(F.col("_b") / F.lit(100.0), 4).alias("pendiente"))
 
 
 # ------------------------------------------------------------------ M01

@@ -353,15 +353,15 @@ def a13_demand_by_country(spark, sf_dir):
     return A.demand_by_country(s["fact_resenas"], s["dim_pais"], 8)
 
 
-@register("m06_price_projection", q(f""", t AS (SELECT * FROM ({A07_SQL}) a
+@register("m06_price_projection", q(f""", t AS (SELECT variedad, CAST(anio AS BIGINT) AS x,
+        CAST(round(precio_promedio * 100) AS BIGINT) AS y FROM ({A07_SQL}) a
         WHERE CAST(anio AS INTEGER) BETWEEN 2005 AND 2023),
-    fit AS (SELECT variedad, regr_slope(precio_promedio, CAST(anio AS INTEGER)) AS pendiente,
-                   regr_intercept(precio_promedio, CAST(anio AS INTEGER)) AS intercepto,
-                   max(CAST(anio AS INTEGER)) AS ultimo, count(*) AS puntos
-            FROM t GROUP BY variedad HAVING count(*) >= 2)
+    fit AS (SELECT variedad, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * y) AS sxy, sum(x * x) AS sxx,
+                   max(x) AS ultimo FROM t GROUP BY variedad HAVING count(*) >= 2),
+    b AS (SELECT *, CAST(n * sxy - sx * sy AS DOUBLE) / CAST(n * sxx - sx * sx AS DOUBLE) AS bb FROM fit)
     SELECT variedad, CAST(ultimo + k AS INTEGER) AS anio,
-           {R('greatest(0.0, intercepto + pendiente * (ultimo + k))', 2)} AS precio_proyectado,
-           {R('pendiente', 4)} AS pendiente
-    FROM fit CROSS JOIN (VALUES (1), (2)) s(k)"""))
+           {R('greatest(0.0, (CAST(sy AS DOUBLE) + bb * CAST(n * (ultimo + k) - sx AS DOUBLE)) / CAST(n AS DOUBLE) / 100.0)', 2)} AS precio_proyectado,
+           {R('bb / 100.0', 4)} AS pendiente
+    FROM b CROSS JOIN (VALUES (1), (2)) s(k)"""))
 def m06_price_projection(spark, sf_dir):
     return M.price_projection(a07_price_trend(spark, sf_dir))
