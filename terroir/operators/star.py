@@ -87,6 +87,37 @@ def build_fact(clean: DataFrame, dims: dict[str, DataFrame], ordinal: str = "ord
                        "id_pais", "id_variedad", "id_bodega", "id_provincia", "id_region", "id_catador")
 
 
+def build_all_dims(clean: DataFrame, ordinal: str = "ordinal") -> DataFrame:
+    """D07 + D08 in one pass: the five name dimensions and the taster
+    dimension stacked as (dim, id, nombre, twitter), numbered together.
+
+    One scan of the feed, one aggregation, one two-pass numbering — instead
+    of six.  ``dim_table(all_dims, name)`` splits them back.
+    """
+    def blank(c, repl):
+        return F.when(F.col(c) == "", F.lit(repl)).otherwise(F.col(c))
+    entries = [F.struct(F.lit(d).alias("dim"), blank(src, UNKNOWN).alias("nombre"),
+                        F.lit(None).cast("string").alias("twitter")) for d, src, _ in DIM_SPECS]
+    entries.append(F.struct(F.lit("dim_catador").alias("dim"), blank("taster_name", ANONYMOUS).alias("nombre"),
+                            blank("taster_twitter_handle", ANONYMOUS).alias("twitter")))
+    stacked = clean.select(ordinal, F.explode(F.array(*entries)).alias("e")).select(ordinal, "e.*")
+    firsts = (stacked.groupBy("dim", "nombre")
+              .agg(F.min(F.struct(ordinal, "twitter")).alias("_f"))
+              .select("dim", "nombre", F.col(f"_f.{ordinal}").alias("_first"), F.col("_f.twitter").alias("twitter")))
+    from terroir.operators.ids import rank_within_groups
+    return rank_within_groups(firsts, "dim", ["_first", "nombre"], "id").select("dim", "id", "nombre", "twitter")
+
+
+DIM_IDS = {**{d: i for d, _, i in DIM_SPECS}, "dim_catador": "id_catador"}
+
+
+def dim_table(all_dims: DataFrame, name: str) -> DataFrame:
+    cols = [F.col("id").cast("int").alias(DIM_IDS[name]), "nombre"]
+    if name == "dim_catador":
+        cols.append("twitter")
+    return all_dims.filter(F.col("dim") == name).select(*cols)
+
+
 def review_star(raw: DataFrame, order_cols: list[str] | None = None) -> dict[str, DataFrame]:
     """Clean → 5 name dims + taster dim → fact."""
     feed = raw if order_cols is None else with_ordinal(raw, order_cols)

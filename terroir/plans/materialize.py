@@ -18,7 +18,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from terroir.session import ensure_checkpoint_dir
 
-CODE_VERSION = "star-v4"
+def _code_version() -> str:
+    """Hash of this package's sources: any code change invalidates the
+    written tables (no stale star after an operator change)."""
+    import os
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha1()
+    for d, _, files in sorted(os.walk(root)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(d, f), "rb") as fh:
+                    h.update(fh.read())
+    return h.hexdigest()[:12]
+
+
+CODE_VERSION = _code_version()
 
 
 def _fs(spark: SparkSession, path: str):
@@ -33,7 +47,8 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def fingerprint(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
-    h = hashlib.sha1(CODE_VERSION.encode())
+    import os
+    h = hashlib.sha1((CODE_VERSION + os.environ.get("TERROIR_BUILD_SALT", "")).encode())
     for n in sorted(names):
         path = f"{sf_dir.rstrip('/')}/{n}.parquet"
         fs, p = _fs(spark, path)

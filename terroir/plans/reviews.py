@@ -32,20 +32,24 @@ def build_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The reviews star, written once per input snapshot and read back.
 
-    The feed is numbered and cleaned once (written as ``reviews_clean``); the
-    dimensions and the fact are derived from that table, so the 7-way join
-    and the two-pass ids run a single time for all serving queries.
+    1. the feed is joined, range-partitioned by its input order and cleaned,
+       and written once with its partition-local index (``reviews_clean``);
+    2. reading it back attaches the global ordinal (offsets from per-partition
+       counts), so the feed is written a single time;
+    3. all six dimensions are numbered in one pass and written as one table;
+    4. the fact resolves its keys against them (AQE broadcasts the small
+       dimensions at runtime) and is written.
     """
+    from terroir.operators.ids import attach_row_number
     key = fingerprint(spark, sf_dir, STAR_INPUTS)
     ck = (id(spark), key)
     if ck in _CACHE:
         return _CACHE[ck]
-    c = materialized(spark, "reviews_clean", key,
-                     lambda: D.clean_reviews(D.with_ordinal(raw_reviews(spark, sf_dir), REVIEW_ORDER)))
-    out: dict[str, DataFrame] = {}
-    for name, src, id_col in D.DIM_SPECS:
-        out[name] = materialized(spark, f"reviews_{name}", key, lambda s=src, i=id_col: D.build_dim(c, s, i))
-    out["dim_catador"] = materialized(spark, "reviews_dim_catador", key, lambda: D.build_taster_dim(c))
+    ranged = materialized(spark, "reviews_clean", key,
+                          lambda: D.clean_reviews(raw_reviews(spark, sf_dir, ranged=True)))
+    c = attach_row_number(ranged, "ordinal")
+    all_dims = materialized(spark, "reviews_dims", key, lambda: D.build_all_dims(c))
+    out = {name: D.dim_table(all_dims, name) for name in D.DIM_IDS}
     out["fact_resenas"] = materialized(spark, "reviews_fact_resenas", key, lambda: D.build_fact(c, out))
     _CACHE[ck] = out
     return out

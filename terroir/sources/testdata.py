@@ -41,7 +41,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 REVIEW_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
-def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_reviews(spark: SparkSession, sf_dir: str, ranged: bool = False) -> DataFrame:
     """One review per line item, with the F-R raw review columns.
 
     country=n_name, region_1=r_name, province=c_mktsegment, variety=p_brand,
@@ -49,10 +49,20 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     points=75 + quantity % 30, price=0 on line 1 else extendedprice/100.
     The ordering columns l_orderkey, l_linenumber, l_partkey, l_suppkey are
     kept as the input order (first appearance) of the review feed.
+
+    ``ranged=True`` range-partitions the narrow lineitem scan by that order
+    *before* the joins and carries (_pid, _local) through them (see
+    ``operators.ids``): the range sampling then reads one table instead of
+    recomputing the 7-way join.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
         "l_extendedprice", "l_shipdate")
+    extra = []
+    if ranged:
+        from terroir.operators.ids import range_local_index
+        li = range_local_index(li, REVIEW_ORDER)
+        extra = ["_pid", "_local"]
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -71,7 +81,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     cents = F.when(F.col("l_linenumber") == 1, F.lit(0)).otherwise(
         F.floor(F.col("l_extendedprice") + F.lit(0.5)))
     return df.select(
-        *REVIEW_ORDER,
+        *REVIEW_ORDER, *extra,
         F.col("n_name").alias("country"),
         F.concat(F.col("p_name"), F.lit(" / "), F.col("p_type")).alias("description"),
         F.col("p_type").alias("designation"),
@@ -187,9 +197,9 @@ def _client_period(spark, sf_dir) -> DataFrame:
     return g
 
 
-def fact_suscripcion(spark, sf_dir) -> DataFrame:
+def fact_suscripcion(spark, sf_dir, g: DataFrame | None = None) -> DataFrame:
     from pyspark.sql import Window
-    g = _client_period(spark, sf_dir)
+    g = g if g is not None else _client_period(spark, sf_dir)
     w = Window.partitionBy("o_custkey").orderBy("id_tiempo")
     first = F.min("id_tiempo").over(Window.partitionBy("o_custkey"))
     prev = F.lag("mrr_cents").over(w)
@@ -206,9 +216,9 @@ def fact_suscripcion(spark, sf_dir) -> DataFrame:
         F.col("all_f").cast("int").alias("es_churn"))
 
 
-def fact_retencion(spark, sf_dir) -> DataFrame:
+def fact_retencion(spark, sf_dir, g: DataFrame | None = None) -> DataFrame:
     from pyspark.sql import Window
-    g = _client_period(spark, sf_dir)
+    g = g if g is not None else _client_period(spark, sf_dir)
     w = (Window.partitionBy("o_custkey").orderBy("id_tiempo")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return g.select(
@@ -221,8 +231,8 @@ def fact_retencion(spark, sf_dir) -> DataFrame:
         cents_to_decimal(F.col("min_ok") % 100, 5).alias("riesgo_churn"))
 
 
-def fact_uso_plataforma(spark, sf_dir) -> DataFrame:
-    g = _client_period(spark, sf_dir)
+def fact_uso_plataforma(spark, sf_dir, g: DataFrame | None = None) -> DataFrame:
+    g = g if g is not None else _client_period(spark, sf_dir)
     tot = F.lit(3) + F.col("min_ok") % 20
     return g.select(
         (F.col("o_custkey") * 1000000 + F.col("id_tiempo")).cast("long").alias("id_uso"),
@@ -248,8 +258,8 @@ def _api_grain(spark, sf_dir) -> DataFrame:
         F.sum(F.floor(F.col("l_extendedprice") * F.col("l_discount") + F.lit(0.5))).alias("rev_cents"))
 
 
-def fact_consumo_api(spark, sf_dir) -> DataFrame:
-    g = _api_grain(spark, sf_dir)
+def fact_consumo_api(spark, sf_dir, g: DataFrame | None = None) -> DataFrame:
+    g = g if g is not None else _api_grain(spark, sf_dir)
     return g.select(
         (F.col("id_tiempo").cast("long") * 10 + F.col("id_partner")).alias("id_consumo"),
         F.col("id_tiempo").cast("int").alias("id_tiempo"),
@@ -260,8 +270,8 @@ def fact_consumo_api(spark, sf_dir) -> DataFrame:
         cents_to_decimal("rev_cents", 12).alias("ingreso_api"))
 
 
-def fact_integracion_partner(spark, sf_dir) -> DataFrame:
-    g = _api_grain(spark, sf_dir)
+def fact_integracion_partner(spark, sf_dir, g: DataFrame | None = None) -> DataFrame:
+    g = g if g is not None else _api_grain(spark, sf_dir)
     return g.select(
         (F.col("id_tiempo").cast("long") * 10 + F.col("id_partner")).alias("id_integracion"),
         F.col("id_tiempo").cast("int").alias("id_tiempo"),
@@ -286,8 +296,8 @@ def _market_grain(spark, sf_dir, with_channel: bool) -> DataFrame:
         F.sum(F.floor(F.col("o_totalprice") + F.lit(0.5))).alias("tp_cents"))
 
 
-def fact_disponibilidad(spark, sf_dir) -> DataFrame:
-    g = _market_grain(spark, sf_dir, False)
+def fact_disponibilidad(spark, sf_dir, g: DataFrame | None = None) -> DataFrame:
+    g = g if g is not None else _market_grain(spark, sf_dir, False)
     return g.select(
         (F.col("id_tiempo").cast("long") * 1000 + F.col("id_mercado")).alias("id_disponibilidad"),
         F.col("id_tiempo").cast("int").alias("id_tiempo"), "id_mercado",
@@ -299,8 +309,8 @@ def fact_disponibilidad(spark, sf_dir) -> DataFrame:
         cents_to_decimal("cloud_cents", 10).alias("costo_cloud"))
 
 
-def fact_conversion(spark, sf_dir) -> DataFrame:
-    g = _market_grain(spark, sf_dir, True)
+def fact_conversion(spark, sf_dir, g: DataFrame | None = None) -> DataFrame:
+    g = g if g is not None else _market_grain(spark, sf_dir, True)
     return g.select(
         (F.col("id_tiempo").cast("long") * 100000 + F.col("id_mercado") * 10 + F.col("id_canal")).alias(
             "id_conversion"),
@@ -325,7 +335,17 @@ def fact_aprendizaje(spark, sf_dir) -> DataFrame:
         (F.col("n") % 9).cast("int").alias("modelos_ml_produccion"))
 
 
-def business_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def business_grains(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The shared group-by grains of the business facts (each one shuffle)."""
+    return {"client_period": _client_period(spark, sf_dir), "api_grain": _api_grain(spark, sf_dir),
+            "market_grain": _market_grain(spark, sf_dir, False), "channel_grain": _market_grain(spark, sf_dir, True)}
+
+
+def business_star(spark: SparkSession, sf_dir: str, grains: dict[str, DataFrame] | None = None
+                  ) -> dict[str, DataFrame]:
+    """Dimensions and facts; facts are projections (and per-client windows)
+    of ``grains`` — pass written grains so each is aggregated once."""
+    g = grains or business_grains(spark, sf_dir)
     return {
         "dim_tiempo": dim_tiempo(spark, sf_dir),
         "dim_mercado": dim_mercado(spark, sf_dir),
@@ -333,13 +353,13 @@ def business_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "dim_canal_adquisicion": dim_canal(spark),
         "dim_partner_api": dim_partner_api(spark, sf_dir),
         "dim_cliente": dim_cliente(spark, sf_dir),
-        "fact_suscripcion": fact_suscripcion(spark, sf_dir),
-        "fact_retencion": fact_retencion(spark, sf_dir),
-        "fact_uso_plataforma": fact_uso_plataforma(spark, sf_dir),
-        "fact_consumo_api": fact_consumo_api(spark, sf_dir),
-        "fact_integracion_partner": fact_integracion_partner(spark, sf_dir),
-        "fact_disponibilidad": fact_disponibilidad(spark, sf_dir),
-        "fact_conversion": fact_conversion(spark, sf_dir),
+        "fact_suscripcion": fact_suscripcion(spark, sf_dir, g["client_period"]),
+        "fact_retencion": fact_retencion(spark, sf_dir, g["client_period"]),
+        "fact_uso_plataforma": fact_uso_plataforma(spark, sf_dir, g["client_period"]),
+        "fact_consumo_api": fact_consumo_api(spark, sf_dir, g["api_grain"]),
+        "fact_integracion_partner": fact_integracion_partner(spark, sf_dir, g["api_grain"]),
+        "fact_disponibilidad": fact_disponibilidad(spark, sf_dir, g["market_grain"]),
+        "fact_conversion": fact_conversion(spark, sf_dir, g["channel_grain"]),
         "fact_aprendizaje": fact_aprendizaje(spark, sf_dir),
     }
 
