@@ -235,3 +235,10 @@ def cents_to_decimal(cents: ColumnOrName, precision: int = 12) -> Column:
 def exact_avg(total: ColumnOrName, n: ColumnOrName) -> Column:
     """avg as exact-sum / count in double; NULL when n = 0."""
     return F.try_divide(_c(total).cast("double"), F.nullif(_c(n).cast("double"), F.lit(0.0)))
+
+
+# ------------------------------------------------------- J08 / J12 scalars
+def one_row(df) -> Column:
+    """A one-row DataFrame as a struct-valued scalar subquery (J08/J12):
+    combines independent one-row aggregates without a join."""
+    return df.select(F.struct(*[F.col(c) for c in df.columns])).scalar()

@@ -42,13 +42,10 @@ def review_kpis(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
         _avg_price().alias("precio_promedio"),
         F.max(_priced()).cast("double").alias("precio_maximo"),
         F.min(_priced()).cast("double").alias("precio_minimo"))
-    counts = [dims[d].agg(F.count(F.lit(1)).alias(a))
+    counts = [dims[d].agg(F.count(F.lit(1))).scalar().alias(a)   # J12 scalar subqueries
               for d, a in (("dim_pais", "total_paises"), ("dim_variedad", "total_variedades"),
                            ("dim_bodega", "total_bodegas"))]
-    out = k
-    for c in counts:  # 1-row × 1-row: a cross join of scalars, no shuffle
-        out = out.crossJoin(c)
-    return out
+    return k.select("*", *counts)
 
 
 def by_country(fact: DataFrame, dim_pais: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terroir.functions import exact_avg, round_half_up, traffic_light
+from terroir.functions import exact_avg, one_row, round_half_up, traffic_light
 
 Facts = dict[str, DataFrame]
 
@@ -79,8 +79,10 @@ def scorecard_kpis(s: Facts, reviews_fact: DataFrame, latest: int | None = None)
             ("horas_capacitacion", "horas"), ("decisiones_data_driven", "ddd"), ("tecnologias_adoptadas", "tecno"),
             ("rotacion_personal", "rota"), ("modelos_ml_produccion", "mlmod"))])
     per = t.filter(at).agg(F.max("periodo").alias("periodo"))
-    # every part is a 1-row aggregate: crossJoin of scalars (J08), no shuffle of data
-    b = reduce(DataFrame.crossJoin, [per, sus, nuevos, api, conv, ret, disp, uso, cal, apr])
+    # every part is a 1-row aggregate, combined as scalar subqueries
+    parts = [sus, nuevos, api, conv, ret, disp, uso, cal, apr]
+    b = per.select("periodo", *[one_row(p).alias(f"_p{i}") for i, p in enumerate(parts)])
+    b = b.select("periodo", *[F.col(f"_p{i}.{c}").alias(c) for i, p in enumerate(parts) for c in p.columns])
     act1 = F.when(F.col("activos") == 0, F.lit(1)).otherwise(F.col("activos"))
     return b.filter(F.col("periodo").isNotNull()).select(
         "periodo",

@@ -197,14 +197,14 @@ def segment_rfm(base: DataFrame) -> DataFrame:
 
 def rfm_segments(segmented: DataFrame, min_clients: int = 5) -> DataFrame:
     """M02 summary per segment (empty when fewer than ``min_clients``)."""
-    n = segmented.agg(F.count(F.lit(1)).alias("_n"))
+    n = segmented.agg(F.count(F.lit(1))).scalar()
     strat = F.create_map(*[x for k, v in STRATEGIES.items() for x in (F.lit(k), F.lit(v))])
     order = F.create_map(*[x for i, k in enumerate(SEGMENTS) for x in (F.lit(k), F.lit(i))])
     g = segmented.groupBy("segmento").agg(
         F.count(F.lit(1)).alias("clientes"),
         round_half_up(F.avg("ltv"), 2).alias("ltv_promedio"),
         round_half_up(F.sum("ltv"), 2).alias("ltv_total"))
-    return (g.crossJoin(n).filter(F.col("_n") >= min_clients).drop("_n")
+    return (g.filter(n >= min_clients)
             .withColumn("estrategia", F.element_at(strat, F.col("segmento")))
             .withColumn("orden", F.element_at(order, F.col("segmento"))))
 

@@ -465,3 +465,72 @@ BUSINESS_SQL: dict[str, str] = {
 def business_with() -> str:
     """``WITH`` clause defining every business-star table for the oracle."""
     return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in BUSINESS_SQL.items())
+
+
+# ======================================================================
+# Clickstream (legacy) from ``events``
+# ======================================================================
+# Clickstream category / channel / device / region / source names.
+CATEGORIES = ["tinto", "blanco", "rosado", "espumoso", "dulce"]
+CHANNELS_WEB = ["web", "app", "tienda"]
+DEVICES = ["desktop", "mobile", "tablet"]
+REGIONS = ["norte", "sur", "este", "oeste"]
+SOURCES = ["organico", "pago", "referido", "email"]
+
+CLICK_COLUMNS = ["session_id", "user_id", "timestamp_utc", "event_index", "user_action", "product_id", "category",
+                 "brand", "price", "channel", "device_type", "region", "traffic_source", "time_spent_sec",
+                 "session_length", "interaction_count", "is_conversion", "drop_off_flag"]
+
+
+def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-C typed clickstream rows (18 columns in contract order) from ``events``.
+
+    session = (user, day); event_index and session_length come from a window
+    partitioned by session (bounded by one user-day)."""
+    from pyspark.sql import Window
+    e = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").try_cast("long")
+    sess = F.concat(F.lit("S"), F.col("user_id").cast("string"), F.lit("-"),
+                    F.date_format("ts", "yyyyMMdd"))
+
+    def pick(values, idx):
+        return F.element_at(F.array(*[F.lit(v) for v in values]), (idx % len(values) + 1).cast("int"))
+    w = Window.partitionBy("session_id")
+    df = e.select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"), sess.alias("session_id"))
+    return df.select(
+        "session_id",
+        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("user_id"),
+        F.col("ts").alias("timestamp_utc"),
+        F.row_number().over(w.orderBy("ts", "event_id")).cast("int").alias("event_index"),
+        F.col("event_type").alias("user_action"),
+        F.concat(F.lit("P"), (F.col("k") % 50).cast("string")).alias("product_id"),
+        pick(CATEGORIES, F.col("k")).alias("category"),
+        F.concat(F.lit("B"), (F.col("k") % 7).cast("string")).alias("brand"),
+        F.col("value").alias("price"),
+        pick(CHANNELS_WEB, F.col("user_id")).alias("channel"),
+        pick(DEVICES, F.floor(F.col("user_id") / 3)).alias("device_type"),
+        pick(REGIONS, F.col("user_id")).alias("region"),
+        pick(SOURCES, F.col("event_id")).alias("traffic_source"),
+        F.when(F.col("event_type") != "error", F.col("k")).cast("int").alias("time_spent_sec"),
+        F.count(F.lit(1)).over(w).cast("int").alias("session_length"),
+        F.when(F.col("event_type") != "error", F.col("k") % 10).cast("int").alias("interaction_count"),
+        (F.col("event_type") == "purchase").alias("is_conversion"),
+        (F.col("event_type") == "error").alias("drop_off_flag"))
+
+
+def _pick_sql(values, idx):
+    return "[" + ", ".join(f"'{v}'" for v in values) + f"][CAST(({idx}) % {len(values)} + 1 AS INTEGER)]"
+
+
+CLICKSTREAM_SQL = f"""SELECT session_id, 'U' || CAST(user_id AS VARCHAR) AS user_id, ts AS timestamp_utc,
+  CAST(row_number() OVER (PARTITION BY session_id ORDER BY ts, event_id) AS INTEGER) AS event_index,
+  event_type AS user_action, 'P' || CAST(k % 50 AS VARCHAR) AS product_id,
+  {_pick_sql(CATEGORIES, 'k')} AS category, 'B' || CAST(k % 7 AS VARCHAR) AS brand, value AS price,
+  {_pick_sql(CHANNELS_WEB, 'user_id')} AS channel, {_pick_sql(DEVICES, 'user_id // 3')} AS device_type,
+  {_pick_sql(REGIONS, 'user_id')} AS region, {_pick_sql(SOURCES, 'event_id')} AS traffic_source,
+  CAST(CASE WHEN event_type <> 'error' THEN k END AS INTEGER) AS time_spent_sec,
+  CAST(count(*) OVER (PARTITION BY session_id) AS INTEGER) AS session_length,
+  CAST(CASE WHEN event_type <> 'error' THEN k % 10 END AS INTEGER) AS interaction_count,
+  event_type = 'purchase' AS is_conversion, event_type = 'error' AS drop_off_flag
+FROM (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+             'S' || CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS session_id FROM events) e"""
