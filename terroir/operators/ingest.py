@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terroir.functions import lenient_double
+from terroir.functions import lenient_double, round_half_up
 
 # Minimum schema per source type and natural keys.
 REQUIRED = {
@@ -103,5 +103,5 @@ def batch_report(tagged: DataFrame, deduped: DataFrame, kind: str, source: str,
         F.lit(",".join(keys)).alias("clave_natural"), "filas_leidas", "filas_validas",
         (F.col("filas_validas") - F.col("_dedup")).alias("filas_duplicadas"), "filas_rechazadas",
         F.when(state == "FALLIDA", F.lit(0)).otherwise(F.col("_dedup")).cast("long").alias("filas_cargadas"),
-        F.round(pct * 100, 2).alias("pct_rechazo"), F.lit(round(threshold * 100, 2)).alias("umbral_pct"),
+        round_half_up(pct * 100, 2).alias("pct_rechazo"), F.lit(round(threshold * 100, 2)).alias("umbral_pct"),
         state.alias("estado"))

@@ -17,6 +17,7 @@ from terroir.sinks import export_rows
 from terroir.sources.testdata import RAW_REVIEWS_SQL, REVIEW_ORDER, raw_reviews
 
 _CACHE: dict = {}
+_FEED: dict = {}
 
 
 STAR_TABLES = ["dim_pais", "dim_variedad", "dim_bodega", "dim_provincia", "dim_region", "dim_catador",
@@ -48,6 +49,7 @@ def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     ranged = materialized(spark, "reviews_clean", key,
                           lambda: D.clean_reviews(raw_reviews(spark, sf_dir, ranged=True)))
     c = attach_row_number(ranged, "ordinal")
+    _FEED[ck] = c
     all_dims = materialized(spark, "reviews_dims", key, lambda: D.build_all_dims(c))
     out = {name: D.dim_table(all_dims, name) for name in D.DIM_IDS}
     out["fact_resenas"] = materialized(spark, "reviews_fact_resenas", key, lambda: D.build_fact(c, out))
@@ -55,6 +57,12 @@ def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return out
 
 
+def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned review feed with its input ordinal (written once)."""
+    star(spark, sf_dir)
+    return _FEED[(id(spark), fingerprint(spark, sf_dir, STAR_INPUTS))]
+
+
 # ------------------------------------------------------------------ SQL twin
 def _dim_sql(src: str, id_col: str) -> str:
     return (f"SELECT CAST(row_number() OVER (ORDER BY f, nombre) AS INTEGER) AS {id_col}, nombre FROM "
