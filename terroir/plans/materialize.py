@@ -75,3 +75,27 @@ def materialized(spark: SparkSession, name: str, key: str, build: Callable[[], D
         else:  # another writer won the race; its table is identical
             fs.delete(src, True)
     return spark.read.parquet(final)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file atomically (temp + rename) via Hadoop FS."""
+    fs, p = _fs(spark, path)
+    _, tmp = _fs(spark, f"{path}.tmp-{uuid.uuid4().hex[:8]}")
+    out = fs.create(tmp, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    fs.rename(tmp, p)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    jvm = spark._jvm
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

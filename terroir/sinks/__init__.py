@@ -10,7 +10,6 @@ plan never overwrites the path it reads).  Partition-scoped replacement uses
 from __future__ import annotations
 
 import json
-import os
 import uuid
 from functools import reduce
 
@@ -116,19 +115,29 @@ def merge_frames(target: DataFrame, src: DataFrame, keys: list[str], keep_from_t
 
 
 def _pointer(path: str) -> str:
-    return os.path.join(path.replace("file:", ""), "_CURRENT")
+    return f"{path.rstrip('/')}/_CURRENT"
 
 
 def read_versioned(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    p = _pointer(path)
-    if not os.path.exists(p):
+    """The live version of a versioned table (None when it has none yet)."""
+    from terroir.plans.materialize import read_text
+    txt = read_text(spark, _pointer(path))
+    if not txt:
         return None
-    with open(p) as fh:
-        version = json.load(fh)["version"]
+    version = json.loads(txt)["version"]
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
-    return r.parquet(os.path.join(path, version))
+    return r.parquet(f"{path.rstrip('/')}/{version}")
+
+
+def write_version(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
+    """Write ``df`` as a new version directory, then swap the pointer."""
+    from terroir.plans.materialize import write_text
+    version = f"v-{uuid.uuid4().hex[:12]}"
+    df.write.mode("errorifexists").parquet(f"{path.rstrip('/')}/{version}")
+    write_text(spark, _pointer(path), json.dumps({"version": version}))
+    return read_versioned(spark, path)
 
 
 def upsert(spark: SparkSession, path: str, src: DataFrame, keys: list[str],
@@ -137,14 +146,7 @@ def upsert(spark: SparkSession, path: str, src: DataFrame, keys: list[str],
     current = read_versioned(spark, path)
     merged = src if current is None else merge_frames(current, src.select(*current.columns), keys,
                                                       keep_from_target, counter)
-    version = f"v-{uuid.uuid4().hex[:12]}"
-    merged.write.mode("errorifexists").parquet(os.path.join(path, version))
-    os.makedirs(path.replace("file:", ""), exist_ok=True)
-    tmp = _pointer(path) + ".tmp"
-    with open(tmp, "w") as fh:
-        json.dump({"version": version}, fh)
-    os.replace(tmp, _pointer(path))
-    return read_versioned(spark, path)
+    return write_version(spark, path, merged)
 
 
 # ---------------------------------------------------------------- K10/K11

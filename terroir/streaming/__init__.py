@@ -1 +1,132 @@
-"""Structured Streaming variants of ingest, signal→alert and rate limiting."""
+"""Structured Streaming variants.
+
+* ``ingest_stream``: a landing folder read as a stream; each micro-batch is
+  validated (Q06), landed per partition (K01, idempotent on replay), rejects
+  written (K02) and the batch report appended (A20/K04).
+* ``alert_stream``: the signal bus as a stream; each micro-batch is drained
+  into the versioned alert table (T01-T03, K09).
+* ``rate_limit_stream``: the sliding-log limiter (T05) as a stateful
+  operator — state per key is the ≤ n accepted timestamps, with an
+  event-time watermark (rows later than it are dropped by Spark).
+* ``event_facts_stream`` / ``write_daily_facts`` / ``month_facts``: event
+  feeds projected into facts (D15): daily rows are final once the watermark
+  passes (append mode), appended per micro-batch, and rolled up to the month
+  grain by a batch aggregate.
+
+Checkpoints live under ``spark.checkpoint.dir`` (shared storage on a
+cluster), so a restarted query resumes exactly once per micro-batch.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import GroupState, GroupStateTimeout, StreamingQuery
+
+from terroir.session import ensure_checkpoint_dir
+
+
+def checkpoint_location(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/terroir/streams/{name}"
+
+
+# ---------------------------------------------------------------- ingest
+def ingest_stream(spark: SparkSession, landing: str, schema, kind: str, source: str, base: str,
+                  name: str = "ingest", available_now: bool = True) -> StreamingQuery:
+    from terroir.operators.ingest import ingest_batch
+    from terroir.sinks import land, land_rejects
+
+    def per_batch(df: DataFrame, batch_id: int) -> None:
+        ingest_date = f"batch-{batch_id:06d}"
+        numbered = df.withColumn("ordinal", F.monotonically_increasing_id())
+        valid, rejects, report = ingest_batch(numbered, kind, source, ingest_date)
+        state = report.select("estado").first()["estado"]
+        if state != "FALLIDA":
+            land(valid.drop("ordinal"), base, source, ingest_date, kind)
+        land_rejects(rejects.drop("ordinal"), base, source, ingest_date)
+        (report.withColumn("fecha", F.lit(ingest_date)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("fecha").json(f"{base.rstrip('/')}/_reportes"))
+
+    stream = spark.readStream.schema(schema).format("json").load(landing)
+    w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_location(spark, name))
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")).start()
+
+
+# ---------------------------------------------------------------- signals → alerts
+def alert_stream(spark: SparkSession, signals_dir: str, schema, alerts_path: str, drained_at: str,
+                 name: str = "alerts") -> StreamingQuery:
+    from terroir.operators.alerts import group_alerts
+    from terroir.sinks import read_versioned, write_version
+
+    def per_batch(df: DataFrame, batch_id: int) -> None:
+        current = read_versioned(spark, alerts_path)
+        sig = df.withColumn("procesada", F.lit(False)).dropDuplicates(["origen", "clave", "id_tiempo"])
+        merged, _ = group_alerts(sig, current, drained_at)
+        write_version(spark, alerts_path, merged)
+
+    stream = spark.readStream.schema(schema).format("parquet").load(signals_dir)
+    return (stream.writeStream.foreachBatch(per_batch)
+            .option("checkpointLocation", checkpoint_location(spark, name)).trigger(availableNow=True).start())
+
+
+# ---------------------------------------------------------------- T05 stateful
+def rate_limit_stream(stream: DataFrame, key: str = "user_id", ts: str = "ts", n: int = 60,
+                      window_s: float = 60.0, watermark: str = "10 minutes") -> DataFrame:
+    """T05 on a stream: per key the state holds the accepted timestamps of
+    the last window (≤ n values); the key's rows of one micro-batch (bounded
+    by the trigger size) are ordered by event time before the fold."""
+    window_us = int(window_s * 1_000_000)
+    out_schema = f"{key} long, ts_us long, aceptada boolean"
+    state_schema = "aceptadas array<long>"
+
+    def fold(k, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        acc = list(state.get[0]) if state.exists else []
+        rows = pd.concat(list(batches)).sort_values("ts_us", kind="stable")
+        out = []
+        for t in rows["ts_us"].tolist():
+            acc = [a for a in acc if t - a < window_us]
+            ok = len(acc) < n
+            if ok:
+                acc.append(t)
+            out.append(ok)
+        state.update((acc,))
+        yield pd.DataFrame({key: [k[0]] * len(out), "ts_us": rows["ts_us"].tolist(), "aceptada": out})
+
+    s = (stream.withWatermark(ts, watermark)
+         .select(F.col(key).cast("long").alias(key), F.unix_micros(F.col(ts).cast("timestamp")).alias("ts_us"), ts))
+    return s.groupBy(key).applyInPandasWithState(fold, out_schema, state_schema, "append",
+                                                 GroupStateTimeout.NoTimeout)
+
+
+# ---------------------------------------------------------------- D15
+def event_facts_stream(stream: DataFrame, ts: str = "fecha", group: list[str] | None = None,
+                       value: str = "mrr_delta", watermark: str = "2 days") -> DataFrame:
+    """Events → daily rows (count, Σ value) per group; a day is emitted
+    once, when the watermark has passed it (append mode)."""
+    group = group or ["plan"]
+    return (stream.withWatermark(ts, watermark)
+            .groupBy(F.window(ts, "1 day").alias("dia"), *group)
+            .agg(F.count(F.lit(1)).alias("eventos"), F.sum(value).alias(value)))
+
+
+def write_daily_facts(spark: SparkSession, daily: DataFrame, path: str, name: str) -> StreamingQuery:
+    """Append the final daily rows, partitioned by period (replays of a
+    batch rewrite the same files: the sink is the streaming file sink,
+    exactly-once through its metadata log)."""
+    rows = daily.select((F.year("dia.start") * 100 + F.month("dia.start")).cast("int").alias("id_tiempo"),
+                        F.col("dia.start").cast("date").alias("dia"),
+                        *[c for c in daily.columns if c != "dia"])
+    return (rows.writeStream.outputMode("append").format("parquet").partitionBy("id_tiempo")
+            .option("path", path).option("checkpointLocation", checkpoint_location(spark, name))
+            .trigger(availableNow=True).start())
+
+
+def month_facts(spark: SparkSession, path: str, group: list[str] | None = None,
+                value: str = "mrr_delta") -> DataFrame:
+    """The month-grain fact from the daily rows (batch aggregate)."""
+    group = group or ["plan"]
+    return (spark.read.parquet(path).groupBy("id_tiempo", *group)
+            .agg(F.sum("eventos").alias("eventos"), F.sum(value).alias(value)))
