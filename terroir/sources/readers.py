@@ -97,11 +97,14 @@ def read_reviews_csv(spark: SparkSession, path: str, offset: int = 0) -> DataFra
     """Lenient review CSV → record-normalised rows (strings '' for NULL,
     description cut to 2000, points int 0 default, price 0.0 default).
     ``offset`` skips the first rows by file order (resume)."""
-    df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-          .csv(path).withColumn("_row", F.col("_metadata.row_index")))
-    df = normalise_columns(df)
+    df = normalise_columns(spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+                           .csv(path))
     if offset:
-        df = df.filter(F.col("_row") >= offset)
+        # file order: the scan id grows with (file split, row); numbered by the
+        # scalable two-pass ids, then the first ``offset`` rows are skipped
+        from terroir.operators.ids import global_row_number
+        df = global_row_number(df.withColumn("_scan", F.monotonically_increasing_id()), ["_scan"], "_row")
+        df = df.filter(F.col("_row") > offset)
     text = [c for c in REQUIRED_REVIEW_COLUMNS if c not in ("points", "price")]
     return df.select(
         *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in text if c != "description"],

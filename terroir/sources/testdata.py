@@ -38,7 +38,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ======================================================================
 # Raw reviews
 # ======================================================================
-REVIEW_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+# Input order of the review feed: the line-item key, then every other
+# line-item column as tie-break, so ties are only between identical rows.
+REVIEW_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity",
+                "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str, ranged: bool = False) -> DataFrame:
@@ -55,9 +58,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str, ranged: bool = False) -> DataF
     ``operators.ids``): the range sampling then reads one table instead of
     recomputing the 7-way join.
     """
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-        "l_extendedprice", "l_shipdate")
+    li = table(spark, sf_dir, "lineitem").select(*REVIEW_ORDER)
     extra = []
     if ranged:
         from terroir.operators.ids import range_local_index
@@ -100,7 +101,8 @@ def raw_reviews(spark: SparkSession, sf_dir: str, ranged: bool = False) -> DataF
 
 
 RAW_REVIEWS_SQL = """
-SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey,
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_shipdate, l.l_quantity, l.l_extendedprice,
+       l.l_discount, l.l_tax, l.l_returnflag, l.l_linestatus,
        n.n_name AS country,
        p.p_name || ' / ' || p.p_type AS description,
        p.p_type AS designation,
