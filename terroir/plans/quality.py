@@ -187,3 +187,85 @@ def a21_daily_report(spark, sf_dir):
 def a25_series_payload(spark, sf_dir):
     return B.series_payload(B.scorecard_series(PB.biz(spark, sf_dir)))
 
+
+
+# ====================================================== P10 / A26 / J15
+def _theme_frames(spark, sf_dir):
+    from terroir.plans.reviews import a01_kpis, a02_by_country
+    return a01_kpis(spark, sf_dir), a02_by_country(spark, sf_dir), PB._a08(spark, sf_dir)
+
+
+THEME_MARKET = "NATION_3"
+
+
+@register("p10_theme_metrics", PB.qbr(PB.A08_SQL + f""", a01 AS (SELECT count(*) AS total_resenas,
+    {PR.AVG_POINTS} AS puntuacion_promedio, {PR.AVG_PRICE} AS precio_promedio,
+    CAST(max(CASE WHEN price > 0 THEN price END) AS DOUBLE) AS precio_maximo,
+    CAST(min(CASE WHEN price > 0 THEN price END) AS DOUBLE) AS precio_minimo FROM fact_resenas),
+  a02 AS ({PR.A02_SQL})
+SELECT 'resenas' AS tema, CAST(NULL AS VARCHAR) AS mercado, 'total_resenas' AS clave, CAST(total_resenas AS DOUBLE) AS valor FROM a01
+UNION ALL SELECT 'resenas', NULL, 'puntuacion_promedio', puntuacion_promedio FROM a01
+UNION ALL SELECT 'resenas', '{THEME_MARKET}', 'total_resenas', CAST(total AS DOUBLE) FROM a02 WHERE pais = '{THEME_MARKET}'
+UNION ALL SELECT 'resenas', '{THEME_MARKET}', 'puntuacion_promedio', puntuacion_promedio FROM a02 WHERE pais = '{THEME_MARKET}'
+UNION ALL SELECT 'precios', NULL, 'precio_promedio', precio_promedio FROM a01
+UNION ALL SELECT 'precios', NULL, 'precio_maximo', precio_maximo FROM a01
+UNION ALL SELECT 'precios', NULL, 'precio_minimo', precio_minimo FROM a01
+UNION ALL SELECT 'precios', '{THEME_MARKET}', 'precio_promedio', precio_promedio FROM a02 WHERE pais = '{THEME_MARKET}'
+UNION ALL SELECT 'precios', '{THEME_MARKET}', 'precio_maximo', NULL FROM a02 WHERE pais = '{THEME_MARKET}'
+UNION ALL SELECT 'precios', '{THEME_MARKET}', 'precio_minimo', NULL FROM a02 WHERE pais = '{THEME_MARKET}'
+UNION ALL SELECT 'ingresos', NULL, 'mrr_actual', mrr_actual FROM a08
+UNION ALL SELECT 'ingresos', NULL, 'churn', churn FROM a08
+UNION ALL SELECT 'ingresos', NULL, 'clientes_activos', CAST(clientes_activos AS DOUBLE) FROM a08
+UNION ALL SELECT 'uso', NULL, 'adopcion', adopcion FROM a08
+UNION ALL SELECT 'uso', NULL, 'nps', nps FROM a08"""))
+def p10_theme_metrics(spark, sf_dir):
+    from terroir.operators.catalog import theme_metrics, union_all
+    a01, a02, a08 = _theme_frames(spark, sf_dir)
+    return union_all([theme_metrics("resenas", a01, a02, a08), theme_metrics("resenas", a01, a02, a08, THEME_MARKET),
+                      theme_metrics("precios", a01, a02, a08),
+                      theme_metrics("precios", a01, a02, a08, THEME_MARKET),
+                      theme_metrics("ingresos", a01, a02, a08), theme_metrics("uso", a01, a02, a08)])
+
+
+@register("a26_dashboard_definitions")
+def a26_dashboard_definitions(spark, sf_dir):
+    """Drafts for the 20 most active clients, each requesting the theme
+    id_cliente % 4 (JSON documents: rows-only check)."""
+    from terroir.operators.catalog import THEMES, dashboard_definition, theme_metrics, union_all
+    a01, a02, a08 = _theme_frames(spark, sf_dir)
+    values = union_all([theme_metrics(t, a01, a02, a08) for t in THEMES])
+    from terroir.plans.business import _a10
+    top = B.top_clients(_a10(spark, sf_dir), 20)
+    themes = F.element_at(F.array(*[F.lit(t) for t in THEMES]), (F.col("id_cliente") % len(THEMES) + 1).cast("int"))
+    req = top.select(F.col("id_cliente").alias("cliente"), themes.alias("tema"))
+    return dashboard_definition(values, req, "principal", {"mercado": "todos"})
+
+
+@register("j15_channel_resolution", """WITH click AS (""" + T.CLICKSTREAM_SQL + """),
+cat AS (SELECT CAST(row_number() OVER (ORDER BY nombre) AS INTEGER) AS id_canal, nombre AS codigo,
+               upper(nombre) AS nombre FROM (SELECT DISTINCT channel AS nombre FROM click) c),
+ref AS (SELECT session_id, event_index, CASE event_index % 3 WHEN 0 THEN channel WHEN 1 THEN upper(channel)
+               ELSE CAST((SELECT id_canal FROM cat WHERE codigo = channel) AS VARCHAR) END AS canal_ref FROM click)
+SELECT r.session_id, r.event_index, r.canal_ref,
+       coalesce(c1.id_canal, c2.id_canal, c3.id_canal) AS id_canal,
+       CASE WHEN coalesce(c1.id_canal, c2.id_canal, c3.id_canal) IS NULL THEN 'canal_inexistente' END AS error
+FROM ref r
+LEFT JOIN cat c1 ON lower(trim(r.canal_ref)) = lower(c1.codigo)
+LEFT JOIN cat c2 ON lower(trim(r.canal_ref)) = lower(c2.nombre)
+LEFT JOIN cat c3 ON lower(trim(r.canal_ref)) = CAST(c3.id_canal AS VARCHAR)""")
+def j15_channel_resolution(spark, sf_dir):
+    """J15 on the clickstream: each row names its channel by code, by name
+    or by numeric id (event_index % 3); resolved in that priority."""
+    from terroir.operators.catalog import resolve_catalog
+    from terroir.operators.clickstream import distinct_values
+    from pyspark.sql import Window
+    click = T.clickstream(spark, sf_dir)
+    cat = (distinct_values(click, "channel", "codigo")
+           .select(F.row_number().over(Window.orderBy("codigo")).cast("int").alias("id_canal"), "codigo",
+                   F.upper("codigo").alias("nombre")))
+    ref = (click.join(F.broadcast(cat.select(F.col("codigo").alias("channel"), "id_canal")), "channel")
+           .select("session_id", "event_index",
+                   F.when(F.col("event_index") % 3 == 0, F.col("channel"))
+                   .when(F.col("event_index") % 3 == 1, F.upper("channel"))
+                   .otherwise(F.col("id_canal").cast("string")).alias("canal_ref")))
+    return resolve_catalog(ref, "canal_ref", cat, "id_canal", ["codigo", "nombre", "id_canal"], "canal_inexistente")
