@@ -107,15 +107,15 @@ def scorecard_kpis(s: Facts, reviews_fact: DataFrame, latest: int | None = None)
 
 
 # ------------------------------------------------------------------ A09
-def _period_branch(fact: DataFrame, t: DataFrame, persp: str, serie: str, value: Column,
-                   where: Column | None = None) -> DataFrame:
-    f = fact if where is None else fact.filter(where)
-    g = (f.join(t.select("id_tiempo", "periodo"), "id_tiempo")
-         .groupBy("id_tiempo", "periodo").agg(value.alias("_v")))
+def _series(per: DataFrame, persp: str, serie: str, value: Column, present: Column | None = None) -> DataFrame:
+    """One period series from a per-period aggregate ``per`` (one row per
+    period, already joined to its label).  ``present`` keeps only periods
+    that had qualifying rows (the reference's WHERE before GROUP BY)."""
+    g = per if present is None else per.filter(present)
     w = Window.orderBy("id_tiempo")  # one row per period: a bounded, aggregated frame
     return g.select(F.lit(persp).alias("perspectiva"), F.lit(serie).alias("serie"),
                     F.col("periodo").alias("etiqueta"), (F.row_number().over(w) - 1).cast("int").alias("orden"),
-                    _r4(F.coalesce(F.col("_v").cast("double"), F.lit(0.0))).alias("valor"))
+                    _r4(F.coalesce(value.cast("double"), F.lit(0.0))).alias("valor"))
 
 
 def _rank_branch(g: DataFrame, persp: str, serie: str, label: str, limit: int | None = None) -> DataFrame:
@@ -126,6 +126,36 @@ def _rank_branch(g: DataFrame, persp: str, serie: str, label: str, limit: int |
     return out if limit is None else out.filter(F.col("orden") < limit)
 
 
+def period_aggregates(s: Facts) -> dict[str, DataFrame]:
+    """Each fact aggregated ONCE per period with every figure the period
+    series need (conditional sums/counts); the series are projections of
+    these small frames, so each fact is scanned and shuffled a single time."""
+    t = s["dim_tiempo"].select("id_tiempo", "periodo")
+
+    def per(fact, *aggs):
+        return fact.groupBy("id_tiempo").agg(*aggs).join(t, "id_tiempo")
+    nc = F.col("es_churn") == 0
+    pos = F.col("conversiones") > 0
+    return {
+        "sus": per(s["fact_suscripcion"], F.sum(F.when(nc, F.col("mrr"))).alias("mrr"),
+                   F.count_if(nc).alias("n_mrr")),
+        "api": per(s["fact_consumo_api"], F.sum("ingreso_api").alias("ingreso_api"), F.sum("llamadas").alias("llamadas"),
+                   F.sum("errores").alias("errores"), F.sum("latencia_ms").alias("lat_sum"),
+                   F.count("latencia_ms").alias("lat_n")),
+        "conv": per(s["fact_conversion"], F.sum(F.when(pos, F.col("cac"))).alias("cac_sum"),
+                    F.count_if(pos).alias("cac_n"), F.sum("conversiones").alias("conversiones"),
+                    F.sum("leads").alias("leads")),
+        "ret": per(s["fact_retencion"], F.sum("cancelacion").alias("cancel"), F.sum("activo").alias("activo")),
+        "uso": per(s["fact_uso_plataforma"], F.count_if(F.col("nps_score") >= 9).alias("prom"),
+                   F.count_if(F.col("nps_score").between(0, 6)).alias("det"),
+                   F.count_if(F.col("nps_score") >= 0).alias("tot")),
+        "disp": per(s["fact_disponibilidad"], F.sum("uptime").alias("up_sum"), F.count("uptime").alias("up_n"),
+                    F.sum("time_to_market_dias").alias("ttm_sum"), F.count("time_to_market_dias").alias("ttm_n"),
+                    F.sum("incidentes").alias("incidentes"), F.sum("latencia_ms").alias("lat_sum"),
+                    F.count("latencia_ms").alias("lat_n")),
+    }
+
+
 def scorecard_series(s: Facts, latest: int | None = None) -> DataFrame:
     """The 18 series branches in long format (perspectiva, serie,
     etiqueta, orden, valor), stacked with unionByName (U03)."""
@@ -133,25 +163,23 @@ def scorecard_series(s: Facts, latest: int | None = None) -> DataFrame:
     latest = latest or latest_period(t)
     at = F.col("id_tiempo") == latest
     sus, api, conv = s["fact_suscripcion"], s["fact_consumo_api"], s["fact_conversion"]
-    ret, uso, disp = s["fact_retencion"], s["fact_uso_plataforma"], s["fact_disponibilidad"]
+    disp = s["fact_disponibilidad"]
     avg = lambda c: exact_avg(F.sum(c), F.count(c))
-    nps = ((F.count(F.when(F.col("nps_score") >= 9, 1)) - F.count(F.when(F.col("nps_score").between(0, 6), 1)))
-           * 100.0 / F.nullif(F.count(F.when(F.col("nps_score") >= 0, 1)), F.lit(0)))
+    P = period_aggregates(s)
+    c = F.col
     parts = [
-        _period_branch(sus, t, "financiera", "mrr", F.sum("mrr"), F.col("es_churn") == 0),
-        _period_branch(api, t, "financiera", "api", F.sum("ingreso_api")),
-        _period_branch(conv, t, "financiera", "cac", avg("cac"), F.col("conversiones") > 0),
+        _series(P["sus"], "financiera", "mrr", c("mrr"), c("n_mrr") > 0),
+        _series(P["api"], "financiera", "api", c("ingreso_api")),
+        _series(P["conv"], "financiera", "cac", exact_avg(c("cac_sum"), c("cac_n")), c("cac_n") > 0),
         _rank_branch(sus.filter(at & (F.col("es_churn") == 0))
                      .join(s["dim_plan"].select("id_plan", F.col("nombre").alias("plan")), "id_plan")
                      .groupBy("plan").agg(F.sum("mrr").alias("_v")), "financiera", "por_plan", "plan"),
         _rank_branch(sus.join(s["dim_cliente"].select("id_cliente", "id_mercado"), "id_cliente")
                      .join(s["dim_mercado"].select("id_mercado", "pais"), "id_mercado")
                      .groupBy("pais").agg(F.sum("es_nuevo").alias("_v")), "cliente", "nuevos_mercado", "pais", 12),
-        _period_branch(conv, t, "cliente", "conversion",
-                       F.sum("conversiones") * 100.0 / F.nullif(F.sum("leads"), F.lit(0))),
-        _period_branch(ret, t, "cliente", "churn",
-                       F.sum("cancelacion") * 100.0 / F.nullif(F.sum("activo") + F.sum("cancelacion"), F.lit(0))),
-        _period_branch(uso, t, "cliente", "nps", nps),
+        _series(P["conv"], "cliente", "conversion", c("conversiones") * 100.0 / F.nullif(c("leads"), F.lit(0))),
+        _series(P["ret"], "cliente", "churn", c("cancel") * 100.0 / F.nullif(c("activo") + c("cancel"), F.lit(0))),
+        _series(P["uso"], "cliente", "nps", (c("prom") - c("det")) * 100.0 / F.nullif(c("tot"), F.lit(0))),
     ]
     emb = conv.filter(at).agg(_sum0("leads").alias("leads"), _sum0("oportunidades").alias("oportunidades"),
                               _sum0("conversiones").alias("conversiones"))
@@ -161,16 +189,16 @@ def scorecard_series(s: Facts, latest: int | None = None) -> DataFrame:
         F.lit("cliente").alias("perspectiva"), F.lit("embudo").alias("serie"), "etiqueta",
         F.col("orden").cast("int").alias("orden"), _r4(F.col("v").cast("double")).alias("valor")))
     parts += [
-        _period_branch(disp, t, "procesos", "uptime", avg("uptime")),
-        _period_branch(disp, t, "procesos", "ttm", avg("time_to_market_dias")),
+        _series(P["disp"], "procesos", "uptime", exact_avg(c("up_sum"), c("up_n"))),
+        _series(P["disp"], "procesos", "ttm", exact_avg(c("ttm_sum"), c("ttm_n"))),
         _rank_branch(disp.filter(at).join(s["dim_mercado"].select("id_mercado", "region_geo"), "id_mercado")
                      .groupBy("region_geo").agg(avg("latencia_ms").alias("_v")),
                      "procesos", "latencia_region", "region_geo"),
-        _period_branch(disp, t, "procesos", "incidentes", F.sum("incidentes")),
+        _series(P["disp"], "procesos", "incidentes", c("incidentes")),
         _rank_branch(api.join(s["dim_partner_api"].select("id_partner", "nombre"), "id_partner")
                      .groupBy("nombre").agg(F.sum("ingreso_api").alias("_v")), "ecosistema", "ingresos_partner",
                      "nombre"),
-        _period_branch(api, t, "ecosistema", "llamadas", F.sum("llamadas")),
+        _series(P["api"], "ecosistema", "llamadas", c("llamadas")),
         _rank_branch(s["fact_integracion_partner"].filter(at)
                      .join(s["dim_partner_api"].select("id_partner", "nombre"), "id_partner")
                      .groupBy("nombre").agg(F.max("conexiones_activas").alias("_v")),
@@ -249,20 +277,20 @@ SERIES = {"mrr": "Ingresos recurrentes (MRR)", "churn": "Tasa de churn", "errore
 
 
 def anomaly_series(s: Facts) -> DataFrame:
-    """The four monthly series (serie, id_tiempo, periodo, valor)."""
-    t = s["dim_tiempo"].select("id_tiempo", "periodo")
-
-    def branch(fact, name, value, where=None):
-        f = fact if where is None else fact.filter(where)
-        return (f.join(t, "id_tiempo").groupBy("id_tiempo", "periodo").agg(value.alias("valor"))
-                .select(F.lit(SERIES[name]).alias("serie"), "id_tiempo", "periodo", "valor"))
+    """The four monthly series (serie, id_tiempo, periodo, valor), read
+    from the shared per-period aggregates; churn keeps the reference's
+    unguarded division as try_divide (NULL on 0)."""
+    P = period_aggregates(s)
+    c = F.col
+
+    def branch(per, name, value, present=None):
+        g = per if present is None else per.filter(present)
+        return g.select(F.lit(SERIES[name]).alias("serie"), "id_tiempo", "periodo", value.alias("valor"))
     return reduce(DataFrame.unionByName, [
-        branch(s["fact_suscripcion"], "mrr", F.sum("mrr").cast("double"), F.col("es_churn") == 0),
-        branch(s["fact_retencion"], "churn",
-               F.try_divide(F.sum("cancelacion") * 100.0, (F.sum("activo") + F.sum("cancelacion")).cast("double"))),
-        branch(s["fact_consumo_api"], "errores", F.sum("errores").cast("double")),
-        branch(s["fact_disponibilidad"], "latencia",
-               exact_avg(F.sum("latencia_ms"), F.count("latencia_ms"))),
+        branch(P["sus"], "mrr", c("mrr").cast("double"), c("n_mrr") > 0),
+        branch(P["ret"], "churn", F.try_divide(c("cancel") * 100.0, (c("activo") + c("cancel")).cast("double"))),
+        branch(P["api"], "errores", c("errores").cast("double")),
+        branch(P["disp"], "latencia", exact_avg(c("lat_sum"), c("lat_n"))),
     ])
 
 

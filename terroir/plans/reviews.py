@@ -46,8 +46,10 @@ def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     ck = (id(spark), key)
     if ck in _CACHE:
         return _CACHE[ck]
+    # the order columns served the range partitioning; (_pid, _local) carry
+    # the position, so the written feed keeps only the review columns
     ranged = materialized(spark, "reviews_clean", key,
-                          lambda: D.clean_reviews(raw_reviews(spark, sf_dir, ranged=True)))
+                          lambda: D.clean_reviews(raw_reviews(spark, sf_dir, ranged=True)).drop(*REVIEW_ORDER))
     c = attach_row_number(ranged, "ordinal")
     _FEED[ck] = c
     all_dims = materialized(spark, "reviews_dims", key, lambda: D.build_all_dims(c))
