@@ -25,6 +25,21 @@ def latest_period(dim_tiempo: DataFrame) -> int:
     return int(dim_tiempo.agg(F.max("id_tiempo")).first()[0])
 
 
+def at_latest(fact: DataFrame, dim_tiempo: DataFrame, latest: int | None = None) -> DataFrame:
+    """Rows of the latest period.  The reference cross-joins a one-row
+    CTE and filters; here the scalar is resolved once and becomes a literal
+    predicate pushed to the scan."""
+    latest = latest or latest_period(dim_tiempo)
+    return fact.filter(F.col("id_tiempo") == latest)
+
+
+def clients_by_market(fact: DataFrame, clients: DataFrame, markets: DataFrame) -> DataFrame:
+    """2-hop inner join fact → client → market (the market dimension is
+    bounded and broadcast at runtime by AQE; clients may be large)."""
+    return (fact.join(clients.select("id_cliente", "id_mercado"), "id_cliente")
+            .join(markets.select("id_mercado", "pais", "region_geo"), "id_mercado"))
+
+
 def last_periods(dim_tiempo: DataFrame, n: int = 3) -> DataFrame:
     """The n newest periods of the time dimension (semi-join input)."""
     return dim_tiempo.select("id_tiempo").orderBy(F.col("id_tiempo").desc()).limit(n)
@@ -174,8 +189,7 @@ def scorecard_series(s: Facts, latest: int | None = None) -> DataFrame:
         _rank_branch(sus.filter(at & (F.col("es_churn") == 0))
                      .join(s["dim_plan"].select("id_plan", F.col("nombre").alias("plan")), "id_plan")
                      .groupBy("plan").agg(F.sum("mrr").alias("_v")), "financiera", "por_plan", "plan"),
-        _rank_branch(sus.join(s["dim_cliente"].select("id_cliente", "id_mercado"), "id_cliente")
-                     .join(s["dim_mercado"].select("id_mercado", "pais"), "id_mercado")
+        _rank_branch(clients_by_market(sus, s["dim_cliente"], s["dim_mercado"])
                      .groupBy("pais").agg(F.sum("es_nuevo").alias("_v")), "cliente", "nuevos_mercado", "pais", 12),
         _series(P["conv"], "cliente", "conversion", c("conversiones") * 100.0 / F.nullif(c("leads"), F.lit(0))),
         _series(P["ret"], "cliente", "churn", c("cancel") * 100.0 / F.nullif(c("activo") + c("cancel"), F.lit(0))),

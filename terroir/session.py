@@ -17,7 +17,7 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.showConsoleProgress": "false",
 }
-LOCAL_DRIVER_MEMORY = "16g"
+LOCAL_DRIVER_MEMORY = os.environ.get("TERROIR_DRIVER_MEMORY", "16g")
 
 
 def get_spark(app: str = "terroir", master: str | None = None,
