@@ -257,3 +257,112 @@ def t13_slo_signals(spark, sf_dir):
     m = _a19(spark, sf_dir).withColumn("id_tiempo", period_id("fecha"))
     s = AL.slo_signals(m, "2024-02-01 00:00:00", ["fecha"])
     return s.select("origen", "tipo", "severidad", "entidad", "clave", "valor", "umbral", "id_tiempo")
+
+
+# ====================================================== leads / conversions from events
+# signup/click events are lead touches, view → OPORTUNIDAD, purchase → CLIENTE,
+# error → PERDIDO; the campaign of a touch is C<event_id % 4>
+_STAGE = {"view": "OPORTUNIDAD", "purchase": "CLIENTE", "error": "PERDIDO"}
+
+
+def _leads(spark, sf_dir):
+    from terroir.functions import period_id
+    e = T.table(spark, sf_dir, "events").filter(F.col("event_type").isin("signup", "click"))
+    return e.select(F.concat(F.lit("L"), F.col("user_id").cast("string")).alias("clave"),
+                    F.concat(F.lit("C"), (F.col("event_id") % 4).cast("string")).alias("campana"),
+                    F.concat(F.lit("canal-"), (F.col("user_id") % 3).cast("string")).alias("canal"),
+                    F.concat(F.lit("mercado-"), (F.col("user_id") % 4).cast("string")).alias("mercado"),
+                    F.col("ts").alias("fecha"), F.col("event_id").alias("seq"), period_id("ts").alias("id_tiempo"))
+
+
+def _conversions(spark, sf_dir):
+    from terroir.functions import period_id
+    m = F.create_map(*[x for k, v in _STAGE.items() for x in (F.lit(k), F.lit(v))])
+    e = T.table(spark, sf_dir, "events").filter(F.col("event_type").isin(*_STAGE))
+    return e.select(F.concat(F.lit("L"), F.col("user_id").cast("string")).alias("lead"),
+                    F.element_at(m, F.col("event_type")).alias("etapa"), F.col("ts").alias("fecha"),
+                    F.col("event_id").alias("seq"), period_id("ts").alias("id_tiempo"))
+
+
+_LEADS_SQL = """WITH leads AS (SELECT 'L' || CAST(user_id AS VARCHAR) AS clave, 'C' || CAST(event_id % 4 AS VARCHAR) AS campana,
+    ts AS fecha, event_id AS seq, CAST(year(ts) * 100 + month(ts) AS INTEGER) AS id_tiempo
+  FROM events WHERE event_type IN ('signup', 'click')),
+ft AS (SELECT *, row_number() OVER (PARTITION BY clave ORDER BY fecha, seq) > 1 AS duplicado FROM leads),
+conv AS (SELECT 'L' || CAST(user_id AS VARCHAR) AS lead, CASE event_type WHEN 'view' THEN 'OPORTUNIDAD'
+    WHEN 'purchase' THEN 'CLIENTE' ELSE 'PERDIDO' END AS etapa, ts AS fecha, event_id AS seq,
+    CAST(year(ts) * 100 + month(ts) AS INTEGER) AS id_tiempo FROM events WHERE event_type IN ('view', 'purchase', 'error'))
+"""
+
+
+@register("t06_first_touch", _LEADS_SQL + "SELECT clave, campana, fecha, seq, duplicado FROM ft")
+def t06_first_touch(spark, sf_dir):
+    return L.first_touch(_leads(spark, sf_dir)).select("clave", "campana", "fecha", "seq", "duplicado")
+
+
+@register("t08_lead_stage", _LEADS_SQL + """, lost AS (SELECT lead, max(fecha) AS lf FROM conv WHERE etapa = 'PERDIDO' GROUP BY 1),
+lost2 AS (SELECT l.lead, l.lf, max(c.seq) AS ls FROM lost l JOIN conv c ON c.lead = l.lead AND c.fecha = l.lf
+          AND c.etapa = 'PERDIDO' GROUP BY 1, 2),
+after AS (SELECT c.* FROM conv c LEFT JOIN lost2 l ON c.lead = l.lead
+          WHERE l.lead IS NULL OR c.fecha > l.lf OR (c.fecha = l.lf AND c.seq > l.ls)),
+best AS (SELECT lead, arg_max(etapa, (CASE etapa WHEN 'OPORTUNIDAD' THEN 1 WHEN 'CLIENTE' THEN 2 ELSE 0 END, fecha, seq)) AS b
+         FROM after WHERE etapa <> 'PERDIDO' GROUP BY 1)
+SELECT d.lead, coalesce(b.b, CASE WHEN l.lead IS NOT NULL THEN 'PERDIDO' END, 'LEAD') AS etapa
+FROM (SELECT DISTINCT lead FROM conv) d LEFT JOIN best b ON d.lead = b.lead LEFT JOIN lost l ON d.lead = l.lead""")
+def t08_lead_stage(spark, sf_dir):
+    return L.lead_stage(_conversions(spark, sf_dir))
+
+
+def _spend(spark, sf_dir):
+    from terroir.functions import cents_to_decimal, period_id
+    e = T.table(spark, sf_dir, "events").filter(F.col("event_type") == "click")
+    return (e.groupBy(period_id("ts").alias("id_tiempo"))
+            .agg(cents_to_decimal(F.sum(F.floor(F.col("value") * 100 + F.lit(0.5))), 14).alias("gasto")))
+
+
+@register("a18_acquisition_indicators", _LEADS_SQL + f""", sp AS (SELECT CAST(year(ts) * 100 + month(ts) AS INTEGER) AS id_tiempo,
+    CAST(CAST(sum(floor(value * 100 + 0.5)) AS DOUBLE) / 100.0 AS DECIMAL(14,2)) AS gasto FROM events
+    WHERE event_type = 'click' GROUP BY 1),
+ld AS (SELECT id_tiempo, count(DISTINCT clave) AS leads FROM ft WHERE NOT duplicado GROUP BY 1),
+cv AS (SELECT id_tiempo, count(DISTINCT lead) AS conversiones FROM conv WHERE etapa = 'CLIENTE' GROUP BY 1),
+j AS (SELECT coalesce(sp.id_tiempo, ld.id_tiempo, cv.id_tiempo) AS id_tiempo, coalesce(CAST(sp.gasto AS DOUBLE), 0.0) AS gasto,
+             coalesce(ld.leads, 0) AS leads, coalesce(cv.conversiones, 0) AS conversiones
+      FROM sp FULL OUTER JOIN ld ON sp.id_tiempo = ld.id_tiempo
+      FULL OUTER JOIN cv ON coalesce(sp.id_tiempo, ld.id_tiempo) = cv.id_tiempo)
+SELECT id_tiempo, gasto, leads, conversiones,
+  {R('CASE WHEN leads > 0 THEN conversiones * 100.0 / leads ELSE 0.0 END', 2)} AS tasa_conversion,
+  {R('CASE WHEN conversiones > 0 THEN gasto / conversiones ELSE 0.0 END', 2)} AS cac FROM j""")
+def a18_acquisition_indicators(spark, sf_dir):
+    return AL.acquisition_indicators(_spend(spark, sf_dir), L.first_touch(_leads(spark, sf_dir)),
+                                     _conversions(spark, sf_dir))
+
+
+# ====================================================== T09 / A17 (sequential: rows-only)
+_SUB_TARGET = {"signup": "ACTIVA", "view": "EN_PAUSA", "click": "ACTIVA", "error": "CANCELADA", "purchase": "ACTIVA"}
+_PLANS = ["Básico", "Profesional", "Enterprise"]
+
+
+@register("t09_subscription_ledger")
+def t09_subscription_ledger(spark, sf_dir):
+    """Each user's events replayed as subscription requests (plan by user)."""
+    m = F.create_map(*[x for k, v in _SUB_TARGET.items() for x in (F.lit(k), F.lit(v))])
+    e = T.table(spark, sf_dir, "events")
+    req = e.select(F.concat(F.lit("S"), F.col("user_id").cast("string")).alias("suscripcion"),
+                   F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("cliente"),
+                   F.element_at(F.array(*[F.lit(p) for p in _PLANS]), (F.col("user_id") % 3 + 1).cast("int")).alias("plan"),
+                   F.col("ts").alias("fecha"), F.col("event_id").alias("seq"),
+                   F.element_at(m, F.col("event_type")).alias("estado_solicitado"))
+    plans = T.dim_plan(spark).select("nombre", "precio_mensual")
+    return L.subscription_ledger(req, plans)
+
+
+@register("a17_support_report")
+def a17_support_report(spark, sf_dir):
+    """Tickets (one per user, T10) grouped into 20 accounts with an NPS answer
+    derived from the ticket's first event value."""
+    sla = L.ticket_sla(_ticket_requests(spark, sf_dir), "ticket")
+    e = T.table(spark, sf_dir, "events").groupBy("user_id").agg(F.min_by("value", "ts").alias("v"))
+    t = sla.join(e, sla.ticket == e.user_id).select(
+        F.concat(F.lit("cuenta-"), (F.col("ticket") % 20).cast("string")).alias("cuenta"),
+        F.col("estado_final").alias("estado"), "minutos_resolucion", "minutos_primera_respuesta",
+        (F.floor(F.col("v")) % 12 - 1).cast("string").alias("nps"))
+    return AL.support_report(t)
