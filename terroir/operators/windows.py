@@ -41,17 +41,18 @@ def top_n_by_rank(df: DataFrame, value: str, label: str, n: int = 12,
 def quintile(df: DataFrame, value: str, tie: str, name: str, buckets: int = 5) -> DataFrame:
     """Quantile bucket of rank(method='first') the way qcut on ranks does.
 
-    rn = row_number by (value, tie); bucket = max(1, ceil(q*(rn-1)/(n-1)))
-    computed with integer ceil-division.  n comes from a global count.  The
-    frame is one row per client at the latest period, sorted once.
+    rn = position by (value, tie); bucket = max(1, ceil(q*(rn-1)/(n-1))) with
+    integer ceil-division.  rn comes from the two-pass dense numbering (no
+    single-partition window however many clients), n from a scalar count.
     """
-    w = Window.orderBy(F.col(value).asc(), F.col(tie).asc())
-    n = F.count(F.lit(1)).over(Window.partitionBy())
-    rn = F.row_number().over(w)
+    from terroir.operators.ids import global_row_number
+    n = df.agg(F.count(F.lit(1))).scalar()
+    rn = F.col("_rn")
     num = (rn - 1) * buckets
     den = n - 1
     ceil_div = F.when(den <= 0, F.lit(1)).otherwise(F.floor((num + den - 1) / den))
-    return df.withColumn(name, F.greatest(F.lit(1), ceil_div).cast("int"))
+    return (global_row_number(df, [value, tie], "_rn")
+            .withColumn(name, F.greatest(F.lit(1), ceil_div).cast("int")).drop("_rn"))
 
 
 def zscore(df: DataFrame, series: str, value: str, eps: float = 1e-9) -> DataFrame:

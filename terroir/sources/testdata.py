@@ -487,9 +487,11 @@ CLICK_COLUMNS = ["session_id", "user_id", "timestamp_utc", "event_index", "user_
 def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F-C typed clickstream rows (18 columns in contract order) from ``events``.
 
-    session = (user, day); event_index and session_length come from a window
-    partitioned by session (bounded by one user-day)."""
-    from pyspark.sql import Window
+    session = (user, day).  event_index is the position inside the session
+    from the two-pass numbering (a hot session is split across range
+    partitions, never one task); session_length is a group count joined back.
+    """
+    from terroir.operators.ids import rank_within_groups
     e = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").try_cast("long")
     sess = F.concat(F.lit("S"), F.col("user_id").cast("string"), F.lit("-"),
@@ -497,13 +499,15 @@ def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def pick(values, idx):
         return F.element_at(F.array(*[F.lit(v) for v in values]), (idx % len(values) + 1).cast("int"))
-    w = Window.partitionBy("session_id")
     df = e.select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"), sess.alias("session_id"))
+    df = rank_within_groups(df, "session_id", ["ts", "event_id"], "event_index")
+    lengths = df.groupBy("session_id").agg(F.count(F.lit(1)).cast("int").alias("session_length"))
+    df = df.join(lengths, "session_id")
     return df.select(
         "session_id",
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("user_id"),
         F.col("ts").alias("timestamp_utc"),
-        F.row_number().over(w.orderBy("ts", "event_id")).cast("int").alias("event_index"),
+        F.col("event_index").cast("int").alias("event_index"),
         F.col("event_type").alias("user_action"),
         F.concat(F.lit("P"), (F.col("k") % 50).cast("string")).alias("product_id"),
         pick(CATEGORIES, F.col("k")).alias("category"),
@@ -514,7 +518,7 @@ def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
         pick(REGIONS, F.col("user_id")).alias("region"),
         pick(SOURCES, F.col("event_id")).alias("traffic_source"),
         F.when(F.col("event_type") != "error", F.col("k")).cast("int").alias("time_spent_sec"),
-        F.count(F.lit(1)).over(w).cast("int").alias("session_length"),
+        "session_length",
         F.when(F.col("event_type") != "error", F.col("k") % 10).cast("int").alias("interaction_count"),
         (F.col("event_type") == "purchase").alias("is_conversion"),
         (F.col("event_type") == "error").alias("drop_off_flag"))
