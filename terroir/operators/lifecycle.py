@@ -18,6 +18,8 @@ from __future__ import annotations
 
 from collections import deque
 
+import pandas as pd
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,25 +60,107 @@ def _sorted_by_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def replay(events: DataFrame, key: str, order: list[str], target: str, transitions: dict[str, list[str]],
-           init: str) -> DataFrame:
+           init: str, num_partitions: int | None = None) -> DataFrame:
     """Fold each key's time-ordered requested targets over a transition
     table.  Per event: previous state, resulting state, verdict
     ('aplicada' / 'transicion_invalida'), allowed targets, and ``paso`` (the
-    event's 1-based position within its key).
-    An invalid request leaves the state unchanged."""
+    event's 1-based position within its key).  An invalid request leaves the
+    state unchanged.
+
+    Hot keys are split: the rows are range-partitioned by (key, order) and
+    checkpointed, so one key may span many partitions.  Because the machine
+    is finite, each partition summarises its first and last key segment as a
+    transfer function (start state → end state, plus the segment length);
+    chaining those ≤ 2·N summaries in partition order gives the entry state
+    and step offset of every key that continues from an earlier partition (a
+    map of ≤ N entries, broadcast), and all partitions then replay in
+    parallel from the correct state.
+    """
+    from terroir.session import ensure_checkpoint_dir
+    spark = events.sparkSession
+    ensure_checkpoint_dir(spark)
+    states = list(dict.fromkeys([init, *transitions, *[t for v in transitions.values() for t in v]]))
+    idx = {st: i for i, st in enumerate(states)}
     table = {k: set(v) for k, v in transitions.items()}
     allowed = {k: ",".join(sorted(v)) for k, v in transitions.items()}
+
+    def step(st, wanted):
+        return wanted if wanted in table.get(st, ()) else st
+
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    cols = [key, *order]
+    ranged = (events.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+              .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+
+    # pass 1: boundary summaries (first / last key segment of each partition)
+    summary_schema = "_pid int, pos string, k string, fn array<string>, n long"
+
+    def summarise(batches):
+        segs = []                                   # [key, fn-list, count] in partition order
+        pid = None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            pid = int(pdf["_pid"].iloc[0])
+            for k, w in zip(pdf[key].tolist(), pdf[target].tolist()):
+                if not segs or segs[-1][0] != k:
+                    if len(segs) == 2:              # keep only the first and the current (last) segment
+                        segs[1] = [k, list(states), 0]
+                    else:
+                        segs.append([k, list(states), 0])
+                seg = segs[-1]
+                seg[1] = [step(st, w) for st in seg[1]]
+                seg[2] += 1
+        if pid is None:
+            return
+        rows = [(pid, "first", str(segs[0][0]), segs[0][1], segs[0][2])]
+        if len(segs) > 1:
+            rows.append((pid, "last", str(segs[-1][0]), segs[-1][1], segs[-1][2]))
+        yield pd.DataFrame(rows, columns=["_pid", "pos", "k", "fn", "n"])
+    summ = sorted((r._pid, r.pos != "first", r.k, list(r.fn), r.n)
+                  for r in ranged.mapInPandas(summarise, summary_schema).collect())   # ≤ 2 rows per partition
+
+    # chain the summaries: entry (state, steps so far) of continuing keys
+    entry: dict[int, tuple[str, str, int]] = {}
+    carry = None                                    # (key, state, steps) after the previous partition
+    by_pid: dict[int, list] = {}
+    for pid, _, k, fn, cnt in summ:
+        by_pid.setdefault(pid, []).append((k, fn, cnt))
+    for pid in sorted(by_pid):
+        segs = by_pid[pid]
+        k0, fn0, c0 = segs[0]
+        start, steps = (carry[1], carry[2]) if carry and carry[0] == k0 else (init, 0)
+        if carry and carry[0] == k0:
+            entry[pid] = (k0, start, steps)
+        end0 = fn0[idx[start]]
+        if len(segs) == 1:
+            carry = (k0, end0, steps + c0)
+        else:
+            kl, fnl, cl = segs[-1]
+            carry = (kl, fnl[idx[init]], cl)
+    entry_b = spark.sparkContext.broadcast(entry)     # ≤ N entries
+
+    # pass 2: every partition replays in parallel from its entry state
     out_schema = T.StructType(events.schema.fields + REPLAY_FIELDS)
+    names = [f.name for f in events.schema.fields]
 
     def fold(batches):
-        cur_key, state, seq = object(), init, 0
+        cur_key, state, seq, first = object(), init, 0, True
         for pdf in batches:
+            if pdf.empty:
+                continue
+            pid = int(pdf["_pid"].iloc[0])
             keys = pdf[key].tolist()
             wanted = pdf[target].tolist()
             prev, after, verdict, perm, seqs = [], [], [], [], []
             for k, w in zip(keys, wanted):
                 if k != cur_key:
                     cur_key, state, seq = k, init, 0
+                    if first:
+                        e = entry_b.value.get(pid)
+                        if e is not None and e[0] == str(k):
+                            state, seq = e[1], e[2]
+                    first = False
                 seq += 1
                 prev.append(state)
                 perm.append(allowed.get(state, ""))
@@ -87,8 +171,9 @@ def replay(events: DataFrame, key: str, order: list[str], target: str, transitio
                     verdict.append(INVALID)
                 after.append(state)
                 seqs.append(seq)
-            yield pdf.assign(estado_anterior=prev, estado=after, veredicto=verdict, permitidos=perm, paso=seqs)
-    return _sorted_by_key(events, key, order).mapInPandas(fold, out_schema)
+            yield pdf[names].assign(estado_anterior=prev, estado=after, veredicto=verdict, permitidos=perm,
+                                    paso=seqs)
+    return ranged.mapInPandas(fold, out_schema)
 
 
 def final_state(replayed: DataFrame, key: str) -> DataFrame:

@@ -122,3 +122,17 @@ def test_entitlement_and_account_dedup_case44(spark):
     res = [(r.id_existente, r.resultado) for r in L.dedup_accounts(existing, inc).collect()]
     assert sorted(res, key=str) == sorted([(1, "duplicada"), (1, "duplicada"), (None, "identificacion_requerida"),
                                            (None, "nueva")], key=str)
+
+
+def test_replay_splits_hot_key_across_partitions(spark):
+    rnd = random.Random(11)
+    states = list(L.TICKET)
+    # one key holds most rows; many partitions → the hot key spans several
+    events = [(0 if rnd.random() < 0.7 else rnd.randint(1, 30), i, rnd.choice(states)) for i in range(5000)]
+    df = spark.createDataFrame(events, "k int, seq int, w string")
+    got = sorted((r.k, r.seq, r.estado_anterior, r.estado, r.veredicto)
+                 for r in L.replay(df, "k", ["seq"], "w", L.TICKET, "ABIERTO", num_partitions=13).collect())
+    assert got == brute_replay(events, L.TICKET, "ABIERTO")
+    pasos = sorted(r.paso for r in L.replay(df, "k", ["seq"], "w", L.TICKET, "ABIERTO", num_partitions=13)
+                   .filter("k = 0").collect())
+    assert pasos == list(range(1, sum(1 for e in events if e[0] == 0) + 1))
