@@ -22,7 +22,12 @@ CLICK = f"WITH click AS ({T.CLICKSTREAM_SQL})\n"
 
 
 def click(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.clickstream(spark, sf_dir)
+    """The typed clickstream, written once per ``events`` snapshot (its
+    session positions need a two-pass numbering; every clickstream query
+    reads the written table)."""
+    from terroir.plans.materialize import materialized
+    key = fingerprint(spark, sf_dir, ["events"])
+    return materialized(spark, "clickstream", key, lambda: T.clickstream(spark, sf_dir))
 
 
 def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,7 +144,7 @@ def s01_contract_csv(spark, sf_dir):
     key = fingerprint(spark, sf_dir, ["events"])
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/terroir/contract_csv-{key}"
     if not exists(spark, f"{path}/_SUCCESS"):
-        RD.write_contract_csv(click(spark, sf_dir), path)
+        RD.write_contract_csv(click(spark, sf_dir), path)   # K11 input from the written clickstream
     return RD.read_contract_csv(spark, path)
 
 

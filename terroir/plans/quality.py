@@ -259,7 +259,8 @@ def j15_channel_resolution(spark, sf_dir):
     from terroir.operators.catalog import resolve_catalog
     from terroir.operators.clickstream import distinct_values
     from pyspark.sql import Window
-    click = T.clickstream(spark, sf_dir)
+    from terroir.plans.events import click as written_click
+    click = written_click(spark, sf_dir)
     cat = (distinct_values(click, "channel", "codigo")
            .select(F.row_number().over(Window.orderBy("codigo")).cast("int").alias("id_canal"), "codigo",
                    F.upper("codigo").alias("nombre")))

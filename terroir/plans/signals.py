@@ -35,12 +35,19 @@ def _price_recs(spark, sf_dir):
 
 
 def signals(spark, sf_dir) -> DataFrame:
-    """All signals of one run: churn (M07), price (M07), anomalies."""
-    p = PB.SCORING_PERIOD
-    parts = [AL.churn_signals(_top_churn(spark, sf_dir), p, RUN_DATE),
-             AL.price_signals(_price_recs(spark, sf_dir), _period(spark, sf_dir), RUN_DATE),
-             AL.anomaly_signals(M.detect_anomalies(B.anomaly_series(PB.biz(spark, sf_dir))), RUN_DATE)]
-    return AL.emit_signals(None, reduce(DataFrame.unionByName, parts))
+    """The signal bus of one run: churn (M07), price (M07) and anomaly
+    signals, emitted (T01) into a written table once per input snapshot;
+    the alert queries drain it."""
+    from terroir.plans.materialize import fingerprint, materialized
+
+    def emit():
+        p = PB.SCORING_PERIOD
+        parts = [AL.churn_signals(_top_churn(spark, sf_dir), p, RUN_DATE),
+                 AL.price_signals(_price_recs(spark, sf_dir), _period(spark, sf_dir), RUN_DATE),
+                 AL.anomaly_signals(M.detect_anomalies(B.anomaly_series(PB.biz(spark, sf_dir))), RUN_DATE)]
+        return AL.emit_signals(None, reduce(DataFrame.unionByName, parts))
+    key = fingerprint(spark, sf_dir, sorted(set(PB.BIZ_INPUTS) | set(PR.STAR_INPUTS)))
+    return materialized(spark, "signal_bus", key, emit)
 
 
 # ---------------------------------------------------------------- SQL twins

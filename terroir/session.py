@@ -16,6 +16,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.showConsoleProgress": "false",
+    # reliable checkpoints (two-pass ids, replay) are deleted once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 LOCAL_DRIVER_MEMORY = os.environ.get("TERROIR_DRIVER_MEMORY", "16g")
 
