@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terroir.functions import calendar_months, round_half_up, safe_div
-from terroir.operators.windows import quintile, zscore
+from terroir.operators.windows import quintiles, zscore
 
 # ------------------------------------------------------------------ M03
 # Dynamic price coefficients.
@@ -183,8 +183,7 @@ def rfm_base(ret: DataFrame, usage: DataFrame, clients: DataFrame, markets: Data
 
 def segment_rfm(base: DataFrame) -> DataFrame:
     """Quintiles (W05) of recency/frequency/monetary and first-match rules."""
-    df = quintile(quintile(quintile(base, "rec", "id_cliente", "R"), "freq", "id_cliente", "F"),
-                  "ltv", "id_cliente", "M")
+    df = quintiles(base, {"R": "rec", "F": "freq", "M": "ltv"}, "id_cliente")
     R, Fq, M = F.col("R"), F.col("F"), F.col("M")
     seg = (F.when((R >= 4) & (Fq >= 4) & (M >= 4), SEGMENTS[0])
            .when((M >= 4) & (Fq >= 3), SEGMENTS[1])

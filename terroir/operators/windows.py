@@ -55,6 +55,22 @@ def quintile(df: DataFrame, value: str, tie: str, name: str, buckets: int = 5) -
             .withColumn(name, F.greatest(F.lit(1), ceil_div).cast("int")).drop("_rn"))
 
 
+def quintiles(df: DataFrame, metrics: dict[str, str], tie: str, buckets: int = 5) -> DataFrame:
+    """W05 for several metrics in ONE numbering pass: the metrics are stacked
+    as (name, value) rows, ranked within each name by the two-pass ids, then
+    pivoted back (explicit pivot values) and joined on ``tie``."""
+    from terroir.operators.ids import rank_within_groups
+    n = df.agg(F.count(F.lit(1))).scalar()
+    stacked = df.select(tie, F.explode(F.array(*[F.struct(F.lit(k).alias("_q"), F.col(c).cast("double").alias("_v"))
+                                                   for k, c in metrics.items()])).alias("_s")).select(tie, "_s.*")
+    ranked = rank_within_groups(stacked, "_q", ["_v", tie], "_rn")
+    num = (F.col("_rn") - 1) * buckets
+    den = n - 1
+    b = F.greatest(F.lit(1), F.when(den <= 0, F.lit(1)).otherwise(F.floor((num + den - 1) / den))).cast("int")
+    wide = ranked.groupBy(tie).pivot("_q", list(metrics)).agg(F.first(b))
+    return df.join(wide, tie)
+
+
 def zscore(df: DataFrame, series: str, value: str, eps: float = 1e-9) -> DataFrame:
     """Z against the whole series' mean and population std; 0 if std ≤ eps."""
     w = Window.partitionBy(series)

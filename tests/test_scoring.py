@@ -65,3 +65,12 @@ def test_price_recommendations(spark):
     # mean n = 200, mean points = 88: a → (1.5-1)*.06 + 2*.015 = .06
     assert out["a"].ajuste_pct == 6.0 and out["a"].accion == "Subir precio"
     assert out["b"].ajuste_pct == -6.0 and out["b"].accion == "Bajar precio"
+
+
+def test_quintiles_one_pass_equals_separate(spark):
+    from terroir.operators.windows import quintiles
+    rows = [(i, float((i * 37) % 11), float((i * 53) % 7)) for i in range(23)]
+    df = spark.createDataFrame(rows, "id int, a double, b double")
+    one = {r.id: (r.A, r.B) for r in quintiles(df, {"A": "a", "B": "b"}, "id").collect()}
+    sep = {r.id: (r.A, r.B) for r in quintile(quintile(df, "a", "id", "A"), "b", "id", "B").collect()}
+    assert one == sep
