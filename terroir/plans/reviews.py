@@ -52,7 +52,7 @@ def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                           lambda: D.clean_reviews(raw_reviews(spark, sf_dir, ranged=True)).drop(*REVIEW_ORDER))
     c = attach_row_number(ranged, "ordinal")
     _FEED[ck] = c
-    all_dims = materialized(spark, "reviews_dims", key, lambda: D.build_all_dims(c))
+    all_dims = materialized(spark, "reviews_dims", key, lambda: D.build_all_dims(c), ["dim"])
     out = {name: D.dim_table(all_dims, name) for name in D.DIM_IDS}
     out["fact_resenas"] = materialized(spark, "reviews_fact_resenas", key, lambda: D.build_fact(c, out))
     _CACHE[ck] = out
