@@ -62,13 +62,22 @@ def fingerprint(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
     return h.hexdigest()[:16]
 
 
-def materialized(spark: SparkSession, name: str, key: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Write ``build()`` once to <checkpoint dir>/terroir/<name>-<key> and read it back."""
+def materialized(spark: SparkSession, name: str, key: str, build: Callable[[], DataFrame],
+                 partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``build()`` once to <checkpoint dir>/terroir/<name>-<key> and read
+    it back; ``partition_by`` writes Hive partitions (pruned lookups)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     final = f"{base}/terroir/{name}-{key}"
     if not exists(spark, f"{final}/_SUCCESS"):
         tmp = f"{final}.tmp-{uuid.uuid4().hex[:8]}"
-        build().write.mode("overwrite").parquet(tmp)
+        df = build()
+        if partition_by:
+            # range by (partition columns, row hash): ~one file per task and
+            # partition value, and a hot value is still split across tasks
+            df = df.repartitionByRange(*[F.col(c) for c in partition_by], F.xxhash64(*df.columns))
+            df.write.mode("overwrite").partitionBy(*partition_by).parquet(tmp)
+        else:
+            df.write.mode("overwrite").parquet(tmp)
         fs, src = _fs(spark, tmp)
         _, dst = _fs(spark, final)
         if not fs.exists(dst):
