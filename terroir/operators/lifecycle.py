@@ -344,8 +344,11 @@ def dedup_accounts(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Match by fiscal id, then by lower-cased e-mail; at least one is
     required; returns the existing id (or NULL when new / invalid)."""
     inc = incoming.withColumn("_mail", F.lower(F.trim("email")))
-    by_tax = existing.select(F.col("id_fiscal"), F.col("id").alias("_id_fiscal_match"))
-    by_mail = existing.select(F.lower(F.trim("email")).alias("_mail"), F.col("id").alias("_id_mail_match"))
+    # one row per lookup key (the oldest account): the joins cannot fan out
+    by_tax = (existing.filter(F.coalesce(F.trim("id_fiscal"), F.lit("")) != "")
+              .groupBy("id_fiscal").agg(F.min("id").alias("_id_fiscal_match")))
+    by_mail = (existing.filter(F.coalesce(F.trim("email"), F.lit("")) != "")
+               .groupBy(F.lower(F.trim("email")).alias("_mail")).agg(F.min("id").alias("_id_mail_match")))
     j = inc.join(by_tax, "id_fiscal", "left").join(by_mail, "_mail", "left")
     has_key = (F.coalesce(F.trim("id_fiscal"), F.lit("")) != "") | (F.coalesce(F.col("_mail"), F.lit("")) != "")
     return j.select(*incoming.columns,

@@ -82,15 +82,19 @@ def run_suite(dataset: str, df: DataFrame, checks: list[Check], sample: int = 3)
     local = [ch for ch in checks if ch.kind in ("not_null", "between", "in_set") and ch.column in cols]
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, ch in enumerate(local):
-        v = _violation(ch)
-        aggs += [_evaluated(ch).alias(f"e{i}"), F.count_if(v).alias(f"f{i}"),
-                 F.slice(F.collect_set(F.when(v, F.col(ch.column).cast("string"))), 1, sample).alias(f"s{i}")]
+        aggs += [_evaluated(ch).alias(f"e{i}"), F.count_if(_violation(ch)).alias(f"f{i}")]
     stats = df.agg(*aggs).first()
     n = stats["_n"]
+
+    def sample_of(cond, col):
+        # bounded sample of offending values, fetched only for failing checks
+        return ",".join(str(r[0]) for r in df.filter(cond).select(F.col(col).cast("string"))
+                        .distinct().limit(sample).collect())
     for i, ch in enumerate(local):
         ev, fl = stats[f"e{i}"], stats[f"f{i}"]
         ok = (fl == 0) if ch.mostly >= 1.0 else (ev == 0 or (ev - fl) / ev >= ch.mostly)
-        rows.append((dataset, ch.name, int(ev), int(fl), bool(ok), ",".join(stats[f"s{i}"] or [])))
+        rows.append((dataset, ch.name, int(ev), int(fl), bool(ok),
+                     sample_of(_violation(ch), ch.column) if fl else ""))
     for ch in checks:
         if ch.kind == "rows":
             rows.append((dataset, ch.name, int(n), 0 if n >= ch.args["min"] else 1, n >= ch.args["min"], ""))
@@ -101,16 +105,18 @@ def run_suite(dataset: str, df: DataFrame, checks: list[Check], sample: int = 3)
                          0 if present else 1, present, ""))
         elif ch.kind == "unique":
             d = (df.filter(F.col(ch.column).isNotNull()).groupBy(ch.column).count().filter("count > 1"))
-            st = d.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("f"),
-                       F.slice(F.collect_list(F.col(ch.column).cast("string")), 1, sample).alias("s")).first()
-            rows.append((dataset, ch.name, int(n), int(st["f"]), st["f"] == 0, ",".join(st["s"] or [])))
+            f = d.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+            smp = ",".join(str(r[0]) for r in d.select(F.col(ch.column).cast("string")).limit(sample).collect()) \
+                if f else ""
+            rows.append((dataset, ch.name, int(n), int(f), f == 0, smp))
         elif ch.kind == "fk":
             dim, key = ch.args["dim"], ch.args["key"]
             orphans = (df.select(ch.column).filter(F.col(ch.column).isNotNull())
                        .join(dim.select(F.col(key).alias(ch.column)), ch.column, "left_anti"))
-            st = orphans.agg(F.count(F.lit(1)).alias("f"),
-                             F.slice(F.collect_set(F.col(ch.column).cast("string")), 1, sample).alias("s")).first()
-            rows.append((dataset, ch.name, int(n), int(st["f"]), st["f"] == 0, ",".join(st["s"] or [])))
+            f = orphans.count()
+            smp = ",".join(str(r[0]) for r in orphans.select(F.col(ch.column).cast("string")).distinct()
+                           .limit(sample).collect()) if f else ""
+            rows.append((dataset, ch.name, int(n), int(f), f == 0, smp))
     return spark.createDataFrame(rows, "dataset string, expectativa string, evaluadas long, fallidas long, "
                                        "exito boolean, muestra string")
 

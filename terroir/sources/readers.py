@@ -56,17 +56,16 @@ def read_contract_csv(spark: SparkSession, path: str) -> DataFrame:
         "drop_off_flag": ~F.coalesce(F.trim("drop_off_flag").isin("0", "1"), F.lit(False)),
         "price": F.col("price").isNotNull() & F.col("price").try_cast("double").isNull(),
     }
-    # one pass: the row count, a violation count per rule and a bounded sample
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for c, cond in bad.items():
-        aggs.append(F.count_if(cond).alias(f"n_{c}"))
-        aggs.append(F.slice(F.collect_set(F.when(cond, F.col(c))), 1, SAMPLE_LIMIT).alias(f"s_{c}"))
+    # one pass: the row count and a violation count per rule; a bounded
+    # sample of bad values is fetched only for the first failing rule
+    aggs = [F.count(F.lit(1)).alias("_n")] + [F.count_if(cond).alias(f"n_{c}") for c, cond in bad.items()]
     stats = raw.agg(*aggs).first()
     if stats["_n"] == 0:
         raise ContractError("archivo_vacio")
-    for c in bad:
+    for c, cond in bad.items():
         if stats[f"n_{c}"]:
-            raise ContractError(f"valores_invalidos:{c}:{stats[f's_{c}']}")
+            sample = [r[0] for r in raw.filter(cond).select(c).distinct().limit(SAMPLE_LIMIT).collect()]
+            raise ContractError(f"valores_invalidos:{c}:{sample}")
     return raw.select(
         *[(ts.alias(c) if c == "timestamp_utc" else
            (F.trim(F.col(c)) == "1").alias(c) if CONTRACT_TYPES.get(c) == "boolean" else
@@ -167,7 +166,7 @@ def register_sources(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Incoming sources; duplicates on (tipo, endpoint, formato) carry
     the existing id and are rejected, the others get state REGISTRADA."""
     keys = ["tipo", "endpoint", "formato"]
-    ex = existing.select(*keys, F.col("id").alias("id_existente"))
+    ex = existing.groupBy(*keys).agg(F.min("id").alias("id_existente"))   # one row per key: no fan-out
     j = incoming.join(ex, keys, "left")
     return j.withColumn("estado", F.when(F.col("id_existente").isNotNull(), F.lit("DUPLICADA"))
                         .otherwise(F.lit("REGISTRADA")))
