@@ -34,10 +34,21 @@ def with_ordinal(raw: DataFrame, order_cols: list[str], name: str = "ordinal") -
 
 # ---------------------------------------------------------------- D06
 def clean_reviews(df: DataFrame) -> DataFrame:
-    """Lenient numerics (F10) and text NULL→'' stripped."""
+    """Lenient numerics (F10) and text NULL→'' stripped.
+
+    Text inputs go through the lenient parsers; already typed numeric
+    inputs only need the NULL defaults and the int / cents casts (same
+    result, no round trip through strings)."""
+    types = dict(df.dtypes)
+    numeric = ("int", "bigint", "smallint", "tinyint", "double", "float")
+    pts = types.get("points", "string")
+    prc = types.get("price", "string")
+    points = (F.coalesce(F.col("points").cast("int"), F.lit(0))
+              if pts in numeric and pts not in ("double", "float") else lenient_int("points"))
+    price = (F.coalesce(F.col("price"), F.lit(0)).cast("decimal(10,2)")
+             if prc.startswith("decimal") else lenient_price("price"))
     return df.withColumns({
-        "points": lenient_int("points"),
-        "price": lenient_price("price"),
+        "points": points, "price": price,
         **{c: strip(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in TEXT_COLUMNS},
     })
 

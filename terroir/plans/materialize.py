@@ -15,7 +15,6 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from terroir.session import ensure_checkpoint_dir
 
@@ -63,21 +62,19 @@ def fingerprint(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
 
 
 def materialized(spark: SparkSession, name: str, key: str, build: Callable[[], DataFrame],
-                 partition_by: list[str] | None = None) -> DataFrame:
+                 sort_by: list[str] | None = None) -> DataFrame:
     """Write ``build()`` once to <checkpoint dir>/terroir/<name>-<key> and read
-    it back; ``partition_by`` writes Hive partitions (pruned lookups)."""
+    it back.  ``sort_by`` sorts each file by those columns, so Parquet
+    row-group min/max statistics let pushed filters (e.g. one period) skip
+    row groups — no extra shuffle and no small-file partition directories."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     final = f"{base}/terroir/{name}-{key}"
     if not exists(spark, f"{final}/_SUCCESS"):
         tmp = f"{final}.tmp-{uuid.uuid4().hex[:8]}"
         df = build()
-        if partition_by:
-            # range by (partition columns, row hash): ~one file per task and
-            # partition value, and a hot value is still split across tasks
-            df = df.repartitionByRange(*[F.col(c) for c in partition_by], F.xxhash64(*df.columns))
-            df.write.mode("overwrite").partitionBy(*partition_by).parquet(tmp)
-        else:
-            df.write.mode("overwrite").parquet(tmp)
+        if sort_by:
+            df = df.sortWithinPartitions(*sort_by)
+        df.write.mode("overwrite").parquet(tmp)
         fs, src = _fs(spark, tmp)
         _, dst = _fs(spark, final)
         if not fs.exists(dst):
