@@ -84,3 +84,22 @@ def test_publish_and_export(spark):
     out = K.export_rows(rows, 10).collect()
     assert [r.precio for r in out] == ["12.50", ""] and out[0].puntos == 95
     assert K.export_rows(rows, 10 ** 9).count() == 2     # cap min(limit, 50 000)
+
+
+def test_refresh_replace_period_archive_records(spark, tmp):
+    dims = spark.createDataFrame([(1, "a")], "id int, nombre string")
+    fact = spark.createDataFrame([(i, 1) for i in range(10)], "id_resena long, id int")
+    order = K.refresh({"fact": fact, "dim_x": dims}, tmp, fact_limit=3, fact="fact", fact_id="id_resena")
+    assert order[0] == "dim_x" and spark.read.parquet(f"{tmp}/fact").count() == 3
+    p = f"{tmp}/disp"
+    K.replace_period(spark.createDataFrame([(202605, 1), (202606, 2)], "id_tiempo int, v int"), p)
+    K.replace_period(spark.createDataFrame([(202606, 9)], "id_tiempo int, v int"), p)
+    got = sorted((r.id_tiempo, r.v) for r in spark.read.parquet(p).collect())
+    assert got == [(202605, 1), (202606, 9)]
+    rep = spark.createDataFrame([("2026-06-30", "PUBLICADO")], "fecha string, estado string")
+    K.write_report(rep, f"{tmp}/rep")
+    K.write_report(rep, f"{tmp}/rep")
+    assert spark.read.json(f"{tmp}/rep").count() == 1
+    spark.createDataFrame([("r1", "c", "x", 1)], "id string, collectionId string, title string, points int") \
+        .write.json(f"{tmp}/rec")
+    assert RD.read_records(spark, f"{tmp}/rec").columns == ["points", "title"]

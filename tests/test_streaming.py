@@ -44,3 +44,19 @@ def test_event_facts_stream(spark, tmp):
     m = ST.month_facts(spark, f"{tmp}/daily").collect()
     # days older than the watermark (max - 2 days) are final and emitted
     assert m and m[0].id_tiempo == 202606 and m[0].eventos >= 6
+
+
+def test_alert_stream_drains_into_versioned_table(spark, tmp):
+    from terroir.operators.alerts import empty_signals
+    from terroir.sinks import read_versioned
+    schema = empty_signals(spark).drop("procesada").schema
+    rows = [("ml", "churn", None, "c", "acme", "k1", 0.7, 0.42, 202606, "{}", datetime(2026, 6, 1, 10)),
+            ("ml", "churn", None, "c", "acme", "k1", 0.8, 0.42, 202606, "{}", datetime(2026, 6, 1, 11)),
+            ("ml", "precio", "", "c", "Malbec", "p1", 20.0, 10.0, 202606, "{}", datetime(2026, 6, 1, 10))]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp}/bus")
+    q = ST.alert_stream(spark, f"{tmp}/bus", schema, f"{tmp}/alerts", "2026-06-01 12:00:00", name=f"al-{id(tmp)}")
+    q.awaitTermination()
+    alerts = {r.clave: r for r in read_versioned(spark, f"{tmp}/alerts").collect()}
+    # (origen, clave, id_tiempo) is the signal key: the repeat refreshes the signal, one occurrence
+    assert set(alerts) == {"k1", "p1"} and alerts["k1"].severidad == "critical"
+    assert alerts["p1"].responsable == "Ingeniería de datos"
