@@ -7,8 +7,6 @@ of offending values is collected for the error message.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,8 +64,11 @@ def read_contract_csv(spark: SparkSession, path: str) -> DataFrame:
         if stats[f"n_{c}"]:
             sample = [r[0] for r in raw.filter(cond).select(c).distinct().limit(SAMPLE_LIMIT).collect()]
             raise ContractError(f"valores_invalidos:{c}:{sample}")
+    # validated: parse as UTC wall-clock (TIMESTAMP_NTZ), independent of the
+    # session time zone
+    ts_ntz = F.to_timestamp_ntz(F.regexp_replace(F.regexp_replace("timestamp_utc", "Z$", ""), "T", " "))
     return raw.select(
-        *[(ts.alias(c) if c == "timestamp_utc" else
+        *[(ts_ntz.alias(c) if c == "timestamp_utc" else
            (F.trim(F.col(c)) == "1").alias(c) if CONTRACT_TYPES.get(c) == "boolean" else
            F.col(c).try_cast(CONTRACT_TYPES[c]).alias(c) if c in CONTRACT_TYPES else F.col(c))
           for c in CONTRACT_COLUMNS])
@@ -177,10 +178,6 @@ def enabled(df: DataFrame) -> DataFrame:
     return df.filter(F.col("estado") == "HABILITADA")
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-
-
 __all__ = ["read_contract_csv", "write_contract_csv", "normalise_columns", "read_reviews_csv", "read_stage",
            "read_table", "read_records", "read_serving", "validate_registry", "register_sources", "enabled",
            "ContractError", "strip"]

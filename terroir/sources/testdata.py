@@ -11,18 +11,14 @@ decimal without a rounding tie.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terroir.functions import cents_to_decimal, period_id
+from terroir.operators.star import MONTH_NAMES_ES
 
 # Warehouse plan catalogue (id, name, monthly price).
 PLANS = [(1, "Trial", 0.0), (2, "Básico", 99.0), (3, "Profesional", 499.0), (4, "Enterprise", 1990.0)]
-# Spanish month names, January first.
-MONTH_NAMES_ES = ["Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio", "Julio",
-                  "Agosto", "Septiembre", "Octubre", "Noviembre", "Diciembre"]
 # Acquisition channel catalogue.
 CHANNELS = [(1, "organico", "Orgánico"), (2, "pago", "Pago"), (3, "referido", "Referido"),
             (4, "partner", "Partner"), (5, "evento", "Evento")]
