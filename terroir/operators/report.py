@@ -29,8 +29,8 @@ def daily_report(a11: DataFrame, a01: DataFrame, a08: DataFrame, fecha: str, sea
         op.alias("operacion"), cat.alias("catalogo"), cal.alias("calidad"))
     doc = F.struct(
         F.col("operacion"), F.col("catalogo"), F.col("calidad"),
-        F.struct(F.lit("agg_reporte_diario").alias("fuente_operacion"), F.lit("agg_kpis").alias("fuente_catalogo"),
-                 F.lit("agg_scorecard").alias("fuente_calidad"), F.col("operacion.periodo").alias("periodo"))
+        F.struct(F.lit("daily_consolidation").alias("fuente_operacion"), F.lit("review_kpis").alias("fuente_catalogo"),
+                 F.lit("scorecard_kpis").alias("fuente_calidad"), F.col("operacion.periodo").alias("periodo"))
         .alias("trazabilidad"))
     return base.select("fecha", "estado",
                        F.when(F.col("estado") == "PUBLICADO", F.to_json(doc)).alias("documento"),

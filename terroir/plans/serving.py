@@ -50,25 +50,25 @@ _A06_COLS = {"puntuacion": "int", "total": "bigint"}
 
 @register("s06_serving_by_country", PR.q(_coalesced(PR.A02_SQL, _A02_COLS)))
 def s06_serving_by_country(spark, sf_dir):
-    return serving_table(spark, sf_dir, "agg_pais", lambda: PR.a02_by_country(spark, sf_dir))
+    return serving_table(spark, sf_dir, "by_country", lambda: PR.a02_by_country(spark, sf_dir))
 
 
 @register("s06_serving_by_variety", PR.q(_coalesced(PR.A03_SQL, _A03_COLS)))
 def s06_serving_by_variety(spark, sf_dir):
-    return serving_table(spark, sf_dir, "agg_variedad", lambda: PR.a03_by_variety(spark, sf_dir))
+    return serving_table(spark, sf_dir, "by_variety", lambda: PR.a03_by_variety(spark, sf_dir))
 
 
 @register("s06_serving_histogram", PR.q(_coalesced(
     "SELECT points AS puntuacion, count(*) AS total FROM fact_resenas GROUP BY points", _A06_COLS)))
 def s06_serving_histogram(spark, sf_dir):
-    return serving_table(spark, sf_dir, "agg_puntuacion_hist", lambda: PR.a06_points_histogram(spark, sf_dir))
+    return serving_table(spark, sf_dir, "points_histogram", lambda: PR.a06_points_histogram(spark, sf_dir))
 
 
 @register("s06_serving_daily_report", PB.qb(PB.A11_SQL))
 def s06_serving_daily_report(spark, sf_dir):
-    return serving_table(spark, sf_dir, "agg_reporte_diario", lambda: PB.a11_daily_consolidation(spark, sf_dir))
+    return serving_table(spark, sf_dir, "daily_consolidation", lambda: PB.a11_daily_consolidation(spark, sf_dir))
 
 
 @register("s06_serving_usage_by_client", PB.qb(PB.A10_SQL))
 def s06_serving_usage_by_client(spark, sf_dir):
-    return serving_table(spark, sf_dir, "agg_uso_cliente", lambda: PB.a10_usage_by_client(spark, sf_dir))
+    return serving_table(spark, sf_dir, "usage_by_client", lambda: PB.a10_usage_by_client(spark, sf_dir))
