@@ -252,10 +252,10 @@ def t14_incidents(spark, sf_dir):
 @register("t13_slo_signals", A19_SQL + f"""SELECT 'monitor' AS origen, tipo, severidad, entidad,
     tipo || ':' || entidad AS clave, valor, umbral, id_tiempo FROM (
   SELECT 'uptime' AS tipo, 'critical' AS severidad, CAST(fecha AS VARCHAR) AS entidad, uptime AS valor,
-         {AL.UPTIME_SLO} AS umbral, CAST(year(fecha) * 100 + month(fecha) AS INTEGER) AS id_tiempo
+         CAST({AL.UPTIME_SLO} AS DOUBLE) AS umbral, CAST(year(fecha) * 100 + month(fecha) AS INTEGER) AS id_tiempo
   FROM a19 WHERE uptime < {AL.UPTIME_SLO}
   UNION ALL
-  SELECT 'latencia', 'warning', CAST(fecha AS VARCHAR), latencia_ms, {AL.LATENCY_SLO_MS},
+  SELECT 'latencia', 'warning', CAST(fecha AS VARCHAR), latencia_ms, CAST({AL.LATENCY_SLO_MS} AS DOUBLE),
          CAST(year(fecha) * 100 + month(fecha) AS INTEGER) FROM a19 WHERE latencia_ms > {AL.LATENCY_SLO_MS}) s""")
 def t13_slo_signals(spark, sf_dir):
     from terroir.functions import period_id

@@ -55,9 +55,10 @@ def q03_fk_orphans(spark, sf_dir):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-@register("q02_unique_keys", PR.q("""SELECT 'fact_resenas.id_resena' AS clave, coalesce(sum(n), 0) AS duplicadas FROM
+@register("q02_unique_keys", PR.q("""SELECT 'fact_resenas.id_resena' AS clave, CAST(coalesce(sum(n), 0) AS BIGINT)
+  AS duplicadas FROM
   (SELECT id_resena, count(*) AS n FROM fact_resenas WHERE id_resena IS NOT NULL GROUP BY 1 HAVING count(*) > 1) d
-  UNION ALL SELECT 'dim_bodega.nombre', coalesce(sum(n), 0) FROM
+  UNION ALL SELECT 'dim_bodega.nombre', CAST(coalesce(sum(n), 0) AS BIGINT) FROM
   (SELECT nombre, count(*) AS n FROM dim_bodega GROUP BY 1 HAVING count(*) > 1) d"""))
 def q02_unique_keys(spark, sf_dir):
     s = PR.star(spark, sf_dir)
