@@ -55,6 +55,22 @@ def page(df: DataFrame, page_no: int = 1, per_page: int = 20, max_per_page: int
             .offset((page_no - 1) * per_page).limit(per_page))
 
 
+def search_page_and_total(rows: DataFrame, filters: dict, page_no: int = 1, per_page: int = 20,
+                          max_per_page: int = 200) -> tuple[list, int, int]:
+    """P05 + O06 + A23 as the dashboard endpoint runs them: ONE filtered plan,
+    persisted for its two actions (the total and the page), then released.
+    Returns (page rows, total, pages); the page is bounded by ``max_per_page``."""
+    from pyspark import StorageLevel
+    filtered = rows.filter(search_filter(**filters)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        total = filtered.count()
+        per = max(1, min(int(per_page), max_per_page))
+        got = page(filtered, page_no, per, max_per_page).collect()
+        return got, total, -(-total // per)
+    finally:
+        filtered.unpersist()
+
+
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     """TakeOrderedAndProject."""
     return df.orderBy(*order).limit(k)

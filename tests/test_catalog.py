@@ -95,3 +95,13 @@ def test_daily_report_case26_27(spark):
     assert empty.estado == "FALLIDO"
     blocked = daily_report(a11, a01, a08, "2026-06-30", seal_ok=False).first()
     assert blocked.estado == "BLOQUEADO_SIN_CALIDAD" and blocked.documento is None
+
+
+def test_search_page_and_total(spark):
+    rows = spark.createDataFrame([(i, "t", "CL" if i % 2 else "AR", "v", "b", 80 + i % 20, float(i)) for i in range(50)],
+                                 "id_resena long, title string, pais string, variedad string, bodega string, "
+                                 "points int, price double")
+    got, total, pages = S.search_page_and_total(rows, {"country": "CL", "min_points": 85}, page_no=2, per_page=5)
+    exp = sorted([r for r in rows.collect() if r.pais == "CL" and r.points >= 85], key=lambda r: (-r.points, r.id_resena))
+    assert total == len(exp) and pages == -(-len(exp) // 5)
+    assert [r.id_resena for r in got] == [r.id_resena for r in exp[5:10]]
