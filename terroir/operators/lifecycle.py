@@ -297,8 +297,9 @@ def ticket_sla(transitions: DataFrame, key: str = "ticket") -> DataFrame:
         F.min(F.when(F.col("estado").isin("EN_PROCESO", "RESUELTO"), F.col("fecha"))).alias("primera_respuesta"),
         F.min(F.when(F.col("estado") == "RESUELTO", F.col("fecha"))).alias("resuelto"))
     fin = final_state(r, key)
-    mins = lambda a, b: F.round((F.unix_micros(b.cast("timestamp"))
-                                 - F.unix_micros(a.cast("timestamp"))) / 6e7, 2)
+    from terroir.functions import round_half_up
+    mins = lambda a, b: round_half_up((F.unix_micros(b.cast("timestamp"))
+                                       - F.unix_micros(a.cast("timestamp"))) / 6e7, 2)
     return (opened.join(agg, key, "left").join(fin, key)
             .select(key, "estado_final", "eventos", "rechazados",
                     mins(F.col("abierto"), F.col("primera_respuesta")).alias("minutos_primera_respuesta"),

@@ -193,13 +193,52 @@ def _ticket_requests(spark, sf_dir):
                     F.element_at(m, F.col("event_type")).alias("estado_solicitado"))
 
 
-@register("t00_ticket_replay")
+def _replay_sql() -> str:
+    """Oracle twin of the ticket replay: a recursive CTE, one step per event."""
+    allowed = ", ".join(f"('{a}', '{b}')" for a, bs in L.TICKET.items() for b in bs)
+    perm = ", ".join(f"('{a}', '{','.join(sorted(bs))}')" for a, bs in L.TICKET.items())
+    tgt = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in EVENT_TARGET.items())
+    return f"""WITH RECURSIVE
+ev AS (SELECT user_id AS ticket, ts AS fecha, event_id AS seq, CASE event_type {tgt} END AS estado_solicitado,
+              row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS paso FROM events),
+ok(a, b) AS (VALUES {allowed}),
+perm(a, p) AS (VALUES {perm}),
+r AS (SELECT e.ticket, e.paso, 'ABIERTO' AS estado_anterior,
+             CASE WHEN EXISTS (SELECT 1 FROM ok WHERE ok.a = 'ABIERTO' AND ok.b = e.estado_solicitado)
+                  THEN e.estado_solicitado ELSE 'ABIERTO' END AS estado
+      FROM ev e WHERE e.paso = 1
+      UNION ALL
+      SELECT e.ticket, e.paso, r.estado,
+             CASE WHEN EXISTS (SELECT 1 FROM ok WHERE ok.a = r.estado AND ok.b = e.estado_solicitado)
+                  THEN e.estado_solicitado ELSE r.estado END
+      FROM r JOIN ev e ON e.ticket = r.ticket AND e.paso = r.paso + 1)
+"""
+
+
+T00_SQL = _replay_sql() + """SELECT e.ticket, e.fecha, e.seq, e.estado_solicitado, r.estado_anterior, r.estado,
+  CASE WHEN EXISTS (SELECT 1 FROM ok WHERE ok.a = r.estado_anterior AND ok.b = e.estado_solicitado)
+       THEN 'aplicada' ELSE 'transicion_invalida' END AS veredicto, perm.p AS permitidos, e.paso
+FROM ev e JOIN r ON r.ticket = e.ticket AND r.paso = e.paso JOIN perm ON perm.a = r.estado_anterior"""
+
+
+@register("t00_ticket_replay", T00_SQL)
 def t00_ticket_replay(spark, sf_dir):
     return L.replay(_ticket_requests(spark, sf_dir), "ticket", ["fecha", "seq"], "estado_solicitado",
                     L.TICKET, "ABIERTO")
 
 
-@register("t10_ticket_sla")
+@register("t10_ticket_sla", _replay_sql() + """, rep AS (SELECT e.ticket, e.fecha, r.estado, r.estado_anterior,
+    EXISTS (SELECT 1 FROM ok WHERE ok.a = r.estado_anterior AND ok.b = e.estado_solicitado) AS aplicada
+    FROM ev e JOIN r ON r.ticket = e.ticket AND r.paso = e.paso),
+agg AS (SELECT ticket, min(fecha) AS abierto, max(paso) AS eventos FROM ev GROUP BY 1),
+fin AS (SELECT ticket, estado AS estado_final FROM r WHERE (ticket, paso) IN (SELECT ticket, max(paso) FROM ev GROUP BY 1)),
+rej AS (SELECT ticket, count(CASE WHEN NOT aplicada THEN 1 END) AS rechazados,
+               min(CASE WHEN aplicada AND estado IN ('EN_PROCESO', 'RESUELTO') THEN fecha END) AS pr,
+               min(CASE WHEN aplicada AND estado = 'RESUELTO' THEN fecha END) AS res FROM rep GROUP BY 1)
+SELECT a.ticket, f.estado_final, a.eventos, j.rechazados,
+  """ + R("(epoch_us(j.pr) - epoch_us(a.abierto)) / 60000000.0", 2) + """ AS minutos_primera_respuesta,
+  """ + R("(epoch_us(j.res) - epoch_us(a.abierto)) / 60000000.0", 2) + """ AS minutos_resolucion
+FROM agg a JOIN fin f ON f.ticket = a.ticket JOIN rej j ON j.ticket = a.ticket""")
 def t10_ticket_sla(spark, sf_dir):
     return L.ticket_sla(_ticket_requests(spark, sf_dir), "ticket")
 
