@@ -385,7 +385,52 @@ _SUB_TARGET = {"signup": "ACTIVA", "view": "EN_PAUSA", "click": "ACTIVA", "error
 _PLANS = ["Básico", "Profesional", "Enterprise"]
 
 
-@register("t09_subscription_ledger")
+def _fold_sql(events_sql: str, key: str, transitions: dict, init: str) -> str:
+    """Recursive-CTE replay over ``events_sql`` (columns: key, fecha, seq,
+    estado_solicitado): CTEs ev (with paso), ok, perm and r."""
+    allowed = ", ".join(f"('{a}', '{b}')" for a, bs in transitions.items() for b in bs)
+    perm = ", ".join(f"('{a}', '{','.join(sorted(bs))}')" for a, bs in transitions.items())
+    return f"""WITH RECURSIVE
+ev AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY fecha, seq) AS paso FROM ({events_sql}) x),
+ok(a, b) AS (VALUES {allowed}),
+perm(a, p) AS (VALUES {perm}),
+r AS (SELECT e.{key} AS k, e.paso, '{init}' AS estado_anterior,
+             CASE WHEN EXISTS (SELECT 1 FROM ok WHERE ok.a = '{init}' AND ok.b = e.estado_solicitado)
+                  THEN e.estado_solicitado ELSE '{init}' END AS estado
+      FROM ev e WHERE e.paso = 1
+      UNION ALL
+      SELECT e.{key}, e.paso, r.estado,
+             CASE WHEN EXISTS (SELECT 1 FROM ok WHERE ok.a = r.estado AND ok.b = e.estado_solicitado)
+                  THEN e.estado_solicitado ELSE r.estado END
+      FROM r JOIN ev e ON e.{key} = r.k AND e.paso = r.paso + 1)
+"""
+
+
+_SUB_EVENTS_SQL = ("SELECT 'S' || CAST(user_id AS VARCHAR) AS suscripcion, 'U' || CAST(user_id AS VARCHAR) AS cliente, "
+                   "[" + ", ".join(f"'{p}'" for p in _PLANS) + "][CAST(user_id % 3 + 1 AS INTEGER)] AS plan, "
+                   "ts AS fecha, event_id AS seq, CASE event_type "
+                   + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _SUB_TARGET.items()) + " END AS estado_solicitado "
+                   "FROM events")
+_EV_TYPE = " ".join(f"WHEN j.estado_anterior = '{a}' AND j.estado = '{b}' THEN '{v}'"
+                    for (a, b), v in L.SUBSCRIPTION_EVENTS.items())
+_PRICE = " ".join(f"WHEN '{n}' THEN CAST({p} AS DOUBLE)" for _, n, p in T.PLANS)
+T09_SQL = _fold_sql(_SUB_EVENTS_SQL, "suscripcion", L.SUBSCRIPTION, "PRUEBA") + f""",
+j AS (SELECT e.*, r.estado_anterior, r.estado, perm.p AS permitidos,
+             EXISTS (SELECT 1 FROM ok WHERE ok.a = r.estado_anterior AND ok.b = e.estado_solicitado) AS aplicada
+      FROM ev e JOIN r ON r.k = e.suscripcion AND r.paso = e.paso JOIN perm ON perm.a = r.estado_anterior),
+t AS (SELECT j.*, CASE WHEN aplicada THEN (CASE {_EV_TYPE} END) END AS tipo_evento,
+             CASE plan {_PRICE} END AS precio FROM j)
+SELECT plan, suscripcion, cliente, fecha, seq, estado_solicitado, estado_anterior, estado,
+  CASE WHEN aplicada THEN 'aplicada' ELSE 'transicion_invalida' END AS veredicto, permitidos, paso, tipo_evento,
+  coalesce(CASE WHEN NOT aplicada THEN 0.0 WHEN tipo_evento IN ('alta', 'reactivacion') THEN precio
+                WHEN tipo_evento IN ('pausa', 'cancelacion') THEN -precio ELSE 0.0 END, 0.0) AS mrr_delta,
+  sum(coalesce(CASE WHEN NOT aplicada THEN 0.0 WHEN tipo_evento IN ('alta', 'reactivacion') THEN precio
+                    WHEN tipo_evento IN ('pausa', 'cancelacion') THEN -precio ELSE 0.0 END, 0.0))
+      OVER (PARTITION BY cliente ORDER BY fecha, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS mrr_cliente
+FROM t"""
+
+
+@register("t09_subscription_ledger", T09_SQL)
 def t09_subscription_ledger(spark, sf_dir):
     """Each user's events replayed as subscription requests (plan by user)."""
     m = F.create_map(*[x for k, v in _SUB_TARGET.items() for x in (F.lit(k), F.lit(v))])
