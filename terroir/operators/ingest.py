@@ -84,17 +84,19 @@ def ingest_batch(df: DataFrame, kind: str, source: str, ingest_date: str, ordina
         deduped = firsts.select(*keys, *[F.col(f"_f.{c}").alias(c) for c in others])
     else:
         deduped = valid
-    report = batch_report(tagged, deduped, kind, source, ingest_date, keys, threshold)
+    report = batch_report(tagged, kind, source, ingest_date, keys, threshold)
     return deduped, rejects, report
 
 
-def batch_report(tagged: DataFrame, deduped: DataFrame, kind: str, source: str, ingest_date: str,
+def batch_report(tagged: DataFrame, kind: str, source: str, ingest_date: str,
                  keys: list[str], threshold: float = REJECT_THRESHOLD) -> DataFrame:
-    """One aggregate over the tagged batch + the deduplicated count."""
-    a = tagged.agg(F.count(F.lit(1)).alias("filas_leidas"),
-                   F.count_if(F.col("motivo_rechazo") == "").alias("filas_validas"),
-                   F.count_if(F.col("motivo_rechazo") != "").alias("filas_rechazadas"))
-    r = a.select("*", deduped.agg(F.count(F.lit(1))).scalar().alias("_dedup"))
+    """A20 in ONE aggregate over the tagged batch: counts by outcome and the
+    deduplicated count as count(DISTINCT natural key) over the valid rows."""
+    valid = F.col("motivo_rechazo") == ""
+    dedup = (F.count_distinct(F.when(valid, F.struct(*[F.col(k) for k in keys]))) if keys
+             else F.count_if(valid))
+    r = tagged.agg(F.count(F.lit(1)).alias("filas_leidas"), F.count_if(valid).alias("filas_validas"),
+                   F.count_if(~valid).alias("filas_rechazadas"), dedup.alias("_dedup"))
     pct = F.when(F.col("filas_leidas") > 0, F.col("filas_rechazadas") / F.col("filas_leidas")).otherwise(F.lit(0.0))
     state = (F.when(F.col("filas_leidas") == 0, "FALLIDA").when(pct > threshold, "FALLIDA")
              .when(F.col("filas_rechazadas") > 0, "PARCIAL").otherwise("COMPLETADA"))
