@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terroir.llm import line_dedup, sharding
+from terroir.llm import decontaminate, line_dedup, quality_rules, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,3 +33,13 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_line_dedup", line_dedup.ORACLE_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op4_decontamination", decontaminate.ORACLE_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op6_quality_rules")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.digest(table(spark, sf_dir, "documents"))
