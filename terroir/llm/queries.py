@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terroir.llm import decontaminate, line_dedup, quality_rules, sharding
+from terroir.llm import decontaminate, line_dedup, quality_rules, sharding, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -43,3 +43,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_quality_rules")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op1_url_filter")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.digest(table(spark, sf_dir, "pages"))
