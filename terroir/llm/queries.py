@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terroir.llm import decontaminate, line_dedup, quality_rules, sharding, url_filter
+from terroir.llm import decontaminate, line_dedup, packing, quality_rules, sharding, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -48,3 +48,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_url_filter")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.digest(table(spark, sf_dir, "pages"))
+
+
+@query("op7_warc", warc.ORACLE_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(table(spark, sf_dir, "pages"))
+
+
+@query("op8_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(table(spark, sf_dir, "documents"))
