@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terroir.llm import decontaminate, line_dedup, packing, quality_rules, sharding, url_filter, warc
+from terroir.llm import decontaminate, line_dedup, packing, pii, quality_classifier, quality_rules, sharding, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -58,3 +58,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op9_pii")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op10_quality_classifier")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
