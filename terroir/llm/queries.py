@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terroir.llm import decontaminate, line_dedup, packing, pii, quality_classifier, quality_rules, sharding, url_filter, warc
+from terroir.llm import decontaminate, line_dedup, ngram_jaccard, packing, pii, quality_classifier, quality_rules, sharding, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -68,3 +68,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_quality_classifier")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op5_ngram_jaccard", ngram_jaccard.ORACLE_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.digest(table(spark, sf_dir, "documents"))
