@@ -29,6 +29,8 @@ from terroir.llm.text import WHITE, ascii_lower, let, lines, text_or_empty
 
 MIN_CHARS = 40
 MIN_DOCS = 5
+MAX_HOT = 100_000                 # hot lines that may be broadcast (about 10 MB)
+MIN_HOT_DOCS = 1_000
 BITMAP = "array<struct<start:int,len:int>>"
 
 
@@ -72,9 +74,17 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     stream = written(stream.withColumn("__first", F.row_number().over(in_doc) == 1), "lines")
     shared = (stream.where("__first").groupBy("__h1", "__h2")
               .agg(F.count(F.lit(1)).alias("__docs"), F.min("__nd").alias("__keeper"))
-              .where(F.col("__docs") >= min_docs).drop("__docs"))
-    dropped = (stream.join(shared, ["__h1", "__h2"])
-               .where(~F.col("__nd").eqNullSafe(F.col("__keeper"))))
+              .where(F.col("__docs") >= min_docs))
+    shared = written(shared, "shared-lines")
+    # A line in more than 1 / MAX_HOT of all rows is hot: there are fewer than MAX_HOT of
+    # these, so they are broadcast and their rows never meet in a shuffle.
+    hot_docs = max(MIN_HOT_DOCS, stream.count() // MAX_HOT)
+    hot = shared.where(F.col("__docs") > hot_docs).select("__h1", "__h2", F.col("__keeper").alias("__hot_keeper"), F.lit(True).alias("__hot"))
+    tagged = stream.join(F.broadcast(hot), ["__h1", "__h2"], "left")
+    spread = tagged.where(F.col("__hot")).withColumnRenamed("__hot_keeper", "__keeper").drop("__hot")
+    rest = (tagged.where(F.col("__hot").isNull()).drop("__hot", "__hot_keeper")
+            .join(shared.where(F.col("__docs") <= hot_docs).drop("__docs"), ["__h1", "__h2"]))
+    dropped = spread.unionByName(rest).where(~F.col("__nd").eqNullSafe(F.col("__keeper")))
     return (dropped.groupBy("__nd", "__th")
             .agg(drop_runs(F.sort_array(F.collect_set("__pos"))).alias("drop_runs")))
 
