@@ -113,10 +113,14 @@ def vectors(stats: DataFrame) -> DataFrame:
     return stats.withColumns({f"__x_{k}": F.round(v * SCALE).cast("long") for k, v in parts.items()})
 
 
-def group_quantile(df: DataFrame, keys: list[str], value: str, q: float, name: str) -> DataFrame:
+def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Rows per group and integer value (``__n``): a partial aggregate."""
+    return df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+
+
+def group_quantile(counts: DataFrame, keys: list[str], value: str, q: float, name: str) -> DataFrame:
     """The smallest integer value that at least a share ``q`` of each group's
     rows do not exceed, from exact counts per value."""
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     run = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     total = Window.partitionBy(*keys)
     return (counts.withColumns({"__run": F.sum("__n").over(run), "__all": F.sum("__n").over(total)})
@@ -172,8 +176,10 @@ def start_estimate(df: DataFrame) -> DataFrame:
     """Coordinate-wise median and median absolute deviation as a diagonal covariance."""
     keys = ["__g", "__k"]
     long = df.select("__g", F.posexplode(F.array(*[f"__x_{s}" for s in STATS])).alias("__k", "__v"))
-    med = group_quantile(long, keys, "__v", 0.5, "__med")
-    dev = long.join(med, keys).withColumn("__dev", F.abs(F.col("__v") - F.col("__med")))
+    counts = written(value_counts(long, keys, "__v"), "mcd-values")
+    med = group_quantile(counts, keys, "__v", 0.5, "__med")
+    dev = (counts.join(med, keys).groupBy(*keys, "__med", F.abs(F.col("__v") - F.col("__med")).alias("__dev"))
+           .agg(F.sum("__n").alias("__n")))
     mad = group_quantile(dev, [*keys, "__med"], "__dev", 0.5, "__mad")
     sd = F.col("__mad") * 1.4826 + F.element_at(F.array(*[F.lit(v) for v in FLOOR]), F.col("__k") + 1)
     p = len(STATS)
@@ -189,11 +195,11 @@ def estimates(x: DataFrame, steps: int = STEPS) -> DataFrame:
     current = written(cholesky(start_estimate(x)), "mcd")
     for _ in range(steps):
         d = distance(x.join(current, "__g"))
-        subset = d.join(group_quantile(d, ["__g"], "__bin", SUBSET, "__limit"), "__g").where("__bin <= __limit")
+        subset = d.join(group_quantile(value_counts(d, ["__g"], "__bin"), ["__g"], "__bin", SUBSET, "__limit"), "__g").where("__bin <= __limit")
         current = written(cholesky(moments(subset)), "mcd")
     d = distance(x.join(current, "__g"))
     size = x.groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
-    return written(current.join(group_quantile(d, ["__g"], "__bin", 0.5, "__mid"), "__g").join(size, "__g"), "mcd")
+    return written(current.join(group_quantile(value_counts(d, ["__g"], "__bin"), ["__g"], "__bin", 0.5, "__mid"), "__g").join(size, "__g"), "mcd")
 
 
 def with_group(x: DataFrame, min_group: int) -> DataFrame:
