@@ -169,14 +169,19 @@ def even_cuts(sums: DataFrame, borders: Borders, after: int, capacity: int, tota
         need.append(at)
         at = borders.points[bisect_left(borders.points, max(0, at - capacity))]
     need.reverse()
+    even = max(1, (total - after) // n_shards)
+    expected = [(k, k + even // 16) for k in range(after + even - even // 32, total, even)]
+    borders.add(border_groups(sums, expected[:n_shards], points))
     ends, at = [], 0
     for j in range(n_shards):
         share = at + -(-(total - at) // (n_shards - j))
-        near = max(1, (share - at) // 16)
-        if share > after:
+        near = max(1, (share - at) // 64)
+        around = bisect_right(borders.points, share + near) - bisect_left(borders.points, share - near)
+        if share > after and around < 4:                     # nothing known so close
             borders.add(border_groups(sums, [(max(after, share - near), share + near)], points))
         pts = borders.points
-        options = pts[bisect_left(pts, max(at, need[j])):bisect_right(pts, at + capacity)]
+        first = max(bisect_right(pts, at), bisect_left(pts, need[j]))    # at least one group, while there are any
+        options = pts[first:bisect_right(pts, at + capacity)] or [total]
         i = bisect_left(options, share)
         at = min(options[max(0, i - 1):i + 1], key=lambda x: (abs(x - share), x))
         ends.append(at)
