@@ -2,8 +2,9 @@
 
 Method: equal shingle sets are one class.  The n-grams get one global
 order, rarest first (frequency level, then hash).  Two sets that link must
-share one of their first ``n - ceil(t n) + 1`` n-grams in that order, which
-gives the candidate pairs.  Their overlap is then counted vertically: the
+share at least l of their first ``n - ceil(t n) + l`` n-grams in that order,
+for any l up to the overlap; l is a twentieth of the set, which gives the
+candidate pairs.  Their overlap is then counted vertically: the
 order's hash space is cut into ``FRAGMENTS`` ranges, each pair's overlap is
 counted separately per fragment, and the partial counts are summed per
 pair.  The sums decide exactly.
@@ -20,10 +21,10 @@ Scale
   likely original), linked ones become one component, and only pairs
   across different components are compared afterwards.  No link between
   components is lost, because every remaining candidate pair is checked.
-* Only candidate documents ship their n-grams (6 bytes each); a Bloom filter of
+* Only candidate documents ship their n-grams (5 bytes each); a Bloom filter of
   bounded size sorts out most others early, the join decides.
 
-Hashes: a class is named by a 64-bit signature; overlaps compare 51 bits.
+Hashes: a class is named by a 64-bit signature; overlaps compare 42 bits.
 
 Defined results
 * null or empty text, or no word: empty set, linked with nothing, its own component.
@@ -36,6 +37,7 @@ Defined results
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,11 +50,12 @@ from terroir.llm.storage import written
 
 SIZE = 4
 PERCENT = 85
-HOT = 16                          # documents from which an n-gram counts as frequent
+HOT = 8                           # documents from which an n-gram counts as frequent
 MAX_HOT = 2_000_000               # entries of the frequent list (18 MB)
 PER_RANGE = 2_000_000             # n-grams a range of the hash space holds on average
 FLUSH = 4_000_000                 # n-grams a task gathers before it emits them
 FRAGMENTS = 4
+EXTRA, EXTRA_PER = 1, 20          # l = EXTRA + n / EXTRA_PER
 STARS = ("hot", "node")           # pivots: most frequent n-grams; smallest name
 FACTOR = np.uint64(0xD6E8FEB86659FD93)
 
@@ -96,10 +99,19 @@ def signature(grams: np.ndarray) -> int:
     return int(total.astype(np.int64))
 
 
-def least_overlap(n: np.ndarray | int, percent: int):
+def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def least_shared(n: Column, percent: int) -> Column:
+    """N-grams that a set of ``n`` shares with a linked one inside the prefixes, at least."""
+    return F.least(EXTRA + F.floor(n / EXTRA_PER), F.ceil(n * percent / 100))
+
+
+def prefix_length(n: int, percent: int) -> int:
+    return min(n, n - least_overlap(n, percent) + EXTRA + n // EXTRA_PER)
+
+
 def signatures(docs: DataFrame, size: int) -> DataFrame:
     """(doc_id, node, n) per row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +227,7 @@ def prefixes(docs: DataFrame, size: int, percent: int, ranges: int, keys: np.nda
                 at = np.minimum(np.searchsorted(all_keys, key), len(all_keys) - 1)
                 found = all_keys[at] == key
                 level[found] = all_levels[at[found]]
-            take = np.lexsort((grams, level))[:len(grams) - least_overlap(len(grams), percent) + 1]
+            take = np.lexsort((grams, level))[:prefix_length(len(grams), percent)]
             seldom, common = key[take[level[take] == 0]], key[take[level[take] > 0]]
             rare.append((seldom, np.full(len(seldom), node, np.int64)))
             if len(common):
@@ -230,7 +242,8 @@ def prefixes(docs: DataFrame, size: int, percent: int, ranges: int, keys: np.nda
 
 
 def rare_pairs(packs: DataFrame) -> DataFrame:
-    """(x, y) of documents that share a rare prefix n-gram: few documents have each, so all pairs are few."""
+    """(x, y, shared) of documents that share rare prefix n-grams: few documents have
+    each, so all pairs are few; ``shared`` counts one range's n-grams."""
     def pairs(table: pa.Table) -> pa.Table:
         rests = np.concatenate([np.frombuffer(b.as_py(), np.uint32) for b in table.column("rests")])
         nodes = np.concatenate([np.frombuffer(b.as_py(), np.int64) for b in table.column("nodes")])
@@ -246,9 +259,13 @@ def rare_pairs(packs: DataFrame) -> DataFrame:
                 break
             found.append(np.stack([nodes[same], nodes[same + step]], 1))
             step += 1
-        both = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pa.table({"x": pa.array(both[:, 0]), "y": pa.array(both[:, 1])})
-    return packs.groupBy("range").applyInArrow(pairs, "x long, y long")
+        both = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+        both.sort(axis=1)
+        both = both[np.lexsort((both[:, 1], both[:, 0]))]
+        first = np.flatnonzero(np.append(True, (both[1:] != both[:-1]).any(1))) if len(both) else np.zeros(0, np.int64)
+        return pa.table({"x": pa.array(both[first, 0]), "y": pa.array(both[first, 1]),
+                         "shared": pa.array(np.diff(np.append(first, len(both))).astype(np.int64))})
+    return packs.groupBy("range").applyInArrow(pairs, "x long, y long, shared long")
 
 
 def bloom_bits(count: int) -> int:
@@ -271,7 +288,7 @@ def bloom(ids: DataFrame, bits: int) -> np.ndarray:
 
 def fragments(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
     """(node, doc_id, fragment, grams) of the documents ``wanted`` (doc_id) and few
-    others: 6 bytes per n-gram, sorted."""
+    others: 5 bytes per n-gram, sorted."""
     spark = docs.sparkSession
     bits = bloom_bits(wanted.count())
     shared = spark.sparkContext.broadcast(bloom(wanted, bits))
@@ -288,7 +305,7 @@ def fragments(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
             for doc_id, grams in zip(batch.column(0).to_pylist(), ngram_sets(as_bytes(batch.column(1)), size), strict=True):
                 part = (grams >> np.uint64(62)).astype(np.int64)
                 cuts = np.searchsorted(part, np.arange(FRAGMENTS + 1))
-                raw = ((grams >> np.uint64(11)) & np.uint64(0xFFFFFFFFFFFF)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+                raw = ((grams >> np.uint64(22)) & np.uint64(0xFFFFFFFFFF)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
                 node = signature(grams)
                 rows += [(node, doc_id, f, raw[cuts[f]:cuts[f + 1]].tobytes()) for f in range(FRAGMENTS) if cuts[f + 1] > cuts[f]]
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
@@ -301,8 +318,8 @@ def fragments(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
 
 
 def unpacked(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    out = np.zeros((len(raw) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
     return out.view("<u8")[:, 0]
 
 
@@ -325,18 +342,30 @@ def linked(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
 
 
 def sized(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs x < y with sizes and documents, if the sizes allow a link."""
-    p = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).where("x <> y").distinct()
-    p = (p.join(classes.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("doc_id").alias("dx")), "x")
+    """Pairs with sizes and documents, if the sizes allow a link."""
+    p = (pairs.join(classes.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("doc_id").alias("dx")), "x")
          .join(classes.select(F.col("node").alias("y"), F.col("n").alias("ny"), F.col("doc_id").alias("dy")), "y"))
     return p.where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
 
 
+def enough_shared(pairs: DataFrame, tokens: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y, shared) of rare n-grams that share enough for a link, even if
+    all frequent n-grams of the smaller prefix were shared as well."""
+    often = tokens.groupBy("node").agg(F.count(F.lit(1)).alias("h"))
+    p = sized(pairs.groupBy("x", "y").agg(F.sum("shared").alias("shared")), classes, percent)
+    p = (p.join(often.select(F.col("node").alias("x"), F.col("h").alias("hx")), "x", "left")
+         .join(often.select(F.col("node").alias("y"), F.col("h").alias("hy")), "y", "left"))
+    frequent_too = F.least(F.coalesce("hx", F.lit(0)), F.coalesce("hy", F.lit(0)))
+    need = F.least(least_shared(F.col("nx"), percent), least_shared(F.col("ny"), percent))
+    return p.where(F.col("shared") + frequent_too >= need).drop("shared", "hx", "hy")
+
+
 def star_pairs(tokens: DataFrame, rule: str) -> DataFrame:
     """Each document of a frequent n-gram with that n-gram's pivot."""
     best = F.struct(F.col("hot") if rule == "hot" else -F.col("node"), F.col("node"))
     pivots = tokens.groupBy("token").agg(F.max(best).getField("node").alias("x"))
-    return tokens.join(pivots, "token").select("x", F.col("node").alias("y")).where("x <> y").distinct()
+    pairs = tokens.join(pivots, "token").where("x <> node")
+    return pairs.select(F.least("x", "node").alias("x"), F.greatest("x", "node").alias("y")).distinct()
 
 
 def components_of(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -354,10 +383,9 @@ def similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, hot: int
     found = prefixes(docs, size, percent, ranges, keys, levels)
     tokens = written(found.where(F.col("token").isNotNull()).groupBy("token", "node").agg(F.max("hot").alias("hot")), "tokens")
     # rare n-grams: every pair; frequent ones: every document with the pivots
-    candidates = rare_pairs(found.where(F.col("range").isNotNull()).select("range", "rests", "nodes"))
-    for rule in STARS:
-        candidates = candidates.unionAll(star_pairs(tokens, rule))
-    pairs = written(sized(candidates, classes, percent), "pairs")
+    rare = rare_pairs(found.where(F.col("range").isNotNull()).select("range", "rests", "nodes"))
+    stars = reduce(DataFrame.unionAll, [star_pairs(tokens, rule) for rule in STARS]).distinct()
+    pairs = written(enough_shared(rare, tokens, classes, percent).unionByName(sized(stars, classes, percent)).distinct(), "pairs")
     ends = pairs.select(F.col("x").alias("node")).unionAll(pairs.select(F.col("y").alias("node"))).unionAll(tokens.select("node"))
     wanted = classes.join(ends.distinct(), "node").select("doc_id")
     parts = written(fragments(docs, size, wanted), "fragments")
