@@ -269,7 +269,7 @@ def availability_rows(metric: DataFrame, regions: DataFrame, id_tiempo: int) ->
 
 # ---------------------------------------------------------------- T16 / T17 / A18
 def acquisition_indicators(events: DataFrame, leads: DataFrame, conversions: DataFrame) -> DataFrame:
-    """A18 per period: spend, deduplicated leads, conversions at CLIENTE;
+    """A18 per period: spend, deduplicated leads, T07's accepted conversions at CLIENTE;
     rate = conv/leads·100 (2), CAC = spend/conv (2), 0 when the divisor is 0."""
     sp = events.groupBy("id_tiempo").agg(F.sum("gasto").alias("gasto"))
     ld = leads.filter(~F.col("duplicado")).groupBy("id_tiempo").agg(F.countDistinct("clave").alias("leads"))

@@ -104,7 +104,7 @@ def resolve_catalog(df: DataFrame, ref_col: str, catalog: DataFrame, id_col: str
     found = []
     for i, k in enumerate(keys):
         c = catalog.select(F.lower(F.trim(F.col(k).cast("string"))).alias("_ref"), F.col(id_col).alias(f"_id{i}"))
-        out = out.join(F.broadcast(c.dropDuplicates(["_ref"])), "_ref", "left")
+        out = out.join(c.dropDuplicates(["_ref"]), "_ref", "left")
         found.append(F.col(f"_id{i}"))
     return (out.withColumn(id_col, F.coalesce(*found))
             .withColumn("error", F.when(F.col(id_col).isNull(), F.lit(error)))
@@ -138,49 +138,71 @@ def run_inference(spark: SparkSession, seal: DataFrame, compute, run_id: str) ->
 
 # ---------------------------------------------------------------- T18
 def _asof_seal_ok(requests: DataFrame, seals: DataFrame, suite: str) -> DataFrame:
-    """The newest seal at or before each request (as-of by time): requests
-    and seals are unioned into one time-ordered stream per suite and the
-    last seal is carried forward with a running ``last(ignorenulls)``."""
-    r = requests.select("*", F.lit(suite).alias("_suite"), F.lit(1).alias("_kind"))
+    """Whether the newest seal at or before each request is a fresh success.
+
+    A successful seal holds from its date until it expires or the next seal
+    replaces it: these spans are disjoint.  Each is listed under the days it
+    touches (as many as its validity has), so the as-of lookup is an equi
+    join by day; no window runs over the requests."""
     s = seals.filter(F.col("suite") == suite).select(
-        F.col("suite").alias("_suite"), F.col("fecha").cast("timestamp").alias("fecha"),
-        F.struct("exito", F.col("fecha").cast("timestamp").alias("ts"),
-                 F.coalesce("vigencia_horas", F.lit(24.0)).alias("vig")).alias("_seal"), F.lit(0).alias("_kind"))
-    u = r.withColumn("_seal", F.lit(None).cast(s.schema["_seal"].dataType)).unionByName(s, allowMissingColumns=True)
-    w = (Window.partitionBy("_suite").orderBy("fecha", "_kind")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    u = u.withColumn("_last", F.last("_seal", ignorenulls=True).over(w)).filter(F.col("_kind") == 1)
-    age = (F.unix_timestamp("fecha") - F.unix_timestamp("_last.ts")) / 3600.0
-    return u.withColumn("sello_ok", F.coalesce(F.col("_last.exito") & (age <= F.col("_last.vig")), F.lit(False))) \
-            .drop("_suite", "_kind", "_seal", "_last")
+        F.col("fecha").cast("timestamp").alias("_from"), "exito",
+        F.coalesce("vigencia_horas", F.lit(24.0)).alias("_vig"))
+    nxt = F.lead("_from").over(Window.orderBy("_from", "exito"))            # seals of one suite: one a day
+    s = (s.withColumns({"_next": nxt, "_until": (F.unix_micros("_from") + F.col("_vig") * 3.6e9).cast("long")})
+         .filter("exito").select("_from", "_next", "_until"))
+    days = F.sequence(F.to_date("_from"), F.to_date(F.timestamp_micros("_until")))
+    spans = s.withColumn("_day", F.explode(days))
+    r = requests.withColumn("_day", F.to_date("fecha"))
+    inside = ((r["_day"] == spans["_day"]) & (F.col("fecha") >= F.col("_from"))
+              & (F.unix_micros(F.col("fecha").cast("timestamp")) <= F.col("_until"))
+              & (F.col("_next").isNull() | (F.col("fecha") < F.col("_next"))))
+    return (r.join(spans, inside, "left").withColumn("sello_ok", F.col("_from").isNotNull())
+            .select(*requests.columns, "sello_ok"))
+
+
+# States of a dashboard's publication, and the requests' targets (publicar,
+# despublicar, listo): a publication may replace an active one; after an
+# unpublish the dashboard must be marked ready again.
+PUBLICATION = {"LISTO": ["PUBLICADO"], "PUBLICADO": ["PUBLICADO", "DESPUBLICADO"], "DESPUBLICADO": ["LISTO"]}
+PUBLICATION_TARGET = {"publicar": "PUBLICADO", "despublicar": "DESPUBLICADO", "listo": "LISTO"}
 
 
 def publication_verdicts(requests: DataFrame, seals: DataFrame, subs: DataFrame, suite: str = "dw") -> DataFrame:
-    """Per request (dashboard, cuenta, propietario, accion, fecha, seq)
-    a verdict: owner mismatch → fuga_multitenant; no fresh seal →
-    sin_sello_calidad; no active plan → sin_plan_activo; else aceptada.
-    Accepted publications are numbered per dashboard (version); the newest
-    is ACTIVA, older ones REEMPLAZADA, and an accepted unpublish after the
-    last publication leaves the dashboard DESPUBLICADO."""
-    from terroir.operators.lifecycle import entitlement
+    """Per request (dashboard, cuenta, propietario, accion, fecha, seq) a
+    verdict.  A publication is checked in this order: the dashboard is ready,
+    published or blocked (else estado_invalido); owner (fuga_multitenant);
+    fresh seal (sin_sello_calidad); active plan (sin_plan_activo).  An
+    unpublish needs an active publication (publicacion_inexistente).
+
+    The states are a finite machine, replayed by T00 with hot dashboards
+    split; blocked publications take part without moving it.  The version
+    starts at 1 and rises only when an active publication is replaced.  Each
+    accepted publication is ACTIVA until the next accepted one (REEMPLAZADA)
+    or an unpublish (DESPUBLICADO)."""
+    from terroir.operators.lifecycle import APPLIED, entitlement, replay
     plan = entitlement(subs, "cuenta").select("cuenta", F.col("acceso").alias("_plan"))
     r = _asof_seal_ok(requests, seals, suite).join(plan, "cuenta", "left")
-    verdict = (F.when(F.col("cuenta") != F.col("propietario"), "fuga_multitenant")
-               .when(~F.col("sello_ok"), "sin_sello_calidad")
-               .when(F.col("_plan").isNull(), "sin_plan_activo").otherwise("aceptada"))
-    r = r.withColumn("veredicto", verdict).drop("_plan")
-    ok_pub = (F.col("veredicto") == "aceptada") & (F.col("accion") == "publicar")
-    w = Window.partitionBy("dashboard").orderBy("fecha", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    wall = Window.partitionBy("dashboard")
-    r = r.withColumn("version", F.when(ok_pub, F.sum(F.when(ok_pub, 1).otherwise(0)).over(w)))
-    last_pub = F.max(F.when(ok_pub, F.struct("fecha", "seq"))).over(wall)
-    last_unpub = F.max(F.when((F.col("veredicto") == "aceptada") & (F.col("accion") == "despublicar"),
-                              F.struct("fecha", "seq"))).over(wall)
-    state = (F.when(~ok_pub, F.lit(None))
-             .when(F.struct("fecha", "seq") < last_pub, "REEMPLAZADA")
-             .when(last_unpub.isNotNull() & (last_unpub > F.struct("fecha", "seq")), "DESPUBLICADO")
-             .otherwise("ACTIVA"))
-    return r.withColumn("estado_version", state)
+    gate = (F.when(F.col("cuenta") != F.col("propietario"), "fuga_multitenant")
+            .when(~F.col("sello_ok"), "sin_sello_calidad").when(F.col("_plan").isNull(), "sin_plan_activo"))
+    target = F.element_at(F.create_map(*[F.lit(x) for kv in PUBLICATION_TARGET.items() for x in kv]), F.col("accion"))
+    r = r.withColumn("_gate", F.when(F.col("accion") == "publicar", gate))
+    r = r.withColumn("_target", F.when(F.col("_gate").isNull(), target)).drop("_plan")
+    f = replay(r, "dashboard", ["fecha", "seq"], "_target", PUBLICATION, "LISTO")
+    before, pub = F.col("estado_anterior"), F.col("accion") == "publicar"
+    applied = F.col("veredicto") == APPLIED
+    verdict = (F.when(pub & (before == "DESPUBLICADO"), "estado_invalido").when(F.col("_gate").isNotNull(), F.col("_gate"))
+               .when(applied | (F.col("accion") == "listo"), "aceptada")
+               .when(F.col("accion") == "despublicar", "publicacion_inexistente").otherwise("accion_invalida"))
+    f = f.withColumns({"veredicto": verdict, "_pub": pub & applied, "_replaces": pub & applied & (before == "PUBLICADO"),
+                       "_moves": applied & F.col("accion").isin("publicar", "despublicar")})
+    by = Window.partitionBy("dashboard").orderBy("fecha", "seq")
+    upto = by.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    later = by.rowsBetween(1, Window.unboundedFollowing)
+    following = F.first(F.when(F.col("_moves"), F.col("accion")), ignorenulls=True).over(later)
+    state = (F.when(~F.col("_pub"), F.lit(None)).when(following.isNull(), "ACTIVA")
+             .when(following == "publicar", "REEMPLAZADA").otherwise("DESPUBLICADO"))
+    version = F.when(F.col("_pub"), F.lit(1) + F.count_if("_replaces").over(upto))
+    return f.select(*requests.columns, "sello_ok", "veredicto", version.alias("version"), state.alias("estado_version"))
 
 
 # ---------------------------------------------------------------- K11

@@ -65,9 +65,10 @@ def rank_by_first(df: DataFrame, key: str, order_col: str, name: str) -> DataFra
 def rank_within_groups(df: DataFrame, group: str, order_cols: list, name: str) -> DataFrame:
     """1..n per ``group`` by ``order_cols`` for many small groups at once: one
     global numbering ordered by (group, order_cols), minus each group's start
-    (one row per group, broadcast).  The input (an aggregate) is
+    (one row per group; AQE broadcasts it only when it is
+    small at run time).  The input (an aggregate) is
     checkpointed first so the range sampling does not recompute it."""
     numbered = global_row_number(df.checkpoint(eager=True), [group, *order_cols], "_g")
     starts = numbered.groupBy(group).agg(F.min("_g").alias("_start"))
-    return (numbered.join(F.broadcast(starts), group)
+    return (numbered.join(starts, group)
             .withColumn(name, (F.col("_g") - F.col("_start") + 1).cast("int")).drop("_g", "_start"))

@@ -232,9 +232,10 @@ def first_touch(leads: DataFrame, key: str = "clave", order: list[str] | None =
 
 
 def attribute_conversions(conversions: DataFrame, leads: DataFrame, lead_key: str = "lead") -> tuple[DataFrame, DataFrame]:
-    """One conversion per (lead, stage) (the first); campaign, channel and
-    market from the lead's first touch; orphan conversions rejected."""
-    valid_stage = F.col("etapa").isin(*STAGE_ORDER.keys())
+    """(accepted, rejected).  One conversion per (lead, stage) counts (the
+    first); campaign, channel and market come from the lead's first touch.
+    Rejected, with a reason: unknown stages, then conversions without a lead."""
+    valid_stage = F.coalesce(F.col("etapa").isin(*STAGE_ORDER.keys()), F.lit(False))
     o = F.struct("fecha", "seq")
     firsts = (conversions.filter(valid_stage).groupBy(lead_key, "etapa")
               .agg(F.min_by(F.struct(*[c for c in conversions.columns if c not in (lead_key, "etapa")]), o)
@@ -243,13 +244,24 @@ def attribute_conversions(conversions: DataFrame, leads: DataFrame, lead_key: st
                  .select(F.col("clave").alias(lead_key), F.col("campana").alias("campana_atribuida"),
                          F.col("canal").alias("canal_lead"), F.col("mercado").alias("mercado_lead")))
     accepted = firsts.join(lead_attr, lead_key, "inner")
-    rejected = (conversions.join(lead_attr.select(lead_key), lead_key, "left_anti")
-                .withColumn("motivo", F.lit("lead_inexistente")))
-    return accepted, rejected
+    orphans = (conversions.filter(valid_stage).join(lead_attr.select(lead_key), lead_key, "left_anti")
+               .withColumn("motivo", F.lit("lead_inexistente")))
+    unknown = conversions.filter(~valid_stage).withColumn("motivo", F.lit("etapa_invalida"))
+    return accepted, unknown.unionByName(orphans)
+
+
+def accounts_from_conversions(accepted: DataFrame, existing: DataFrame, lead_key: str = "lead") -> DataFrame:
+    """T07 hand-over: each lead's CLIENTE conversion becomes an account with the
+    lead's key as fiscal id; an account that exists is linked, not doubled."""
+    won = accepted.filter(F.col("etapa") == "CLIENTE").select(
+        F.col(lead_key).alias("id_fiscal"), F.lit(None).cast("string").alias("email"),
+        F.col("mercado_lead").alias("mercado"), F.col("id_tiempo"))
+    return dedup_accounts(existing, won)
 
 
 def lead_stage(conversions: DataFrame, lead_key: str = "lead") -> DataFrame:
-    """T08 closed form of the stage fold: after the last PERDIDO only later
+    """T08 over the conversions that T07 accepted (one per lead and stage: a
+    repeated stage never moves the lead).  Closed form of the stage fold: after the last PERDIDO only later
     events count, and among them the highest-order stage wins; with none the
     lead is PERDIDO (or LEAD when it never advanced)."""
     order = F.element_at(F.create_map(*[x for k, v in STAGE_ORDER.items() for x in (F.lit(k), F.lit(v))]),
@@ -288,14 +300,16 @@ def subscription_ledger(requests: DataFrame, plans: DataFrame, key: str = "suscr
 # ---------------------------------------------------------------- T10
 def ticket_sla(transitions: DataFrame, key: str = "ticket") -> DataFrame:
     """Ticket replay + SLA per ticket: first response once (first
-    applied EN_PROCESO, or RESUELTO directly), resolution minutes from
-    opening at the first applied RESUELTO (kept on a later reopen)."""
+    applied EN_PROCESO, or RESUELTO directly); resolution minutes from
+    opening, rewritten by every applied RESUELTO, and set by a direct CERRADO
+    only while there are none (so: the last RESUELTO, else the first CERRADO)."""
     r = replay(transitions, key, ["fecha", "seq"], "estado_solicitado", TICKET, "ABIERTO")
     applied = r.filter(F.col("veredicto") == APPLIED)
     opened = transitions.groupBy(key).agg(F.min("fecha").alias("abierto"))
     agg = applied.groupBy(key).agg(
         F.min(F.when(F.col("estado").isin("EN_PROCESO", "RESUELTO"), F.col("fecha"))).alias("primera_respuesta"),
-        F.min(F.when(F.col("estado") == "RESUELTO", F.col("fecha"))).alias("resuelto"))
+        F.coalesce(F.max(F.when(F.col("estado") == "RESUELTO", F.col("fecha"))),
+                   F.min(F.when(F.col("estado") == "CERRADO", F.col("fecha")))).alias("resuelto"))
     fin = final_state(r, key)
     from terroir.functions import round_half_up
     mins = lambda a, b: round_half_up((F.unix_micros(b.cast("timestamp"))

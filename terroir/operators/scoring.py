@@ -39,14 +39,17 @@ def price_recommendations(base: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ M06
-def price_projection(trend: DataFrame, lo: int = 2005, hi: int = 2023, steps: int = 2) -> DataFrame:
-    """OLS per variety over years lo..hi, next ``steps`` years (>= 0).
+def price_projection(trend: DataFrame, lo: int | None = None, hi: int | None = None, steps: int = 2) -> DataFrame:
+    """OLS per variety over all its years, next ``steps`` years (>= 0);
+    ``lo`` / ``hi`` restrict the years where the caller gives them.
 
     The fit uses exact integer sums (prices in cents), so slope and
     projection do not depend on summation order.
     """
-    t = (trend.withColumn("_x", F.col("anio").try_cast("long")).filter(F.col("_x").between(lo, hi))
+    t = (trend.withColumn("_x", F.col("anio").try_cast("long")).filter(F.col("_x").isNotNull())
          .withColumn("_y", F.round(F.col("precio_promedio") * 100).cast("long")))
+    t = t if lo is None else t.filter(F.col("_x") >= lo)
+    t = t if hi is None else t.filter(F.col("_x") <= hi)
     fit = (t.groupBy("variedad")
            .agg(F.count(F.lit(1)).alias("n"), F.sum("_x").alias("sx"), F.sum("_y").alias("sy"),
                 F.sum(F.col("_x") * F.col("_y")).alias("sxy"), F.sum(F.col("_x") * F.col("_x")).alias("sxx"),

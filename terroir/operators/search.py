@@ -49,8 +49,9 @@ def search_filter(country: str | None = None, variety: str | None = None, winery
 def page(df: DataFrame, page_no: int = 1, per_page: int = 20, max_per_page: int = 200,
          order: str = "points", tie: str = "id_resena") -> DataFrame:
     """Offset paging by ``order`` desc with an id tie-break."""
-    page_no = max(1, int(page_no))
-    per_page = max(1, min(int(per_page), max_per_page))
+    page_no, per_page = max(1, int(page_no)), int(per_page)
+    if not 1 <= per_page <= max_per_page:
+        raise ValueError(f"per_page must be between 1 and {max_per_page}, not {per_page}")
     return (df.orderBy(F.col(order).desc(), F.col(tie).asc())
             .offset((page_no - 1) * per_page).limit(per_page))
 
@@ -64,7 +65,7 @@ def search_page_and_total(rows: DataFrame, filters: dict, page_no: int = 1, per_
     filtered = rows.filter(search_filter(**filters)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         total = filtered.count()
-        per = max(1, min(int(per_page), max_per_page))
+        per = int(per_page)
         got = page(filtered, page_no, per, max_per_page).collect()
         return got, total, -(-total // per)
     finally:
@@ -108,16 +109,18 @@ def compare_markets(a02: DataFrame, names: list[str]) -> DataFrame:
     The list is a literal of at most 4 entries: joined as a broadcast
     (position, name) frame and ordered by position.
     """
-    names = list(dict.fromkeys(names))[:4]
+    names = list(dict.fromkeys(names))
+    if len(names) > 4:
+        raise ValueError(f"at most 4 markets can be compared, not {len(names)}")
     spark = a02.sparkSession
     pos = spark.createDataFrame(list(enumerate(names)), "pos int, pais string")
     return a02.join(F.broadcast(pos), "pais").orderBy("pos").drop("pos")
 
 
 def search_log(df: DataFrame, user: str | None = None, action: str | None = None, day: str | None = None,
-               limit: int = 500, user_col: str = "usuario", action_col: str = "accion",
+               limit: int | None = None, user_col: str = "usuario", action_col: str = "accion",
                ts_col: str = "ts", id_col: str = "id") -> DataFrame:
-    """Audit-log search, newest ``limit`` by id."""
+    """Audit-log search, newest first by id; all hits unless ``limit`` is given."""
     preds = [F.lit(True)]
     if user:
         preds.append(F.col(user_col).cast("string").like(f"%{user}%"))
@@ -125,7 +128,8 @@ def search_log(df: DataFrame, user: str | None = None, action: str | None = None
         preds.append(F.col(action_col).like(f"%{action}%"))
     if day:
         preds.append(F.to_date(ts_col) == F.lit(day).cast("date"))
-    return df.filter(reduce(lambda a, b: a & b, preds)).orderBy(F.col(id_col).desc()).limit(limit)
+    hits = df.filter(reduce(lambda a, b: a & b, preds)).orderBy(F.col(id_col).desc())
+    return hits if limit is None else hits.limit(limit)
 
 
 def tenant_scope(df: DataFrame, owner, filters: dict | None = None, col: str = "cliente") -> DataFrame:

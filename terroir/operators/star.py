@@ -86,7 +86,7 @@ def build_fact(clean: DataFrame, dims: dict[str, DataFrame], ordinal: str = "ord
     """
     fact = clean.select(
         F.col(ordinal).cast("long").alias("id_resena"), "points", "price", "title", "designation",
-        truncate("description", 1000).alias("description"), "region_2",
+        "description", "region_2",
         *[s for _, s, _ in DIM_SPECS],
         F.when(F.col("taster_name") == "", F.lit(ANONYMOUS)).otherwise(F.col("taster_name")).alias("_taster"))
     for dim_name, src, id_col in DIM_SPECS:

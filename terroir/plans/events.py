@@ -150,10 +150,10 @@ def s01_contract_csv(spark, sf_dir):
 
 # ====================================================== P09
 @register("p09_audit_search", """SELECT * FROM events WHERE CAST(user_id AS VARCHAR) LIKE '%7%'
-  AND event_type LIKE '%c%' AND CAST(ts AS DATE) = DATE '2024-01-15' ORDER BY event_id DESC LIMIT 500""")
+  AND event_type LIKE '%c%' AND CAST(ts AS DATE) = DATE '2024-01-15' """)
 def p09_audit_search(spark, sf_dir):
     e = T.table(spark, sf_dir, "events")
-    return S.search_log(e, user="7", action="c", day="2024-01-15", limit=500, user_col="user_id",
+    return S.search_log(e, user="7", action="c", day="2024-01-15", user_col="user_id",
                         action_col="event_type", ts_col="ts", id_col="event_id")
 
 
@@ -254,7 +254,8 @@ agg AS (SELECT ticket, min(fecha) AS abierto, max(paso) AS eventos FROM ev GROUP
 fin AS (SELECT ticket, estado AS estado_final FROM r WHERE (ticket, paso) IN (SELECT ticket, max(paso) FROM ev GROUP BY 1)),
 rej AS (SELECT ticket, count(CASE WHEN NOT aplicada THEN 1 END) AS rechazados,
                min(CASE WHEN aplicada AND estado IN ('EN_PROCESO', 'RESUELTO') THEN fecha END) AS pr,
-               min(CASE WHEN aplicada AND estado = 'RESUELTO' THEN fecha END) AS res FROM rep GROUP BY 1)
+               coalesce(max(CASE WHEN aplicada AND estado = 'RESUELTO' THEN fecha END),
+                        min(CASE WHEN aplicada AND estado = 'CERRADO' THEN fecha END)) AS res FROM rep GROUP BY 1)
 SELECT a.ticket, f.estado_final, a.eventos, j.rechazados,
   """ + R("(epoch_us(j.pr) - epoch_us(a.abierto)) / 60000000.0", 2) + """ AS minutos_primera_respuesta,
   """ + R("(epoch_us(j.res) - epoch_us(a.abierto)) / 60000000.0", 2) + """ AS minutos_resolucion
@@ -358,22 +359,54 @@ conv AS (SELECT 'L' || CAST(user_id AS VARCHAR) AS lead, CASE event_type WHEN 'v
 """
 
 
-@register("t06_first_touch", _LEADS_SQL + "SELECT clave, campana, fecha, seq, duplicado FROM ft")
+@register("t06_first_touch", _LEADS_SQL + """SELECT clave, campana,
+    'canal-' || CAST(CAST(substr(clave, 2) AS BIGINT) % 3 AS VARCHAR) AS canal,
+    'mercado-' || CAST(CAST(substr(clave, 2) AS BIGINT) % 4 AS VARCHAR) AS mercado, fecha, seq, duplicado FROM ft""")
 def t06_first_touch(spark, sf_dir):
-    return L.first_touch(_leads(spark, sf_dir)).select("clave", "campana", "fecha", "seq", "duplicado")
-
-
-@register("t08_lead_stage", _LEADS_SQL + """, lost AS (SELECT lead, max(fecha) AS lf FROM conv WHERE etapa = 'PERDIDO' GROUP BY 1),
-lost2 AS (SELECT l.lead, l.lf, max(c.seq) AS ls FROM lost l JOIN conv c ON c.lead = l.lead AND c.fecha = l.lf
-          AND c.etapa = 'PERDIDO' GROUP BY 1, 2),
-after AS (SELECT c.* FROM conv c LEFT JOIN lost2 l ON c.lead = l.lead
-          WHERE l.lead IS NULL OR c.fecha > l.lf OR (c.fecha = l.lf AND c.seq > l.ls)),
-best AS (SELECT lead, arg_max(etapa, (CASE etapa WHEN 'OPORTUNIDAD' THEN 1 WHEN 'CLIENTE' THEN 2 ELSE 0 END, fecha, seq)) AS b
-         FROM after WHERE etapa <> 'PERDIDO' GROUP BY 1)
-SELECT d.lead, coalesce(b.b, CASE WHEN l.lead IS NOT NULL THEN 'PERDIDO' END, 'LEAD') AS etapa
-FROM (SELECT DISTINCT lead FROM conv) d LEFT JOIN best b ON d.lead = b.lead LEFT JOIN lost l ON d.lead = l.lead""")
+    return L.first_touch(_leads(spark, sf_dir)).select("clave", "campana", "canal", "mercado", "fecha", "seq", "duplicado")
+
+
+# The first conversion per (lead, stage) of a captured lead
+_ACCEPTED_SQL = _LEADS_SQL + """, acc AS (
+  SELECT c.lead, c.etapa, c.fecha, c.seq, c.id_tiempo, l.campana AS campana_atribuida, l.canal AS canal_lead,
+         l.mercado AS mercado_lead
+  FROM (SELECT *, row_number() OVER (PARTITION BY lead, etapa ORDER BY fecha, seq) AS k FROM conv) c
+  JOIN (SELECT f.*, 'canal-' || CAST(CAST(substr(clave, 2) AS BIGINT) % 3 AS VARCHAR) AS canal,
+               'mercado-' || CAST(CAST(substr(clave, 2) AS BIGINT) % 4 AS VARCHAR) AS mercado
+        FROM ft f WHERE NOT duplicado) l ON l.clave = c.lead
+  WHERE c.k = 1 AND c.etapa IN ('LEAD', 'OPORTUNIDAD', 'CLIENTE', 'PERDIDO'))
+"""
+
+
+def _accepted(spark, sf_dir):
+    return L.attribute_conversions(_conversions(spark, sf_dir), L.first_touch(_leads(spark, sf_dir)))
+
+
+@register("t07_attribution", _ACCEPTED_SQL + "SELECT * FROM acc")
+def t07_attribution(spark, sf_dir):
+    return _accepted(spark, sf_dir)[0].select("lead", "etapa", "fecha", "seq", "id_tiempo", "campana_atribuida",
+                                              "canal_lead", "mercado_lead")
+
+
+@register("t07_rejected", _LEADS_SQL + """SELECT lead, etapa, fecha, seq, id_tiempo, 'lead_inexistente' AS motivo
+    FROM conv c WHERE NOT EXISTS (SELECT 1 FROM leads l WHERE l.clave = c.lead)""")
+def t07_rejected(spark, sf_dir):
+    return _accepted(spark, sf_dir)[1]
+
+
+# The stage fold, step by step over each lead's (at most four) accepted conversions.
+@register("t08_lead_stage", _ACCEPTED_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + """,
+step AS (SELECT lead, etapa, row_number() OVER (PARTITION BY lead ORDER BY fecha, seq) AS k,
+                CASE etapa WHEN 'PERDIDO' THEN -1 WHEN 'LEAD' THEN 0 WHEN 'OPORTUNIDAD' THEN 1 ELSE 2 END AS o FROM acc),
+fold(lead, k, etapa, o) AS (
+  SELECT DISTINCT lead, CAST(0 AS BIGINT), 'LEAD', 0 FROM acc
+  UNION ALL
+  SELECT f.lead, s.k, CASE WHEN s.etapa = 'PERDIDO' OR s.o > f.o THEN s.etapa ELSE f.etapa END,
+         CASE WHEN s.etapa = 'PERDIDO' OR s.o > f.o THEN s.o ELSE f.o END
+  FROM fold f JOIN step s ON s.lead = f.lead AND s.k = f.k + 1)
+SELECT lead, arg_max(etapa, k) AS etapa FROM fold GROUP BY lead""")
 def t08_lead_stage(spark, sf_dir):
-    return L.lead_stage(_conversions(spark, sf_dir))
+    return L.lead_stage(_accepted(spark, sf_dir)[0])
 
 
 def _spend(spark, sf_dir):
@@ -383,11 +416,11 @@ def _spend(spark, sf_dir):
             .agg(cents_to_decimal(F.sum(F.floor(F.col("value") * 100 + F.lit(0.5))), 14).alias("gasto")))
 
 
-@register("a18_acquisition_indicators", _LEADS_SQL + f""", sp AS (SELECT CAST(year(ts) * 100 + month(ts) AS INTEGER) AS id_tiempo,
+@register("a18_acquisition_indicators", _ACCEPTED_SQL + f""", sp AS (SELECT CAST(year(ts) * 100 + month(ts) AS INTEGER) AS id_tiempo,
     CAST(CAST(sum(floor(value * 100 + 0.5)) AS DOUBLE) / 100.0 AS DECIMAL(14,2)) AS gasto FROM events
     WHERE event_type = 'click' GROUP BY 1),
 ld AS (SELECT id_tiempo, count(DISTINCT clave) AS leads FROM ft WHERE NOT duplicado GROUP BY 1),
-cv AS (SELECT id_tiempo, count(DISTINCT lead) AS conversiones FROM conv WHERE etapa = 'CLIENTE' GROUP BY 1),
+cv AS (SELECT id_tiempo, count(*) AS conversiones FROM acc WHERE etapa = 'CLIENTE' GROUP BY 1),
 j AS (SELECT coalesce(sp.id_tiempo, ld.id_tiempo, cv.id_tiempo) AS id_tiempo, coalesce(CAST(sp.gasto AS DOUBLE), 0.0) AS gasto,
              coalesce(ld.leads, 0) AS leads, coalesce(cv.conversiones, 0) AS conversiones
       FROM sp FULL OUTER JOIN ld ON sp.id_tiempo = ld.id_tiempo
@@ -397,7 +430,7 @@ SELECT id_tiempo, gasto, leads, conversiones,
   {R('CASE WHEN conversiones > 0 THEN gasto / conversiones ELSE 0.0 END', 2)} AS cac FROM j""")
 def a18_acquisition_indicators(spark, sf_dir):
     return AL.acquisition_indicators(_spend(spark, sf_dir), L.first_touch(_leads(spark, sf_dir)),
-                                     _conversions(spark, sf_dir))
+                                     _accepted(spark, sf_dir)[0])
 
 
 # ====================================================== T09 / A17 (sequential: rows-only)
@@ -475,3 +508,70 @@ def a17_support_report(spark, sf_dir):
         F.col("estado_final").alias("estado"), "minutos_resolucion", "minutos_primera_respuesta",
         (F.floor(F.col("v")) % 12 - 1).cast("string").alias("nps"))
     return AL.support_report(t)
+
+
+# ====================================================== T18 (publication requests from events)
+# click/purchase → publicar, error → despublicar, signup → listo; 97 dashboards
+# owned by 11 accounts; every 13th request comes from another account; one
+# seal a day at 06:00 that fails every fifth day; account C3 has no plan.
+_PUB_ACTION = {"click": "publicar", "purchase": "publicar", "error": "despublicar", "signup": "listo"}
+
+
+def _publication_inputs(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    m = F.create_map(*[x for k, v in _PUB_ACTION.items() for x in (F.lit(k), F.lit(v))])
+    e = T.table(spark, sf_dir, "events").filter(F.col("event_type").isin(*_PUB_ACTION))
+    d = F.col("user_id") % 97
+    owner = F.concat(F.lit("C"), (d % 11).cast("string"))
+    req = e.select(F.concat(F.lit("D"), d.cast("string")).alias("dashboard"),
+                   F.when(F.col("event_id") % 13 == 0, F.lit("C99")).otherwise(owner).alias("cuenta"),
+                   owner.alias("propietario"), F.element_at(m, F.col("event_type")).alias("accion"),
+                   F.col("ts").alias("fecha"), F.col("event_id").alias("seq"))
+    days = T.table(spark, sf_dir, "events").select(F.to_date("ts").alias("d")).distinct()
+    seals = days.select(F.lit("dw").alias("suite"), (F.dayofmonth("d") % 5 != 0).alias("exito"),
+                        (F.col("d").cast("timestamp_ntz") + F.expr("INTERVAL 6 HOURS")).alias("fecha"),
+                        F.lit(24.0).alias("vigencia_horas"))
+    subs = req.filter(F.col("propietario") != "C3").select(
+        F.col("propietario").alias("cuenta"), F.concat(F.lit("S"), F.col("propietario")).alias("suscripcion"),
+        F.lit("ACTIVA").alias("estado"), F.lit("2024-01-01").alias("fecha")).distinct()
+    return req, seals, subs
+
+
+T18_SQL = """WITH RECURSIVE req AS (
+  SELECT 'D' || CAST(user_id % 97 AS VARCHAR) AS dashboard,
+         CASE WHEN event_id % 13 = 0 THEN 'C99' ELSE 'C' || CAST((user_id % 97) % 11 AS VARCHAR) END AS cuenta,
+         'C' || CAST((user_id % 97) % 11 AS VARCHAR) AS propietario,
+         CASE event_type WHEN 'error' THEN 'despublicar' WHEN 'signup' THEN 'listo' ELSE 'publicar' END AS accion,
+         ts AS fecha, event_id AS seq
+  FROM events WHERE event_type IN ('click', 'purchase', 'error', 'signup')),
+seal AS (SELECT DISTINCT CAST(ts AS DATE) + INTERVAL 6 HOUR AS f, day(ts) % 5 <> 0 AS exito FROM events),
+chk AS (SELECT r.*, coalesce(s.exito AND epoch_us(r.fecha) - epoch_us(s.f) <= 24 * 3600000000, FALSE) AS sello_ok,
+               row_number() OVER (PARTITION BY dashboard ORDER BY fecha, seq) AS k
+        FROM req r ASOF LEFT JOIN seal s ON r.fecha >= s.f),
+g AS (SELECT *, CASE WHEN accion <> 'publicar' THEN NULL WHEN cuenta <> propietario THEN 'fuga_multitenant'
+                     WHEN NOT sello_ok THEN 'sin_sello_calidad' WHEN cuenta = 'C3' THEN 'sin_plan_activo' END AS gate FROM chk),
+fold(dashboard, k, before, st, version) AS (
+  SELECT DISTINCT dashboard, CAST(0 AS BIGINT), 'LISTO', 'LISTO', CAST(1 AS BIGINT) FROM req
+  UNION ALL
+  SELECT f.dashboard, g.k, f.st,
+         CASE WHEN g.accion = 'publicar' AND g.gate IS NULL AND f.st <> 'DESPUBLICADO' THEN 'PUBLICADO'
+              WHEN g.accion = 'despublicar' AND f.st = 'PUBLICADO' THEN 'DESPUBLICADO'
+              WHEN g.accion = 'listo' AND f.st = 'DESPUBLICADO' THEN 'LISTO' ELSE f.st END,
+         f.version + CASE WHEN g.accion = 'publicar' AND g.gate IS NULL AND f.st = 'PUBLICADO' THEN 1 ELSE 0 END
+  FROM fold f JOIN g ON g.dashboard = f.dashboard AND g.k = f.k + 1),
+v AS (SELECT g.*, f.version AS vv,
+  CASE WHEN accion = 'publicar' AND f.before = 'DESPUBLICADO' THEN 'estado_invalido' WHEN gate IS NOT NULL THEN gate
+       WHEN accion = 'despublicar' AND f.before <> 'PUBLICADO' THEN 'publicacion_inexistente' ELSE 'aceptada' END AS veredicto
+  FROM g JOIN fold f ON f.dashboard = g.dashboard AND f.k = g.k),
+n AS (SELECT v.*, (SELECT arg_min(w.accion, w.k) FROM v w WHERE w.dashboard = v.dashboard AND w.k > v.k
+                   AND w.veredicto = 'aceptada' AND w.accion <> 'listo') AS nxt FROM v)
+SELECT dashboard, cuenta, propietario, accion, fecha, seq, sello_ok, veredicto,
+       CASE WHEN accion = 'publicar' AND veredicto = 'aceptada' THEN vv END AS version,
+       CASE WHEN accion = 'publicar' AND veredicto = 'aceptada' THEN
+            CASE WHEN nxt IS NULL THEN 'ACTIVA' WHEN nxt = 'publicar' THEN 'REEMPLAZADA' ELSE 'DESPUBLICADO' END END AS estado_version
+FROM n"""
+
+
+@register("t18_publication_verdicts", T18_SQL)
+def t18_publication_verdicts(spark, sf_dir):
+    from terroir.operators.catalog import publication_verdicts
+    return publication_verdicts(*_publication_inputs(spark, sf_dir))

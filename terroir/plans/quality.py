@@ -230,15 +230,14 @@ def p10_theme_metrics(spark, sf_dir):
 
 @register("a26_dashboard_definitions")
 def a26_dashboard_definitions(spark, sf_dir):
-    """Drafts for the 20 most active clients, each requesting the theme
+    """Drafts for every client with usage, each requesting the theme
     id_cliente % 4 (JSON documents: rows-only check)."""
     from terroir.operators.catalog import THEMES, dashboard_definition, theme_metrics, union_all
     a01, a02, a08 = _theme_frames(spark, sf_dir)
     values = union_all([theme_metrics(t, a01, a02, a08) for t in THEMES])
     from terroir.plans.business import _a10
-    top = B.top_clients(_a10(spark, sf_dir), 20)
     themes = F.element_at(F.array(*[F.lit(t) for t in THEMES]), (F.col("id_cliente") % len(THEMES) + 1).cast("int"))
-    req = top.select(F.col("id_cliente").alias("cliente"), themes.alias("tema"))
+    req = _a10(spark, sf_dir).select(F.col("id_cliente").alias("cliente"), themes.alias("tema"))
     return dashboard_definition(values, req, "principal", {"mercado": "todos"})
 
 

@@ -92,7 +92,7 @@ dim_catador AS (SELECT CAST(row_number() OVER (ORDER BY f, nombre) AS INTEGER) A
               ordinal FROM clean) t GROUP BY nombre) d),
 fact_resenas AS (
   SELECT c.ordinal AS id_resena, c.points, c.price, c.title, c.designation,
-         substr(c.description, 1, 1000) AS description, c.region_2,
+         c.description, c.region_2,
          dp.id_pais, dv.id_variedad, db.id_bodega, dpr.id_provincia, dr.id_region, dc.id_catador
   FROM clean c
   JOIN dim_pais dp ON c.country = dp.nombre
@@ -322,11 +322,11 @@ def p06_compare_markets(spark, sf_dir):
 
 @register("k12_export_rows", q(f"""SELECT title AS titulo, pais, variedad, bodega, provincia, region, catador,
     points AS puntos, CASE WHEN price > 0 THEN printf('%.2f', price) ELSE '' END AS precio
-    FROM star_view WHERE pais = 'NATION_5' ORDER BY points DESC, id_resena LIMIT 10000"""))
+    FROM star_view WHERE pais = 'NATION_5' ORDER BY points DESC, id_resena"""))
 def k12_export_rows(spark, sf_dir):
     s = star(spark, sf_dir)
     v = S.star_view(s["fact_resenas"], s).filter(S.search_filter(country="NATION_5"))
-    return export_rows(v, 10000)
+    return export_rows(v)
 
 
 # ======================================= pricing & demand
@@ -367,9 +367,9 @@ def a13_demand_by_country(spark, sf_dir):
     return A.demand_by_country(s["fact_resenas"], s["dim_pais"], 8)
 
 
-@register("m06_price_projection", q(f""", t AS (SELECT variedad, CAST(anio AS BIGINT) AS x,
+@register("m06_price_projection", q(f""", t AS (SELECT variedad, TRY_CAST(anio AS BIGINT) AS x,
         CAST(round(precio_promedio * 100) AS BIGINT) AS y FROM ({A07_SQL}) a
-        WHERE CAST(anio AS INTEGER) BETWEEN 2005 AND 2023),
+        WHERE TRY_CAST(anio AS BIGINT) IS NOT NULL),
     fit AS (SELECT variedad, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * y) AS sxy, sum(x * x) AS sxx,
                    max(x) AS ultimo FROM t GROUP BY variedad HAVING count(*) >= 2),
     b AS (SELECT *, CAST(n * sxy - sx * sy AS DOUBLE) / CAST(n * sxx - sx * sx AS DOUBLE) AS bb FROM fit)

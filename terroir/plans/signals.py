@@ -24,8 +24,9 @@ def _period(spark, sf_dir) -> int:
     return B.latest_period(PB.biz(spark, sf_dir)["dim_tiempo"])
 
 
-def _top_churn(spark, sf_dir):
-    return M.top_risk(PB._scored(spark, sf_dir), 25)
+def _churn(spark, sf_dir):
+    """Every scored account: each one beyond the threshold may raise a signal."""
+    return PB._scored(spark, sf_dir)
 
 
 def _price_recs(spark, sf_dir):
@@ -41,9 +42,9 @@ def signals(spark, sf_dir) -> DataFrame:
     from terroir.plans.materialize import fingerprint, materialized
 
     def emit():
-        p = PB.SCORING_PERIOD
-        parts = [AL.churn_signals(_top_churn(spark, sf_dir), p, RUN_DATE),
-                 AL.price_signals(_price_recs(spark, sf_dir), _period(spark, sf_dir), RUN_DATE),
+        p = _period(spark, sf_dir)
+        parts = [AL.churn_signals(_churn(spark, sf_dir), p, RUN_DATE),
+                 AL.price_signals(_price_recs(spark, sf_dir), p, RUN_DATE),
                  AL.anomaly_signals(M.detect_anomalies(B.anomaly_series(PB.biz(spark, sf_dir))), RUN_DATE)]
         return AL.emit_signals(None, reduce(DataFrame.unionByName, parts))
     key = fingerprint(spark, sf_dir, sorted(set(PB.BIZ_INPUTS) | set(PR.STAR_INPUTS)))
@@ -51,11 +52,10 @@ def signals(spark, sf_dir) -> DataFrame:
 
 
 # ---------------------------------------------------------------- SQL twins
-_TOP25 = "(SELECT * FROM m01 ORDER BY score DESC, id_cliente LIMIT 25)"
 CHURN_SIG_SQL = f"""SELECT 'ml' AS origen, 'churn' AS tipo, 'critical' AS severidad,
-    CAST(id_cliente AS VARCHAR) AS entidad, 'churn:' || CAST(id_cliente AS VARCHAR) || ':{PB.SCORING_PERIOD}' AS clave,
-    score AS valor, {AL.CHURN_THRESHOLD} AS umbral, {PB.SCORING_PERIOD} AS id_tiempo
-  FROM {_TOP25} t WHERE score >= {AL.CHURN_THRESHOLD} OR nivel = 'Alto'"""
+    CAST(id_cliente AS VARCHAR) AS entidad, 'churn:' || CAST(id_cliente AS VARCHAR) || ':' || CAST({PB.LATEST} AS VARCHAR) AS clave,
+    score AS valor, {AL.CHURN_THRESHOLD} AS umbral, CAST({PB.LATEST} AS INTEGER) AS id_tiempo
+  FROM m01 WHERE score >= {AL.CHURN_THRESHOLD} OR nivel = 'Alto'"""
 PRICE_SIG_SQL = f"""SELECT 'ml' AS origen, 'precio' AS tipo, 'warning' AS severidad, variedad AS entidad,
     'precio:' || variedad || ':' || CAST({PB.LATEST} AS VARCHAR) AS clave, precio_recomendado AS valor,
     precio_actual AS umbral, CAST({PB.LATEST} AS INTEGER) AS id_tiempo FROM m03 WHERE abs(ajuste_pct) >= 15.0"""
@@ -101,10 +101,10 @@ def _owner_sql(col="tipo") -> str:
 
 
 @register("m07_churn_predictions", "WITH " + PB.BIZ_CTES + PB.M01_SQL + f"""SELECT
-    'churn-{AL.CHURN_MODEL}-{PB.SCORING_PERIOD}' AS corrida, CAST(id_cliente AS VARCHAR) AS id_entidad, nombre, score,
-    nivel, score >= {AL.CHURN_THRESHOLD} OR nivel = 'Alto' AS supera_umbral FROM {_TOP25} t""")
+    'churn-{AL.CHURN_MODEL}-' || CAST({PB.LATEST} AS VARCHAR) AS corrida, CAST(id_cliente AS VARCHAR) AS id_entidad, nombre, score,
+    nivel, score >= {AL.CHURN_THRESHOLD} OR nivel = 'Alto' AS supera_umbral FROM m01""")
 def m07_churn_predictions(spark, sf_dir):
-    p = AL.churn_predictions(_top_churn(spark, sf_dir), PB.SCORING_PERIOD, RUN_DATE)
+    p = AL.churn_predictions(_churn(spark, sf_dir), _period(spark, sf_dir), RUN_DATE)
     return p.select("corrida", "id_entidad", "nombre", "score", "nivel", "supera_umbral")
 
 

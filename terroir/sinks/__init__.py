@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 
 # Export headers (K12) in output order.
 EXPORT_HEADERS = ["titulo", "pais", "variedad", "bodega", "provincia", "region", "catador", "puntos", "precio"]
-EXPORT_CAP = 50_000
-EXPORT_DEFAULT = 10_000
 
 
 # ---------------------------------------------------------------- K01/K02
@@ -46,16 +44,11 @@ def snapshot(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def refresh(tables: dict[str, DataFrame], base: str, order: list[str] | None = None,
-            fact_limit: int | None = None, fact: str | None = None, fact_id: str | None = None) -> list[str]:
-    """Ordered full refresh (dimensions first, then the fact); an
-    optional fact row cap keeps the first ``fact_limit`` ids."""
+def refresh(tables: dict[str, DataFrame], base: str, order: list[str] | None = None) -> list[str]:
+    """Ordered full refresh (dimensions first, then the fact)."""
     names = order or sorted(tables, key=lambda n: (not n.startswith("dim"), n))
     for n in names:
-        df = tables[n]
-        if n == fact and fact_limit is not None:
-            df = df.orderBy(fact_id).limit(fact_limit)
-        df.write.mode("overwrite").parquet(f"{base.rstrip('/')}/{n}")
+        tables[n].write.mode("overwrite").parquet(f"{base.rstrip('/')}/{n}")
     return names
 
 
@@ -160,15 +153,16 @@ def append(df: DataFrame, path: str) -> None:
 
 
 # ---------------------------------------------------------------- K12
-def export_rows(star_rows: DataFrame, limit: int = EXPORT_DEFAULT) -> DataFrame:
+def export_rows(star_rows: DataFrame, limit: int | None = None) -> DataFrame:
     """Export projection — 9 Spanish headers, points int, price with
-    2 decimals or '' when 0/NULL, by points desc, at most 50 000 rows."""
-    n = max(1, min(int(limit or EXPORT_DEFAULT), EXPORT_CAP))
+    2 decimals or '' when 0/NULL, by points desc; every row unless the caller
+    asks for the first ``limit``."""
     price = F.when(F.col("price") > 0, F.format_string("%.2f", F.col("price").cast("double"))).otherwise(F.lit(""))
-    return (star_rows.orderBy(F.col("points").desc(), F.col("id_resena").asc()).limit(n)
+    rows = star_rows.orderBy(F.col("points").desc(), F.col("id_resena").asc())
+    return ((rows if limit is None else rows.limit(limit))
             .select(F.col("title").alias("titulo"), "pais", "variedad", "bodega", "provincia", "region",
                     "catador", F.col("points").cast("int").alias("puntos"), price.alias("precio")))
 
 
 def export_csv(rows: DataFrame, path: str) -> None:
-    rows.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    rows.write.mode("overwrite").option("header", True).csv(path)

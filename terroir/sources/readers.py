@@ -93,22 +93,24 @@ def normalise_columns(df: DataFrame, required: list[str] = REQUIRED_REVIEW_COLUM
     return df.withColumns({c: F.lit(None).cast("string") for c in required if c not in df.columns})
 
 
-def read_reviews_csv(spark: SparkSession, path: str, offset: int = 0) -> DataFrame:
+def read_reviews_csv(spark: SparkSession, path: str, offset: int = 0, max_description: int | None = None) -> DataFrame:
     """Lenient review CSV → record-normalised rows (strings '' for NULL,
-    description cut to 2000, points int 0 default, price 0.0 default).
-    ``offset`` skips the first rows by file order (resume)."""
-    df = normalise_columns(spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-                           .csv(path))
+    points int 0 default, price 0.0 default; the whole description unless
+    ``max_description`` asks for a cut).  ``offset`` skips the first rows in
+    the order of file path and row (resume)."""
+    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     if offset:
-        # file order: the scan id grows with (file split, row); numbered by the
-        # scalable two-pass ids, then the first ``offset`` rows are skipped
+        # scan order follows file sizes, so the resume order is named: path, then
+        # row inside the file (a multi-line file is one split, so ids grow with its rows)
         from terroir.operators.ids import global_row_number
-        df = global_row_number(df.withColumn("_scan", F.monotonically_increasing_id()), ["_scan"], "_row")
-        df = df.filter(F.col("_row") > offset)
+        raw = raw.withColumns({"_path": F.col("_metadata.file_path"), "_scan": F.monotonically_increasing_id()})
+        raw = global_row_number(raw, ["_path", "_scan"], "_row").filter(F.col("_row") > offset).drop("_path", "_scan", "_row")
+    df = normalise_columns(raw)
     text = [c for c in REQUIRED_REVIEW_COLUMNS if c not in ("points", "price")]
     return df.select(
         *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in text if c != "description"],
-        truncate(F.coalesce(F.col("description"), F.lit("")), 2000).alias("description"),
+        (F.coalesce(F.col("description"), F.lit("")) if max_description is None
+         else truncate(F.coalesce(F.col("description"), F.lit("")), max_description)).alias("description"),
         lenient_int("points").alias("points"), lenient_price("price").cast("double").alias("price"))
 
 

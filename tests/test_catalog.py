@@ -30,6 +30,18 @@ def test_publication_versions_case23(spark):
     assert out2[2] == "DESPUBLICADO"
 
 
+def test_publication_version_after_unpublish(spark):
+    d = lambda h: datetime(2026, 6, 1, h)
+    acts = ["publicar", "despublicar", "publicar", "listo", "publicar", "publicar", "despublicar", "despublicar"]
+    req = spark.createDataFrame([("d1", "acme", "acme", a, d(10 + i), i) for i, a in enumerate(acts)],
+                                "dashboard string, cuenta string, propietario string, accion string, fecha timestamp, seq int")
+    s = seals(spark, [("dw", True, "2026-06-01 09:00:00", 24.0), ("dw", False, "2026-05-31 09:00:00", 240.0)])
+    out = sorted((r.seq, r.veredicto, r.version, r.estado_version) for r in CT.publication_verdicts(req, s, subs(spark)).collect())
+    assert out == [(0, "aceptada", 1, "DESPUBLICADO"), (1, "aceptada", None, None), (2, "estado_invalido", None, None),
+                   (3, "aceptada", None, None), (4, "aceptada", 1, "REEMPLAZADA"), (5, "aceptada", 2, "DESPUBLICADO"),
+                   (6, "aceptada", None, None), (7, "publicacion_inexistente", None, None)]
+
+
 def test_publication_gate_tenant_and_seal_case24(spark):
     d = lambda h: datetime(2026, 6, 1, h)
     req = spark.createDataFrame([("d1", "acme", "otro", "publicar", d(10), 1), ("d2", "acme", "acme", "publicar", d(8), 2)],

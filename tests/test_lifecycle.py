@@ -63,10 +63,36 @@ def test_ticket_sla_case29_30(spark):
     out = {r.ticket: r for r in L.ticket_sla(df).collect()}
     assert out["t1"].minutos_primera_respuesta == 30.0 and out["t1"].minutos_resolucion == 120.0
     assert out["t1"].estado_final == "CERRADO"
+    assert out["t2"].minutos_resolucion == 1.0             # a direct CERRADO sets the minutes
     # CERRADO → EN_PROCESO rejected, → REABIERTO accepted
     assert out["t2"].rechazados == 2 and out["t2"].estado_final == "REABIERTO"
 
 
+def test_ticket_resolution_is_rewritten(spark):
+    d = lambda h, m: datetime(2026, 6, 1, h, m)
+    rows = [("a", d(9, 0), 1, "ABIERTO"), ("a", d(10, 0), 2, "RESUELTO"), ("a", d(10, 30), 3, "REABIERTO"),
+            ("a", d(12, 0), 4, "RESUELTO"), ("a", d(12, 5), 5, "CERRADO"),
+            ("b", d(9, 0), 1, "ABIERTO"), ("b", d(9, 10), 2, "CERRADO"), ("b", d(9, 20), 3, "REABIERTO"), ("b", d(9, 30), 4, "CERRADO"),
+            ("c", d(9, 0), 1, "ABIERTO"), ("c", d(10, 0), 2, "RESUELTO"), ("c", d(10, 5), 3, "REABIERTO"), ("c", d(11, 0), 4, "CERRADO")]
+    df = spark.createDataFrame(rows, "ticket string, fecha timestamp, seq int, estado_solicitado string")
+    assert {r.ticket: r.minutos_resolucion for r in L.ticket_sla(df).collect()} == {"a": 180.0, "b": 10.0, "c": 60.0}
+
+
+def test_stage_counts_once_per_lead(spark):
+    d = lambda i: datetime(2026, 6, 1, 10, i)
+    leads = L.first_touch(spark.createDataFrame([(k, "A", "pago", "CL", d(0), 0) for k in ("x", "y")],
+                          "clave string, campana string, canal string, mercado string, fecha timestamp, seq int"))
+    rows = [("x", "PERDIDO", d(1), 1), ("x", "CLIENTE", d(2), 2), ("x", "PERDIDO", d(3), 3),
+            ("y", "OPORTUNIDAD", d(1), 4), ("y", "PERDIDO", d(2), 5), ("y", "OPORTUNIDAD", d(3), 6), ("y", "OTRA", d(4), 7),
+            ("z", "CLIENTE", d(1), 8)]
+    acc, rej = L.attribute_conversions(spark.createDataFrame(rows, "lead string, etapa string, fecha timestamp, seq int"), leads)
+    assert {r.lead: r.etapa for r in L.lead_stage(acc).collect()} == {"x": "CLIENTE", "y": "PERDIDO"}
+    assert {(r.lead, r.motivo) for r in rej.collect()} == {("y", "etapa_invalida"), ("z", "lead_inexistente")}
+    accounts = L.accounts_from_conversions(acc.withColumn("id_tiempo", F.lit(202606)),
+                                           spark.createDataFrame([(7, "x", "")], "id int, id_fiscal string, email string"))
+    assert [(r.id_fiscal, r.id_existente, r.resultado) for r in accounts.collect()] == [("x", 7, "duplicada")]
+
+
 def test_subscription_ledger_case42_43(spark):
     plans = spark.createDataFrame([("Básico", 49.0), ("Profesional", 149.0), ("Enterprise", 499.0)],
                                   "nombre string, precio_mensual double")

@@ -83,14 +83,14 @@ def test_publish_and_export(spark):
                                  "provincia string, region string, catador string, points int, price double")
     out = K.export_rows(rows, 10).collect()
     assert [r.precio for r in out] == ["12.50", ""] and out[0].puntos == 95
-    assert K.export_rows(rows, 10 ** 9).count() == 2     # cap min(limit, 50 000)
+    assert K.export_rows(rows).count() == 2 and K.export_rows(rows, 1).count() == 1     # no cap of its own
 
 
 def test_refresh_replace_period_archive_records(spark, tmp):
     dims = spark.createDataFrame([(1, "a")], "id int, nombre string")
     fact = spark.createDataFrame([(i, 1) for i in range(10)], "id_resena long, id int")
-    order = K.refresh({"fact": fact, "dim_x": dims}, tmp, fact_limit=3, fact="fact", fact_id="id_resena")
-    assert order[0] == "dim_x" and spark.read.parquet(f"{tmp}/fact").count() == 3
+    order = K.refresh({"fact": fact, "dim_x": dims}, tmp)
+    assert order[0] == "dim_x" and spark.read.parquet(f"{tmp}/fact").count() == 10
     p = f"{tmp}/disp"
     K.replace_period(spark.createDataFrame([(202605, 1), (202606, 2)], "id_tiempo int, v int"), p)
     K.replace_period(spark.createDataFrame([(202606, 9)], "id_tiempo int, v int"), p)
