@@ -49,76 +49,84 @@ def _r4(c: Column) -> Column:
     return round_half_up(c, 4)
 
 
-def _ratio(num: Column, den: Column, zero=0.0) -> Column:
-    return F.when(den == 0, F.lit(zero)).otherwise(num.cast("double") * 100.0 / den.cast("double"))
-
-
-def _sum0(c) -> Column:
-    return F.coalesce(F.sum(c), F.lit(0))
+def _measures(fact: DataFrame, **aggregates: Column) -> DataFrame:
+    """(medida, v): one row per named aggregate of ``fact`` (a one-row aggregate, stacked)."""
+    one = fact.agg(*[a.cast("double").alias(k) for k, a in aggregates.items()])
+    rows = F.array(*[F.struct(F.lit(k).alias("medida"), F.col(k).alias("v")) for k in aggregates])
+    return one.select(F.inline(rows))
+
+
+def _mean_of(value: str, cond: Column) -> dict[str, Column]:
+    """The two exact sums behind a mean of ``value`` over the rows of ``cond``."""
+    return {f"{value}_suma": F.sum(F.when(cond, F.col(value))), f"{value}_filas": F.count_if(cond)}
+
+
+def scorecard_measures(s: Facts, reviews_fact: DataFrame, latest: int) -> DataFrame:
+    """The base sums and counts of A08, one row per measure (J08): every fact
+    is scanned once at a literal period, and the KPIs are formulas over them."""
+    now = F.col("id_tiempo") == latest
+    billed = s["fact_suscripcion"].filter(F.col("id_tiempo").isin(latest, latest - 100) & (F.col("es_churn") == 0))
+    recent = s["fact_suscripcion"].join(last_periods(s["dim_tiempo"], 3), "id_tiempo", "left_semi")
+    at = {n: s[f"fact_{n}"].filter(now) for n in ("consumo_api", "conversion", "retencion", "disponibilidad",
+                                                  "uso_plataforma", "aprendizaje")}
+    nps = F.col("nps_score")
+    parts = [
+        _measures(billed, ingreso=F.sum(F.when(now, F.col("mrr"))), ingreso_hace_un_ano=F.sum(F.when(~now, F.col("mrr")))),
+        _measures(recent, altas=F.sum("es_nuevo")),
+        _measures(at["consumo_api"], ingreso_api=F.sum("ingreso_api")),
+        _measures(at["conversion"], ganados=F.sum("conversiones"), captados=F.sum("leads"),
+                  **_mean_of("cac", F.col("conversiones") > 0)),
+        _measures(at["retencion"], vigentes=F.sum("activo"), bajas=F.sum("cancelacion"), **_mean_of("ltv", F.col("activo") == 1)),
+        _measures(at["disponibilidad"], nube=F.sum("costo_cloud"),
+                  **{k: v for c in ("uptime", "time_to_market_dias", "latencia_ms")
+                     for k, v in _mean_of(c, F.col(c).isNotNull()).items()}),
+        _measures(at["uso_plataforma"], promotores=F.count_if(nps >= 9), detractores=F.count_if(nps.between(0, 6)),
+                  encuestados=F.count_if(nps >= 0), asientos_usados=F.sum("usuarios_activos"), asientos=F.sum("usuarios_totales")),
+        _measures(reviews_fact, resenas=F.count(F.lit(1)), resenas_en_rango=F.count_if(F.col("points").between(80, 100))),
+        _measures(at["aprendizaje"], **{c: F.max(c) for c in ("horas_capacitacion", "decisiones_data_driven",
+                                                              "tecnologias_adoptadas", "rotacion_personal",
+                                                              "modelos_ml_produccion")}),
+    ]
+    return reduce(DataFrame.unionAll, parts)
 
 
 def scorecard_kpis(s: Facts, reviews_fact: DataFrame, latest: int | None = None) -> DataFrame:
     """One-row KPI vector at ``latest`` (formulas of §2.5.1)."""
     t = s["dim_tiempo"]
     latest = latest or latest_period(t)
-    prev = latest - 100
-    at = F.col("id_tiempo") == latest
-    sus = s["fact_suscripcion"].filter(F.col("id_tiempo").isin(latest, prev) & (F.col("es_churn") == 0)).agg(
-        _sum0(F.when(at, F.col("mrr"))).cast("double").alias("mrr_now"),
-        _sum0(F.when(F.col("id_tiempo") == prev, F.col("mrr"))).cast("double").alias("mrr_prev"))
-    nuevos = (s["fact_suscripcion"].join(last_periods(t, 3), "id_tiempo", "left_semi")
-              .agg(_sum0("es_nuevo").alias("nuevos_trim")))
-    api = s["fact_consumo_api"].filter(at).agg(_sum0("ingreso_api").cast("double").alias("api_now"))
-    conv = s["fact_conversion"].filter(at).agg(
-        F.coalesce(exact_avg(F.sum(F.when(F.col("conversiones") > 0, F.col("cac"))),
-                             F.count(F.when(F.col("conversiones") > 0, 1))), F.lit(0.0)).alias("cac_now"),
-        _sum0("conversiones").alias("conv_num"), _sum0("leads").alias("conv_den"))
-    ret = s["fact_retencion"].filter(at).agg(
-        F.coalesce(exact_avg(F.sum(F.when(F.col("activo") == 1, F.col("ltv"))),
-                             F.count(F.when(F.col("activo") == 1, 1))), F.lit(0.0)).alias("ltv_now"),
-        _sum0("activo").alias("activos"), _sum0("cancelacion").alias("cancel"))
-    disp = s["fact_disponibilidad"].filter(at).agg(
-        _sum0("costo_cloud").cast("double").alias("cloud"),
-        F.coalesce(exact_avg(F.sum("uptime"), F.count("uptime")), F.lit(0.0)).alias("uptime"),
-        F.coalesce(exact_avg(F.sum("time_to_market_dias"), F.count("time_to_market_dias")), F.lit(0.0)).alias("ttm"),
-        F.coalesce(exact_avg(F.sum("latencia_ms"), F.count("latencia_ms")), F.lit(0.0)).alias("lat"))
-    uso = s["fact_uso_plataforma"].filter(at).agg(
-        F.count(F.when(F.col("nps_score") >= 9, 1)).alias("nps_prom"),
-        F.count(F.when(F.col("nps_score").between(0, 6), 1)).alias("nps_det"),
-        F.count(F.when(F.col("nps_score") >= 0, 1)).alias("nps_tot"),
-        _sum0("usuarios_activos").alias("ua"), _sum0("usuarios_totales").alias("ut"))
-    cal = reviews_fact.agg(F.count(F.when(F.col("points").between(80, 100), 1)).alias("cal_ok"),
-                           F.count(F.lit(1)).alias("cal_tot"))
-    apr = s["fact_aprendizaje"].filter(at).agg(
-        *[F.coalesce(F.max(c).cast("double"), F.lit(0.0)).alias(a) for c, a in (
-            ("horas_capacitacion", "horas"), ("decisiones_data_driven", "ddd"), ("tecnologias_adoptadas", "tecno"),
-            ("rotacion_personal", "rota"), ("modelos_ml_produccion", "mlmod"))])
-    per = t.filter(at).agg(F.max("periodo").alias("periodo"))
-    # every part is a 1-row aggregate, combined as scalar subqueries
-    parts = [sus, nuevos, api, conv, ret, disp, uso, cal, apr]
-    b = per.select("periodo", *[one_row(p).alias(f"_p{i}") for i, p in enumerate(parts)])
-    b = b.select("periodo", *[F.col(f"_p{i}.{c}").alias(c) for i, p in enumerate(parts) for c in p.columns])
-    act1 = F.when(F.col("activos") == 0, F.lit(1)).otherwise(F.col("activos"))
-    return b.filter(F.col("periodo").isNotNull()).select(
-        "periodo",
-        act1.cast("int").alias("clientes_activos"),
-        round_half_up("mrr_now", 2).alias("mrr_actual"),
-        _r4(F.when(F.col("mrr_prev") == 0, F.lit(0.0))
-            .otherwise(((F.col("mrr_now") / F.col("mrr_prev")) - 1) * 100)).alias("mrr_growth"),
-        _r4(F.when((F.col("mrr_now") + F.col("api_now")) == 0, F.lit(0.0))
-            .otherwise(F.col("api_now") / (F.col("mrr_now") + F.col("api_now")) * 100)).alias("api_share"),
-        round_half_up("cac_now", 2).alias("cac"),
-        _r4(F.when(F.col("cac_now") == 0, F.lit(0.0)).otherwise(F.col("ltv_now") / F.col("cac_now"))).alias("ltv_cac"),
-        _r4(F.col("cloud") / act1.cast("double")).alias("cloud_cli"),
-        _r4(_ratio(F.col("conv_num"), F.col("conv_den"))).alias("conversion"),
-        _r4(_ratio(F.col("cancel"), F.col("activos") + F.col("cancel"))).alias("churn"),
-        _r4(_ratio(F.col("nps_prom") - F.col("nps_det"), F.col("nps_tot"))).alias("nps"),
-        _r4(_ratio(F.col("ua"), F.col("ut"))).alias("adopcion"),
-        round_half_up("nuevos_trim", 2).alias("nuevos_trim"),
-        _r4(F.col("uptime")).alias("uptime"), _r4(F.col("ttm")).alias("ttm"), _r4(F.col("lat")).alias("latencia"),
-        _r4(_ratio(F.col("cal_ok"), F.col("cal_tot"), 100.0)).alias("calidad"),
-        _r4(F.col("horas")).alias("horas"), _r4(F.col("ddd")).alias("ddd"), _r4(F.col("mlmod")).alias("mlmod"),
-        _r4(F.col("rota")).alias("rotacion"), _r4(F.col("tecno")).alias("tecno"))
+    all_of = scorecard_measures(s, reviews_fact, latest).agg(
+        F.map_from_entries(F.collect_list(F.struct("medida", F.coalesce("v", F.lit(0.0))))).alias("m"))
+    row = (t.filter(F.col("id_tiempo") == latest).agg(F.max("periodo").alias("periodo"))
+           .select("periodo", one_row(all_of)["m"].alias("m")).filter(F.col("periodo").isNotNull()))
+
+    def v(name: str) -> Column:
+        return F.element_at("m", name)
+
+    def share(part: Column, whole: Column, scale: float = 100.0, empty: float = 0.0) -> Column:
+        return F.when(whole == 0, F.lit(empty)).otherwise(part * scale / whole)
+
+    def mean(name: str) -> Column:
+        return share(v(f"{name}_suma"), v(f"{name}_filas"), 1.0)
+    clients = F.greatest(v("vigentes"), F.lit(1.0))
+    growth = F.when(v("ingreso_hace_un_ano") == 0, F.lit(0.0)).otherwise((v("ingreso") / v("ingreso_hace_un_ano") - 1) * 100)
+    both = v("ingreso") + v("ingreso_api")
+    api = F.when(both == 0, F.lit(0.0)).otherwise(v("ingreso_api") / both * 100)
+    kpis = {
+        "mrr_growth": growth, "api_share": api, "ltv_cac": share(mean("ltv"), mean("cac"), 1.0),
+        "cloud_cli": v("nube") / clients, "conversion": share(v("ganados"), v("captados")),
+        "churn": share(v("bajas"), v("vigentes") + v("bajas")),
+        "nps": share(v("promotores") - v("detractores"), v("encuestados")),
+        "adopcion": share(v("asientos_usados"), v("asientos")),
+        "uptime": mean("uptime"), "ttm": mean("time_to_market_dias"), "latencia": mean("latencia_ms"),
+        "calidad": share(v("resenas_en_rango"), v("resenas"), empty=100.0),
+        "horas": v("horas_capacitacion"), "ddd": v("decisiones_data_driven"), "mlmod": v("modelos_ml_produccion"),
+        "rotacion": v("rotacion_personal"), "tecno": v("tecnologias_adoptadas"),
+    }
+    money = {"mrr_actual": v("ingreso"), "cac": mean("cac"), "nuevos_trim": v("altas")}
+    order = ["mrr_actual", "mrr_growth", "api_share", "cac", "ltv_cac", "cloud_cli", "conversion", "churn", "nps", "adopcion",
+             "nuevos_trim", "uptime", "ttm", "latencia", "calidad", "horas", "ddd", "mlmod", "rotacion", "tecno"]
+    return row.select("periodo", clients.cast("int").alias("clientes_activos"),
+                      *[(round_half_up(money[k], 2) if k in money else _r4(kpis[k])).alias(k) for k in order])
 
 
 # ------------------------------------------------------------------ A09
