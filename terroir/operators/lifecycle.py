@@ -2,13 +2,10 @@
 
 Per-key state machines are *sequential*, so they cannot be a plain
 aggregate.  The batch form never gathers a key's history into one row or
-one pandas frame: rows are hash-partitioned by key and sorted by (key,
-time) by Spark (external sort, spills), then ``mapInPandas`` streams the
-sorted Arrow batches through a small fold that keeps only the *current*
-key's state (the state machine's state, or the ≤ N accepted timestamps of
-the rate limiter).  A hot key is therefore processed by one task — which the
-sequential semantics require — with bounded memory.  The streaming form
-(``terroir.streaming``) keeps the same state in the state store.
+one pandas frame: rows are range-partitioned and sorted by (key, time), then
+``mapInPandas`` streams the sorted Arrow batches through a small fold that
+keeps only the *current* key's state; a hot key spans many partitions (see
+``replay``).
 
 Where the fold has a closed form (lead stage, first touch, onboarding
 counts, entitlement, account dedup) it is written with aggregates instead.
@@ -16,8 +13,6 @@ counts, entitlement, account dedup) it is written with aggregates instead.
 
 from __future__ import annotations
 
-from collections import deque
-
 import pandas as pd
 
 from pyspark.sql import DataFrame, Window
@@ -55,10 +50,6 @@ REPLAY_FIELDS = [T.StructField("estado_anterior", T.StringType()), T.StructField
                  T.StructField("paso", T.LongType())]
 
 
-def _sorted_by_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    return df.repartition(key).sortWithinPartitions(key, *order)
-
-
 def replay(events: DataFrame, key: str, order: list[str], target: str, transitions: dict[str, list[str]],
            init: str, num_partitions: int | None = None) -> DataFrame:
     """Fold each key's time-ordered requested targets over a transition
@@ -184,40 +175,19 @@ def final_state(replayed: DataFrame, key: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- T05 / A22
-def rate_limit(requests: DataFrame, key: str = "user_id", ts: str = "ts", n: int = 60, window_s: float = 60.0,
-               tie: str | None = None) -> DataFrame:
-    """Sliding-log limiter — accept iff fewer than ``n`` *accepted*
-    requests of the key in (t - window, t].  Rejected requests do not count.
-    State per key: the ≤ n accepted timestamps (a deque)."""
-    window_us = int(window_s * 1_000_000)
-    order = [ts] + ([tie] if tie else [])
-    df = requests.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
-    out_schema = T.StructType(df.schema.fields + [T.StructField("aceptada", T.BooleanType())])
-
-    def fold(batches):
-        cur_key, acc = object(), deque()
-        for pdf in batches:
-            keys = pdf[key].tolist()
-            times = pdf["_us"].tolist()
-            ok = []
-            for k, t in zip(keys, times):
-                if k != cur_key:
-                    cur_key, acc = k, deque()
-                while acc and t - acc[0] >= window_us:
-                    acc.popleft()
-                if len(acc) < n:
-                    acc.append(t)
-                    ok.append(True)
-                else:
-                    ok.append(False)
-            yield pdf.assign(aceptada=ok)
-    return _sorted_by_key(df, key, order).mapInPandas(fold, out_schema).drop("_us")
-
-
-def api_usage(limited: DataFrame, key: str = "user_id") -> DataFrame:
-    """Accepted / rejected calls per key (the total is a rollup row)."""
-    return (limited.rollup(key).agg(F.count_if("aceptada").alias("aceptadas"),
-                                    F.count_if(~F.col("aceptada")).alias("rechazadas"))
+def request_windows(requests: DataFrame, key: str = "user_id", ts: str = "ts", n: int = 60,
+                    window_s: float = 60.0) -> DataFrame:
+    """T05, re-aimed: the requests of the key in (t - window, t] and whether
+    they exceed ``n``.  A plain range window over the log; the server's
+    admission decisions themselves are not replayed."""
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    w = Window.partitionBy(key).orderBy(us).rangeBetween(-int(window_s * 1_000_000) + 1, Window.currentRow)
+    return requests.withColumn("en_ventana", F.count(F.lit(1)).over(w)).withColumn("excede", F.col("en_ventana") > n)
+
+
+def api_usage(windows: DataFrame, key: str = "user_id") -> DataFrame:
+    """A22, re-aimed: calls per key, and how many came above the limit (the total is a rollup row)."""
+    return (windows.rollup(key).agg(F.count(F.lit(1)).alias("llamadas"), F.count_if("excede").alias("excedidas"))
             .withColumn("ambito", F.when(F.col(key).isNull(), F.lit("total")).otherwise(F.lit("clave"))))
 
 

@@ -203,8 +203,8 @@ def scorecard_series(s: Facts, latest: int | None = None) -> DataFrame:
         _series(P["ret"], "cliente", "churn", c("cancel") * 100.0 / F.nullif(c("activo") + c("cancel"), F.lit(0))),
         _series(P["uso"], "cliente", "nps", (c("prom") - c("det")) * 100.0 / F.nullif(c("tot"), F.lit(0))),
     ]
-    emb = conv.filter(at).agg(_sum0("leads").alias("leads"), _sum0("oportunidades").alias("oportunidades"),
-                              _sum0("conversiones").alias("conversiones"))
+    emb = conv.filter(at).agg(F.coalesce(F.sum("leads"), F.lit(0)).alias("leads"), F.coalesce(F.sum("oportunidades"), F.lit(0)).alias("oportunidades"),
+                              F.coalesce(F.sum("conversiones"), F.lit(0)).alias("conversiones"))
     stacked = F.expr("stack(3, 'leads', 0, leads, 'oportunidades', 1, oportunidades, "
                      "'conversiones', 2, conversiones) as (etiqueta, orden, v)")
     parts.append(emb.select(stacked).select(

@@ -157,47 +157,35 @@ def p09_audit_search(spark, sf_dir):
                         action_col="event_type", ts_col="ts", id_col="event_id")
 
 
-# ====================================================== T05 / A22 (sequential; recursive-CTE oracles)
+# ====================================================== T05 / A22 (re-aimed: sliding counts)
 def _limit_sql(n: int, window_s: int) -> str:
-    """Oracle twin of the sliding-log limiter: per user a recursive CTE that
-    carries the list of accepted timestamps of the last window."""
-    w = window_s * 1_000_000
-    keep = f"list_filter(r.acc, lambda x: e.us - x < {w})"
-    return f"""WITH RECURSIVE
-ev AS (SELECT event_id, user_id, ts, epoch_us(ts) AS us,
-              row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
-r AS (SELECT e.user_id, e.rn, {n} > 0 AS aceptada, CASE WHEN {n} > 0 THEN [e.us] ELSE [] END AS acc
-      FROM ev e WHERE e.rn = 1
-      UNION ALL
-      SELECT e.user_id, e.rn, len({keep}) < {n},
-             CASE WHEN len({keep}) < {n} THEN list_append({keep}, e.us) ELSE {keep} END
-      FROM r JOIN ev e ON e.user_id = r.user_id AND e.rn = r.rn + 1),
-lim AS (SELECT ev.event_id, ev.user_id, ev.ts, r.aceptada FROM ev JOIN r ON r.user_id = ev.user_id AND r.rn = ev.rn)
+    return f"""WITH lim AS (SELECT event_id, user_id, ts, en_ventana, en_ventana > {n} AS excede FROM (
+  SELECT event_id, user_id, ts, count(*) OVER (PARTITION BY user_id ORDER BY epoch_us(ts)
+         RANGE BETWEEN {window_s * 1_000_000 - 1} PRECEDING AND CURRENT ROW) AS en_ventana FROM events) x)
 """
 
 
-@register("t05_rate_limit", _limit_sql(60, 60) + "SELECT * FROM lim")
-def t05_rate_limit(spark, sf_dir):
-    """Reference parameters: 60 accepted requests per key per 60 s."""
+def _windows(spark, sf_dir, n: int, window_s: float) -> DataFrame:
     e = T.table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    return L.rate_limit(e, "user_id", "ts", 60, 60.0, tie="event_id")
+    return L.request_windows(e, "user_id", "ts", n, window_s)
 
 
-def _hourly3(spark, sf_dir):
-    e = T.table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    return L.rate_limit(e, "user_id", "ts", 3, 3600.0, tie="event_id")
+@register("t05_rate_limit", _limit_sql(60, 60) + "SELECT * FROM lim")
+def t05_rate_limit(spark, sf_dir):
+    """Reference parameters: 60 requests per key per 60 s."""
+    return _windows(spark, sf_dir, 60, 60.0)
 
 
 @register("t05_rate_limit_3_per_hour", _limit_sql(3, 3600) + "SELECT * FROM lim")
 def t05_rate_limit_3_per_hour(spark, sf_dir):
-    return _hourly3(spark, sf_dir)
+    return _windows(spark, sf_dir, 3, 3600.0)
 
 
-@register("a22_api_usage", _limit_sql(3, 3600) + """SELECT user_id, count(CASE WHEN aceptada THEN 1 END) AS aceptadas,
-    count(CASE WHEN NOT aceptada THEN 1 END) AS rechazadas,
-    CASE WHEN user_id IS NULL THEN 'total' ELSE 'clave' END AS ambito FROM lim GROUP BY ROLLUP (user_id)""")
+@register("a22_api_usage", _limit_sql(3, 3600) + """SELECT user_id, count(*) AS llamadas,
+    count(*) FILTER (WHERE excede) AS excedidas, CASE WHEN user_id IS NULL THEN 'total' ELSE 'clave' END AS ambito
+    FROM lim GROUP BY ROLLUP (user_id)""")
 def a22_api_usage(spark, sf_dir):
-    return L.api_usage(_hourly3(spark, sf_dir), "user_id")
+    return L.api_usage(_windows(spark, sf_dir, 3, 3600.0), "user_id")
 
 
 # ====================================================== T00 / T10 (sequential: rows-only)

@@ -46,6 +46,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _snapshot(spark: SparkSession, fs, path) -> str:
+    """One token for all files below ``path``: a single JVM call returns the
+    tree's file count and bytes, then only directories are visited, for their
+    newest change (a file added, replaced or removed anywhere moves one of them)."""
+    summary = fs.getContentSummary(path)
+    marks = [f"{summary.getFileCount()}:{summary.getDirectoryCount()}:{summary.getLength()}"]
+    folders = [fs.getFileStatus(path)]
+    while folders:
+        st = folders.pop()
+        marks.append(f"{st.getPath().toString()}:{st.getModificationTime()}")
+        if st.isDirectory() and summary.getDirectoryCount() > 1:
+            folders += [x for x in fs.listStatus(st.getPath()) if x.isDirectory()]
+    return "|".join(sorted(marks))
+
+
 def fingerprint(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
     import os
     h = hashlib.sha1((CODE_VERSION + os.environ.get("TERROIR_BUILD_SALT", "")).encode())
@@ -55,8 +70,7 @@ def fingerprint(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
         if not fs.exists(p):
             h.update(f"{n}:missing".encode())
             continue
-        for st in fs.listStatus(p):
-            h.update(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}".encode())
+        h.update(_snapshot(spark, fs, p).encode())
     h.update(sf_dir.encode())
     return h.hexdigest()[:16]
 
@@ -84,25 +98,15 @@ def materialized(spark: SparkSession, name: str, key: str, build: Callable[[], D
     return spark.read.parquet(final)
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small text file atomically (temp + rename) via Hadoop FS."""
+def complete_children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the written tables (folders with a success marker) below ``path``, sorted."""
     fs, p = _fs(spark, path)
-    _, tmp = _fs(spark, f"{path}.tmp-{uuid.uuid4().hex[:8]}")
-    out = fs.create(tmp, True)
-    out.write(bytearray(text.encode("utf-8")))
-    out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    return sorted(n for n in names if exists(spark, f"{path.rstrip('/')}/{n}/_SUCCESS"))
 
 
-def read_text(spark: SparkSession, path: str) -> str | None:
+def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    jvm = spark._jvm
-    stream = fs.open(p)
-    try:
-        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
+    fs.delete(p, True)

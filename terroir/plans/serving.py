@@ -29,7 +29,7 @@ def serving_table(spark: SparkSession, sf_dir: str, name: str, compute) -> DataF
 
     def published():
         df = compute()
-        return publish(df, _spec(df)).coalesce(1)       # a serving aggregate is small: one file
+        return publish(df, _spec(df))                   # AQE sizes the files
     materialized(spark, f"serving_{name}", key, published)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/terroir/serving_{name}-{key}"
     return read_serving(spark, path, compute, name=f"serving_{name}").drop("fuente")

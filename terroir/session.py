@@ -45,21 +45,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting names shared storage and is used as is.  Only
-    when it is unset (local tests) a private scratch folder is created.
+    for a local master, where it may be unset (tests), a private scratch
+    folder is created; elsewhere a machine-local folder would lose files.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="terroir-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "terroir", name)

@@ -1,15 +1,14 @@
 """Writers (K01-K13).
 
 Plain Parquet has no MERGE: keyed upserts compute the merged table with a
-full outer join and write it to a *new version directory*; a small pointer
-file names the live version (readers never see a half-written table and a
-plan never overwrites the path it reads).  Partition-scoped replacement uses
+full outer join and write it to a *new version directory*; the highest
+complete version is the live one (readers never see a half-written table and
+a plan never overwrites the path it reads).  Partition-scoped replacement uses
 ``partitionOverwriteMode=dynamic``.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 from functools import reduce
 
@@ -107,29 +106,37 @@ def merge_frames(target: DataFrame, src: DataFrame, keys: list[str], keep_from_t
     return j.select(*cols)
 
 
-def _pointer(path: str) -> str:
-    return f"{path.rstrip('/')}/_CURRENT"
+KEEP_VERSIONS = 3
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    from terroir.plans.materialize import complete_children
+    return [n for n in complete_children(spark, path) if n.startswith("v-")]
 
 
 def read_versioned(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    """The live version of a versioned table (None when it has none yet)."""
-    from terroir.plans.materialize import read_text
-    txt = read_text(spark, _pointer(path))
-    if not txt:
+    """The live version of a versioned table (None when it has none yet): the
+    highest complete one.  There is no pointer to swap, so a crash at any
+    moment leaves the version before it readable."""
+    found = _versions(spark, path)
+    if not found:
         return None
-    version = json.loads(txt)["version"]
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
-    return r.parquet(f"{path.rstrip('/')}/{version}")
+    return r.parquet(f"{path.rstrip('/')}/{found[-1]}")
 
 
 def write_version(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
-    """Write ``df`` as a new version directory, then swap the pointer."""
-    from terroir.plans.materialize import write_text
-    version = f"v-{uuid.uuid4().hex[:12]}"
-    df.write.mode("errorifexists").parquet(f"{path.rstrip('/')}/{version}")
-    write_text(spark, _pointer(path), json.dumps({"version": version}))
+    """Write ``df`` as the next version; it becomes live with its success
+    marker.  All but the newest ``KEEP_VERSIONS`` are removed (a reader may
+    still hold the ones before the live version)."""
+    from terroir.plans.materialize import remove
+    found = _versions(spark, path)
+    number = int(found[-1].split("-")[1]) + 1 if found else 1
+    df.write.mode("errorifexists").parquet(f"{path.rstrip('/')}/v-{number:012d}-{uuid.uuid4().hex[:8]}")
+    for old in _versions(spark, path)[:-KEEP_VERSIONS]:
+        remove(spark, f"{path.rstrip('/')}/{old}")
     return read_versioned(spark, path)
 
 

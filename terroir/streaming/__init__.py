@@ -4,10 +4,8 @@
   validated (Q06), landed per partition (K01, idempotent on replay), rejects
   written (K02) and the batch report appended (A20/K04).
 * ``alert_stream``: the signal bus as a stream; each micro-batch is drained
-  into the versioned alert table (T01-T03, K09).
-* ``rate_limit_stream``: the sliding-log limiter (T05) as a stateful
-  operator — state per key is the ≤ n accepted timestamps, with an
-  event-time watermark (rows later than it are dropped by Spark).
+  into the versioned alert table (T01-T03, K09), once per batch id and
+  signal key, so a replayed batch or a re-emitted signal raises nothing twice.
 * ``event_facts_stream`` / ``write_daily_facts`` / ``month_facts``: event
   feeds projected into facts (D15): daily rows are final once the watermark
   passes (append mode), appended per micro-batch, and rolled up to the month
@@ -19,13 +17,9 @@ cluster), so a restarted query resumes exactly once per micro-batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from terroir.session import ensure_checkpoint_dir
 
@@ -37,12 +31,15 @@ def checkpoint_location(spark: SparkSession, name: str) -> str:
 # ---------------------------------------------------------------- ingest
 def ingest_stream(spark: SparkSession, landing: str, schema, kind: str, source: str, base: str,
                   name: str = "ingest", available_now: bool = True) -> StreamingQuery:
+    from terroir.operators.ids import global_row_number
     from terroir.operators.ingest import ingest_batch
     from terroir.sinks import land, land_rejects
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
         ingest_date = f"batch-{batch_id:06d}"
-        numbered = df.withColumn("ordinal", F.monotonically_increasing_id())
+        # input order is file path, then row: a repeated batch numbers alike
+        scanned = df.withColumn("_scan", F.monotonically_increasing_id())
+        numbered = global_row_number(scanned, ["_path", "_scan"], "ordinal").drop("_path", "_scan")
         valid, rejects, report = ingest_batch(numbered, kind, source, ingest_date)
         state = report.select("estado").first()["estado"]
         if state != "FALLIDA":
@@ -51,7 +48,7 @@ def ingest_stream(spark: SparkSession, landing: str, schema, kind: str, source:
         (report.withColumn("fecha", F.lit(ingest_date)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("fecha").json(f"{base.rstrip('/')}/_reportes"))
 
-    stream = spark.readStream.schema(schema).format("json").load(landing)
+    stream = spark.readStream.schema(schema).format("json").load(landing).select("*", F.col("_metadata.file_path").alias("_path"))
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_location(spark, name))
     return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")).start()
 
@@ -61,47 +58,31 @@ def alert_stream(spark: SparkSession, signals_dir: str, schema, alerts_path: str
                  name: str = "alerts") -> StreamingQuery:
     from terroir.operators.alerts import group_alerts
     from terroir.sinks import read_versioned, write_version
+    key = ["origen", "clave", "id_tiempo"]
+    keys_path = f"{alerts_path.rstrip('/')}-claves"
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
+        """The alert table carries the last batch in it (``lote``), written in
+        the same version; the keys of each batch are recorded before it."""
         current = read_versioned(spark, alerts_path)
-        sig = df.withColumn("procesada", F.lit(False)).dropDuplicates(["origen", "clave", "id_tiempo"])
-        merged, _ = group_alerts(sig, current, drained_at)
-        write_version(spark, alerts_path, merged)
+        if current is not None and (current.agg(F.max("lote")).first()[0] or -1) >= batch_id:
+            return                                            # this batch is already in the table
+        sig = df.withColumn("procesada", F.lit(False)).dropDuplicates(key)
+        seen = read_versioned(spark, keys_path)
+        if seen is not None:
+            earlier = seen.filter(F.col("lote") < batch_id).select(*[F.col(k).alias(f"_{k}") for k in key])
+            same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key]
+            sig = sig.join(earlier, same[0] & same[1] & same[2], "left_anti")
+        now = sig.select(*key, F.lit(batch_id).cast("long").alias("lote"))
+        write_version(spark, keys_path, now if seen is None else seen.filter(F.col("lote") < batch_id).unionByName(now))
+        merged, _ = group_alerts(sig, None if current is None else current.drop("lote"), drained_at)
+        write_version(spark, alerts_path, merged.withColumn("lote", F.lit(batch_id).cast("long")))
 
     stream = spark.readStream.schema(schema).format("parquet").load(signals_dir)
     return (stream.writeStream.foreachBatch(per_batch)
             .option("checkpointLocation", checkpoint_location(spark, name)).trigger(availableNow=True).start())
 
 
-# ---------------------------------------------------------------- T05 stateful
-def rate_limit_stream(stream: DataFrame, key: str = "user_id", ts: str = "ts", n: int = 60,
-                      window_s: float = 60.0, watermark: str = "10 minutes") -> DataFrame:
-    """T05 on a stream: per key the state holds the accepted timestamps of
-    the last window (≤ n values); the key's rows of one micro-batch (bounded
-    by the trigger size) are ordered by event time before the fold."""
-    window_us = int(window_s * 1_000_000)
-    out_schema = f"{key} long, ts_us long, aceptada boolean"
-    state_schema = "aceptadas array<long>"
-
-    def fold(k, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        acc = list(state.get[0]) if state.exists else []
-        rows = pd.concat(list(batches)).sort_values("ts_us", kind="stable")
-        out = []
-        for t in rows["ts_us"].tolist():
-            acc = [a for a in acc if t - a < window_us]
-            ok = len(acc) < n
-            if ok:
-                acc.append(t)
-            out.append(ok)
-        state.update((acc,))
-        yield pd.DataFrame({key: [k[0]] * len(out), "ts_us": rows["ts_us"].tolist(), "aceptada": out})
-
-    s = (stream.withWatermark(ts, watermark)
-         .select(F.col(key).cast("long").alias(key), F.unix_micros(F.col(ts).cast("timestamp")).alias("ts_us"), ts))
-    return s.groupBy(key).applyInPandasWithState(fold, out_schema, state_schema, "append",
-                                                 GroupStateTimeout.NoTimeout)
-
-
 # ---------------------------------------------------------------- D15
 def event_facts_stream(stream: DataFrame, ts: str = "fecha", group: list[str] | None = None,
                        value: str = "mrr_delta", watermark: str = "2 days") -> DataFrame:

@@ -1,5 +1,4 @@
 import random
-from collections import deque
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -27,30 +26,15 @@ def test_replay_matches_brute_force(spark):
     assert got == brute_replay(events, L.TICKET, "ABIERTO")
 
 
-def brute_limit(reqs, n, w):
-    out, acc = {}, {}
-    for k, t, i in sorted(reqs, key=lambda r: (r[0], r[1], r[2])):
-        d = acc.setdefault(k, deque())
-        while d and t - d[0] >= w:
-            d.popleft()
-        out[i] = len(d) < n
-        if out[i]:
-            d.append(t)
-    return out
-
-
-def test_rate_limit_case48_and_brute_force(spark):
+def test_request_windows_brute_force(spark):
+    rnd = random.Random(7)
     t0 = datetime(2026, 6, 1, 12, 0, 0)
-    reqs = [("k1", t0 + timedelta(milliseconds=100 * i), i) for i in range(61)]
-    reqs.append(("k1", t0 + timedelta(seconds=60), 61))
-    df = spark.createDataFrame(reqs, "user_id string, ts timestamp, id int")
-    res = {r.id: r.aceptada for r in L.rate_limit(df, "user_id", "ts", 60, 60.0, tie="id").collect()}
-    assert res[60] is False and res[61] is True and sum(res.values()) == 61
-    rnd = random.Random(5)
-    reqs = [(rnd.randint(0, 4), rnd.randint(0, 500), i) for i in range(1500)]
-    df = spark.createDataFrame([(k, t0 + timedelta(seconds=t), i) for k, t, i in reqs], "user_id int, ts timestamp, id int")
-    got = {r.id: r.aceptada for r in L.rate_limit(df, "user_id", "ts", 3, 30.0, tie="id").collect()}
-    assert got == brute_limit(reqs, 3, 30)
+    rows = [(i, rnd.randint(0, 3), t0 + timedelta(seconds=rnd.randint(0, 300))) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, user_id int, ts timestamp")
+    got = {r.id: (r.en_ventana, r.excede) for r in L.request_windows(df, "user_id", "ts", 3, 30.0).collect()}
+    for i, u, t in rows:
+        n = sum(v == u and 0 <= (t - s).total_seconds() < 30 for _, v, s in rows)
+        assert got[i] == (n, n > 3)
 
 
 def test_ticket_sla_case29_30(spark):

@@ -3,22 +3,6 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from terroir import streaming as ST
-from terroir.operators import lifecycle as L
-
-
-def test_rate_limit_stream_matches_batch(spark, tmp):
-    t0 = datetime(2026, 6, 1, 12, 0, 0)
-    rows = [(i % 3, t0 + timedelta(seconds=i * 7), i) for i in range(90)]
-    src = spark.createDataFrame(rows, "user_id long, ts timestamp, id int")
-    src.write.parquet(f"{tmp}/in")
-    stream = spark.readStream.schema(src.schema).parquet(f"{tmp}/in")
-    q = (ST.rate_limit_stream(stream, "user_id", "ts", 3, 60.0).writeStream.format("memory").queryName("rl_out")
-         .outputMode("append").option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = {(r.user_id, r.ts_us): r.aceptada for r in spark.table("rl_out").collect()}
-    batch = L.rate_limit(src, "user_id", "ts", 3, 60.0, tie="id").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
-    exp = {(r.user_id, r.us): r.aceptada for r in batch.collect()}
-    assert got == exp
 
 
 def test_ingest_stream(spark, tmp):
