@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 WHITE_TABLE = np.zeros(256, dtype=bool)
 WHITE_TABLE[[9, 10, 11, 12, 13, 32]] = True
 LOWER_TABLE = np.arange(256, dtype=np.uint8)

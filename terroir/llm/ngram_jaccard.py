@@ -53,7 +53,8 @@ PERCENT = 85
 HOT = 8                           # documents from which an n-gram counts as frequent
 MAX_HOT = 2_000_000               # entries of the frequent list (18 MB)
 PER_RANGE = 2_000_000             # n-grams a range of the hash space holds on average
-FLUSH = 4_000_000                 # n-grams a task gathers before it emits them
+FLUSH = 1_000_000                 # n-grams a task gathers before it emits them
+SLICE = 500                       # rows that become n-gram sets at once
 FRAGMENTS = 4
 EXTRA, EXTRA_PER = 1, 20          # l = EXTRA + n / EXTRA_PER
 STARS = ("hot", "node")           # pivots: most frequent n-grams; smallest name
@@ -103,19 +104,32 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def least_shared(n: Column, percent: int) -> Column:
-    """N-grams that a set of ``n`` shares with a linked one inside the prefixes, at least."""
-    return F.least(EXTRA + F.floor(n / EXTRA_PER), F.ceil(n * percent / 100))
+def least_shared(nx: Column, ny: Column, percent: int) -> Column:
+    """N-grams that two linked sets of these sizes share inside their prefixes, at least.
+
+    The prefix that ends first in the global order holds every shared n-gram
+    up to its end, so the overlap is at most the n-grams shared inside the
+    prefixes plus what that set has behind its prefix.
+    """
+    def behind(n):
+        return F.greatest(F.ceil(n * percent / 100) - EXTRA - F.floor(n / EXTRA_PER), F.lit(0))
+    return F.ceil((nx + ny) * percent / (100 + percent)) - F.greatest(behind(nx), behind(ny))
 
 
 def prefix_length(n: int, percent: int) -> int:
     return min(n, n - least_overlap(n, percent) + EXTRA + n // EXTRA_PER)
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def signatures(docs: DataFrame, size: int) -> DataFrame:
     """(doc_id, node, n) per row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = ngram_sets(as_bytes(batch.column(1)), size)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([signature(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())],
@@ -126,7 +140,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 def distinct_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, np.ndarray]]:
     """(node, set) of a task's rows, most repeated sets once."""
     seen: set[int] = set()
-    for batch in batches:
+    for batch in slices(batches):
         for grams in ngram_sets(as_bytes(batch.column(0)), size):
             node = signature(grams)
             if len(grams) and node not in seen:
@@ -233,7 +247,7 @@ def prefixes(docs: DataFrame, size: int, percent: int, ranges: int, keys: np.nda
             if len(common):
                 often.append((common, np.full(len(common), node, np.int64), np.full(len(common), (level > 0).sum(), np.int32)))
             n += len(take)
-            if n >= FLUSH // 4:
+            if n >= FLUSH:
                 yield from flush()
                 rare, often, n = [], [], 0
         yield from flush()
@@ -295,7 +309,7 @@ def fragments(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sieve = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             inside = np.ones(batch.num_rows, bool)
             for c in (2, 3):
                 at = batch.column(c).to_numpy()
@@ -356,7 +370,7 @@ def enough_shared(pairs: DataFrame, tokens: DataFrame, classes: DataFrame, perce
     p = (p.join(often.select(F.col("node").alias("x"), F.col("h").alias("hx")), "x", "left")
          .join(often.select(F.col("node").alias("y"), F.col("h").alias("hy")), "y", "left"))
     frequent_too = F.least(F.coalesce("hx", F.lit(0)), F.coalesce("hy", F.lit(0)))
-    need = F.least(least_shared(F.col("nx"), percent), least_shared(F.col("ny"), percent))
+    need = least_shared(F.col("nx"), F.col("ny"), percent)
     return p.where(F.col("shared") + frequent_too >= need).drop("shared", "hx", "hy")
 
 
@@ -395,15 +409,19 @@ def similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, hot: int
 
 
 def open_pairs(tokens: DataFrame, links: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a frequent prefix n-gram and are in different components so far."""
+    """Pairs that share a frequent prefix n-gram, are in different components so
+    far, and share enough if all frequent n-grams of the smaller prefix agree.
+    (Pairs with a rare prefix n-gram in common have been decided before.)"""
     comp = connected(links.select(F.col("x").alias("u"), F.col("y").alias("v"))).withColumnsRenamed({"id": "node", "component": "c"})
     named = tokens.join(comp, "node", "left").withColumn("c", F.coalesce("c", "node")).select("token", "node", "c")
     several = named.groupBy("token").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a <> b").select("token")
-    one = written(named.join(several, "token").join(classes, "node"), "open")
-    other = one.select("token", F.col("node").alias("y"), F.col("c").alias("cy"), F.col("n").alias("ny"), F.col("doc_id").alias("dy"))
-    one = one.select("token", F.col("node").alias("x"), F.col("c").alias("cx"), F.col("n").alias("nx"), F.col("doc_id").alias("dx"))
+    often = tokens.groupBy("node").agg(F.count(F.lit(1)).alias("h"))
+    one = written(named.join(several, "token").join(classes, "node").join(often, "node"), "open")
+    other = one.select("token", *[F.col(a).alias(b) for a, b in (("node", "y"), ("c", "cy"), ("n", "ny"), ("doc_id", "dy"), ("h", "hy"))])
+    one = one.select("token", *[F.col(a).alias(b) for a, b in (("node", "x"), ("c", "cx"), ("n", "nx"), ("doc_id", "dx"), ("h", "hx"))])
     apart = ((F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy"))
-             & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")))
+             & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
+             & (F.least("hx", "hy") >= least_shared(F.col("nx"), F.col("ny"), percent)))
     return one.join(other, "token").where(apart).select("x", "y", "nx", "ny", "dx", "dy").distinct()
 
 
