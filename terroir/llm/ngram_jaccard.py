@@ -377,7 +377,8 @@ def enough_shared(pairs: DataFrame, tokens: DataFrame, classes: DataFrame, perce
 def star_pairs(tokens: DataFrame, rule: str) -> DataFrame:
     """Each document of a frequent n-gram with that n-gram's pivot."""
     best = F.struct(F.col("hot") if rule == "hot" else -F.col("node"), F.col("node"))
-    pivots = tokens.groupBy("token").agg(F.max(best).getField("node").alias("x"))
+    # written, so that the join deals both sides anew and can split a hot n-gram
+    pivots = written(tokens.groupBy("token").agg(F.max(best).getField("node").alias("x")), "pivots")
     pairs = tokens.join(pivots, "token").where("x <> node")
     return pairs.select(F.least("x", "node").alias("x"), F.greatest("x", "node").alias("y")).distinct()
 
@@ -414,7 +415,8 @@ def open_pairs(tokens: DataFrame, links: DataFrame, classes: DataFrame, percent:
     (Pairs with a rare prefix n-gram in common have been decided before.)"""
     comp = connected(links.select(F.col("x").alias("u"), F.col("y").alias("v"))).withColumnsRenamed({"id": "node", "component": "c"})
     named = tokens.join(comp, "node", "left").withColumn("c", F.coalesce("c", "node")).select("token", "node", "c")
-    several = named.groupBy("token").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a <> b").select("token")
+    named = written(named, "named")
+    several = written(named.groupBy("token").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a <> b").select("token"), "several")
     often = tokens.groupBy("node").agg(F.count(F.lit(1)).alias("h"))
     one = written(named.join(several, "token").join(classes, "node").join(often, "node"), "open")
     other = one.select("token", *[F.col(a).alias(b) for a, b in (("node", "y"), ("c", "cy"), ("n", "ny"), ("doc_id", "dy"), ("h", "hy"))])
