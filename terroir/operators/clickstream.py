@@ -59,12 +59,31 @@ def new_members(staging: DataFrame, col: str, existing: DataFrame | None, id_col
 
 
 def clickstream_dims(staging: DataFrame, existing: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    """The six name dimensions (new members appended to existing ones)."""
+    """D10 with J10: the six name dimensions in one pass.  The names of all six
+    columns are stacked and made distinct in one aggregate of one scan; those
+    that ``existing`` lacks are numbered per dimension by name (two-pass ids,
+    no single-task window) after its largest id and appended."""
+    from terroir.operators.ids import rank_within_groups
     existing = existing or {}
+    entries = F.array(*[F.struct(F.lit(dim).alias("dim"), F.trim(F.col(col)).alias("nombre")) for dim, _, col in SIMPLE_DIMS])
+    names = (staging.select(F.explode(entries).alias("e")).select("e.*")
+             .filter(F.col("nombre").isNotNull() & (F.col("nombre") != "")).distinct())
+    known = None
+    for dim, id_col, _ in SIMPLE_DIMS:
+        if dim in existing:
+            part = existing[dim].select(F.lit(dim).alias("dim"), F.col(id_col).alias("_id"), "nombre")
+            known = part if known is None else known.unionByName(part)
+    if known is not None:
+        names = names.join(known.select("dim", "nombre"), ["dim", "nombre"], "left_anti")
+    numbered = rank_within_groups(names, "dim", ["nombre"], "_id")
+    if known is not None:
+        last = known.groupBy("dim").agg(F.max("_id").alias("_last"))
+        numbered = (numbered.join(last, "dim", "left")
+                    .select("dim", "nombre", (F.col("_id") + F.coalesce("_last", F.lit(0))).cast("int").alias("_id")))
     out = {}
-    for dim, id_col, col in SIMPLE_DIMS:
-        new = new_members(staging, col, existing.get(dim), id_col)
-        out[dim] = new if dim not in existing else existing[dim].unionByName(new)
+    for dim, id_col, _ in SIMPLE_DIMS:
+        new = numbered.filter(F.col("dim") == dim).select(F.col("_id").alias(id_col), "nombre")
+        out[dim] = existing[dim].select(id_col, "nombre").unionByName(new) if dim in existing else new
     return out
 
 

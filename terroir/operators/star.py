@@ -107,16 +107,19 @@ def build_all_dims(clean: DataFrame, ordinal: str = "ordinal") -> DataFrame:
     """
     def blank(c, repl):
         return F.when(F.col(c) == "", F.lit(repl)).otherwise(F.col(c))
-    entries = [F.struct(F.lit(d).alias("dim"), blank(src, UNKNOWN).alias("nombre"),
-                        F.lit(None).cast("string").alias("twitter")) for d, src, _ in DIM_SPECS]
-    entries.append(F.struct(F.lit("dim_catador").alias("dim"), blank("taster_name", ANONYMOUS).alias("nombre"),
-                            blank("taster_twitter_handle", ANONYMOUS).alias("twitter")))
+    entries = [F.struct(F.lit(d).alias("dim"), blank(src, UNKNOWN).alias("nombre")) for d, src, _ in DIM_SPECS]
+    entries.append(F.struct(F.lit("dim_catador").alias("dim"), blank("taster_name", ANONYMOUS).alias("nombre")))
     stacked = clean.select(ordinal, F.explode(F.array(*entries)).alias("e")).select(ordinal, "e.*")
-    firsts = (stacked.groupBy("dim", "nombre")
-              .agg(F.min(F.struct(ordinal, "twitter")).alias("_f"))
-              .select("dim", "nombre", F.col(f"_f.{ordinal}").alias("_first"), F.col("_f.twitter").alias("twitter")))
+    # the smallest ordinal is a plain long: a hash aggregate, combined before the shuffle
+    firsts = stacked.groupBy("dim", "nombre").agg(F.min(ordinal).alias("_first"))
     from terroir.operators.ids import rank_within_groups
-    return rank_within_groups(firsts, "dim", ["_first", "nombre"], "id").select("dim", "id", "nombre", "twitter")
+    ranked = rank_within_groups(firsts, "dim", ["_first", "nombre"], "id")
+    # only tasters carry a handle: that of the row where the taster came first
+    tasters = ranked.filter(F.col("dim") == "dim_catador").select(F.col("_first").alias("_f"))
+    handles = (clean.select(F.col(ordinal).alias("_f"), blank("taster_twitter_handle", ANONYMOUS).alias("twitter"))
+               .join(tasters, "_f", "left_semi").withColumn("dim", F.lit("dim_catador")))
+    return (ranked.withColumn("_f", F.col("_first")).join(handles, ["dim", "_f"], "left")
+            .select("dim", "id", "nombre", "twitter"))
 
 
 DIM_IDS = {**{d: i for d, _, i in DIM_SPECS}, "dim_catador": "id_catador"}

@@ -4,6 +4,8 @@ probe monitoring — with DuckDB oracle twins where SQL can express them."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +36,18 @@ def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.to_staging_text(click(spark, sf_dir))
 
 
+def stacked_dims(dims: dict[str, DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [dims[n].select(F.lit(n).alias("dim"), F.col(i).alias("id"), "nombre")
+                                          for n, i, _ in C.SIMPLE_DIMS])
+
+
+def click_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The six name dimensions as (dim, id, nombre), written once per ``events`` snapshot."""
+    from terroir.plans.materialize import materialized
+    return materialized(spark, "click_dims", fingerprint(spark, sf_dir, ["events"]),
+                        lambda: stacked_dims(C.clickstream_dims(staging(spark, sf_dir))))
+
+
 # ====================================================== D10 / U04 / P07
 _DIM_SRC = {"category": "category", "brand": "brand", "channel": "channel", "device": "device_type",
             "region": "region", "traffic_source": "traffic_source"}
@@ -50,10 +64,7 @@ DIMS_SQL = " UNION ALL ".join(_dim_sql(d, c) for d, _, c in C.SIMPLE_DIMS)
 
 @register("d10_clickstream_dims", CLICK + DIMS_SQL)
 def d10_clickstream_dims(spark, sf_dir):
-    dims = C.clickstream_dims(staging(spark, sf_dir))
-    from functools import reduce
-    return reduce(DataFrame.unionByName, [df.select(F.lit(n).alias("dim"), F.col(i).alias("id"), "nombre")
-                                          for (n, i, _), df in zip(C.SIMPLE_DIMS, dims.values())])
+    return click_dims(spark, sf_dir)
 
 
 @register("u04_distinct_categories", CLICK + "SELECT DISTINCT trim(category) AS nombre FROM click "
@@ -95,10 +106,40 @@ JOIN tdim t ON t.fecha = CAST(c.timestamp_utc AS DATE) AND t.hora = hour(c.times
 @register("d12_clickstream_fact", _FACT_SQL)
 def d12_clickstream_fact(spark, sf_dir):
     st = staging(spark, sf_dir)
-    f = C.clickstream_fact(st, C.clickstream_dims(st), C.time_dim(st))
+    stacked = click_dims(spark, sf_dir)
+    dims = {n: stacked.filter(F.col("dim") == n).select(F.col("id").alias(i), "nombre") for n, i, _ in C.SIMPLE_DIMS}
+    f = C.clickstream_fact(st, dims, C.time_dim(st))
     return f.withColumn("price", F.col("price").cast("double"))
 
 
+# ====================================================== J10 / J11 with existing members
+# The dimensions of the first half of January, then everything: only unseen
+# members are appended, with ids after the existing ones.
+_EARLY = "timestamp_utc < TIMESTAMP '2024-01-16 00:00:00'"
+
+
+def _early(spark, sf_dir) -> DataFrame:
+    return C.to_staging_text(click(spark, sf_dir).filter(F.expr(_EARLY)))
+
+
+def _incremental_sql(dim: str, col: str) -> str:
+    names = f"SELECT trim({col}) AS nombre, bool_or({_EARLY}) AS early FROM click WHERE trim({col}) <> '' GROUP BY 1"
+    return (f"SELECT '{dim}' AS dim, CAST(row_number() OVER (ORDER BY NOT early, nombre) AS INTEGER) AS id, nombre "
+            f"FROM ({names}) n")
+
+
+@register("j10_incremental_dims", CLICK + " UNION ALL ".join(_incremental_sql(d, _DIM_SRC[c]) for d, _, c in C.SIMPLE_DIMS))
+def j10_incremental_dims(spark, sf_dir):
+    return stacked_dims(C.clickstream_dims(staging(spark, sf_dir), C.clickstream_dims(_early(spark, sf_dir))))
+
+
+@register("j11_incremental_time", CLICK + f"""SELECT CAST(row_number() OVER (ORDER BY NOT early, fecha, hora) AS INTEGER)
+    AS id_tiempo, fecha, hora FROM (SELECT CAST(timestamp_utc AS DATE) AS fecha, CAST(hour(timestamp_utc) AS INTEGER) AS hora,
+    bool_or({_EARLY}) AS early FROM click GROUP BY 1, 2) t""")
+def j11_incremental_time(spark, sf_dir):
+    return C.time_dim(staging(spark, sf_dir), C.time_dim(_early(spark, sf_dir))).select("id_tiempo", "fecha", "hora")
+
+
 # ====================================================== D13
 def _first_sql(keys: str, cols: str) -> str:
     return (CLICK + f"SELECT {keys}, {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {keys} "

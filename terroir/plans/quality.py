@@ -4,6 +4,9 @@ typed publication (K07) and the report documents (A21, A25)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terroir.functions import sql_round_half_up as R
@@ -46,13 +49,20 @@ _FKS = [("dim_pais", "id_pais"), ("dim_variedad", "id_variedad"), ("dim_bodega",
     f"SELECT '{k}' AS clave, count(*) AS huerfanos FROM fact_resenas f WHERE f.{k} IS NOT NULL AND NOT EXISTS "
     f"(SELECT 1 FROM {d} x WHERE x.{k} = f.{k})" for d, k in _FKS)))
 def q03_fk_orphans(spark, sf_dir):
-    """Non-null foreign keys without a parent, per relationship."""
+    """Non-null foreign keys without a parent, per relationship.
+
+    One scan of the fact: its distinct (key, value) pairs are few, so they
+    are counted first and only those counts meet the dimensions' keys."""
     s = PR.star(spark, sf_dir)
-    from functools import reduce
-    parts = [s["fact_resenas"].select(k).filter(F.col(k).isNotNull()).join(s[d].select(k), k, "left_anti")
-             .agg(F.count(F.lit(1)).alias("huerfanos")).select(F.lit(k).alias("clave"), "huerfanos")
-             for d, k in _FKS]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    pairs = F.array(*[F.struct(F.lit(k).alias("clave"), F.col(k).cast("long").alias("v")) for _, k in _FKS])
+    counts = (s["fact_resenas"].select(F.explode(pairs).alias("e")).select("e.*").filter(F.col("v").isNotNull())
+              .groupBy("clave", "v").agg(F.count(F.lit(1)).alias("n")))
+    parents = reduce(DataFrame.unionByName, [s[d].select(F.lit(k).alias("clave"), F.col(k).cast("long").alias("v"))
+                                             for d, k in _FKS]).distinct().withColumn("_ok", F.lit(True))
+    keys = spark.createDataFrame([(k,) for _, k in _FKS], "clave string")
+    found = (counts.join(parents, ["clave", "v"], "left").groupBy("clave")
+             .agg(F.sum(F.when(F.col("_ok").isNull(), F.col("n")).otherwise(F.lit(0))).alias("huerfanos")))
+    return keys.join(found, "clave", "left").select("clave", F.coalesce("huerfanos", F.lit(0)).alias("huerfanos"))
 
 
 @register("q02_unique_keys", PR.q("""SELECT 'fact_resenas.id_resena' AS clave, CAST(coalesce(sum(n), 0) AS BIGINT)

@@ -59,6 +59,12 @@ def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return out
 
 
+def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staging view (one row per id), written once per snapshot."""
+    fact = star(spark, sf_dir)["fact_resenas"]
+    return materialized(spark, "reviews_staging", fingerprint(spark, sf_dir, STAR_INPUTS), lambda: D.stg_review(fact))
+
+
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned review feed with its input ordinal (written once)."""
     star(spark, sf_dir)
@@ -154,20 +160,20 @@ def d09_fact_resenas(spark, sf_dir):
     id_pais AS id_mercado, points AS puntos, CAST(price AS DOUBLE) AS precio,
     CAST(length(coalesce(description, '')) AS INTEGER) AS longitud_descripcion FROM fact_resenas"""))
 def d02_fct_resena(spark, sf_dir):
-    f = D.fct_review(D.stg_review(star(spark, sf_dir)["fact_resenas"]))
+    f = D.fct_review(staged(spark, sf_dir))
     return f.withColumn("precio", F.col("precio").cast("double"))
 
 
 @register("d03_fct_puntuacion", q("""SELECT id_resena, id_variedad AS id_vino, id_catador, id_pais AS id_mercado,
     points AS puntuacion FROM fact_resenas WHERE points BETWEEN 80 AND 100"""))
 def d03_fct_puntuacion(spark, sf_dir):
-    return D.fct_score(D.fct_review(D.stg_review(star(spark, sf_dir)["fact_resenas"])))
+    return D.fct_score(D.fct_review(staged(spark, sf_dir)))
 
 
 @register("d04_fct_precio_mercado", q("""SELECT id_resena, id_variedad AS id_vino, id_bodega, id_pais AS id_mercado,
     CAST(price AS DOUBLE) AS precio, 'USD' AS moneda FROM fact_resenas WHERE price > 0"""))
 def d04_fct_precio_mercado(spark, sf_dir):
-    f = D.fct_price(D.fct_review(D.stg_review(star(spark, sf_dir)["fact_resenas"])))
+    f = D.fct_price(D.fct_review(staged(spark, sf_dir)))
     return f.withColumn("precio", F.col("precio").cast("double"))
 
 
