@@ -462,68 +462,77 @@ def a18_acquisition_indicators(spark, sf_dir):
                                      _accepted(spark, sf_dir)[0])
 
 
-# ====================================================== T09 / A17 (sequential: rows-only)
-_SUB_TARGET = {"signup": "ACTIVA", "view": "EN_PAUSA", "click": "ACTIVA", "error": "CANCELADA", "purchase": "ACTIVA"}
-_PLANS = ["Básico", "Profesional", "Enterprise"]
-
-
-def _fold_sql(events_sql: str, key: str, transitions: dict, init: str) -> str:
-    """Recursive-CTE replay over ``events_sql`` (columns: key, fecha, seq,
-    estado_solicitado): CTEs ev (with paso), ok, perm and r."""
-    allowed = ", ".join(f"('{a}', '{b}')" for a, bs in transitions.items() for b in bs)
-    perm = ", ".join(f"('{a}', '{','.join(sorted(bs))}')" for a, bs in transitions.items())
-    return f"""WITH RECURSIVE
-ev AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY fecha, seq) AS paso FROM ({events_sql}) x),
-ok(a, b) AS (VALUES {allowed}),
-perm(a, p) AS (VALUES {perm}),
-r AS (SELECT e.{key} AS k, e.paso, '{init}' AS estado_anterior,
-             CASE WHEN EXISTS (SELECT 1 FROM ok WHERE ok.a = '{init}' AND ok.b = e.estado_solicitado)
-                  THEN e.estado_solicitado ELSE '{init}' END AS estado
-      FROM ev e WHERE e.paso = 1
-      UNION ALL
-      SELECT e.{key}, e.paso, r.estado,
-             CASE WHEN EXISTS (SELECT 1 FROM ok WHERE ok.a = r.estado AND ok.b = e.estado_solicitado)
-                  THEN e.estado_solicitado ELSE r.estado END
-      FROM r JOIN ev e ON e.{key} = r.k AND e.paso = r.paso + 1)
-"""
-
-
-_SUB_EVENTS_SQL = ("SELECT 'S' || CAST(user_id AS VARCHAR) AS suscripcion, 'U' || CAST(user_id AS VARCHAR) AS cliente, "
-                   "[" + ", ".join(f"'{p}'" for p in _PLANS) + "][CAST(user_id % 3 + 1 AS INTEGER)] AS plan, "
-                   "ts AS fecha, event_id AS seq, CASE event_type "
-                   + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _SUB_TARGET.items()) + " END AS estado_solicitado "
-                   "FROM events")
-_EV_TYPE = " ".join(f"WHEN j.estado_anterior = '{a}' AND j.estado = '{b}' THEN '{v}'"
-                    for (a, b), v in L.SUBSCRIPTION_EVENTS.items())
-_PRICE = " ".join(f"WHEN '{n}' THEN CAST({p} AS DOUBLE)" for _, n, p in T.PLANS)
-T09_SQL = _fold_sql(_SUB_EVENTS_SQL, "suscripcion", L.SUBSCRIPTION, "PRUEBA") + f""",
-j AS (SELECT e.*, r.estado_anterior, r.estado, perm.p AS permitidos,
-             EXISTS (SELECT 1 FROM ok WHERE ok.a = r.estado_anterior AND ok.b = e.estado_solicitado) AS aplicada
-      FROM ev e JOIN r ON r.k = e.suscripcion AND r.paso = e.paso JOIN perm ON perm.a = r.estado_anterior),
-t AS (SELECT j.*, CASE WHEN aplicada THEN (CASE {_EV_TYPE} END) END AS tipo_evento,
-             CASE plan {_PRICE} END AS precio FROM j)
-SELECT plan, suscripcion, cliente, fecha, seq, estado_solicitado, estado_anterior, estado,
-  CASE WHEN aplicada THEN 'aplicada' ELSE 'transicion_invalida' END AS veredicto, permitidos, paso, tipo_evento,
-  coalesce(CASE WHEN NOT aplicada THEN 0.0 WHEN tipo_evento IN ('alta', 'reactivacion') THEN precio
-                WHEN tipo_evento IN ('pausa', 'cancelacion') THEN -precio ELSE 0.0 END, 0.0) AS mrr_delta,
-  sum(coalesce(CASE WHEN NOT aplicada THEN 0.0 WHEN tipo_evento IN ('alta', 'reactivacion') THEN precio
-                    WHEN tipo_evento IN ('pausa', 'cancelacion') THEN -precio ELSE 0.0 END, 0.0))
-      OVER (PARTITION BY cliente ORDER BY fecha, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS mrr_cliente
-FROM t"""
+# ====================================================== T09 / A17 (sequential)
+# Two subscriptions per user: signup → alta, view / click / error → pause /
+# activate / cancel, purchase → plan change; every fourth plan code is unknown,
+# every fifth sign-up has no payment token, odd users pay yearly.
+_SUB_ACTION = {"signup": "alta", "purchase": "plan"}
+_SUB_STATE = {"view": "EN_PAUSA", "click": "ACTIVA", "error": "CANCELADA"}
+_SUB_PLANS = ["Básico", "Profesional", "Enterprise", "Oro"]
+_TRANS = " OR ".join(f"(cur = '{a}' AND quiere IN ({', '.join(repr(b) for b in bs)}))" for a, bs in L.SUBSCRIPTION.items() if bs)
+_EV_TYPE = " ".join(f"WHEN cur = '{a}' AND quiere = '{b}' THEN '{v}'" for (a, b), v in L.SUBSCRIPTION_EVENTS.items())
+_PRICE = "CASE {p} " + " ".join(f"WHEN '{n}' THEN {round(p * 100)}" for _, n, p in T.PLANS) + " END"
+
+# One step per request of a user; the state is a pair per subscription: estado, plan, billing.
+T09_SQL = f"""WITH RECURSIVE req AS (
+  SELECT 'U' || CAST(user_id AS VARCHAR) AS cliente, 'S' || CAST(user_id * 2 + event_id % 2 AS VARCHAR) AS suscripcion,
+         CASE event_type WHEN 'signup' THEN 'alta' WHEN 'purchase' THEN 'plan' ELSE 'estado' END AS accion,
+         [{', '.join(repr(p) for p in _SUB_PLANS)}][CAST(event_id // 2 % 4 + 1 AS INTEGER)] AS plan,
+         CASE WHEN user_id % 2 = 1 THEN 'anual' ELSE 'mensual' END AS periodo,
+         CASE event_type {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in _SUB_STATE.items())} END AS quiere,
+         event_id % 5 <> 0 AS bok, ts AS fecha, event_id AS seq, CAST(event_id % 2 AS INTEGER) + 1 AS i,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events),
+fold AS (
+  SELECT DISTINCT cliente, CAST(0 AS BIGINT) AS k, [CAST(NULL AS VARCHAR), NULL] AS st, [CAST(NULL AS VARCHAR), NULL] AS pl,
+         [FALSE, FALSE] AS fb, CAST(NULL AS VARCHAR) AS veredicto, CAST(NULL AS VARCHAR) AS cur, CAST(NULL AS VARCHAR) AS tipo,
+         CAST(0 AS BIGINT) AS delta, CAST(0 AS BIGINT) AS mrr FROM req
+  UNION ALL
+  SELECT cliente, k, CASE WHEN i = 1 THEN [nst, st[2]] ELSE [st[1], nst] END, CASE WHEN i = 1 THEN [npl, pl[2]] ELSE [pl[1], npl] END,
+         CASE WHEN i = 1 THEN [nfb, fb[2]] ELSE [fb[1], nfb] END, ver, cur, tp, dl, mrr + dl
+  FROM (SELECT *, CASE WHEN ver <> 'aplicada' THEN cur WHEN accion = 'alta' THEN (CASE WHEN bok THEN 'ACTIVA' ELSE 'PRUEBA' END)
+                       WHEN accion = 'plan' THEN cur ELSE quiere END AS nst,
+               CASE WHEN ver = 'aplicada' AND accion IN ('alta', 'plan') THEN plan ELSE cpl END AS npl,
+               CASE WHEN ver = 'aplicada' AND accion = 'alta' THEN bok ELSE cfb END AS nfb,
+               CASE WHEN ver <> 'aplicada' THEN NULL WHEN accion = 'alta' THEN (CASE WHEN bok THEN 'alta' ELSE 'alta_prueba' END)
+                    WHEN accion = 'plan' THEN (CASE WHEN {_PRICE.format(p='plan')} >= {_PRICE.format(p='cpl')} THEN 'upgrade' ELSE 'downgrade' END)
+                    ELSE CASE {_EV_TYPE} ELSE 'cambio_estado' END END AS tp,
+               CASE WHEN ver <> 'aplicada' THEN 0 WHEN accion = 'alta' THEN (CASE WHEN bok THEN {_PRICE.format(p='plan')} ELSE 0 END)
+                    WHEN accion = 'plan' THEN {_PRICE.format(p='plan')} - {_PRICE.format(p='cpl')}
+                    WHEN quiere = 'ACTIVA' THEN {_PRICE.format(p='cpl')} ELSE -{_PRICE.format(p='cpl')} END AS dl
+        FROM (SELECT *, CASE
+                WHEN accion = 'alta' AND cur IS NOT NULL THEN 'suscripcion_existente'
+                WHEN accion = 'alta' AND plan = 'Oro' THEN 'plan_inexistente'
+                WHEN accion = 'alta' AND ost = 'ACTIVA' AND opl = plan THEN 'suscripcion_activa_duplicada'
+                WHEN accion = 'alta' THEN 'aplicada' WHEN cur IS NULL THEN 'suscripcion_inexistente'
+                WHEN accion = 'plan' AND cur = 'CANCELADA' THEN 'suscripcion_cancelada'
+                WHEN accion = 'plan' AND plan = 'Oro' THEN 'plan_inexistente'
+                WHEN accion = 'plan' AND plan <> cpl AND ost = 'ACTIVA' AND opl = plan THEN 'suscripcion_activa_duplicada'
+                WHEN accion = 'plan' THEN 'aplicada' WHEN NOT coalesce({_TRANS}, FALSE) THEN 'transicion_invalida'
+                WHEN quiere = 'ACTIVA' AND NOT cfb THEN 'facturacion_incompleta' ELSE 'aplicada' END AS ver
+              FROM (SELECT f.st, f.pl, f.fb, f.mrr, r.*, f.st[r.i] AS cur, f.pl[r.i] AS cpl, f.fb[r.i] AS cfb,
+                           f.st[3 - r.i] AS ost, f.pl[3 - r.i] AS opl
+                    FROM fold f JOIN req r ON r.cliente = f.cliente AND r.k = f.k + 1) a) b) c)
+SELECT r.cliente, r.suscripcion, r.accion, r.plan, r.periodo, r.quiere AS estado_solicitado, r.fecha, r.seq, r.bok AS facturacion_ok,
+       f.pl[r.i] AS plan_vigente, f.cur AS estado_anterior, f.st[r.i] AS estado, f.veredicto, f.tipo AS tipo_evento,
+       {_PRICE.format(p='f.pl[r.i]')} * (CASE WHEN r.periodo = 'anual' THEN 12 ELSE 1 END) / 100.0 AS monto,
+       f.delta / 100.0 AS mrr_delta, f.mrr / 100.0 AS mrr_cliente
+FROM req r JOIN fold f ON f.cliente = r.cliente AND f.k = r.k"""
 
 
 @register("t09_subscription_ledger", T09_SQL)
 def t09_subscription_ledger(spark, sf_dir):
-    """Each user's events replayed as subscription requests (plan by user)."""
-    m = F.create_map(*[x for k, v in _SUB_TARGET.items() for x in (F.lit(k), F.lit(v))])
     e = T.table(spark, sf_dir, "events")
-    req = e.select(F.concat(F.lit("S"), F.col("user_id").cast("string")).alias("suscripcion"),
-                   F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("cliente"),
-                   F.element_at(F.array(*[F.lit(p) for p in _PLANS]), (F.col("user_id") % 3 + 1).cast("int")).alias("plan"),
-                   F.col("ts").alias("fecha"), F.col("event_id").alias("seq"),
-                   F.element_at(m, F.col("event_type")).alias("estado_solicitado"))
-    plans = T.dim_plan(spark).select("nombre", "precio_mensual")
-    return L.subscription_ledger(req, plans)
+    case = lambda m, other: reduce(lambda c, kv: c.when(F.col("event_type") == kv[0], kv[1]), m.items(), F).otherwise(other)
+    req = e.select(F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("cliente"),
+                   F.concat(F.lit("S"), (F.col("user_id") * 2 + F.col("event_id") % 2).cast("string")).alias("suscripcion"),
+                   case(_SUB_ACTION, "estado").alias("accion"),
+                   F.element_at(F.array(*[F.lit(p) for p in _SUB_PLANS]), (F.floor(F.col("event_id") / 2) % 4 + 1).cast("int")).alias("plan"),
+                   F.when(F.col("user_id") % 2 == 1, "anual").otherwise("mensual").alias("periodo"),
+                   F.lit("Titular").alias("titular"),
+                   F.when(F.col("event_id") % 5 != 0, "tok_4242").alias("metodo_pago_token"),
+                   case(_SUB_STATE, None).alias("estado_solicitado"), F.col("ts").alias("fecha"), F.col("event_id").alias("seq"))
+    out = L.subscription_ledger(req, T.dim_plan(spark).select("nombre", "precio_mensual"))
+    return out.drop("titular", "metodo_pago_token", "metodo_pago")
 
 
 @register("a17_support_report")

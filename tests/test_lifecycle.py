@@ -81,14 +81,37 @@ def test_subscription_ledger_case42_43(spark):
     plans = spark.createDataFrame([("Básico", 49.0), ("Profesional", 149.0), ("Enterprise", 499.0)],
                                   "nombre string, precio_mensual double")
     d = lambda i: datetime(2026, 6, 1, 10, i)
-    rows = [("s1", "c1", "Profesional", d(1), 1, "ACTIVA"), ("s2", "c2", "Básico", d(1), 1, "CANCELADA"),
-            ("s2", "c2", "Básico", d(2), 2, "EN_PAUSA")]
-    df = spark.createDataFrame(rows, "suscripcion string, cliente string, plan string, fecha timestamp, seq int, "
-                                     "estado_solicitado string")
-    out = {(r.suscripcion, r.seq): r for r in L.subscription_ledger(df, plans).collect()}
-    assert out[("s1", 1)].tipo_evento == "alta" and out[("s1", 1)].mrr_delta == 149.0
-    assert out[("s2", 1)].tipo_evento == "cancelacion"
-    assert out[("s2", 2)].veredicto == L.INVALID       # CANCELADA is terminal
+    tok = "tok_visa_4242"
+    rows = [("c1", "s1", "alta", "Profesional", "mensual", "A", tok, None, d(1), 1),
+            ("c1", "s2", "alta", "Profesional", "mensual", "A", tok, None, d(2), 2),       # second ACTIVE of the plan
+            ("c1", "s3", "alta", "Fantasma", "mensual", "A", tok, None, d(3), 3),
+            ("c1", "s4", "alta", "Enterprise", "anual", "A", tok, None, d(4), 4),
+            ("c1", "s4", "plan", "Profesional", "anual", "A", tok, None, d(5), 5),         # would double the plan
+            ("c1", "s4", "plan", "Básico", "anual", "A", tok, None, d(6), 6),
+            ("c2", "s5", "alta", "Básico", "mensual", None, None, None, d(1), 7),          # no billing: trial
+            ("c2", "s5", "estado", None, "mensual", None, None, "ACTIVA", d(2), 8),
+            ("c2", "s6", "alta", "Básico", "mensual", "A", "4111 1111 1111 1111", None, d(3), 9),   # a card number in the clear
+            ("c2", "s5", "estado", None, "mensual", None, None, "CANCELADA", d(4), 10),
+            ("c2", "s5", "estado", None, "mensual", None, None, "EN_PAUSA", d(5), 11),     # CANCELADA is terminal
+            ("c2", "s5", "plan", "Enterprise", "mensual", None, None, None, d(6), 12),
+            ("c3", "s7", "alta", "Básico", "mensual", "A", tok, None, d(1), 13),
+            ("c3", "s7", "plan", "Enterprise", "mensual", "A", tok, None, d(2), 14),
+            ("c3", "s7", "estado", None, "mensual", "A", tok, "EN_PAUSA", d(3), 15),
+            ("c3", "s7", "estado", None, "mensual", "A", tok, "ACTIVA", d(4), 16)]
+    df = spark.createDataFrame(rows, "cliente string, suscripcion string, accion string, plan string, periodo string, titular string, "
+                                     "metodo_pago_token string, estado_solicitado string, fecha timestamp, seq int")
+    out = {r.seq: r for r in L.subscription_ledger(df, plans).collect()}
+    got = {k: (r.veredicto, r.tipo_evento, r.mrr_delta, r.mrr_cliente) for k, r in out.items()}
+    assert got == {
+        1: ("aplicada", "alta", 149.0, 149.0), 2: ("suscripcion_activa_duplicada", None, 0.0, 149.0),
+        3: ("plan_inexistente", None, 0.0, 149.0), 4: ("aplicada", "alta", 499.0, 648.0),
+        5: ("suscripcion_activa_duplicada", None, 0.0, 648.0), 6: ("aplicada", "downgrade", -450.0, 198.0),
+        7: ("aplicada", "alta_prueba", 0.0, 0.0), 8: ("facturacion_incompleta", None, 0.0, 0.0),
+        9: ("aplicada", "alta_prueba", 0.0, 0.0), 10: ("aplicada", "cancelacion", -49.0, -49.0),
+        11: ("transicion_invalida", None, 0.0, -49.0), 12: ("suscripcion_cancelada", None, 0.0, -49.0),
+        13: ("aplicada", "alta", 49.0, 49.0), 14: ("aplicada", "upgrade", 450.0, 499.0),
+        15: ("aplicada", "pausa", -499.0, 0.0), 16: ("aplicada", "reactivacion", 499.0, 499.0)}
+    assert (out[4].monto, out[1].metodo_pago, out[9].metodo_pago) == (5988.0, "****4242", "")
 
 
 def test_onboarding_case34(spark):
