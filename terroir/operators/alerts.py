@@ -304,10 +304,12 @@ def retention_actions(alerts: DataFrame, existing: DataFrame | None = None) -> D
     return acts.dropDuplicates(["cuenta", "alerta"])
 
 
-def support_report(tickets: DataFrame, key: str = "cuenta") -> DataFrame:
+def support_report(tickets: DataFrame, key: str = "cuenta", onboarding: DataFrame | None = None,
+                   at_risk: DataFrame | None = None) -> DataFrame:
     """A17 per account: tickets, open, per-state counts (map), mean
     resolution / first-response minutes, NPS answers and mean (NULL/''/-1
-    ignored)."""
+    ignored); with ``onboarding`` (T11) its state and completed steps, with
+    ``at_risk`` (accounts with a live churn alert) the retention priority."""
     nps = F.col("nps").try_cast("int")
     valid = nps.isNotNull() & (nps >= 0)
     per_state = tickets.groupBy(key, "estado").agg(F.count(F.lit(1)).alias("n"))
@@ -319,7 +321,14 @@ def support_report(tickets: DataFrame, key: str = "cuenta") -> DataFrame:
         round_half_up(F.avg("minutos_primera_respuesta"), 2).alias("primera_respuesta_media_min"),
         F.count_if(valid).alias("respuestas_nps"),
         round_half_up(F.avg(F.when(valid, nps)), 2).alias("nps_medio"))
-    return g.join(states, key, "left")
+    out = g.join(states, key, "left")
+    if onboarding is not None:
+        out = out.join(onboarding.select(key, F.col("estado").alias("onboarding_estado"),
+                                         F.col("pasos_completados").alias("onboarding_pasos")), key, "left")
+    if at_risk is not None:
+        out = out.join(at_risk.select(key).distinct().withColumn("_risk", F.lit(True)), key, "left").withColumn(
+            "prioridad_retencion", F.when(F.col("_risk"), "alta").otherwise("normal")).drop("_risk")
+    return out
 
 
 def empty_signals(spark: SparkSession) -> DataFrame:

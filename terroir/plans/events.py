@@ -276,7 +276,7 @@ def t00_ticket_replay(spark, sf_dir):
                     L.TICKET, "ABIERTO")
 
 
-@register("t10_ticket_sla", _replay_sql() + """, rep AS (SELECT e.ticket, e.fecha, r.estado, r.estado_anterior,
+T10_SQL = (_replay_sql() + """, rep AS (SELECT e.ticket, e.fecha, r.estado, r.estado_anterior,
     EXISTS (SELECT 1 FROM ok WHERE ok.a = r.estado_anterior AND ok.b = e.estado_solicitado) AS aplicada
     FROM ev e JOIN r ON r.ticket = e.ticket AND r.paso = e.paso),
 agg AS (SELECT ticket, min(fecha) AS abierto, max(paso) AS eventos FROM ev GROUP BY 1),
@@ -289,6 +289,9 @@ SELECT a.ticket, f.estado_final, a.eventos, j.rechazados,
   """ + R("(epoch_us(j.pr) - epoch_us(a.abierto)) / 60000000.0", 2) + """ AS minutos_primera_respuesta,
   """ + R("(epoch_us(j.res) - epoch_us(a.abierto)) / 60000000.0", 2) + """ AS minutos_resolucion
 FROM agg a JOIN fin f ON f.ticket = a.ticket JOIN rej j ON j.ticket = a.ticket""")
+
+
+@register("t10_ticket_sla", T10_SQL)
 def t10_ticket_sla(spark, sf_dir):
     return L.ticket_sla(_ticket_requests(spark, sf_dir), "ticket")
 
@@ -535,17 +538,46 @@ def t09_subscription_ledger(spark, sf_dir):
     return out.drop("titular", "metodo_pago_token", "metodo_pago")
 
 
-@register("a17_support_report")
+# Every account's tickets (T10), its onboarding (T11, one advance per
+# sign-up of its users) and the retention priority of a live churn alert
+# (accounts whose users raised errors on the last day).
+A17_SQL = T10_SQL.replace("WITH RECURSIVE", "WITH RECURSIVE", 1).replace(
+    "SELECT a.ticket, f.estado_final", ", sla AS (SELECT a.ticket, f.estado_final", 1) + f"""),
+tk AS (SELECT 'cuenta-' || CAST(s.ticket % 20 AS VARCHAR) AS cuenta, s.estado_final AS estado, s.minutos_resolucion AS mr,
+              s.minutos_primera_respuesta AS mp,
+              CASE WHEN CAST(floor(v.v) AS BIGINT) % 12 - 1 >= 0 THEN CAST(floor(v.v) AS BIGINT) % 12 - 1 END AS nps
+       FROM sla s JOIN (SELECT user_id, arg_min(value, ts) AS v FROM events GROUP BY 1) v ON v.user_id = s.ticket),
+onb AS (SELECT 'cuenta-' || CAST(user_id % 20 AS VARCHAR) AS cuenta, least(count(*), 5) AS n FROM events
+        WHERE event_type = 'signup' GROUP BY 1),
+ret AS (SELECT DISTINCT 'cuenta-' || CAST(user_id % 20 AS VARCHAR) AS cuenta FROM events
+        WHERE event_type = 'error' AND CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events))
+SELECT t.cuenta, count(*) AS tickets, count(*) FILTER (WHERE estado NOT IN ('RESUELTO', 'CERRADO')) AS abiertos,
+  {R('avg(mr)', 2)} AS resolucion_media_min, {R('avg(mp)', 2)} AS primera_respuesta_media_min, count(nps) AS respuestas_nps,
+  {R('avg(nps)', 2)} AS nps_medio,
+  (SELECT string_agg(e || ':' || CAST(n AS VARCHAR), ',' ORDER BY e) FROM (SELECT u.estado AS e, count(*) AS n FROM tk u
+    WHERE u.cuenta = t.cuenta GROUP BY 1) x) AS por_estado,
+  max(CASE WHEN o.n >= 5 THEN 'COMPLETADO' WHEN o.n > 0 THEN 'EN_PROGRESO' END) AS onboarding_estado,
+  max(o.n) AS onboarding_pasos, CASE WHEN max(r.cuenta) IS NOT NULL THEN 'alta' ELSE 'normal' END AS prioridad_retencion
+FROM tk t LEFT JOIN onb o ON o.cuenta = t.cuenta LEFT JOIN ret r ON r.cuenta = t.cuenta GROUP BY t.cuenta"""
+
+
+@register("a17_support_report", A17_SQL)
 def a17_support_report(spark, sf_dir):
     """Tickets (one per user, T10) grouped into 20 accounts with an NPS answer
     derived from the ticket's first event value."""
+    account = lambda c: F.concat(F.lit("cuenta-"), (F.col(c) % 20).cast("string")).alias("cuenta")
     sla = L.ticket_sla(_ticket_requests(spark, sf_dir), "ticket")
-    e = T.table(spark, sf_dir, "events").groupBy("user_id").agg(F.min_by("value", "ts").alias("v"))
+    events = T.table(spark, sf_dir, "events")
+    e = events.groupBy("user_id").agg(F.min_by("value", "ts").alias("v"))
     t = sla.join(e, sla.ticket == e.user_id).select(
-        F.concat(F.lit("cuenta-"), (F.col("ticket") % 20).cast("string")).alias("cuenta"),
-        F.col("estado_final").alias("estado"), "minutos_resolucion", "minutos_primera_respuesta",
+        account("ticket"), F.col("estado_final").alias("estado"), "minutos_resolucion", "minutos_primera_respuesta",
         (F.floor(F.col("v")) % 12 - 1).cast("string").alias("nps"))
-    return AL.support_report(t)
+    onboarding = L.onboarding_state(events.filter("event_type = 'signup'").select(account("user_id")))
+    last = events.agg(F.max(F.to_date("ts"))).scalar()
+    at_risk = events.filter((F.col("event_type") == "error") & (F.to_date("ts") == last)).select(account("user_id")).distinct()
+    report = AL.support_report(t, onboarding=onboarding, at_risk=at_risk)
+    states = F.array_sort(F.transform(F.map_entries("por_estado"), lambda s: F.concat(s["key"], F.lit(":"), s["value"].cast("string"))))
+    return report.withColumn("por_estado", F.array_join(states, ","))
 
 
 # ====================================================== T18 (publication requests from events)

@@ -184,19 +184,33 @@ def k07_publish_by_country(spark, sf_dir):
 
 
 # ====================================================== A21 / A25 (documents: rows-only)
-@register("a21_daily_report")
+@register("a21_daily_report", PB.qbr(PB.A08_SQL + f""", ult AS (SELECT * FROM ({PB.A11_SQL}) d ORDER BY id_tiempo DESC LIMIT 1)
+SELECT '2024-02-01' AS fecha, 'PUBLICADO' AS estado, 4 AS secciones, ult.*, cat.*, a08.calidad, a08.periodo AS calidad_periodo,
+       ult.periodo AS traza_periodo
+FROM ult, a08, ({PR.A01_SQL}) cat"""))
 def a21_daily_report(spark, sf_dir):
     """Latest A11 row + review KPIs (A01) + scorecard quality (A08) as one
-    JSON document with 4 sections and traceability; FALLIDO when empty."""
+    JSON document with 4 sections and traceability; FALLIDO when empty.  The
+    document is opened into its fields for the check."""
     from terroir.operators.report import daily_report
     from terroir.plans.reviews import a01_kpis
     s = PB.biz(spark, sf_dir)
-    return daily_report(B.daily_consolidation(s), a01_kpis(spark, sf_dir), PB._a08(spark, sf_dir), "2024-02-01")
-
-
-@register("a25_series_payload")
+    a11, a01 = B.daily_consolidation(s), a01_kpis(spark, sf_dir)
+    report = daily_report(a11, a01, PB._a08(spark, sf_dir), "2024-02-01")
+    fields = lambda df: f"struct<{','.join(f'{f.name}:{f.dataType.simpleString()}' for f in df.schema.fields)}>"
+    doc = F.from_json("documento", f"operacion {fields(a11)}, catalogo {fields(a01)}, calidad struct<periodo:string,calidad:double>, "
+                                   "trazabilidad struct<periodo:string>")
+    return report.select("fecha", "estado", "secciones", doc.alias("d")).select(
+        "fecha", "estado", "secciones", "d.operacion.*", "d.catalogo.*", "d.calidad.calidad",
+        F.col("d.calidad.periodo").alias("calidad_periodo"), F.col("d.trazabilidad.periodo").alias("traza_periodo"))
+
+
+@register("a25_series_payload", PB.qb(f"""SELECT perspectiva, serie, orden, etiqueta, {R('valor', 2)} AS valor
+    FROM ({PB.A09_SQL}) s"""))
 def a25_series_payload(spark, sf_dir):
-    return B.series_payload(B.scorecard_series(PB.biz(spark, sf_dir)))
+    """The payload per series, opened again into its ordered points."""
+    doc = B.series_payload(B.scorecard_series(PB.biz(spark, sf_dir)))
+    return doc.select("perspectiva", "serie", F.inline("puntos")).select("perspectiva", "serie", "orden", "etiqueta", "valor")
 
 
 
@@ -238,17 +252,42 @@ def p10_theme_metrics(spark, sf_dir):
                       theme_metrics("ingresos", a01, a02, a08), theme_metrics("uso", a01, a02, a08)])
 
 
-@register("a26_dashboard_definitions")
+def _catalogue_sql() -> str:
+    from terroir.operators.catalog import THEMES
+    rows = [f"('{t}', '{title}', '{k}', '{lbl}', '{unit}', {i})" for t, (title, ms) in THEMES.items()
+            for i, (k, lbl, unit) in enumerate(ms)]
+    return f"(VALUES {', '.join(rows)}) c(tema, titulo, clave, etiqueta, unidad, orden)"
+
+
+_THEME_VALUES_SQL = f""", a01 AS (SELECT count(*) AS total_resenas, {PR.AVG_POINTS} AS puntuacion_promedio,
+    {PR.AVG_PRICE} AS precio_promedio, CAST(max(CASE WHEN price > 0 THEN price END) AS DOUBLE) AS precio_maximo,
+    CAST(min(CASE WHEN price > 0 THEN price END) AS DOUBLE) AS precio_minimo FROM fact_resenas),
+  vals AS (SELECT unnest(['total_resenas', 'puntuacion_promedio', 'precio_promedio', 'precio_maximo', 'precio_minimo']) AS clave,
+                  unnest([CAST(total_resenas AS DOUBLE), puntuacion_promedio, precio_promedio, precio_maximo, precio_minimo]) AS valor FROM a01
+           UNION ALL SELECT unnest(['mrr_actual', 'churn', 'clientes_activos', 'adopcion', 'nps']),
+                  unnest([mrr_actual, churn, CAST(clientes_activos AS DOUBLE), adopcion, nps]) FROM a08)
+"""
+
+
+@register("a26_dashboard_definitions", PB.qbr(PB.A08_SQL + _THEME_VALUES_SQL + f"""SELECT u.id_cliente AS cliente, c.tema,
+    'principal' AS nombre, 'BORRADOR' AS estado, c.titulo, c.orden, c.clave, c.etiqueta, c.unidad, v.valor
+  FROM (SELECT DISTINCT id_cliente FROM fact_uso_plataforma) u
+  JOIN {_catalogue_sql()} ON c.tema = ['ingresos', 'resenas', 'precios', 'uso'][CAST(u.id_cliente % 4 + 1 AS INTEGER)]
+  JOIN vals v ON v.clave = c.clave"""))
 def a26_dashboard_definitions(spark, sf_dir):
     """Drafts for every client with usage, each requesting the theme
-    id_cliente % 4 (JSON documents: rows-only check)."""
+    id_cliente % 4; the JSON documents are opened into their metrics."""
     from terroir.operators.catalog import THEMES, dashboard_definition, theme_metrics, union_all
     a01, a02, a08 = _theme_frames(spark, sf_dir)
     values = union_all([theme_metrics(t, a01, a02, a08) for t in THEMES])
     from terroir.plans.business import _a10
     themes = F.element_at(F.array(*[F.lit(t) for t in THEMES]), (F.col("id_cliente") % len(THEMES) + 1).cast("int"))
     req = _a10(spark, sf_dir).select(F.col("id_cliente").alias("cliente"), themes.alias("tema"))
-    return dashboard_definition(values, req, "principal", {"mercado": "todos"})
+    drafts = dashboard_definition(values, req, "principal", {"mercado": "todos"})
+    doc = F.from_json("definicion", "titulo string, metricas array<struct<orden:int,clave:string,etiqueta:string,"
+                                    "unidad:string,valor:double>>")
+    return (drafts.select("cliente", "tema", "nombre", "estado", doc.alias("d"))
+            .select("cliente", "tema", "nombre", "estado", "d.titulo", F.inline("d.metricas")))
 
 
 @register("j15_channel_resolution", """WITH click AS (""" + T.CLICKSTREAM_SQL + """),

@@ -183,12 +183,15 @@ def d05_dim_mercado_vino(spark, sf_dir):
 
 
 # ============================================= serving aggregates
-@register("a01_kpis", q(f"""SELECT k.*, (SELECT count(*) FROM dim_pais) AS total_paises,
+A01_SQL = f"""SELECT k.*, (SELECT count(*) FROM dim_pais) AS total_paises,
     (SELECT count(*) FROM dim_variedad) AS total_variedades, (SELECT count(*) FROM dim_bodega) AS total_bodegas
     FROM (SELECT count(*) AS total_resenas, {AVG_POINTS} AS puntuacion_promedio, {AVG_PRICE} AS precio_promedio,
                  CAST(max(CASE WHEN price > 0 THEN price END) AS DOUBLE) AS precio_maximo,
                  CAST(min(CASE WHEN price > 0 THEN price END) AS DOUBLE) AS precio_minimo
-          FROM fact_resenas) k"""))
+          FROM fact_resenas) k"""
+
+
+@register("a01_kpis", q(A01_SQL))
 def a01_kpis(spark, sf_dir):
     s = star(spark, sf_dir)
     return A.review_kpis(s["fact_resenas"], s)
