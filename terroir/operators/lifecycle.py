@@ -385,15 +385,24 @@ def onboarding_state(advances: DataFrame, key: str = "cuenta") -> DataFrame:
 
 
 # ---------------------------------------------------------------- T12
-def run_due_campaigns(campaigns: DataFrame, now: str, period: int) -> DataFrame:
-    """due = PROGRAMADA (or running) with schedule <= now or none; one
-    funnel row per (campaign, period) with default figures from the budget."""
+def run_due_campaigns(campaigns: DataFrame, events: DataFrame, now: str, period: int) -> tuple[DataFrame, DataFrame]:
+    """(funnel rows to upsert, campaigns after the run).  Due = PROGRAMADA
+    with schedule <= now or none.  One row per (campaign, period): a repeated
+    run rewrites it with the next ``corrida``; only a new period adds to the
+    campaign's ``ejecuciones``.  ``events`` holds the keys written before."""
     from terroir.functions import default_funnel
-    due = campaigns.filter(F.col("estado").isin("PROGRAMADA", "EN_EJECUCION", "PAUSADA")
-                           & (F.col("programada").isNull() | (F.col("programada") <= F.lit(now).cast("timestamp"))))
-    fun = default_funnel("presupuesto")
-    return due.select("campana", F.lit(period).alias("id_tiempo"), *[v.alias(k) for k, v in fun.items()],
-                      F.concat_ws(":", F.col("campana"), F.lit(str(period))).alias("clave"))
+    due = campaigns.filter((F.col("estado") == "PROGRAMADA")
+                           & (F.col("programada").isNull() | (F.col("programada") <= F.lit(now).cast("timestamp_ntz"))))
+    key = F.concat_ws(":", F.lit("camp"), F.col("campana").cast("string"), F.lit(str(period)))
+    before = events.select("clave", F.col("corrida").alias("_before"))
+    runs = due.withColumn("clave", key).join(before, "clave", "left")
+    rows = runs.select("campana", F.lit(period).alias("id_tiempo"), "clave", (F.coalesce("_before", F.lit(0)) + 1).cast("int").alias("corrida"),
+                       *[v.alias(k) for k, v in default_funnel("presupuesto").items()])
+    mark = runs.select("campana", F.col("_before").isNull().cast("int").alias("_new"))
+    after = (campaigns.join(mark, "campana", "left")
+             .withColumn("estado", F.when(F.col("_new").isNotNull(), "EN_EJECUCION").otherwise(F.col("estado")))
+             .withColumn("ejecuciones", (F.coalesce("ejecuciones", F.lit(0)) + F.coalesce("_new", F.lit(0))).cast("int")).drop("_new"))
+    return rows, after
 
 
 # ---------------------------------------------------------------- T19 / T21

@@ -167,6 +167,12 @@ def d13_transacciones(spark, sf_dir):
     return C.normalise_clickstream(click(spark, sf_dir))["transacciones"]
 
 
+@register("d13_interacciones", CLICK + "SELECT session_id, event_index, timestamp_utc, user_action, product_id, "
+          "time_spent_sec, interaction_count, is_conversion, drop_off_flag FROM click")
+def d13_interacciones(spark, sf_dir):
+    return C.normalise_clickstream(click(spark, sf_dir))["interacciones"]
+
+
 @register("d13_counts", CLICK + """SELECT 'usuarios' AS tabla, count(DISTINCT user_id) AS filas FROM click
   UNION ALL SELECT 'productos', count(DISTINCT product_id) FROM click
   UNION ALL SELECT 'sesiones', count(DISTINCT session_id) FROM click
@@ -645,3 +651,42 @@ FROM n"""
 def t18_publication_verdicts(spark, sf_dir):
     from terroir.operators.catalog import publication_verdicts
     return publication_verdicts(*_publication_inputs(spark, sf_dir))
+
+
+# ====================================================== T12 (campaigns from supplier)
+_CAMP_STATES = ["PROGRAMADA", "BORRADOR", "PROGRAMADA", "EN_EJECUCION", "PAUSADA", "FINALIZADA"]
+_NOW = "2024-02-01 00:00:00"
+
+
+def _campaigns(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    s = T.table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    camp = s.select(k.alias("campana"), F.element_at(F.array(*[F.lit(x) for x in _CAMP_STATES]), (k % 6 + 1).cast("int")).alias("estado"),
+                    F.when(k % 7 != 0, F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(s_suppkey % 60 as int))")).alias("programada"),
+                    F.floor(F.abs("s_acctbal")).cast("double").alias("presupuesto"), (k % 3).cast("int").alias("ejecuciones"))
+    done = s.filter(k % 4 == 0).select(F.concat(F.lit("camp:"), k.cast("string"), F.lit(":202402")).alias("clave"),
+                                       (k % 5 + 1).cast("int").alias("corrida"))
+    return camp, done
+
+
+_CAMP_SQL = f"""WITH camp AS (SELECT s_suppkey AS campana, [{', '.join(repr(x) for x in _CAMP_STATES)}][CAST(s_suppkey % 6 + 1 AS INTEGER)] AS estado,
+    CASE WHEN s_suppkey % 7 <> 0 THEN TIMESTAMP '2024-01-01' + INTERVAL (s_suppkey % 60) DAY END AS programada,
+    CAST(floor(abs(s_acctbal)) AS DOUBLE) AS presupuesto, CAST(s_suppkey % 3 AS INTEGER) AS ejecuciones FROM supplier),
+due AS (SELECT *, campana % 4 = 0 AS antes FROM camp WHERE estado = 'PROGRAMADA' AND (programada IS NULL OR programada <= TIMESTAMP '{_NOW}'))
+"""
+
+
+@register("t12_campaign_runs", _CAMP_SQL + f"""SELECT campana, 202402 AS id_tiempo, 'camp:' || CAST(campana AS VARCHAR) || ':202402' AS clave,
+    CAST(CASE WHEN antes THEN campana % 5 + 2 ELSE 1 END AS INTEGER) AS corrida,
+    CAST(floor(presupuesto * 100) AS BIGINT) AS impresiones, CAST(floor(floor(presupuesto * 100) * 0.02) AS BIGINT) AS clics,
+    CAST(floor(floor(floor(presupuesto * 100) * 0.02) * 0.12) AS BIGINT) AS leads, presupuesto AS gasto FROM due""")
+def t12_campaign_runs(spark, sf_dir):
+    return L.run_due_campaigns(*_campaigns(spark, sf_dir), _NOW, 202402)[0].select(
+        "campana", "id_tiempo", "clave", "corrida", "impresiones", "clics", "leads", "gasto")
+
+
+@register("t12_campaign_states", _CAMP_SQL + """SELECT c.campana, CASE WHEN d.campana IS NULL THEN c.estado ELSE 'EN_EJECUCION' END AS estado,
+    CAST(c.ejecuciones + CASE WHEN d.campana IS NOT NULL AND NOT d.antes THEN 1 ELSE 0 END AS INTEGER) AS ejecuciones
+    FROM camp c LEFT JOIN due d ON d.campana = c.campana""")
+def t12_campaign_states(spark, sf_dir):
+    return L.run_due_campaigns(*_campaigns(spark, sf_dir), _NOW, 202402)[1].select("campana", "estado", "ejecuciones")

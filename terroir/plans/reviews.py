@@ -182,6 +182,15 @@ def d05_dim_mercado_vino(spark, sf_dir):
     return D.mart_dims(star(spark, sf_dir))["dim_mercado_vino"]
 
 
+for _name, _sql in (("dim_vino", "SELECT id_variedad AS id_vino, nombre AS variedad FROM dim_variedad"),
+                    ("dim_bodega_vino", "SELECT id_bodega, nombre AS bodega FROM dim_bodega"),
+                    ("dim_region_vitivinicola", "SELECT id_region, nombre AS region FROM dim_region"),
+                    ("dim_catador_sumiller", "SELECT id_catador, nombre AS catador, twitter FROM dim_catador")):
+    register(f"d05_{_name}", q(_sql))(lambda spark, sf_dir, n=_name: D.mart_dims(star(spark, sf_dir))[n])
+for _name, _id in (("dim_provincia", "id_provincia"), ("dim_region", "id_region")):
+    register(f"d07_{_name}", q(f"SELECT {_id}, nombre FROM {_name}"))(lambda spark, sf_dir, n=_name: star(spark, sf_dir)[n])
+
+
 # ============================================= serving aggregates
 A01_SQL = f"""SELECT k.*, (SELECT count(*) FROM dim_pais) AS total_paises,
     (SELECT count(*) FROM dim_variedad) AS total_variedades, (SELECT count(*) FROM dim_bodega) AS total_bodegas
@@ -282,6 +291,11 @@ def o04_varieties_by_volume(spark, sf_dir):
     return S.by_volume(a03_by_variety(spark, sf_dir), "variedad", 60)
 
 
+@register("o04_countries_by_volume", q(f"SELECT * FROM ({A02_SQL}) a ORDER BY total DESC, pais"))
+def o04_countries_by_volume(spark, sf_dir):
+    return S.by_volume(a02_by_country(spark, sf_dir), "pais")
+
+
 _BROWSE = " UNION ALL ".join(
     f"SELECT * FROM (SELECT '{tag}' AS grupo, {lab} AS nombre, total FROM ({sql}) x "
     f"ORDER BY total DESC, {lab} LIMIT 6) {tag}"
