@@ -13,6 +13,7 @@ counts, entitlement, account dedup) it is written with aggregates instead.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 
 from pyspark.sql import DataFrame, Window
@@ -51,6 +52,50 @@ REPLAY_FIELDS = [T.StructField("estado_anterior", T.StringType()), T.StructField
                  T.StructField("paso", T.LongType())]
 
 
+class _Machine:
+    """A finite state machine over integer codes, applied to whole batches.
+
+    ``step[w, s]`` is the state after target w in state s; the last target row
+    stands for unknown or missing targets, which change nothing."""
+
+    def __init__(self, transitions: dict[str, list[str]], init: str):
+        self.states = list(dict.fromkeys([init, *transitions, *[t for v in transitions.values() for t in v]]))
+        code = {st: i for i, st in enumerate(self.states)}
+        n = len(self.states)
+        self.ok = np.zeros((n + 1, n), dtype=bool)
+        for st, targets in transitions.items():
+            for t in targets:
+                self.ok[code[t], code[st]] = True
+        here = np.arange(n, dtype=np.int16)
+        self.step = np.where(self.ok, np.arange(n + 1, dtype=np.int16)[:, None], here[None, :])
+        self.init, self.code = code[init], code
+        self.allowed = np.array([",".join(sorted(transitions.get(st, ()))) for st in self.states], dtype=object)
+        self.names = np.array(self.states, dtype=object)
+
+    def targets(self, wanted: pd.Series) -> np.ndarray:
+        return wanted.map(self.code).fillna(len(self.states)).to_numpy(dtype=np.int64)
+
+    def composed(self, targets: np.ndarray, segment: np.ndarray) -> np.ndarray:
+        """Per row, the map (state at the segment's start → state after the row),
+        by a segmented doubling scan: log2(longest segment) vector steps."""
+        f = self.step[targets].copy()
+        d = 1
+        while d < len(f):
+            at = np.flatnonzero(segment[d:] == segment[:-d]) + d
+            if not len(at):
+                break
+            before = f[at - d]
+            f[at] = np.take_along_axis(f[at], before, axis=1)
+            d *= 2
+        return f
+
+
+def _segments(keys: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """(segment number of each row, first row of each segment) of sorted keys."""
+    new = np.append(True, keys.to_numpy()[1:] != keys.to_numpy()[:-1])
+    return np.cumsum(new) - 1, np.flatnonzero(new)
+
+
 def replay(events: DataFrame, key: str, order: list[str], target: str, transitions: dict[str, list[str]],
            init: str, num_partitions: int | None = None) -> DataFrame:
     """Fold each key's time-ordered requested targets over a transition
@@ -66,54 +111,45 @@ def replay(events: DataFrame, key: str, order: list[str], target: str, transitio
     chaining those ≤ 2·N summaries in partition order gives the entry state
     and step offset of every key that continues from an earlier partition (a
     map of ≤ N entries, broadcast), and all partitions then replay in
-    parallel from the correct state.
+    parallel from the correct state.  Inside a batch the transfer functions
+    are composed by numpy, not row by row.
     """
     from terroir.session import ensure_checkpoint_dir
     spark = events.sparkSession
     ensure_checkpoint_dir(spark)
-    states = list(dict.fromkeys([init, *transitions, *[t for v in transitions.values() for t in v]]))
-    idx = {st: i for i, st in enumerate(states)}
-    table = {k: set(v) for k, v in transitions.items()}
-    allowed = {k: ",".join(sorted(v)) for k, v in transitions.items()}
-
-    def step(st, wanted):
-        return wanted if wanted in table.get(st, ()) else st
-
+    m = _Machine(transitions, init)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     cols = [key, *order]
     ranged = (events.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
               .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
 
     # pass 1: boundary summaries (first / last key segment of each partition)
-    summary_schema = "_pid int, pos string, k string, fn array<string>, n long"
+    summary_schema = "_pid int, pos string, k string, fn array<int>, n long"
 
     def summarise(batches):
-        segs = []                                   # [key, fn-list, count] in partition order
-        pid = None
+        segs, pid = [], None                        # [key, transfer function, rows]: the first and the current last
         for pdf in batches:
             if pdf.empty:
                 continue
             pid = int(pdf["_pid"].iloc[0])
-            for k, w in zip(pdf[key].tolist(), pdf[target].tolist()):
-                if not segs or segs[-1][0] != k:
-                    if len(segs) == 2:              # keep only the first and the current (last) segment
-                        segs[1] = [k, list(states), 0]
-                    else:
-                        segs.append([k, list(states), 0])
-                seg = segs[-1]
-                seg[1] = [step(st, w) for st in seg[1]]
-                seg[2] += 1
+            segment, starts = _segments(pdf[key])
+            f = m.composed(m.targets(pdf[target]), segment)
+            ends = np.append(starts[1:], len(pdf))
+            for b in sorted({0, len(starts) - 1}):
+                k, fn, rows = pdf[key].iloc[starts[b]], f[ends[b] - 1], int(ends[b] - starts[b])
+                if b == 0 and segs and segs[-1][0] == k:
+                    segs[-1] = [k, fn[segs[-1][1]], segs[-1][2] + rows]
+                else:
+                    segs = [*segs[:1], [k, fn, rows]]
         if pid is None:
             return
-        rows = [(pid, "first", str(segs[0][0]), segs[0][1], segs[0][2])]
-        if len(segs) > 1:
-            rows.append((pid, "last", str(segs[-1][0]), segs[-1][1], segs[-1][2]))
+        rows = [(pid, "first" if i == 0 else "last", str(k), fn.astype(int).tolist(), c) for i, (k, fn, c) in enumerate(segs)]
         yield pd.DataFrame(rows, columns=["_pid", "pos", "k", "fn", "n"])
     summ = sorted((r._pid, r.pos != "first", r.k, list(r.fn), r.n)
                   for r in ranged.mapInPandas(summarise, summary_schema).collect())   # ≤ 2 rows per partition
 
     # chain the summaries: entry (state, steps so far) of continuing keys
-    entry: dict[int, tuple[str, str, int]] = {}
+    entry: dict[int, tuple[str, int, int]] = {}
     carry = None                                    # (key, state, steps) after the previous partition
     by_pid: dict[int, list] = {}
     for pid, _, k, fn, cnt in summ:
@@ -121,15 +157,14 @@ def replay(events: DataFrame, key: str, order: list[str], target: str, transitio
     for pid in sorted(by_pid):
         segs = by_pid[pid]
         k0, fn0, c0 = segs[0]
-        start, steps = (carry[1], carry[2]) if carry and carry[0] == k0 else (init, 0)
+        start, steps = (carry[1], carry[2]) if carry and carry[0] == k0 else (m.init, 0)
         if carry and carry[0] == k0:
             entry[pid] = (k0, start, steps)
-        end0 = fn0[idx[start]]
         if len(segs) == 1:
-            carry = (k0, end0, steps + c0)
+            carry = (k0, fn0[start], steps + c0)
         else:
             kl, fnl, cl = segs[-1]
-            carry = (kl, fnl[idx[init]], cl)
+            carry = (kl, fnl[m.init], cl)
     entry_b = spark.sparkContext.broadcast(entry)     # ≤ N entries
 
     # pass 2: every partition replays in parallel from its entry state
@@ -137,34 +172,28 @@ def replay(events: DataFrame, key: str, order: list[str], target: str, transitio
     names = [f.name for f in events.schema.fields]
 
     def fold(batches):
-        cur_key, state, seq, first = object(), init, 0, True
+        current, state, steps, first = object(), m.init, 0, True
         for pdf in batches:
             if pdf.empty:
                 continue
-            pid = int(pdf["_pid"].iloc[0])
-            keys = pdf[key].tolist()
-            wanted = pdf[target].tolist()
-            prev, after, verdict, perm, seqs = [], [], [], [], []
-            for k, w in zip(keys, wanted):
-                if k != cur_key:
-                    cur_key, state, seq = k, init, 0
-                    if first:
-                        e = entry_b.value.get(pid)
-                        if e is not None and e[0] == str(k):
-                            state, seq = e[1], e[2]
-                    first = False
-                seq += 1
-                prev.append(state)
-                perm.append(allowed.get(state, ""))
-                if w in table.get(state, ()):
-                    state = w
-                    verdict.append(APPLIED)
-                else:
-                    verdict.append(INVALID)
-                after.append(state)
-                seqs.append(seq)
-            yield pdf[names].assign(estado_anterior=prev, estado=after, veredicto=verdict, permitidos=perm,
-                                    paso=seqs)
+            segment, starts = _segments(pdf[key])
+            k0 = pdf[key].iloc[0]
+            if k0 != current:
+                e = entry_b.value.get(int(pdf["_pid"].iloc[0])) if first else None
+                state, steps = (e[1], e[2]) if e is not None and e[0] == str(k0) else (m.init, 0)
+            first = False
+            begin = np.full(len(starts), m.init)
+            offset = np.zeros(len(starts), dtype=np.int64)
+            begin[0], offset[0] = state, steps
+            w = m.targets(pdf[target])
+            after = m.composed(w, segment)[np.arange(len(pdf)), begin[segment]].astype(np.int64)
+            before = np.append(begin[0], after[:-1])
+            before[starts] = begin
+            done = m.ok[w, before]
+            position = np.arange(len(pdf)) - starts[segment] + 1 + offset[segment]
+            current, state, steps = pdf[key].iloc[-1], int(after[-1]), int(position[-1])
+            yield pdf[names].assign(estado_anterior=m.names[before], estado=m.names[after],
+                                    veredicto=np.where(done, APPLIED, INVALID), permitidos=m.allowed[before], paso=position)
     return ranged.mapInPandas(fold, out_schema)
 
 
