@@ -158,7 +158,7 @@ def minutes_between(a: ColumnOrName, b: ColumnOrName) -> Column:
 # ---------------------------------------------------------- F14 NPS class
 def nps_class(c: ColumnOrName) -> Column:
     v = _c(c)
-    return (F.when(v.isNull(), F.lit(None))
+    return (F.when(v.isNull() | ~v.between(0, 10), F.lit(None))
             .when(v >= 9, "promotor").when(v >= 7, "pasivo").otherwise("detractor"))
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terroir.functions import lenient_double, round_half_up
+from terroir.functions import lenient_double, round_half_up, strip
 
 # Minimum schema per source type and natural keys.
 REQUIRED = {
@@ -44,7 +44,9 @@ def rejection_reason(df: DataFrame, kind: str, now_date: str) -> Column:
         chain = F.when(cond, reason) if chain is None else chain.when(cond, reason)
     for c in REQUIRED[kind]:
         v = _as_text(c) if c in df.columns else F.lit(None).cast("string")
-        missing = v.isNull() | (F.trim(v) == "") | (F.lower(F.trim(v)) == "nan")
+        missing = v.isNull() | (strip(v) == "")            # any white space, tabs included
+        if c in df.columns and df.schema[c].dataType.typeName() in ("double", "float"):
+            missing = missing | F.isnan(c)
         add(missing, F.lit(f"campo_faltante:{c}"))
     if kind in ("reseñas", "puntuaciones"):
         pts = lenient_double("points")
@@ -54,7 +56,7 @@ def rejection_reason(df: DataFrame, kind: str, now_date: str) -> Column:
         prc = lenient_double("price")
         add(prc.isNull() | (prc <= 0),
             F.concat(F.lit("dominio:precio_no_positivo:"), F.coalesce(_as_text("price"), F.lit("None"))))
-        cur = F.upper(F.trim(F.coalesce(_as_text("moneda"), F.lit(""))))
+        cur = F.upper(strip(F.coalesce(_as_text("moneda"), F.lit(""))))
         add(~cur.isin(*CURRENCIES),
             F.concat(F.lit("dominio:moneda_no_iso4217:"), F.coalesce(_as_text("moneda"), F.lit("None"))))
     for dc in DATE_COLUMNS:

@@ -148,7 +148,3 @@ def usage_of(a10: DataFrame, client_id) -> DataFrame:
     """Point lookup; a non-integer id yields no row."""
     key = F.lit(str(client_id)).try_cast("int")
     return a10.filter(F.col("id_cliente") == key)
-
-
-def avg_expr(total, n, d):
-    return round_half_up(exact_avg(total, n), d)

@@ -210,11 +210,3 @@ def month_dim(periods: DataFrame, col: str = "id_tiempo") -> DataFrame:
         (F.floor((m - 1) / 3) + 1).cast("int").alias("trimestre"), m.alias("mes"),
         F.element_at(names, m).alias("mes_nombre"),
         F.concat(y.cast("string"), F.lit("-"), F.lpad(m.cast("string"), 2, "0")).alias("periodo"))
-
-
-def month_spine(start: int, end: int, spark) -> DataFrame:
-    """All YYYYMM periods between two ids (calendar, inclusive)."""
-    s = F.make_date(F.lit(start // 100), F.lit(start % 100), F.lit(1))
-    e = F.make_date(F.lit(end // 100), F.lit(end % 100), F.lit(1))
-    d = spark.range(1).select(F.explode(F.sequence(s, e, F.expr("interval 1 month"))).alias("d"))
-    return month_dim(d.select((F.year("d") * 100 + F.month("d")).alias("id_tiempo")))

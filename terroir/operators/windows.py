@@ -87,19 +87,9 @@ def zscore(df: DataFrame, series: str, value: str, eps: float = 1e-9) -> DataFra
                         .otherwise(F.lit(0.0))))
 
 
-def keep_first(df: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
-    """Per key the row with the smallest ordinal (input order)."""
-    others = [c for c in df.columns if c not in keys]
-    agg = df.groupBy(*keys).agg(F.min(F.struct(ordinal, *[c for c in others if c != ordinal])).alias("_f"))
-    return agg.select(*keys, *[F.col(f"_f.{c}").alias(c) for c in others])
-
 
 def latest_by(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
     """Per key the newest record (max_by over a struct, no sort)."""
     others = [c for c in df.columns if c not in keys]
     agg = df.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col(ts)).alias("_l"))
     return agg.select(*keys, *[F.col(f"_l.{c}").alias(c) for c in others])
-
-
-def first_in_order(cols: list[str], order: Column):
-    return F.min_by(F.struct(*cols), order)

@@ -84,7 +84,7 @@ def q02_unique_keys(spark, sf_dir):
 # ====================================================== Q06 / A20 / K02
 INGEST_DATE = "2024-02-01"
 _BATCH_SQL = """, batch AS (SELECT ordinal, title, CAST(points AS VARCHAR) AS points, taster_name, winery,
-    CASE WHEN title IS NULL OR trim(title) = '' OR lower(trim(title)) = 'nan' THEN 'campo_faltante:title'
+    CASE WHEN title IS NULL OR trim(title) = '' THEN 'campo_faltante:title'
          WHEN points IS NULL THEN 'campo_faltante:points'
          WHEN taster_name IS NULL OR trim(taster_name) = '' THEN 'campo_faltante:taster_name'
          WHEN winery IS NULL OR trim(winery) = '' THEN 'campo_faltante:winery'
