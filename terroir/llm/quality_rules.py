@@ -195,7 +195,9 @@ def estimates(x: DataFrame, steps: int = STEPS) -> DataFrame:
     current = written(cholesky(start_estimate(x)), "mcd")
     for _ in range(steps):
         d = distance(x.join(current, "__g"))
-        subset = d.join(group_quantile(value_counts(d, ["__g"], "__bin"), ["__g"], "__bin", SUBSET, "__limit"), "__g").where("__bin <= __limit")
+        # one row per group, written: the join knows its size and never deals the rows by group
+        limit = written(group_quantile(value_counts(d, ["__g"], "__bin"), ["__g"], "__bin", SUBSET, "__limit"), "mcd-limit")
+        subset = d.join(limit, "__g").where("__bin <= __limit")
         current = written(cholesky(moments(subset)), "mcd")
     d = distance(x.join(current, "__g"))
     size = x.groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
@@ -207,6 +209,7 @@ def with_group(x: DataFrame, min_group: int) -> DataFrame:
     named = x.withColumn("__g", F.to_json(F.struct("__lang", "__source")))
     sizes = (named.where(~F.col("base_failed")).groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
              .where(F.col("__n") >= min_group).select(F.col("__g").alias("__own")))
+    sizes = written(sizes, "mcd-groups")
     return (named.join(sizes, F.col("__g") == F.col("__own"), "left")
             .withColumn("__g", F.coalesce("__own", F.lit("pool"))).drop("__own"))
 
