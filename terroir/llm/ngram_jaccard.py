@@ -21,6 +21,9 @@ Scale
   likely original), linked ones become one component, and only pairs
   across different components are compared afterwards.  No link between
   components is lost, because every remaining candidate pair is checked.
+* Each set carries a bitmap of 512 bits in which every n-gram flips one bit.
+  Bits in which two bitmaps differ are n-grams that the sets do not share, so
+  a pair with too many of them is ruled out exactly, before any n-gram moves.
 * Only candidate documents ship their n-grams (5 bytes each); a Bloom filter of
   bounded size sorts out most others early, the join decides.
 
@@ -57,6 +60,7 @@ FLUSH = 1_000_000                 # n-grams a task gathers before it emits them
 SLICE = 500                       # rows that become n-gram sets at once
 FRAGMENTS = 4
 EXTRA, EXTRA_PER = 1, 20          # l = EXTRA + n / EXTRA_PER
+MAPS = [f"b{i}" for i in range(8)]   # a set's parity bitmap: 8 longs
 STARS = ("hot", "node")           # pivots: most frequent n-grams; smallest name
 FACTOR = np.uint64(0xD6E8FEB86659FD93)
 
@@ -126,15 +130,30 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, SLICE)
 
 
+def parity_map(grams: np.ndarray) -> np.ndarray:
+    """512 bits as 8 longs; every n-gram flips the bit of its hash."""
+    odd = np.bincount((grams >> np.uint64(55)).astype(np.int64), minlength=512) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def alike(percent: int) -> Column:
+    """Whether the bitmaps of x and y leave room for a link (columns nx, ny, x_b*, y_b*)."""
+    differ = sum((F.bit_count(F.col(f"x_{m}").bitwiseXOR(F.col(f"y_{m}"))) for m in MAPS[1:]),
+                 F.bit_count(F.col(f"x_{MAPS[0]}").bitwiseXOR(F.col(f"y_{MAPS[0]}"))))
+    return differ * (100 + percent) <= (F.col("nx") + F.col("ny")) * (100 - percent)
+
+
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, node, n) per row."""
+    """(doc_id, node, n, bitmap) per row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = ngram_sets(as_bytes(batch.column(1)), size)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([signature(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())],
-                ["doc_id", "node", "n"])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, node long, n long")
+                [batch.column(0), pa.array([signature(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                 *(pa.array(c) for c in np.array([parity_map(s) for s in sets]).reshape(-1, len(MAPS)).T)],
+                ["doc_id", "node", "n", *MAPS])
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        run, "doc_id long, node long, n long, " + ", ".join(f"{m} long" for m in MAPS))
 
 
 def distinct_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -355,11 +374,21 @@ def linked(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     return total.where(100 * F.col("i") >= percent * (F.col("nx") + F.col("ny") - F.col("i"))).select("x", "y")
 
 
+def end_of(classes: DataFrame, side: str) -> DataFrame:
+    """``classes`` under the column names of one side of a pair."""
+    return classes.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), F.col("doc_id").alias(f"d{side}"),
+                          *[F.col(m).alias(f"{side}_{m}") for m in MAPS])
+
+
+def may_link(percent: int) -> Column:
+    """Whether the sizes and the bitmaps of a pair allow a link."""
+    return (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")) & alike(percent)
+
+
 def sized(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs with sizes and documents, if the sizes allow a link."""
-    p = (pairs.join(classes.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("doc_id").alias("dx")), "x")
-         .join(classes.select(F.col("node").alias("y"), F.col("n").alias("ny"), F.col("doc_id").alias("dy")), "y"))
-    return p.where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
+    """Pairs with sizes and documents, if sizes and bitmaps allow a link."""
+    p = pairs.join(end_of(classes, "x"), "x").join(end_of(classes, "y"), "y")
+    return p.where(may_link(percent)).drop(*[f"{s}_{m}" for s in "xy" for m in MAPS])
 
 
 def enough_shared(pairs: DataFrame, tokens: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -391,7 +420,7 @@ def components_of(classes: DataFrame, links: DataFrame) -> DataFrame:
 def similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, hot: int = HOT, max_hot: int = MAX_HOT) -> tuple[DataFrame, DataFrame]:
     """((doc_id, node, n) per row, links (x, y) between classes)."""
     rows = written(signatures(docs, size), "signatures")
-    classes = written(rows.where("n > 0 and doc_id is not null").groupBy("node", "n").agg(F.min("doc_id").alias("doc_id")), "classes")
+    classes = written(rows.where("n > 0 and doc_id is not null").groupBy("node", "n", *MAPS).agg(F.min("doc_id").alias("doc_id")), "classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
     ranges = max(16, -(-total // PER_RANGE))
     keys, levels = frequent(docs, size, ranges, hot, max_hot)
@@ -419,12 +448,12 @@ def open_pairs(tokens: DataFrame, links: DataFrame, classes: DataFrame, percent:
     several = written(named.groupBy("token").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a <> b").select("token"), "several")
     often = tokens.groupBy("node").agg(F.count(F.lit(1)).alias("h"))
     one = written(named.join(several, "token").join(classes, "node").join(often, "node"), "open")
-    other = one.select("token", *[F.col(a).alias(b) for a, b in (("node", "y"), ("c", "cy"), ("n", "ny"), ("doc_id", "dy"), ("h", "hy"))])
-    one = one.select("token", *[F.col(a).alias(b) for a, b in (("node", "x"), ("c", "cx"), ("n", "nx"), ("doc_id", "dx"), ("h", "hx"))])
-    apart = ((F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy"))
-             & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
+    def side(s):
+        return one.select("token", *[F.col(a).alias(b) for a, b in (
+            ("node", s), ("c", f"c{s}"), ("n", f"n{s}"), ("doc_id", f"d{s}"), ("h", f"h{s}"))], *[F.col(m).alias(f"{s}_{m}") for m in MAPS])
+    apart = ((F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & may_link(percent)
              & (F.least("hx", "hy") >= least_shared(F.col("nx"), F.col("ny"), percent)))
-    return one.join(other, "token").where(apart).select("x", "y", "nx", "ny", "dx", "dy").distinct()
+    return side("x").join(side("y"), "token").where(apart).select("x", "y", "nx", "ny", "dx", "dy").distinct()
 
 
 def grouped(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
