@@ -89,13 +89,13 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
             .agg(drop_runs(F.sort_array(F.collect_set("__pos"))).alias("drop_runs")))
 
 
-def with_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``docs`` plus ``drop_runs`` (an empty array where nothing is dropped)."""
+def with_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, name: str = "drop_runs") -> DataFrame:
+    """``docs`` plus the bitmap ``name`` (an empty array where nothing is dropped)."""
     bitmaps = keep_bitmaps(docs, min_chars, min_docs).select(
         F.col("__nd").alias("__bnd"), F.col("__th").alias("__bth"), F.col("drop_runs").alias("__runs"))
     left = docs.withColumns({"__nd": -F.col("doc_id"), "__th": F.xxhash64("text")})
     joined = left.join(bitmaps, F.col("__nd").eqNullSafe(F.col("__bnd")) & (F.col("__th") == F.col("__bth")), "left")
-    return (joined.withColumn("drop_runs", F.coalesce("__runs", F.array().cast(BITMAP)))
+    return (joined.withColumn(name, F.coalesce("__runs", F.array().cast(BITMAP)))
             .drop("__nd", "__th", "__bnd", "__bth", "__runs"))
 
 
@@ -121,9 +121,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
 
     ``n_chars``, where present, follows a changed text.
     """
-    out = with_bitmaps(docs, min_chars, min_docs)
-    changed = F.size("drop_runs") > 0
-    out = out.withColumn("text", F.when(changed, kept_text(F.col("text"), F.col("drop_runs"))).otherwise(F.col("text")))
+    out = with_bitmaps(docs, min_chars, min_docs, "__drop_runs")
+    runs = F.col("__drop_runs")
+    changed = F.size(runs) > 0
+    out = out.withColumn("text", F.when(changed, kept_text(F.col("text"), runs)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(changed, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))

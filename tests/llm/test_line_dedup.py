@@ -44,6 +44,11 @@ def test_texts_and_columns(messy):
     assert got[25]["text"].count("\n") == 3
 
 
+def test_clashing_column(spark, messy):
+    out = line_dedup.dedup_lines(messy.withColumnRenamed("x", "drop_runs").fillna("mine", ["drop_runs"]))
+    assert {r[0] for r in out.select("drop_runs").collect()} == {"mine"}
+
+
 def test_runs(spark):
     df = spark.createDataFrame([([0, 1, 4, 6, 7],), ([],)], "p array<int>")
     got = [[tuple(x) for x in r[0]] for r in df.select(line_dedup.drop_runs(df.p)).collect()]

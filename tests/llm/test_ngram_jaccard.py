@@ -59,7 +59,7 @@ def near_copies():
     return [(i, " ".join(r)) for i, r in enumerate(rows)]
 
 
-@pytest.mark.parametrize(("hot", "max_hot"), [(16, 2_000_000), (4, 2_000_000), (4, 300)])
+@pytest.mark.parametrize(("hot", "max_hot"), [(8, 2_000_000), (4, 300)])
 def test_near_copies_equal_brute_force(spark, hot, max_hot, monkeypatch):
     rows = near_copies()
     similar = nj.similar
