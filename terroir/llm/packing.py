@@ -7,15 +7,17 @@ crosses documents.  Pieces of equal length form a bucket; sequence ids run
 without gaps through the buckets, longest first, so a loader takes a batch
 of one length as an id range.
 
-Tokens come from the 50k byte-level BPE ranks (the same vocabulary and the
-same ids as the ``tokenizers`` file, which the tests compare; several times
-faster), plus the end id.  Tokenising is one Arrow pass over the documents;
+Tokens come from the 50k byte-level BPE ranks and the added tokens of the
+``tokenizers`` file of the same name (the same vocabulary and the same ids,
+which the tests compare; several times faster), plus the end id.  Tokenising is one Arrow pass over the documents;
 only piece headers (no ids) are numbered, in two passes over a range
 partitioning, so a hot bucket is spread over many tasks.
 
 Defined results
 * null or empty text: one piece of one token (the end id).
-* the strings of special tokens in a text are ordinary text.
+* the strings of added tokens in a text get the ids of these tokens in the
+  contract's columns, as the named file does; ``pieces`` and ``pack`` take them as
+  ordinary text unless called with ``added_tokens``.
 * repeated rows: each is packed; ties in (length, doc_id, start) are numbered
   in arbitrary order among equal pieces.
 * empty table: empty result; extra columns are not read.
@@ -23,6 +25,8 @@ Defined results
 
 from __future__ import annotations
 
+import json
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -45,6 +49,19 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def added(path: str) -> dict[str, int]:
+    """The added tokens of the ``tokenizers`` file beside a rank file (none without one)."""
+    beside = os.path.splitext(path)[0] + ".json"
+    if not os.path.exists(beside):
+        return {}
+    with open(beside, encoding="utf-8") as f:
+        tokens = json.load(f)["added_tokens"]
+    for t in tokens:
+        if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]:
+            raise ValueError(f"added token {t['content']!r} is not matched as plain text")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 _ENCODERS: dict[str, object] = {}
 
 
@@ -58,10 +75,15 @@ def encoder(path: str):
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f)}
         _ENCODERS[path] = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                                            special_tokens={})
+                                            special_tokens=added(path))
     return _ENCODERS[path]
 
 
+def token_ids(enc, text: str, added_tokens: bool) -> list[int]:
+    """Ids of a text; strings of added tokens are these tokens or ordinary text."""
+    return enc.encode(text, allowed_special="all") if added_tokens else enc.encode_ordinary(text)
+
+
 def piece_lengths(n: int, max_len: int = MAX_LEN) -> list[int]:
     """``n`` as powers of two up to ``max_len``, largest first."""
     out = [max_len] * (n // max_len)
@@ -74,7 +96,7 @@ def piece_lengths(n: int, max_len: int = MAX_LEN) -> list[int]:
 
 
 def pieces(docs: DataFrame, vocabulary: str | None = None, max_len: int = MAX_LEN, end_id: int = END_ID,
-           with_ids: bool = False) -> DataFrame:
+           with_ids: bool = False, added_tokens: bool = False) -> DataFrame:
     """One row per piece; ``ids`` (little-endian unsigned 32 bit) only if asked for."""
     path = vocabulary or vocabulary_path()
 
@@ -83,7 +105,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, max_len: int = MAX_LE
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = enc.encode_ordinary(text.as_py() or "")
+                ids = token_ids(enc, text.as_py() or "", added_tokens)
                 ids.append(end_id)
                 raw = np.array(ids, dtype="<u4").tobytes()
                 start = 0
@@ -99,12 +121,13 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, max_len: int = MAX_LE
 
 
 def pack(docs: DataFrame, vocabulary: str | None = None, max_len: int = MAX_LEN, end_id: int = END_ID,
-         with_ids: bool = False) -> DataFrame:
+         with_ids: bool = False, added_tokens: bool = False) -> DataFrame:
     """Pieces with sequence_id and offset; each piece is a sequence of its own.
 
-    ``with_ids`` keeps the token ids, for writing the training sequences.
+    ``with_ids`` keeps the token ids, for writing the training sequences;
+    ``added_tokens`` gives strings of added tokens their ids, as the contract does.
     """
-    cut = written(pieces(docs, vocabulary, max_len, end_id, with_ids), "pieces")
+    cut = written(pieces(docs, vocabulary, max_len, end_id, with_ids, added_tokens), "pieces")
     ranged = written(range_local_index(cut, [F.desc("length"), F.col("doc_id"), F.col("start")]), "ranged-pieces")
     out = attach_row_number(ranged, "__n").withColumns(
         {"sequence_id": F.col("__n") - 1, "offset": F.lit(0).cast("long")}).drop("__n")
@@ -113,4 +136,4 @@ def pack(docs: DataFrame, vocabulary: str | None = None, max_len: int = MAX_LEN,
 
 def digest(docs: DataFrame) -> DataFrame:
     """The contract's columns."""
-    return pack(docs).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    return pack(docs, added_tokens=True).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

@@ -48,3 +48,32 @@ def test_long_word(spark):
 
 def test_empty(empty):
     assert packing.digest(empty).count() == 0
+
+
+def named_ids(text):
+    """Ids by the tokenizer file that the contract names, with its own settings."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids
+
+
+def digest_of(ids):
+    """(start, length, ids_crc32, doc_tokens) of a document's pieces."""
+    raw, start, out = np.array([*ids, 1], "<u4").tobytes(), 0, []
+    for size in packing.piece_lengths(len(ids) + 1):
+        out.append((start, size, zlib.crc32(raw[4 * start:4 * (start + size)]), len(ids) + 1))
+        start += size
+    return out
+
+
+def check_digest(spark, texts):
+    got = defaultdict(list)
+    for r in packing.digest(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        got[r["doc_id"]].append((r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]))
+    assert {k: sorted(v) for k, v in got.items()} == {i: digest_of(named_ids(t)) for i, t in enumerate(texts)}
+
+
+def test_digest_has_ids_of_added_tokens(spark):
+    end = "<|endoftext|>"
+    assert named_ids(f"a {end} b") == [64, 220, 50256, 275]
+    check_digest(spark, [f"a {end} b", end, end * 2, f"a  {end}\n\n", f"x{end}y", "<|endoftext|", "plain", ""])
