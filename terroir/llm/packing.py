@@ -18,6 +18,7 @@ Defined results
 * the strings of added tokens in a text get the ids of these tokens in the
   contract's columns, as the named file does; ``pieces`` and ``pack`` take them as
   ordinary text unless called with ``added_tokens``.
+* long texts: any length, also long runs of white space or of one word.
 * repeated rows: each is packed; ties in (length, doc_id, start) are numbered
   in arbitrary order among equal pieces.
 * empty table: empty result; extra columns are not read.
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -41,6 +43,8 @@ from terroir.operators.ids import attach_row_number, range_local_index
 MAX_LEN = 2048
 END_ID = 1
 VOCABULARY = "byte_bpe_50k.tiktoken"
+LONG_RUN = 100_000                # characters of white space from which a run is a piece of its own
+WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")   # \s of the pattern
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
 
 
@@ -79,9 +83,39 @@ def encoder(path: str):
     return _ENCODERS[path]
 
 
+def plain_ids(enc, text: str) -> list[int]:
+    r"""Ids of a text without added tokens, whatever its runs of white space.
+
+    The pattern's ``\s+(?!\S)`` backtracks over a whole run and fails on about a
+    million characters, so a long run is handed over as the piece that the
+    pattern would find: all of it at the end, else all but its last character.
+    """
+    if len(text) < LONG_RUN:
+        return enc.encode_ordinary(text)
+    ids, at = [], 0
+    for run in WHITE.finditer(text):
+        if run.end() - run.start() >= LONG_RUN:
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            ids += enc.encode_ordinary(text[at:run.start()])
+            ids += enc._encode_single_piece(text[run.start():end])
+            at = end
+    return ids + enc.encode_ordinary(text[at:])
+
+
 def token_ids(enc, text: str, added_tokens: bool) -> list[int]:
     """Ids of a text; strings of added tokens are these tokens or ordinary text."""
-    return enc.encode(text, allowed_special="all") if added_tokens else enc.encode_ordinary(text)
+    if not added_tokens or not enc.special_tokens_set:
+        return plain_ids(enc, text)
+    if len(text) < LONG_RUN:
+        return enc.encode(text, allowed_special="all")
+    names = sorted(enc.special_tokens_set, key=len, reverse=True)
+    ids: list[int] = []
+    for part in re.split(f"({'|'.join(map(re.escape, names))})", text):
+        if part in enc.special_tokens_set:
+            ids.append(enc.encode_single_token(part))
+        else:
+            ids += plain_ids(enc, part)
+    return ids
 
 
 def piece_lengths(n: int, max_len: int = MAX_LEN) -> list[int]:

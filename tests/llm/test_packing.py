@@ -1,5 +1,7 @@
+import random
 import zlib
 from collections import defaultdict
+from functools import lru_cache
 
 import numpy as np
 from hypothesis import given
@@ -50,11 +52,16 @@ def test_empty(empty):
     assert packing.digest(empty).count() == 0
 
 
-def named_ids(text):
-    """Ids by the tokenizer file that the contract names, with its own settings."""
+@lru_cache
+def named_tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
-    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def named_ids(text):
+    """Ids by the tokenizer file that the contract names, with its own settings."""
+    return named_tokenizer().encode(text, add_special_tokens=False).ids
 
 
 def digest_of(ids):
@@ -77,3 +84,25 @@ def test_digest_has_ids_of_added_tokens(spark):
     end = "<|endoftext|>"
     assert named_ids(f"a {end} b") == [64, 220, 50256, 275]
     check_digest(spark, [f"a {end} b", end, end * 2, f"a  {end}\n\n", f"x{end}y", "<|endoftext|", "plain", ""])
+
+
+def test_long_white_space(spark):
+    many = 2_000_000
+    check_digest(spark, [" " * many, f"a{' ' * many}b  c", "\n" * many + "<|endoftext|>" + " " * many + "x",
+                         f"x {chr(0x3000) * many}\u2003", "a" * many])
+
+
+def test_white_space_runs_equal_named_tokenizer(monkeypatch):
+    monkeypatch.setattr(packing, "LONG_RUN", 3)
+    enc, rnd = packing.encoder(packing.vocabulary_path()), random.Random(3)
+    signs = [" ", " ", "\n", "\t", "\r", "\x0b", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "\u200b", "a", "'s", "7", "!", "\u00e9",
+             "<|endoftext|>"]
+    for _ in range(5000):
+        text = "".join(rnd.choice(signs) for _ in range(rnd.randint(0, 30)))
+        assert packing.token_ids(enc, text, True) == named_ids(text)
+
+
+def test_white_is_the_space_of_the_pattern():
+    import regex
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    assert "".join(packing.WHITE.findall(every)) == "".join(regex.findall(r"\s", every))
