@@ -21,6 +21,9 @@ Scale
   likely original), linked ones become one component, and only pairs
   across different components are compared afterwards.  No link between
   components is lost, because every remaining candidate pair is checked.
+  That is all the contract's component ids need; ``joined``, the pair join
+  itself, also compares the pairs inside a component, in blocks of at most
+  ``BLOCK`` documents a side, and returns every link (as many as there are).
 * Each set carries a bitmap of 512 bits in which every n-gram flips one bit.
   Bits in which two bitmaps differ are n-grams that the sets do not share, so
   a pair with too many of them is ruled out exactly, before any n-gram moves.
@@ -61,6 +64,7 @@ SLICE = 500                       # rows that become n-gram sets at once
 FRAGMENTS = 4
 EXTRA, EXTRA_PER = 1, 20          # l = EXTRA + n / EXTRA_PER
 MAPS = [f"b{i}" for i in range(8)]   # a set's parity bitmap: 8 longs
+BLOCK = 256                       # documents a side that are compared inside a component at once
 STARS = ("hot", "node")           # pivots: most frequent n-grams; smallest name
 FACTOR = np.uint64(0xD6E8FEB86659FD93)
 
@@ -418,7 +422,36 @@ def components_of(classes: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, hot: int = HOT, max_hot: int = MAX_HOT) -> tuple[DataFrame, DataFrame]:
-    """((doc_id, node, n) per row, links (x, y) between classes)."""
+    """((doc_id, node, n) per row, links (x, y) that connect every component of classes).
+
+    The links span the components and are not all there are; ``joined`` returns all.
+    """
+    rows, _, _, _, links, across = compared(docs, size, percent, hot, max_hot)
+    return rows, written(links.unionAll(across), "links")
+
+
+def joined(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, hot: int = HOT, max_hot: int = MAX_HOT) -> tuple[DataFrame, DataFrame]:
+    """The pair join: ((doc_id, node, n, n_links) per row, every link (x, y) between classes).
+
+    Rows of one class (equal sets) share their node and are linked without an
+    entry of their own; ``n_links`` counts the other rows with a doc_id that a row
+    is linked with, in its class and in others (null without a doc_id or a set).
+    """
+    rows, classes, tokens, parts, links, across = compared(docs, size, percent, hot, max_hot)
+    tried = written(links.unionAll(across), "links")
+    inner = inner_pairs(tokens, links, classes, percent).join(tried, ["x", "y"], "left_anti")
+    every = written(tried.unionAll(linked(inner, parts, percent)), "all-links")
+    of = rows.where("n > 0 and doc_id is not null").groupBy("node").agg(F.count(F.lit(1)).alias("k"))
+    ends = every.unionAll(every.select(F.col("y").alias("x"), F.col("x").alias("y")))
+    others = ends.join(of, F.col("y") == F.col("node")).groupBy("x").agg(F.sum("k").alias("o"))
+    counts = of.join(others, F.col("x") == F.col("node"), "left").select(
+        "node", (F.col("k") - 1 + F.coalesce("o", F.lit(0))).alias("n_links"))
+    n_links = F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("n_links")).alias("n_links")
+    return rows.join(counts, "node", "left").select("doc_id", "node", "n", n_links), every
+
+
+def compared(docs: DataFrame, size: int, percent: int, hot: int, max_hot: int) -> tuple[DataFrame, ...]:
+    """(rows, classes, frequent tokens, fragments, links of the first pairs, links across their components)."""
     rows = written(signatures(docs, size), "signatures")
     classes = written(rows.where("n > 0 and doc_id is not null").groupBy("node", "n", *MAPS).agg(F.min("doc_id").alias("doc_id")), "classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
@@ -435,7 +468,7 @@ def similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, hot: int
     parts = written(fragments(docs, size, wanted), "fragments")
     links = written(linked(pairs, parts, percent), "links")
     across = open_pairs(tokens, links, classes, percent).join(pairs.select("x", "y"), ["x", "y"], "left_anti")
-    return rows, written(links.unionAll(linked(across, parts, percent)), "links")
+    return rows, classes, tokens, parts, links, linked(across, parts, percent)
 
 
 def open_pairs(tokens: DataFrame, links: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -456,6 +489,30 @@ def open_pairs(tokens: DataFrame, links: DataFrame, classes: DataFrame, percent:
     return side("x").join(side("y"), "token").where(apart).select("x", "y", "nx", "ny", "dx", "dy").distinct()
 
 
+def inner_pairs(tokens: DataFrame, links: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs inside one component of ``links`` that may link by frequent prefix n-grams.
+
+    A component is cut into blocks, and a task's key is a pair of blocks, so no
+    key holds more than about twice ``BLOCK`` documents whatever the component's size.
+    """
+    often = tokens.groupBy("node").agg(F.count(F.lit(1)).alias("h"))
+    named = written(components_of(classes, links).join(classes, "node").join(often, "node"), "inner")
+    cut = named.groupBy("c").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    # written, so that the join deals both sides anew and can split a large component
+    one = written(named.join(written(cut, "blocks"), "c").withColumn("at", F.pmod(F.xxhash64("node"), "blocks").cast("int")), "inner")
+
+    def side(s, low, high):
+        return one.select("c", low.alias("low"), high.alias("high"), *[F.col(a).alias(b) for a, b in (
+            ("node", s), ("n", f"n{s}"), ("doc_id", f"d{s}"), ("h", f"h{s}"))], *[F.col(m).alias(f"{s}_{m}") for m in MAPS])
+    x = side("x", F.col("at"), F.explode(F.sequence("at", F.col("blocks") - 1)))
+    y = side("y", F.explode(F.sequence(F.lit(0), "at")), F.col("at"))
+    apart = (((F.col("low") < F.col("high")) | (F.col("x") < F.col("y"))) & may_link(percent)
+             & (F.least("hx", "hy") >= least_shared(F.col("nx"), F.col("ny"), percent)))
+    swap = F.col("x") > F.col("y")
+    both = x.join(y, ["c", "low", "high"]).where(apart)
+    return both.select(*[F.when(swap, F.col(q)).otherwise(F.col(p)).alias(p) for p, q in (("x", "y"), ("y", "x"), ("nx", "ny"), ("ny", "nx"), ("dx", "dy"), ("dy", "dx"))])
+
+
 def grouped(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row."""
     rows, links = similar(docs.select("doc_id", "text"), size, percent)

@@ -97,3 +97,30 @@ def test_components(spark):
 
 def test_empty(empty):
     assert nj.digest(empty).count() == 0 and nj.one_per_group(empty).columns == empty.columns
+
+
+def all_links(rows):
+    """({row pairs that link}, the number of links per row) of rows with a doc_id."""
+    sets = {r[0]: frozenset(shingles(r[1])) for r in rows}
+    pairs = {(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b]
+             and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    return pairs, Counter(x for p in pairs for x in p)
+
+
+@pytest.mark.parametrize(("hot", "block"), [(8, 256), (4, 7)])
+def test_joined_returns_every_link(spark, hot, block, monkeypatch):
+    monkeypatch.setattr(nj, "BLOCK", block)
+    tight = [[f"t{j}" if j != 3 * i else f"u{i}" for j in range(200)] for i in range(60)]   # all pairs link
+    rows = [*near_copies(), *((2000 + i, " ".join(w)) for i, w in enumerate(tight)), (1000, "a b c d e"), (1001, "A b c d e"), (1002, ""), (1003, None)]
+    got, links = nj.joined(spark.createDataFrame(rows, "doc_id long, text string"), hot=hot)
+    got = got.collect()
+    links = [tuple(r) for r in links.collect()]
+    assert len(links) == len({frozenset(p) for p in links})
+    of = {}
+    for r in got:
+        of.setdefault(r["node"], []).append(r["doc_id"])
+    pairs = {tuple(sorted((a, b))) for x, y in links for a in of[x] for b in of[y]}
+    pairs |= {tuple(sorted((a, b))) for r in got if r["n"] for a in of[r["node"]] for b in of[r["node"]] if a != b}
+    want, counts = all_links(rows)
+    assert pairs == want and len(want) > 1000
+    assert {r["doc_id"]: r["n_links"] for r in got} == {r[0]: counts[r[0]] if shingles(r[1]) else None for r in rows}
