@@ -45,11 +45,54 @@ def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash per word: a polynomial of its bytes, then mixed."""
+def word_sums(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomial of each word's bytes."""
     up, down = powers(len(data))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up)])
-    return mixed((sums[ends] - sums[starts]) * down[starts])
+    return (sums[ends] - sums[starts]) * down[starts]
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash per word: a polynomial of its bytes, then mixed."""
+    return mixed(word_sums(data, starts, ends))
+
+
+class SegmentWords:
+    """Words of one text that comes in segments; a word cut between segments counts once.
+
+    The polynomial is additive, so an unfinished word is carried as its sum and length.
+    """
+
+    def __init__(self) -> None:
+        self.parts: list[np.ndarray] = []
+        self.sum, self.length = 0, 0
+
+    def finish(self) -> None:
+        if self.length:
+            self.parts.append(np.array([self.sum], np.uint64))
+            self.sum, self.length = 0, 0
+
+    def add(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: int, last: int) -> None:
+        """The words (polynomials and places) of the next segment, whose bytes are ``first`` to ``last``."""
+        if not len(sums):
+            if last > first:                                # white space only
+                self.finish()
+            return
+        if starts[0] != first:
+            self.finish()
+        head = int(sums[0]) * pow(int(BASE), self.length, 1 << 64) + self.sum & (1 << 64) - 1
+        length = self.length + int(ends[0] - starts[0])
+        if len(sums) > 1:
+            self.parts += [np.array([head], np.uint64), sums[1:-1]]
+            head, length = int(sums[-1]), int(ends[-1] - starts[-1])
+        self.sum, self.length = head, length
+        if ends[-1] != last:
+            self.finish()
+
+    def hashes(self) -> np.ndarray:
+        """The hashes of all words, after the last segment."""
+        self.finish()
+        return mixed(np.concatenate(self.parts)) if self.parts else np.zeros(0, np.uint64)
 
 
 def as_bytes(texts: pa.Array) -> list[bytes]:
@@ -58,7 +101,7 @@ def as_bytes(texts: pa.Array) -> list[bytes]:
 
 
 def cut(text: bytes, limit: int) -> Iterator[bytes]:
-    """Segments of about ``limit`` bytes that end at white space (a longer word is cut)."""
+    """Segments of about ``limit`` bytes that end at white space (a longer word is cut, see ``SegmentWords``)."""
     at = 0
     while len(text) - at > limit:
         end = max(text.rfind(c, at, at + limit) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c")) + 1

@@ -37,6 +37,7 @@ Defined results
 * fewer than ``size`` words: the whole sequence is the one n-gram.
 * repeated rows: equal sets are one class; each row gets its result.  A null
   doc_id takes no part as the smallest id; its component is null if no other row is in its class.
+* a word counts once whatever its length, also across the segments of a long text.
 * empty table: empty result; extra columns pass through ``one_per_group``.
 """
 
@@ -50,7 +51,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terroir.llm.bytes_text import CHUNK_BYTES, LOWER_TABLE, as_bytes, chunks, mixed, word_bounds, word_hashes
+from terroir.llm.bytes_text import CHUNK_BYTES, LOWER_TABLE, SegmentWords, as_bytes, chunks, mixed, word_bounds, word_sums
 from terroir.llm.components import connected
 from terroir.llm.storage import written
 
@@ -81,23 +82,25 @@ def ngram_hashes(words: np.ndarray, size: int) -> np.ndarray:
 def ngram_sets(texts: list[bytes], size: int = SIZE) -> list[np.ndarray]:
     """Sorted distinct n-gram hashes per text."""
     out: list[np.ndarray | None] = [None] * len(texts)
-    long: dict[int, list[np.ndarray]] = {}
+    long: dict[int, SegmentWords] = {}
     for rows, first, data in chunks(texts):
         data = LOWER_TABLE[data]
         starts, ends = word_bounds(data)
-        words = word_hashes(data, starts, ends)
+        sums = word_sums(data, starts, ends)
+        words = mixed(sums)
         grams = ngram_hashes(words, size) if len(words) >= size else words[:0]
         cuts = np.append(np.searchsorted(starts, first), len(starts))
+        lasts = np.append(first[1:], len(data)) - 1         # a line break ends every piece
         for k, row in enumerate(rows):
             a, b = cuts[k], cuts[k + 1]
             if len(texts[row]) > CHUNK_BYTES:              # in segments: joined by words below
-                long.setdefault(row, []).append(words[a:b])
+                long.setdefault(row, SegmentWords()).add(sums[a:b], starts[a:b], ends[a:b], first[k], lasts[k])
             elif b - a >= size:
                 out[row] = np.unique(grams[a:b - size + 1])
             else:
                 out[row] = ngram_hashes(words[a:b], b - a) if b > a else words[:0]
     for row, parts in long.items():
-        words = np.concatenate(parts)
+        words = parts.hashes()
         out[row] = np.unique(ngram_hashes(words, min(size, len(words)))) if len(words) else words
     return [x if x is not None else np.zeros(0, np.uint64) for x in out]
 

@@ -124,3 +124,23 @@ def test_joined_returns_every_link(spark, hot, block, monkeypatch):
     want, counts = all_links(rows)
     assert pairs == want and len(want) > 1000
     assert {r["doc_id"]: r["n_links"] for r in got} == {r[0]: counts[r[0]] if shingles(r[1]) else None for r in rows}
+
+
+def test_long_words_count_once_across_segments(monkeypatch):
+    rnd = random.Random(4)
+    texts = [" ".join("".join(rnd.choice("aBc") for _ in range(rnd.choice([1, 3, 9, 40, 130]))) for _ in range(rnd.randint(1, 40)))
+             + " " * rnd.randint(0, 30) for _ in range(400)]
+    texts = [(" " * rnd.randint(0, 12) + t).encode() for t in texts] + [b"a" * 500, b"x " + b"a" * 500, b"a" * 20 + b" b", b" " * 99]
+    whole = nj.ngram_sets(texts)
+    real = nj.chunks
+    for limit in (10, 11, 64):
+        monkeypatch.setattr(nj, "CHUNK_BYTES", limit)
+        monkeypatch.setattr(nj, "chunks", lambda t, limit=limit: real(t, limit))
+        assert [x.tolist() for x in nj.ngram_sets(texts)] == [x.tolist() for x in whole]
+
+
+def test_word_of_many_megabytes():
+    big = b"a" * (5 << 20)
+    one, two, other, three = nj.ngram_sets([big, b"x y z w " + big, big[:-1] + b"b", b"x y " + big + b" z w"])
+    assert len(one) == len(other) == 1 and one[0] != other[0]
+    assert len(two) == len(three) == 2
