@@ -151,16 +151,16 @@ def alike(percent: int) -> Column:
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, node, n, bitmap) per row."""
+    """(doc_id, text_hash, node, n, bitmap) per row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = ngram_sets(as_bytes(batch.column(1)), size)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([signature(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                [batch.column(0), batch.column(2), pa.array([signature(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                  *(pa.array(c) for c in np.array([parity_map(s) for s in sets]).reshape(-1, len(MAPS)).T)],
-                ["doc_id", "node", "n", *MAPS])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, node long, n long, " + ", ".join(f"{m} long" for m in MAPS))
+                ["doc_id", "text_hash", "node", "n", *MAPS])
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
+        run, "doc_id long, text_hash long, node long, n long, " + ", ".join(f"{m} long" for m in MAPS))
 
 
 def distinct_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -425,7 +425,7 @@ def components_of(classes: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, hot: int = HOT, max_hot: int = MAX_HOT) -> tuple[DataFrame, DataFrame]:
-    """((doc_id, node, n) per row, links (x, y) that connect every component of classes).
+    """((doc_id, text_hash, node, n) per row, links (x, y) that connect every component of classes).
 
     The links span the components and are not all there are; ``joined`` returns all.
     """
@@ -516,26 +516,44 @@ def inner_pairs(tokens: DataFrame, links: DataFrame, classes: DataFrame, percent
     return both.select(*[F.when(swap, F.col(q)).otherwise(F.col(p)).alias(p) for p, q in (("x", "y"), ("y", "x"), ("nx", "ny"), ("ny", "nx"), ("dx", "dy"), ("dy", "dx"))])
 
 
-def grouped(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row."""
+def labelled(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(doc_id, text_hash, n, least) per row; ``least`` is the smallest (doc_id, text_hash)
+    of the row's component (null without a set, or without a doc_id in its class)."""
     rows, links = similar(docs.select("doc_id", "text"), size, percent)
-    classes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"))
+    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash")))
+    classes = rows.where("n > 0").groupBy("node").agg(first.alias("rep"))
     comp = connected(links.select(F.col("x").alias("u"), F.col("y").alias("v"))).withColumnsRenamed({"id": "node"})
-    labelled = classes.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = labelled.groupBy("component").agg(F.min("rep").alias("component_id"))
-    labels = labelled.join(least, "component").select("node", "component_id")
-    return (rows.join(labels, "node", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+    named = classes.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = named.groupBy("component").agg(F.min("rep").alias("least"))
+    labels = named.join(least, "component").select("node", "least")
+    return rows.join(labels, "node", "left").select("doc_id", "text_hash", "n", "least")
+
+
+def grouped(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) per row."""
+    return labelled(docs, size, percent).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least.doc_id", "doc_id").alias("component_id"))
 
 
 def one_per_group(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """One document of each group of linked documents: the smallest doc_id (columns unchanged).
+    """One document of each group of linked documents (columns unchanged): the smallest
+    doc_id, of its texts in the group the one with the smallest hash, and of
+    repeated rows (same doc_id and text) the one that comes first as JSON.
 
     Rows with a null doc_id or without a set all stay.
     """
-    gone = grouped(docs, size, percent).where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    return kept.select(*docs.columns)
+    rows = written(labelled(docs, size, percent).where("n > 0 and doc_id is not null"), "labelled")
+    stays = F.struct("doc_id", "text_hash") == F.col("least")
+    key = [F.col("doc_id").alias("__gone"), F.col("text_hash").alias("__gone_hash")]
+    gone = rows.where(~stays).select(*key).distinct()
+    again = written(rows.where(stays).groupBy(*key).count().where("count > 1").drop("count"), "repeated")
+    hashed = docs.withColumn("__text_hash", F.xxhash64("text"))
+    same = (F.col("doc_id").cast("long") == F.col("__gone")) & (F.col("__text_hash") == F.col("__gone_hash"))
+    kept = hashed.join(gone.unionAll(again), same, "left_anti").select(*docs.columns)
+    whole = F.struct(*[F.col(c) for c in docs.columns])
+    once = (hashed.join(again, same, "left_semi").groupBy("doc_id", "__text_hash")
+            .agg(F.min_by(whole, F.to_json(whole)).alias("__row")).select("__row.*"))
+    return kept.unionAll(once)
 
 
 def digest(docs: DataFrame) -> DataFrame:

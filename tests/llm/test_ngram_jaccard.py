@@ -144,3 +144,14 @@ def test_word_of_many_megabytes():
     one, two, other, three = nj.ngram_sets([big, b"x y z w " + big, big[:-1] + b"b", b"x y " + big + b" z w"])
     assert len(one) == len(other) == 1 and one[0] != other[0]
     assert len(two) == len(three) == 2
+
+
+def test_one_per_group_matches_doc_id_and_text(spark):
+    words = [f"w{i}" for i in range(100)]
+    near, clean = " ".join([*words[:99], "end"]), "a clean row whose doc_id occurs with another text as well"
+    rows = [(1, " ".join(words), "a"), (2, near, "b"), (2, clean, "c"),
+            (5, "twice the same row of text", "z"), (5, "twice the same row of text", "d"), (6, "Twice the same row of text", "e"),
+            (7, "", "f"), (7, "", "g"), (None, near, "h"), (None, near, "i")]
+    out = nj.one_per_group(spark.createDataFrame(rows, "doc_id long, text string, x string"))
+    assert out.columns == ["doc_id", "text", "x"]
+    assert sorted(r["x"] for r in out.collect()) == ["a", "c", "d", "f", "g", "h", "i"]
