@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terroir.llm import decontaminate, line_dedup, ngram_jaccard, packing, pii, quality_classifier, quality_rules, sharding, url_filter, warc
+from terroir.llm import (
+    decontaminate,
+    filter_audit,
+    line_dedup,
+    ngram_jaccard,
+    packing,
+    pii,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    url_filter,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -73,3 +85,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_ngram_jaccard", ngram_jaccard.ORACLE_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op11_filter_audit", filter_audit.ORACLE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     found = E.queries()
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 12))
     assert set(QUERIES) <= set(found) and "pipeline" in found
 
 
@@ -27,7 +27,7 @@ def test_entry_without_the_subpackage(monkeypatch):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = QUERIES[name](spark, SF)
     res = con.execute(ORACLE[name])
