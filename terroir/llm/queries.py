@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from terroir.llm import (
     decontaminate,
     filter_audit,
+    hard_negatives,
     line_dedup,
     ngram_jaccard,
     packing,
@@ -90,3 +91,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_filter_audit", filter_audit.ORACLE_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op12_hard_negatives", hard_negatives.ORACLE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.digest(table(spark, sf_dir, "embeddings"))
