@@ -11,6 +11,7 @@ from terroir.llm import (
     filter_audit,
     hard_negatives,
     line_dedup,
+    mixing,
     ngram_jaccard,
     packing,
     pii,
@@ -96,3 +97,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_hard_negatives", hard_negatives.ORACLE_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.digest(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_mixing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(table(spark, sf_dir, "documents"))

@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     found = E.queries()
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 13))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert set(QUERIES) <= set(found) and "pipeline" in found
 
 
