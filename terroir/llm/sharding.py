@@ -42,7 +42,7 @@ from terroir.operators.ids import attach_row_number, range_local_index
 
 ROW_OVERHEAD = 8
 N_SHARDS = 24
-POINTS = 2048
+POINTS = 1024
 N_BUCKETS = 1024
 
 
@@ -111,15 +111,25 @@ class Borders:
 
 
 def border_groups(sums: DataFrame, windows: list[tuple[int, int]], points: int) -> list[tuple[int, int]]:
-    """(end, size) of the last group in each of about ``points`` steps per window."""
-    parts = None
-    for a, b in windows:
-        step = max(1, (b - a) // points)
-        part = (sums.where((F.col("__cum") >= a) & (F.col("__cum") <= b))
-                .groupBy(F.floor((F.col("__cum") - a) / F.lit(step)).alias("__step"))
-                .agg(F.max(F.struct("__cum", "__size")).alias("g")).select("g.*"))
-        parts = part if parts is None else parts.unionAll(part)
-    return [] if parts is None else [(r[0], r[1]) for r in parts.collect()]   # <= windows * (points + 2) rows
+    """(end, size) of the last group in each of about ``points`` steps per window.
+
+    One scan and one aggregate for all windows (ascending, disjoint): running sizes
+    rise, so the largest end and the largest start of a step are its last group's.
+    """
+    if not windows:
+        return []
+    cum = F.col("__cum")
+    starts, ends, steps = ([F.lit(x).cast("long") for x in xs] for xs in zip(
+        *[(a, b, max(1, (b - a) // points)) for a, b in windows], strict=True))
+    window = F.size(F.filter(F.array(*starts), lambda a: a <= cum))
+
+    def of(values):
+        return F.element_at(F.array(*values), F.col("__window"))
+    inside = (sums.where((cum >= windows[0][0]) & (cum <= windows[-1][1])).withColumn("__window", window)
+              .where(cum <= of(ends)))
+    found = (inside.groupBy("__window", F.floor((cum - of(starts)) / of(steps)).alias("__step"))
+             .agg(F.max("__cum").alias("end"), F.max(cum - F.col("__size")).alias("start")))
+    return [(r["end"], r["end"] - r["start"]) for r in found.collect()]        # <= windows * (points + 2) rows
 
 
 def merged(windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
