@@ -17,6 +17,8 @@ Defined results
 * null or empty text: no span (the digest of an empty list).
 * spans of one kind never overlap; an added span that touches any base span
   is left out; among overlapping added spans the leftmost, then longest stays.
+* very long texts are searched whole, in time in proportion to their length, also where one
+  run of digits, letters or separators fills them.
 * repeated rows: one result row each.  No candidate anywhere: nothing is added.
 * empty table: empty result; extra columns are not read.
 """
@@ -43,14 +45,16 @@ N_LABELERS, N_SHAPES = 4, 3
 # The contract's base patterns.
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")         # see WHOLE_IP
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
+# IP's matches in linear time: a run of digits is tried once, and never shorter than it is.
+WHOLE_IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 # A stretch of digits and separators; every ip, card or national phone lies inside one.
 ZONE = re.compile(r"[0-9][0-9 ().+-]{5,}[0-9]")
-WIDE_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+ ?[(\[{] ?at ?[)\]}] ?[A-Za-z0-9-]+(?: ?(?:\.|[(\[{] ?dot ?[)\]}]) ?[A-Za-z0-9-]+)+", re.I)
-BRACKETED_AT = re.compile(r"[(\[{] ?at ?[)\]}]", re.I)
+# What follows the name in a spelled-out address.
+SPELLED_AT = re.compile(r"[(\[{] ?at ?[)\]}] ?[A-Za-z0-9-]++(?: ?(?:\.|[(\[{] ?dot ?[)\]}]) ?[A-Za-z0-9-]++)+", re.I)
 WIDE_PHONE = re.compile(r"(?<![0-9.-])(?:00[1-9][0-9]{0,2}[ .-][0-9 ().-]{5,16}[0-9]"
                         r"|(?:\+[1-9][0-9]{0,2}[ .-]?)?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9.-])")
 WIDE_CARD = re.compile(r"(?<![0-9.+-])[0-9](?:[ .-]?[0-9]){12,18}(?![0-9.-])")
@@ -105,8 +109,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     """The contract's base spans, by kind and then start."""
     out = [("email", s, e) for s, e in emails(text)] if "@" in text else []
     zones = [m.span() for m in ZONE.finditer(text)]
-    out += [("ip", m.start(), m.end()) for a, b in zones for m in IP.finditer(text, a, b)
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split("."))]
+    out += [("ip", m.start(), m.end()) for a, b in zones for m in WHOLE_IP.finditer(text, a, b)
+            if all(len(p) <= 3 and int(p or 0) <= 255 for p in (x.lstrip("0") for x in m.group().split(".")))]
     for a, b in zones:
         for m in CARD.finditer(text, a, b):
             d = digits_of(m.group())
@@ -117,15 +121,27 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def spelled_emails(text: str) -> Iterator[tuple[int, int]]:
+    """Names before a spelled-out at sign, with what follows; leftmost, non-overlapping."""
+    done = 0
+    for m in SPELLED_AT.finditer(text):
+        start = m.start() - (m.start() > done and text[m.start() - 1] == " ")
+        name_end = start
+        while start > done and text[start - 1] in LOCAL:
+            start -= 1
+        if start < name_end:
+            done = m.end()
+            yield start, done
+
+
 def wide_spans(text: str) -> Iterator[tuple[str, int, int]]:
     """Candidates beyond the base patterns."""
-    if BRACKETED_AT.search(text):
-        yield from (("email", *m.span()) for m in WIDE_EMAIL.finditer(text))
+    yield from (("email", s, e) for s, e in spelled_emails(text))
     for z in ZONE.finditer(text):
         a, b = z.span()
         yield from (("phone", *m.span()) for m in WIDE_PHONE.finditer(text, max(0, a - 1), b))
         yield from (("card", *m.span()) for m in WIDE_CARD.finditer(text, a, b))
-        yield from (("ip", *m.span()) for m in IP.finditer(text, a, b))
+        yield from (("ip", *m.span()) for m in WHOLE_IP.finditer(text, a, b))
 
 
 def votes(kind: str, text: str, start: int, end: int, base: bool) -> tuple[int, ...]:
@@ -160,11 +176,19 @@ def candidates(text: str) -> list[tuple[str, int, int, bool, str]]:
     """(kind, start, end, base, cell): all base spans, and the wide spans that
     touch none of them; the cell holds votes and shape as digits."""
     base = base_spans(text)
-    taken = sorted((s, e) for _, s, e in base)
+    taken: list[list[int]] = []                    # base spans as disjoint stretches
+    for s, e in sorted((s, e) for _, s, e in base):
+        if taken and s <= taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], e)
+        else:
+            taken.append([s, e])
     found = [(k, s, e, True) for k, s, e in base]
     added: list[tuple[str, int, int, bool]] = []
+    i = 0
     for k, s, e in sorted(wide_spans(text), key=lambda x: (x[1], -x[2])):
-        if all(e <= a or b <= s for a, b in taken) and (not added or added[-1][2] <= s):
+        while i < len(taken) and taken[i][1] <= s:
+            i += 1
+        if (i == len(taken) or e <= taken[i][0]) and (not added or added[-1][2] <= s):
             added.append((k, s, e, False))
     return [(k, s, e, b, "".join(map(str, (*votes(k, text, s, e, b), *shape(k, text, s, e))))) for k, s, e, b in found + added]
 
@@ -188,8 +212,8 @@ def candidate_rows(docs: DataFrame) -> DataFrame:
 def expectation_maximisation(cells: Counter, rounds: int = EM_ROUNDS) -> dict[str, float]:
     """Posterior of each vote pattern of one kind (Dawid-Skene with two classes).
 
-    Labelers are independent given the class; ``rates[y][j][v]`` is the chance
-    that labeler j votes v on class y.  Starts from the vote majority.
+    Labelers are independent given the class; ``rate[v]`` is the chance that
+    labeler j, if it votes, votes v on class y.  Starts from the vote majority.
     """
     keys = sorted(cells)
     v = np.array([[int(c) for c in k] for k in keys])
@@ -202,8 +226,8 @@ def expectation_maximisation(cells: Counter, rounds: int = EM_ROUNDS) -> dict[st
         for y, weight in enumerate((n * (1 - post), n * post)):
             for j in range(v.shape[1]):
                 # add-one smoothing, with one more vote for right than for wrong: class 1 stays "is personal data"
-                rate = np.array([(weight[v[:, j] == x]).sum() for x in range(3)]) + np.array([2 - y, 1 + y, 1])
-                like[y] += np.log(rate / rate.sum())[v[:, j]]
+                rate = np.array([(weight[v[:, j] == x]).sum() for x in range(2)]) + np.array([2 - y, 1 + y])
+                like[y] += np.append(np.log(rate / rate.sum()), 0)[v[:, j]]          # abstaining says nothing
         post = 1 / (1 + np.exp(np.clip(like[0] - like[1], -50, 50)))
     return dict(zip(keys, post.tolist(), strict=True))
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 from terroir.llm import pii
@@ -14,7 +15,7 @@ def luhn(d):
 
 def brute(text):
     d = lambda s: re.sub("[^0-9]", "", s)
-    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text if "@" in text else "")]
     out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)
             if all(int(p) <= 255 for p in m.group().split("."))]
     out += [("card", *m.span()) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text)
@@ -73,3 +74,58 @@ def test_redact(spark):
 
 def test_empty(empty):
     assert pii.digest(empty).count() == 0
+
+
+WIDE_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+ ?[(\[{] ?at ?[)\]}] ?[A-Za-z0-9-]+(?: ?(?:\.|[(\[{] ?dot ?[)\]}]) ?[A-Za-z0-9-]+)+", re.I)
+
+
+def test_linear_patterns_find_the_same():
+    """The wide e-mail and ip searches, and the spans they may take, by the plain patterns."""
+    rnd = random.Random(6)
+    pieces = ["a.b", "[at]", " [at] ", "{ AT }", "(at)", "x", " ", "  ", ".", "[dot]", " (dot) ", "org", "1.2.3.4", "300.1.2.3", "7", "a@b.cd",
+              "+1 (555) 123-4567", "0049 30 1234567", "é", "-"]
+    for _ in range(4000):
+        text = "".join(rnd.choices(pieces, k=rnd.randint(1, 14)))
+        assert list(pii.spelled_emails(text)) == [m.span() for m in WIDE_EMAIL.finditer(text)], text
+        assert [m.span() for m in pii.WHOLE_IP.finditer(text)] == [m.span() for m in pii.IP.finditer(text)], text
+        base = sorted(pii.base_spans(text), key=lambda x: x[1])
+        want = []
+        for k, s, e in sorted(pii.wide_spans(text), key=lambda x: (x[1], -x[2])):
+            if all(e <= a or b <= s for _, a, b in base) and (not want or want[-1][2] <= s):
+                want.append((k, s, e))
+        assert [c[:3] for c in pii.candidates(text) if not c[3]] == want, text
+
+
+def test_long_runs():
+    """A megabyte of one kind takes about as long as any other; zeros of any number are an ip's part."""
+    zeros = "x " + "0" * 5000 + ".1.1.1 y"
+    assert [c[:3] for c in pii.candidates(zeros) if c[3]] == [("ip", 2, 5008)]
+    mega = 1_000_000
+    many = " ".join(f"joe{i}@site{i}.org 10.0.{i % 250}.1" for i in range(50_000))
+    texts = ["7" * mega, "1." * (mega // 2), "a" * mega + " [at]", "a" * mega + "[at]b", "a" * mega + "@", "+1" + " " * mega, "1 " * (mega // 2),
+             "1" + " " * mega, "[at]" * (mega // 4), "(at) a " * (mega // 7), many, "a@" * (mega // 2), "1.2." + "3" * mega, "a@b" + ".c" * (mega // 2)]
+    for text in texts:
+        began = time.time()
+        found = pii.candidates(text)
+        assert time.time() - began < 12, text[:20]          # quadratic searches take minutes
+        assert text is not many or len([c for c in found if c[3]]) == 100_000
+
+
+def test_recall_of_added_spans(spark):
+    """Planted spans beyond the base patterns, and look-alikes that are none."""
+    rnd = random.Random(12)
+    rows, planted, alike = [], {}, {}
+    for i in range(600):
+        kind = i % 4
+        span = [f"joe{i} [at] site{i} [dot] org", f"00{rnd.choice([49, 44, 33])} 30 {rnd.randint(100, 999)} {rnd.randint(1000, 9999)}",
+                f"({rnd.randint(200, 999)}) 555-{rnd.randint(1000, 9999)}", f"order no. {rnd.randint(10 ** 12, 10 ** 13 - 1)}"][kind]
+        before = ["please write to ", "call me on tel ", "my phone is ", "your "][kind]
+        text = f"word {i} {before}{span} and more words"
+        at = text.index(span)
+        (alike if kind == 3 else planted)[i] = (["email", "phone", "phone", "card"][kind], at, at + len(span))
+        rows.append((i, text))
+    rows += [(1000 + i, f"base a{i}@b.org, +1 (555) 123-{1000 + i}, 10.0.0.{i % 250}") for i in range(300)]
+    got = {r["doc_id"]: r["spans"] for r in pii.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    caught = sum(f"{k}:{s}:{e}" in got[i].split(",") for i, (k, s, e) in planted.items())
+    assert caught >= 0.9 * len(planted)
+    assert sum(bool(got[i]) for i in alike) <= 0.02 * len(alike)
