@@ -93,12 +93,23 @@ def held_out(doc_id: Column | None = None) -> Column:
 
 def training_bags(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> list[tuple[np.ndarray, np.ndarray, int]]:
     """Bags and labels of the sample; features are made in the tasks, at most
-    ``max_train`` documents reach the driver."""
+    ``max_train`` documents reach the driver.
+
+    A repeated row counts once, whatever the number of its copies; of a doc_id with several
+    texts each counts, and the sample is cut again after they are known."""
     known = (labels.where(F.col("quality").isNotNull() & ~held_out())
              .select("doc_id", F.col("quality").cast("int").alias("quality"))
              .withColumn("__h", F.xxhash64(F.lit(SEED), "doc_id"))
              .orderBy("__h", "doc_id", "quality").limit(max_train))
-    sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")    # <= max_train rows
+    once = ["doc_id", "__th", "quality"]
+
+    def hashed(found: DataFrame) -> DataFrame:
+        return found.withColumn("__th", F.xxhash64("text"))
+    texts = docs.select("doc_id", "text")
+    keys = (hashed(texts.join(F.broadcast(known), "doc_id")).select(*once, "__h").distinct()     # known: <= max_train rows
+            .orderBy("__h", *once).limit(max_train).drop("__h"))
+    wanted = F.broadcast(keys.select("doc_id").distinct())                                       # <= max_train rows
+    sample = hashed(texts.join(wanted, "doc_id", "left_semi")).join(F.broadcast(keys), ["doc_id", "__th"]).dropDuplicates(once)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

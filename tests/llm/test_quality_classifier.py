@@ -44,6 +44,34 @@ def test_held_out_labels_are_never_read(spark):
     assert sorted(a) == sorted(q.digest(docs, spark.createDataFrame(flipped, schema)).collect())
 
 
+def test_sample_is_bounded(spark):
+    """Copies of a labelled row, and many texts of one doc_id, stay within max_train."""
+    rows, labels = corpus(60)
+    docs = spark.createDataFrame(rows + [rows[1]] * 50 + [(2, f"text {i}") for i in range(50)], "doc_id long, text string")
+    labels_df = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    plain = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len(q.training_bags(docs, labels_df, 20)) == 20
+    open_ids = sum(zlib.crc32(str(i).encode()) % 4 != 2 for i, _ in rows)
+    assert len(q.training_bags(plain, labels_df)) == open_ids
+    assert len(q.training_bags(docs, labels_df)) == open_ids + 50
+
+
+def brute_score(text, model):
+    """The mean weight of a text's word, word-pair and byte-gram buckets, bucket by bucket."""
+    weights, bias = model
+    (ids, counts), = q.bags([text.encode()])
+    total = sum(float(weights[i]) * int(c) for i, c in zip(ids, counts, strict=True))
+    return 1 / (1 + np.exp(-(total / max(1, int(counts.sum())) + bias)))
+
+
+def test_scores_equal_the_formula(spark):
+    rows, labels = corpus(150)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = q.train(q.training_bags(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")))
+    got = {r["doc_id"]: r["score"] for r in q.score(docs, model).collect()}
+    assert all(abs(got[i] - brute_score(t, model)) < 1e-4 for i, t in rows)
+
+
 def test_messy(spark, messy, empty):
     rows, labels = corpus(120)
     docs = messy.select("doc_id", "text").unionAll(spark.createDataFrame(rows, "doc_id long, text string"))
