@@ -178,8 +178,11 @@ def publication_verdicts(requests: DataFrame, seals: DataFrame, subs: DataFrame,
     split; blocked publications take part without moving it.  The version
     starts at 1 and rises only when an active publication is replaced.  Each
     accepted publication is ACTIVA until the next accepted one (REEMPLAZADA)
-    or an unpublish (DESPUBLICADO)."""
+    or an unpublish (DESPUBLICADO).  The count of replacements before a
+    request and the next accepted move behind it are running aggregates over
+    the replay's range partitions, forward and backward."""
     from terroir.operators.lifecycle import APPLIED, entitlement, replay
+    from terroir.operators.scans import cut_keys, running, stored
     plan = entitlement(subs, "cuenta").select("cuenta", F.col("acceso").alias("_plan"))
     r = _asof_seal_ok(requests, seals, suite).join(plan, "cuenta", "left")
     gate = (F.when(F.col("cuenta") != F.col("propietario"), "fuga_multitenant")
@@ -187,21 +190,24 @@ def publication_verdicts(requests: DataFrame, seals: DataFrame, subs: DataFrame,
     target = F.element_at(F.create_map(*[F.lit(x) for kv in PUBLICATION_TARGET.items() for x in kv]), F.col("accion"))
     r = r.withColumn("_gate", F.when(F.col("accion") == "publicar", gate))
     r = r.withColumn("_target", F.when(F.col("_gate").isNull(), target)).drop("_plan")
-    f = replay(r, "dashboard", ["fecha", "seq"], "_target", PUBLICATION, "LISTO")
+    f = replay(r, "dashboard", ["fecha", "seq"], "_target", PUBLICATION, "LISTO", keep_pid=True)
     before, pub = F.col("estado_anterior"), F.col("accion") == "publicar"
     applied = F.col("veredicto") == APPLIED
     verdict = (F.when(pub & (before == "DESPUBLICADO"), "estado_invalido").when(F.col("_gate").isNotNull(), F.col("_gate"))
                .when(applied | (F.col("accion") == "listo"), "aceptada")
                .when(F.col("accion") == "despublicar", "publicacion_inexistente").otherwise("accion_invalida"))
-    f = f.withColumns({"veredicto": verdict, "_pub": pub & applied, "_replaces": pub & applied & (before == "PUBLICADO"),
+    f = f.withColumns({"veredicto": verdict, "_pub": pub & applied,
+                       "_replaces": (pub & applied & (before == "PUBLICADO")).cast("long"),
                        "_moves": applied & F.col("accion").isin("publicar", "despublicar")})
-    by = Window.partitionBy("dashboard").orderBy("fecha", "seq")
-    upto = by.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    later = by.rowsBetween(1, Window.unboundedFollowing)
-    following = F.first(F.when(F.col("_moves"), F.col("accion")), ignorenulls=True).over(later)
-    state = (F.when(~F.col("_pub"), F.lit(None)).when(following.isNull(), "ACTIVA")
-             .when(following == "publicar", "REEMPLAZADA").otherwise("DESPUBLICADO"))
-    version = F.when(F.col("_pub"), F.lit(1) + F.count_if("_replaces").over(upto))
+    f = stored(f)
+    key = ["dashboard"]
+    cut = cut_keys(f, key)
+    f = running(f, key, ["paso"], {"_replaced": ("sum", F.col("_replaces"))}, cut=cut)
+    move = F.when(F.col("_moves"), F.col("paso") * 2 + (F.col("accion") == "publicar").cast("long"))     # nearest first
+    f = running(f, key, ["paso"], {"_next": ("min", move)}, reverse=True, cut=cut)
+    state = (F.when(~F.col("_pub"), F.lit(None)).when(F.col("_next").isNull(), "ACTIVA")
+             .when(F.col("_next") % 2 == 1, "REEMPLAZADA").otherwise("DESPUBLICADO"))
+    version = F.when(F.col("_pub"), F.lit(1) + F.col("_replaced") + F.col("_replaces"))
     return f.select(*requests.columns, "sello_ok", "veredicto", version.alias("version"), state.alias("estado_version"))
 
 

@@ -97,7 +97,7 @@ def _segments(keys: pd.Series) -> tuple[np.ndarray, np.ndarray]:
 
 
 def replay(events: DataFrame, key: str, order: list[str], target: str, transitions: dict[str, list[str]],
-           init: str, num_partitions: int | None = None) -> DataFrame:
+           init: str, num_partitions: int | None = None, keep_pid: bool = False) -> DataFrame:
     """Fold each key's time-ordered requested targets over a transition
     table.  Per event: previous state, resulting state, verdict
     ('aplicada' / 'transicion_invalida'), allowed targets, and ``paso`` (the
@@ -112,7 +112,8 @@ def replay(events: DataFrame, key: str, order: list[str], target: str, transitio
     and step offset of every key that continues from an earlier partition (a
     map of ≤ N entries, broadcast), and all partitions then replay in
     parallel from the correct state.  Inside a batch the transfer functions
-    are composed by numpy, not row by row.
+    are composed by numpy, not row by row.  ``keep_pid`` returns the range
+    partition ``_pid`` too, for running aggregates over the result (``scans``).
     """
     from terroir.session import ensure_checkpoint_dir
     spark = events.sparkSession
@@ -168,8 +169,9 @@ def replay(events: DataFrame, key: str, order: list[str], target: str, transitio
     entry_b = spark.sparkContext.broadcast(entry)     # ≤ N entries
 
     # pass 2: every partition replays in parallel from its entry state
-    out_schema = T.StructType(events.schema.fields + REPLAY_FIELDS)
-    names = [f.name for f in events.schema.fields]
+    fields = events.schema.fields + ([T.StructField("_pid", T.IntegerType())] if keep_pid else [])
+    out_schema = T.StructType(fields + REPLAY_FIELDS)
+    names = [f.name for f in fields]
 
     def fold(batches):
         current, state, steps, first = object(), m.init, 0, True
@@ -277,105 +279,6 @@ def lead_stage(conversions: DataFrame, lead_key: str = "lead") -> DataFrame:
                                          F.lit("LEAD")).alias("etapa")))
 
 
-# ---------------------------------------------------------------- T09
-LEDGER_FIELDS = [T.StructField("facturacion_ok", T.BooleanType()), T.StructField("metodo_pago", T.StringType()),
-                 T.StructField("plan_vigente", T.StringType()),
-                 T.StructField("estado_anterior", T.StringType()), T.StructField("estado", T.StringType()),
-                 T.StructField("veredicto", T.StringType()), T.StructField("tipo_evento", T.StringType()),
-                 T.StructField("monto", T.DoubleType()), T.StructField("mrr_delta", T.DoubleType()),
-                 T.StructField("mrr_cliente", T.DoubleType())]
-
-
-class _Account:
-    """One client's subscriptions while its requests are folded: id → [state, plan, yearly, billing ok]."""
-
-    def __init__(self, prices: dict[str, int]):
-        self.prices, self.subs, self.mrr = prices, {}, 0
-
-    def active_elsewhere(self, sub: str, plan: str) -> bool:
-        return any(k != sub and v[0] == "ACTIVA" and v[1] == plan for k, v in self.subs.items())
-
-    def apply(self, sub, action, plan, yearly, billed, wanted) -> tuple[str, str | None, int]:
-        """(verdict, event type, monthly delta in cents); a rejected request changes nothing."""
-        cur = self.subs.get(sub)
-        if action == "alta":
-            if cur:
-                return "suscripcion_existente", None, 0
-            if plan not in self.prices:
-                return "plan_inexistente", None, 0
-            if self.active_elsewhere(sub, plan):
-                return "suscripcion_activa_duplicada", None, 0
-            self.subs[sub] = ["ACTIVA" if billed else "PRUEBA", plan, yearly, billed]
-            return APPLIED, "alta" if billed else "alta_prueba", self.prices[plan] if billed else 0
-        if cur is None:
-            return "suscripcion_inexistente", None, 0
-        if action == "plan":
-            if cur[0] == "CANCELADA":
-                return "suscripcion_cancelada", None, 0
-            if plan not in self.prices:
-                return "plan_inexistente", None, 0
-            if plan != cur[1] and self.active_elsewhere(sub, plan):
-                return "suscripcion_activa_duplicada", None, 0
-            old, cur[1] = cur[1], plan
-            delta = self.prices[plan] - self.prices[old]
-            return APPLIED, "upgrade" if delta >= 0 else "downgrade", delta
-        if action != "estado" or wanted not in SUBSCRIPTION.get(cur[0], ()):
-            return INVALID, None, 0
-        if wanted == "ACTIVA" and not cur[3]:
-            return "facturacion_incompleta", None, 0
-        kind = SUBSCRIPTION_EVENTS.get((cur[0], wanted), "cambio_estado")
-        cur[0] = wanted
-        sign = {"ACTIVA": 1, "EN_PAUSA": -1, "CANCELADA": -1}.get(wanted, 0)
-        return APPLIED, kind, sign * self.prices[cur[1]]
-
-
-def subscription_ledger(requests: DataFrame, plans: DataFrame) -> DataFrame:
-    """Replay of subscription requests (cliente, suscripcion, accion in
-    alta / estado / plan, plan, periodo, titular, metodo_pago_token,
-    estado_solicitado, fecha, seq) over the plan catalogue.
-
-    Activation needs valid billing (F20; else the subscription starts as a
-    trial), a client has one ACTIVE subscription per plan, unknown plans are
-    rejected, and a plan change is an upgrade or downgrade with the price
-    difference.  Yearly amounts count a twelfth a month (F16).
-
-    The duplicate rule spans all subscriptions of a client, so a client is
-    folded in order by one task: rows are partitioned and sorted by Spark and
-    streamed; only the current client's subscriptions are in memory.  ``plans``
-    is the catalogue, at most ``MAX_PLANS`` rows.
-    """
-    from terroir.functions import billing_ok, mask
-    catalogue = plans.select("nombre", F.round(F.col("precio_mensual") * 100).cast("long").alias("c")).limit(MAX_PLANS + 1).collect()
-    if len(catalogue) > MAX_PLANS:
-        raise ValueError(f"the plan catalogue has more than {MAX_PLANS} rows")
-    prices = {r["nombre"]: r["c"] for r in catalogue}
-    ok = billing_ok("titular", "metodo_pago_token")
-    rows = (requests.withColumn("facturacion_ok", ok)
-            .withColumn("metodo_pago", F.when(F.col("facturacion_ok"), mask("metodo_pago_token")).otherwise(F.lit(""))))
-    names = rows.columns
-
-    def fold(batches):
-        client, account = object(), None
-        for pdf in batches:
-            out = []
-            cols = [pdf[c].tolist() for c in ("cliente", "suscripcion", "accion", "plan", "periodo", "facturacion_ok",
-                                              "estado_solicitado")]
-            for who, sub, action, plan, period, billed, wanted in zip(*cols):
-                if who != client:
-                    client, account = who, _Account(prices)
-                before = account.subs.get(sub, [None])[0]
-                verdict, kind, delta = account.apply(sub, action, plan, period == "anual", bool(billed), wanted)
-                account.mrr += delta
-                now = account.subs.get(sub)
-                amount = None if now is None else account.prices[now[1]] * (12 if now[2] else 1) / 100
-                out.append((now[1] if now else None, before, now[0] if now else None, verdict, kind, amount,
-                            delta / 100, account.mrr / 100))
-            fields = [f.name for f in LEDGER_FIELDS[2:]]
-            yield pdf[names].assign(**dict(zip(fields, zip(*out)))) if out else pdf[names].assign(**{f: None for f in fields})
-    ordered = rows.repartition("cliente").sortWithinPartitions("cliente", "fecha", "seq")
-    return ordered.mapInPandas(fold, T.StructType(rows.schema.fields[:-2] + LEDGER_FIELDS))
-
-
 # ---------------------------------------------------------------- T10
 def ticket_sla(transitions: DataFrame, key: str = "ticket") -> DataFrame:
     """Ticket replay + SLA per ticket: first response once (first

@@ -540,7 +540,8 @@ def t09_subscription_ledger(spark, sf_dir):
                    F.lit("Titular").alias("titular"),
                    F.when(F.col("event_id") % 5 != 0, "tok_4242").alias("metodo_pago_token"),
                    case(_SUB_STATE, None).alias("estado_solicitado"), F.col("ts").alias("fecha"), F.col("event_id").alias("seq"))
-    out = L.subscription_ledger(req, T.dim_plan(spark).select("nombre", "precio_mensual"))
+    from terroir.operators.ledger import subscription_ledger
+    out = subscription_ledger(req, T.dim_plan(spark).select("nombre", "precio_mensual"))
     return out.drop("titular", "metodo_pago_token", "metodo_pago")
 
 

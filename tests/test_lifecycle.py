@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from terroir.operators import lifecycle as L
+from terroir.operators.ledger import subscription_ledger
 
 
 def brute_replay(events, table, init):
@@ -100,7 +101,7 @@ def test_subscription_ledger_case42_43(spark):
             ("c3", "s7", "estado", None, "mensual", "A", tok, "ACTIVA", d(4), 16)]
     df = spark.createDataFrame(rows, "cliente string, suscripcion string, accion string, plan string, periodo string, titular string, "
                                      "metodo_pago_token string, estado_solicitado string, fecha timestamp, seq int")
-    out = {r.seq: r for r in L.subscription_ledger(df, plans).collect()}
+    out = {r.seq: r for r in subscription_ledger(df, plans).collect()}
     got = {k: (r.veredicto, r.tipo_evento, r.mrr_delta, r.mrr_cliente) for k, r in out.items()}
     assert got == {
         1: ("aplicada", "alta", 149.0, 149.0), 2: ("suscripcion_activa_duplicada", None, 0.0, 149.0),
