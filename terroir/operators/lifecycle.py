@@ -31,10 +31,6 @@ ONBOARDING = {"PENDIENTE": ["EN_PROGRESO", "ESTANCADO"], "EN_PROGRESO": ["COMPLE
 CAMPAIGN = {"BORRADOR": ["PROGRAMADA"], "PROGRAMADA": ["EN_EJECUCION", "PAUSADA", "FINALIZADA"],
             "EN_EJECUCION": ["PAUSADA", "FINALIZADA"], "PAUSADA": ["EN_EJECUCION", "FINALIZADA"],
             "FINALIZADA": []}
-ALERT = {"ABIERTA": ["RECONOCIDA", "RESUELTA", "SILENCIADA"], "RECONOCIDA": ["RESUELTA", "SILENCIADA"],
-         "RESUELTA": [], "SILENCIADA": []}
-SOURCE = {"REGISTRADA": ["HABILITADA", "RECHAZADA"], "HABILITADA": ["DESHABILITADA"],
-          "DESHABILITADA": ["HABILITADA"], "RECHAZADA": []}
 # Subscription event type by (from, to).
 SUBSCRIPTION_EVENTS = {("PRUEBA", "ACTIVA"): "alta", ("EN_PAUSA", "ACTIVA"): "reactivacion",
                        ("ACTIVA", "EN_PAUSA"): "pausa", ("ACTIVA", "CANCELADA"): "cancelacion",
@@ -210,11 +206,17 @@ def final_state(replayed: DataFrame, key: str) -> DataFrame:
 def request_windows(requests: DataFrame, key: str = "user_id", ts: str = "ts", n: int = 60,
                     window_s: float = 60.0) -> DataFrame:
     """T05, re-aimed: the requests of the key in (t - window, t] and whether
-    they exceed ``n``.  A plain range window over the log; the server's
-    admission decisions themselves are not replayed."""
+    they exceed ``n``.  A range window over the log, cut into time buckets as
+    long as the window: a row counts in its own bucket and, as a halo, in the
+    next one, so a key's requests spread over as many tasks as it has
+    buckets.  The server's admission decisions themselves are not replayed."""
+    span = int(window_s * 1_000_000)
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    w = Window.partitionBy(key).orderBy(us).rangeBetween(-int(window_s * 1_000_000) + 1, Window.currentRow)
-    return requests.withColumn("en_ventana", F.count(F.lit(1)).over(w)).withColumn("excede", F.col("en_ventana") > n)
+    rows = requests.withColumns({"_us": us, "_own": F.explode(F.array(F.lit(True), F.lit(False)))})
+    bucket = F.floor(F.col("_us") / span) + F.when(F.col("_own"), 0).otherwise(1)
+    w = Window.partitionBy(key, "_bucket").orderBy("_us").rangeBetween(-span + 1, Window.currentRow)
+    counted = rows.withColumn("_bucket", bucket).withColumn("en_ventana", F.count(F.lit(1)).over(w)).where("_own")
+    return counted.withColumn("excede", F.col("en_ventana") > n).drop("_us", "_own", "_bucket")
 
 
 def api_usage(windows: DataFrame, key: str = "user_id") -> DataFrame:
@@ -316,6 +318,41 @@ def onboarding_state(advances: DataFrame, key: str = "cuenta") -> DataFrame:
                     .alias("paso_actual"))
 
 
+def onboarding_replay(requests: DataFrame, key: str = "cuenta") -> DataFrame:
+    """T11 with each account's own step list: requests (cuenta, pasos, accion in avanzar / estado,
+    estado_solicitado, fecha, seq) replayed over the product of status and steps done.
+
+    An advance does the next step and leads to EN_PROGRESO, the last one to COMPLETADO, from any other
+    status; after that nothing changes.  Explicit moves follow the ONBOARDING table; a move to COMPLETADO
+    counts all steps as done.  While an account is open its steps done are its advances so far, a running
+    count over range partitions; which advance is the last one is then known before the status machine
+    is replayed, and hot accounts are split in both."""
+    from terroir.operators.scans import ranged, running, stored
+    advance = F.col("accion") == "avanzar"
+    total = F.greatest(F.size("pasos"), F.lit(1))
+    r = ranged(requests.withColumn("_total", total), [key], ["fecha", "seq"])
+    r = running(r, [key], ["fecha", "seq"], {"_done": ("sum", advance.cast("long"))}).drop("_pid", "_local")
+    # what an advance reaches has names of its own: only explicit moves are held to the table
+    target = (F.when(advance, F.when(F.col("_done") + 1 >= F.col("_total"), "FIN").otherwise("AVANCE"))
+              .when(F.col("accion") == "estado", F.upper("estado_solicitado")))
+    table = {s: [*to, "AVANCE", "FIN"] if to else [] for s, to in ONBOARDING.items()}
+    table |= {"AVANCE": table["EN_PROGRESO"], "FIN": []}
+    f = replay(r.withColumn("_target", F.when(target.isin("AVANCE", "FIN") & ~advance, F.lit(None)).otherwise(target)), key,
+               ["fecha", "seq"], "_target", table, "PENDIENTE", keep_pid=True)
+
+    def status(c):
+        return F.when(F.col(c) == "AVANCE", "EN_PROGRESO").when(F.col(c) == "FIN", "COMPLETADO").otherwise(F.col(c))
+    closed = advance & (status("estado_anterior") == "COMPLETADO")
+    f = stored(f.withColumns({"estado_anterior": status("estado_anterior"), "estado": status("estado"),
+                              "veredicto": F.when(closed, "sin_cambio").otherwise(F.col("veredicto"))}))
+    did = (advance & (F.col("veredicto") == APPLIED)).cast("long")
+    f = running(f.drop("_done"), [key], ["paso"], {"_done": ("sum", did)}).withColumn("_done", F.col("_done") + did)
+    # an explicit move leaves the present step as it is
+    step = F.get("pasos", F.least(F.col("_done"), F.size("pasos") - 1).cast("int"))
+    done = F.when(F.col("estado") == "COMPLETADO", F.col("_total")).otherwise(F.col("_done")).cast("int")
+    return f.select(*requests.columns, "estado_anterior", "estado", "veredicto", done.alias("pasos_completados"), step.alias("paso_actual"), "paso")
+
+
 # ---------------------------------------------------------------- T12
 def run_due_campaigns(campaigns: DataFrame, events: DataFrame, now: str, period: int) -> tuple[DataFrame, DataFrame]:
     """(funnel rows to upsert, campaigns after the run).  Due = PROGRAMADA
@@ -346,28 +383,107 @@ def entitlement(subs: DataFrame, key: str = "cliente") -> DataFrame:
                                F.lit(True).alias("acceso"))
 
 
-def dedup_accounts(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+def _blank(c: str):
+    return F.coalesce(F.trim(F.col(c)), F.lit(""))
+
+
+def _undecided_firsts(rows: DataFrame) -> DataFrame:
+    """The undecided rows that come first among the undecided of their fiscal id and of their e-mail."""
+    out = rows
+    for k in ("_tax", "_mail"):
+        first = rows.filter(F.col(k) != "").groupBy(k).agg(F.min("_pos").alias(f"_first{k}"))
+        out = out.join(first, k, "left").filter(F.coalesce(F.col(f"_first{k}"), F.col("_pos")) == F.col("_pos")).drop(f"_first{k}")
+    return out.select(*rows.columns)
+
+
+def _without_rivals(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """``rows`` less the kept ones and those that share a fiscal id or e-mail with one."""
+    for k in ("_tax", "_mail"):
+        rows = rows.join(kept.filter(F.col(k) != "").select(k), k, "left_anti")
+    return rows.join(kept.select("_pos"), "_pos", "left_anti")
+
+
+def dedup_accounts(existing: DataFrame, incoming: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Match by fiscal id, then by lower-cased e-mail; at least one is
-    required; returns the existing id (or NULL when new / invalid)."""
-    inc = incoming.withColumn("_mail", F.lower(F.trim("email")))
+    required; returns the existing id (or NULL when new / invalid).
+
+    With ``order`` (a total order of ``incoming``) the batch is also matched against itself, as if its rows
+    were signed up one after the other: an accepted row is an account for the later ones, a rejected one is
+    not.  That is an ordered greedy selection, made in rounds: an undecided row that is the earliest
+    undecided holder of both its keys is accepted, the rows that share a key with it are rejected, and so
+    on until none is undecided.  Every round accepts at least the earliest undecided row; chains of rows
+    that hang on each other are short, so rounds are few.  ``orden_existente`` is then the ``order`` value
+    of the batch's account, ``campo`` the key that matched."""
+    inc = incoming.withColumns({"_tax": _blank("id_fiscal"), "_mail": F.lower(_blank("email"))})
     # one row per lookup key (the oldest account): the joins cannot fan out
-    by_tax = (existing.filter(F.coalesce(F.trim("id_fiscal"), F.lit("")) != "")
-              .groupBy("id_fiscal").agg(F.min("id").alias("_id_fiscal_match")))
-    by_mail = (existing.filter(F.coalesce(F.trim("email"), F.lit("")) != "")
-               .groupBy(F.lower(F.trim("email")).alias("_mail")).agg(F.min("id").alias("_id_mail_match")))
-    j = inc.join(by_tax, "id_fiscal", "left").join(by_mail, "_mail", "left")
-    has_key = (F.coalesce(F.trim("id_fiscal"), F.lit("")) != "") | (F.coalesce(F.col("_mail"), F.lit("")) != "")
-    return j.select(*incoming.columns,
-                    F.coalesce("_id_fiscal_match", "_id_mail_match").alias("id_existente"),
-                    F.when(~has_key, "identificacion_requerida")
-                    .when(F.coalesce("_id_fiscal_match", "_id_mail_match").isNotNull(), "duplicada")
-                    .otherwise("nueva").alias("resultado"))
+    by_tax = (existing.filter(_blank("id_fiscal") != "").groupBy(F.trim("id_fiscal").alias("_tax")).agg(F.min("id").alias("_id_tax")))
+    by_mail = (existing.filter(_blank("email") != "").groupBy(F.lower(F.trim("email")).alias("_mail")).agg(F.min("id").alias("_id_mail")))
+    j = inc.join(by_tax, "_tax", "left").join(by_mail, "_mail", "left")
+    has_key = (F.col("_tax") != "") | (F.col("_mail") != "")
+    if order is None:
+        found = F.coalesce("_id_tax", "_id_mail")
+        return j.select(*incoming.columns, found.alias("id_existente"),
+                        F.when(~has_key, "identificacion_requerida").when(found.isNotNull(), "duplicada").otherwise("nueva").alias("resultado"))
+    from terroir.operators.scans import stored
+    rows = stored(j.withColumn("_pos", F.struct(*order)))
+    undecided = stored(rows.filter(has_key & F.col("_id_tax").isNull() & F.col("_id_mail").isNull()).select("_pos", "_tax", "_mail"))
+    kept = None
+    while not undecided.isEmpty():
+        now = stored(_undecided_firsts(undecided))
+        kept = now if kept is None else kept.unionByName(now)
+        undecided = stored(_without_rivals(undecided, now))
+    kept = undecided if kept is None else kept
+    taken = rows.join(kept.select(F.col("_pos").alias("_kept")), F.col("_pos") == F.col("_kept"), "left")
+    for k in ("_tax", "_mail"):                                # at most one account of the batch per key value
+        holder = kept.filter(F.col(k) != "").select(k, F.col("_pos").alias(f"_in{k}"))
+        taken = taken.join(holder, k, "left").withColumn(f"_in{k}", F.when(F.col(f"_in{k}") < F.col("_pos"), F.col(f"_in{k}")))
+    by = (F.when(F.coalesce(F.col("_id_tax").isNotNull(), F.lit(False)) | F.col("_in_tax").isNotNull(), "id_fiscal")
+          .when(F.col("_id_mail").isNotNull() | F.col("_in_mail").isNotNull(), "email"))
+    new = F.col("_kept").isNotNull()
+    return taken.select(
+        *incoming.columns, F.when(~new, F.when(by == "id_fiscal", F.col("_id_tax")).otherwise(F.col("_id_mail"))).alias("id_existente"),
+        F.when(~new, F.when(by == "id_fiscal", F.when(F.col("_id_tax").isNull(), F.col("_in_tax")))
+               .otherwise(F.when(F.col("_id_mail").isNull(), F.col("_in_mail")))).alias("orden_existente"),
+        F.when(~new, by).alias("campo"),
+        F.when(~has_key, "identificacion_requerida").when(new, "nueva").otherwise("duplicada").alias("resultado"))
+
+
+# ---------------------------------------------------------------- T04
+def alert_moves(alerts: DataFrame, moves: DataFrame, key: str = "alerta") -> tuple[DataFrame, DataFrame]:
+    """(alerts after the moves, moves on unknown alerts).  Every move to RECONOCIDA, RESUELTA or
+    SILENCIADA is accepted whatever the present state, and stamps ``ultima_vez``; the last one stays."""
+    o = F.struct("fecha", "seq")
+    last = moves.groupBy(key).agg(F.max_by("estado_solicitado", o).alias("_to"), F.max("fecha").alias("_at"), F.count(F.lit(1)).alias("_n"))
+    after = (alerts.join(last, key, "left")
+             .withColumns({"estado": F.coalesce("_to", "estado"), "ultima_vez": F.coalesce("_at", "ultima_vez"),
+                           "movimientos": F.coalesce("_n", F.lit(0))}).drop("_to", "_at", "_n"))
+    return after, moves.join(alerts.select(key), key, "left_anti").withColumn("motivo", F.lit("alerta_inexistente"))
 
 
 # ---------------------------------------------------------------- T20
 def source_state(requests: DataFrame) -> DataFrame:
-    """Source lifecycle replay + last ingest stamp of COMPLETADA/PARCIAL runs."""
-    r = replay(requests.filter(F.col("estado_solicitado").isNotNull()), "fuente", ["fecha", "seq"],
-               "estado_solicitado", SOURCE, "REGISTRADA")
-    return final_state(r, "fuente")
-
+    """Per source, from its requests (fuente, accion, metadatos_ok, conexion_ok, estado_ingesta, fecha,
+    seq): state, rejection reason, and the stamps of its ingests.
+
+    Enabling checks the metadata first (invalid: refused, nothing changes), then the connection (failed: the
+    source becomes RECHAZADA with the reason); a rejected or disabled source may be enabled again.
+    Disabling always succeeds.  ``ultimo_estado_ingesta`` is that of the last run, ``ultima_ingesta`` the
+    time of the last COMPLETADA or PARCIAL one.  No request depends on the state before it, so all of it
+    is one aggregate."""
+    o = F.struct("fecha", "seq")
+    action = F.col("accion")
+    enable = action == "habilitar"
+    refused = enable & ~F.col("metadatos_ok")
+    to = F.when(enable & F.col("metadatos_ok"), F.when(F.col("conexion_ok"), "HABILITADA").otherwise("RECHAZADA")).when(
+        action == "deshabilitar", "DESHABILITADA")
+    # disabling leaves the reason as it is
+    reason = F.when(to == "HABILITADA", "").when(to == "RECHAZADA", "conexion_fallida")
+    run = F.when(action == "ingesta", F.col("estado_ingesta"))
+
+    def last(value, when):
+        return F.max_by(value, F.when(when.isNotNull(), o))
+    return requests.groupBy("fuente").agg(
+        F.coalesce(last(to, to), F.lit("REGISTRADA")).alias("estado"), F.coalesce(last(reason, reason), F.lit("")).alias("motivo_rechazo"),
+        last(run, run).alias("ultimo_estado_ingesta"),
+        F.max(F.when(run.isin("COMPLETADA", "PARCIAL"), F.col("fecha"))).alias("ultima_ingesta"),
+        F.count_if(refused).alias("rechazos_metadatos"))

@@ -1,9 +1,10 @@
 """Writers (K01-K13).
 
-Plain Parquet has no MERGE: keyed upserts compute the merged table with a
-full outer join and write it to a *new version directory*; the highest
-complete version is the live one (readers never see a half-written table and
-a plan never overwrites the path it reads).  Partition-scoped replacement uses
+Plain Parquet has no MERGE: small tables are rewritten into a *new version
+directory*; the highest complete version is the live one (readers never see a
+half-written table and a plan never overwrites the path it reads).  Keyed
+upserts (K09) go to a hash-bucketed table whose versions are manifests: only
+the buckets that a batch touches are read, merged and written.  Partition-scoped replacement uses
 ``partitionOverwriteMode=dynamic``.
 """
 
@@ -140,13 +141,69 @@ def write_version(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
     return read_versioned(spark, path)
 
 
+BUCKETS = 64
+MANIFEST = "bucket int, folder string, buckets int, keys string"
+
+
+def _manifest(spark: SparkSession, path: str) -> list:
+    """The live manifest: a row per bucket with the folder of its files (at most as many rows as buckets)."""
+    live = read_versioned(spark, f"{path.rstrip('/')}/manifest", MANIFEST)
+    return [] if live is None else live.collect()
+
+
+def _bucket(keys: list[str], n: int):
+    return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
+
+
+def _bucket_files(spark: SparkSession, path: str, entries: list, schema) -> DataFrame:
+    folders = [f"{path.rstrip('/')}/data/{e['folder']}/_bucket={e['bucket']}" for e in entries]
+    return spark.read.schema(schema).parquet(*folders)
+
+
+def read_bucketed(spark: SparkSession, path: str) -> DataFrame | None:
+    """The live version of a bucketed table (None when it has none yet)."""
+    entries = _manifest(spark, path)
+    if not entries:
+        return None
+    first = f"{path.rstrip('/')}/data/{entries[0]['folder']}/_bucket={entries[0]['bucket']}"
+    return _bucket_files(spark, path, entries, spark.read.parquet(first).schema)
+
+
 def upsert(spark: SparkSession, path: str, src: DataFrame, keys: list[str],
-           keep_from_target: list[str] | None = None, counter: str | None = None) -> DataFrame:
-    """Keyed upsert into a versioned Parquet table; returns the new table."""
-    current = read_versioned(spark, path)
-    merged = src if current is None else merge_frames(current, src.select(*current.columns), keys,
-                                                      keep_from_target, counter)
-    return write_version(spark, path, merged)
+           keep_from_target: list[str] | None = None, counter: str | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """Keyed upsert into a hash-bucketed Parquet table; returns the new table.
+
+    Rows lie in ``buckets`` folders by the hash of their key.  A merge reads and writes only the buckets
+    that ``src`` touches; the next manifest names their new folders and the old folders of all others,
+    whose files stay as they are.  A version is live once its manifest is complete, so a crash at any
+    moment leaves the one before.  Folders that no kept manifest names are removed.  The number of buckets
+    and the keys are fixed by the first write.  Several rows of ``src`` with one key are an error of the
+    caller (the reference writes one record at a time).
+    """
+    from terroir.plans.materialize import complete_children, remove
+    base, entries = path.rstrip("/"), _manifest(spark, path)
+    n = entries[0]["buckets"] if entries else buckets
+    if entries and entries[0]["keys"] != ",".join(keys):
+        raise ValueError(f"the table is bucketed by {entries[0]['keys']}")
+    present = {e["bucket"]: e for e in entries}
+    schema = read_bucketed(spark, path).schema if entries else src.schema
+    rows = src.select(*[f.name for f in schema]).withColumn("_bucket", _bucket(keys, n))
+    touched = sorted(r[0] for r in rows.select("_bucket").distinct().collect())                 # at most n rows
+    old = [present[b] for b in touched if b in present]
+    merged = rows.drop("_bucket")
+    if old:
+        merged = merge_frames(_bucket_files(spark, path, old, schema), merged, keys, keep_from_target, counter)
+    folder = uuid.uuid4().hex
+    (merged.withColumn("_bucket", _bucket(keys, n)).repartition(max(1, len(touched)), "_bucket")
+     .write.mode("errorifexists").partitionBy("_bucket").parquet(f"{base}/data/{folder}"))
+    lines = [(b, e["folder"], n, e["keys"]) for b, e in present.items() if b not in touched] + [(b, folder, n, ",".join(keys)) for b in touched]
+    write_version(spark, f"{base}/manifest", spark.createDataFrame(sorted(lines), MANIFEST).coalesce(1))
+    kept = spark.read.schema(MANIFEST).parquet(*[f"{base}/manifest/{v}" for v in _versions(spark, f"{base}/manifest")])
+    named = {r[0] for r in kept.select("folder").distinct().collect()}                          # at most KEEP_VERSIONS * n rows
+    for name in complete_children(spark, f"{base}/data"):
+        if name not in named:
+            remove(spark, f"{base}/data/{name}")
+    return read_bucketed(spark, path)
 
 
 # ---------------------------------------------------------------- K10/K11

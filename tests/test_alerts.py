@@ -45,11 +45,16 @@ def test_closed_alert_then_new_case18(spark):
     again, _ = AL.group_alerts(s, closed, "2026-06-03 12:00:00")
     states = sorted(r.estado for r in again.collect())
     assert states == ["ABIERTA", "RESUELTA"]
-    acts = spark.createDataFrame([("a1", 1, "RECONOCIDA"), ("a1", 2, "RESUELTA"), ("a1", 3, "RECONOCIDA")],
-                                 "alerta string, seq int, accion string")
-    rep = {r.seq: (r.estado, r.veredicto) for r in L.replay(acts, "alerta", ["seq"], "accion", L.ALERT,
-                                                              "ABIERTA").collect()}
-    assert rep[1] == ("RECONOCIDA", L.APPLIED) and rep[2] == ("RESUELTA", L.APPLIED) and rep[3][1] == L.INVALID
+
+
+def test_any_alert_move_is_accepted(spark):
+    d = lambda i: datetime(2026, 6, 1, 10, i)
+    alerts = spark.createDataFrame([("a1", "ABIERTA", None), ("a2", "ABIERTA", None)], "alerta string, estado string, ultima_vez timestamp")
+    moves = spark.createDataFrame([("a1", "RESUELTA", d(1), 1), ("a1", "RECONOCIDA", d(2), 2), ("zz", "RESUELTA", d(1), 3)],
+                                  "alerta string, estado_solicitado string, fecha timestamp, seq int")
+    after, unknown = L.alert_moves(alerts, moves)
+    assert {r.alerta: (r.estado, r.ultima_vez, r.movimientos) for r in after.collect()} == {"a1": ("RECONOCIDA", d(2), 2), "a2": ("ABIERTA", None, 0)}
+    assert [(r.alerta, r.motivo) for r in unknown.collect()] == [("zz", "alerta_inexistente")]
 
 
 def test_emit_signals_keeps_processed(spark):

@@ -170,3 +170,71 @@ def test_replay_splits_hot_key_across_partitions(spark):
     pasos = sorted(r.paso for r in L.replay(df, "k", ["seq"], "w", L.TICKET, "ABIERTO", num_partitions=13)
                    .filter("k = 0").collect())
     assert pasos == list(range(1, sum(1 for e in events if e[0] == 0) + 1))
+
+
+def one_by_one(existing, rows):
+    """Sign-ups inserted one after the other."""
+    accounts = [("old", i, t.strip(), m.strip().lower()) for i, t, m in existing]
+    out = {}
+    for seq, tax, mail in rows:
+        tax, mail = (tax or "").strip(), (mail or "").strip().lower()
+        hit = None
+        for campo, value, at in (("id_fiscal", tax, 2), ("email", mail, 3)):
+            found = [a for a in accounts if value and a[at] == value]
+            if found and hit is None:
+                hit = (campo, found[0])
+        if not tax and not mail:
+            out[seq] = (None, None, None, "identificacion_requerida")
+        elif hit:
+            kind, ref = hit[1][:2]
+            out[seq] = (ref if kind == "old" else None, ref if kind == "new" else None, hit[0], "duplicada")
+        else:
+            out[seq] = (None, None, None, "nueva")
+            accounts.append(("new", seq, tax, mail))
+    return out
+
+
+def test_batch_signups_equal_one_by_one(spark):
+    for seed, n in ((1, 12), (2, 60)):
+        rnd = random.Random(seed)
+        rows = [(i, rnd.choice([None, " ", "hot", *[f"t{rnd.randrange(n)}"] * 5]), rnd.choice([None, "HOT@x", *[f" M{rnd.randrange(n)}@x "] * 4]))
+                for i in range(300)]
+        existing = [(900 + i, f"t{i * 5}", f"m{i * 7}@x") for i in range(4)]
+        got = L.dedup_accounts(spark.createDataFrame(existing, "id int, id_fiscal string, email string"),
+                               spark.createDataFrame(rows, "seq int, id_fiscal string, email string").repartition(3), ["seq"]).collect()
+        assert {r.seq: (r.id_existente, r.orden_existente and r.orden_existente.seq, r.campo, r.resultado) for r in got} == one_by_one(existing, rows)
+
+
+def test_sources_follow_the_catalogue(spark):
+    d = lambda i: datetime(2026, 6, 1, 10, i)
+    rows = [("a", "habilitar", True, False, None, d(1), 1), ("a", "habilitar", True, True, None, d(2), 2),       # rejected, then enabled
+            ("a", "ingesta", None, None, "COMPLETADA", d(3), 3), ("a", "ingesta", None, None, "FALLIDA", d(4), 4),
+            ("b", "habilitar", False, True, None, d(1), 5), ("c", "habilitar", True, False, None, d(1), 6), ("c", "deshabilitar", None, None, None, d(2), 7)]
+    got = {r.fuente: tuple(r)[1:] for r in L.source_state(spark.createDataFrame(
+        rows, "fuente string, accion string, metadatos_ok boolean, conexion_ok boolean, estado_ingesta string, fecha timestamp, seq int")).collect()}
+    assert got == {"a": ("HABILITADA", "", "FALLIDA", d(3), 0), "b": ("REGISTRADA", "", None, None, 1),
+                   "c": ("DESHABILITADA", "conexion_fallida", None, None, 0)}
+
+
+def test_onboarding_replay(spark):
+    steps = ["x", "y", "z"]
+    acts = [("avanzar", None), ("estado", "EN_PROGRESO"), ("estado", "estancado"), ("avanzar", None), ("estado", "nada"), ("estado", "COMPLETADO"),
+            ("avanzar", None), ("estado", "ESTANCADO")]
+    rows = [("a", steps, k, w, datetime(2026, 6, 1, 10, i), i) for i, (k, w) in enumerate(acts)]
+    rows += [("b", ["only"], "estado", "COMPLETADO", datetime(2026, 6, 1), 20), ("b", ["only"], "avanzar", None, datetime(2026, 6, 2), 21),
+             ("c", None, "avanzar", None, datetime(2026, 6, 2), 22)]
+    got = L.onboarding_replay(spark.createDataFrame(
+        rows, "cuenta string, pasos array<string>, accion string, estado_solicitado string, fecha timestamp, seq int")).collect()
+    assert {r.seq: (r.estado, r.veredicto, r.pasos_completados, r.paso_actual) for r in got} == {
+        0: ("EN_PROGRESO", "aplicada", 1, "y"), 1: ("EN_PROGRESO", "transicion_invalida", 1, "y"), 2: ("ESTANCADO", "aplicada", 1, "y"),
+        3: ("EN_PROGRESO", "aplicada", 2, "z"), 4: ("EN_PROGRESO", "transicion_invalida", 2, "z"), 5: ("COMPLETADO", "aplicada", 3, "z"),
+        6: ("COMPLETADO", "sin_cambio", 3, "z"), 7: ("COMPLETADO", "transicion_invalida", 3, "z"),
+        20: ("PENDIENTE", "transicion_invalida", 0, "only"), 21: ("COMPLETADO", "aplicada", 1, "only"), 22: ("COMPLETADO", "aplicada", 1, None)}
+
+
+def test_request_windows_of_a_hot_key(spark):
+    rnd = random.Random(9)
+    rows = [(i, "hot" if i % 3 else "b", datetime(2026, 1, 1) + timedelta(microseconds=rnd.randrange(300_000_000))) for i in range(500)]
+    got = L.request_windows(spark.createDataFrame(rows, "id int, user_id string, ts timestamp_ntz"), "user_id", "ts", 5, 20.0)
+    want = {i: sum(k == u and timedelta(0) <= t - v < timedelta(seconds=20) for _, u, v in rows) for i, k, t in rows}
+    assert {r.id: r.en_ventana for r in got.collect()} == want and got.columns == ["id", "user_id", "ts", "en_ventana", "excede"]

@@ -74,6 +74,24 @@ def test_upsert_and_insert_absent(spark, tmp):
     assert [r.clave for r in new.collect()] == ["k2"]
 
 
+def test_upsert_leaves_other_buckets_alone(spark, tmp):
+    path = f"{tmp}/b"
+    t = spark.createDataFrame([(i, 0, 1) for i in range(200)], "clave long, v long, corrida int")
+    assert K.read_bucketed(spark, path) is None
+    K.upsert(spark, path, t, ["clave"], counter="corrida", buckets=16)
+    before = {r[0] for r in K.read_bucketed(spark, path).select("_metadata.file_path").distinct().collect()}
+    src = spark.createDataFrame([(7, 5, 1), (1000, 6, 1)], "clave long, v long, corrida int")
+    out = K.upsert(spark, path, src, ["clave"], counter="corrida")
+    after = {r[0] for r in out.select("_metadata.file_path").distinct().collect()}
+    assert len(before) == 16 and len(before & after) >= 14 and len(after - before) <= 2
+    got = {r.clave: (r.v, r.corrida) for r in out.collect()}
+    assert got == {**{i: (0, 1) for i in range(200)}, 7: (5, 2), 1000: (6, 1)}
+    for i in range(4):                                        # folders of dropped versions go, the table stays
+        out = K.upsert(spark, path, spark.createDataFrame([(7, i, 1)], "clave long, v long, corrida int"), ["clave"], counter="corrida")
+    assert out.count() == 201 and out.filter("clave = 7").first().corrida == 6
+    assert len(os.listdir(f"{path}/data")) <= 1 + 1 + K.KEEP_VERSIONS
+
+
 def test_publish_and_export(spark):
     df = spark.createDataFrame([(None, None, None)], "pais string, total long, avg double")
     r = K.publish(df, [("pais", "string"), ("total", "bigint"), ("avg", "double")]).first()
