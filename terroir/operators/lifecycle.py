@@ -282,7 +282,7 @@ def lead_stage(conversions: DataFrame, lead_key: str = "lead") -> DataFrame:
 
 
 # ---------------------------------------------------------------- T10
-def ticket_sla(transitions: DataFrame, key: str = "ticket") -> DataFrame:
+def ticket_sla(transitions: DataFrame, key: str = "ticket", replayed: DataFrame | None = None) -> DataFrame:
     """Ticket replay + SLA per ticket: first response once (first
     applied EN_PROCESO, or RESUELTO directly); resolution minutes from
     opening, rewritten by every applied RESUELTO, and set by a direct CERRADO

@@ -141,7 +141,7 @@ def write_version(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
     return read_versioned(spark, path)
 
 
-BUCKETS = 64
+BUCKETS = 16
 MANIFEST = "bucket int, folder string, buckets int, keys string"
 
 

@@ -5,7 +5,9 @@
   written (K02) and the batch report appended (A20/K04).
 * ``alert_stream``: the signal bus as a stream; each micro-batch is drained
   into the versioned alert table (T01-T03, K09), once per batch id and
-  signal key, so a replayed batch or a re-emitted signal raises nothing twice.
+  signal key, so a replayed batch or a re-emitted signal raises nothing twice;
+  the keys seen are state that the watermark clears.
+* ``replays``: lifecycle replays (T00, T10) with keyed state and event-time timers.
 * ``event_facts_stream`` / ``write_daily_facts`` / ``month_facts``: event
   feeds projected into facts (D15): daily rows are final once the watermark
   passes (append mode), appended per micro-batch, and rolled up to the month
@@ -54,35 +56,42 @@ def ingest_stream(spark: SparkSession, landing: str, schema, kind: str, source:
 
 
 # ---------------------------------------------------------------- signals → alerts
+SIGNAL_KEY = ["origen", "clave", "id_tiempo"]
+
+
 def alert_stream(spark: SparkSession, signals_dir: str, schema, alerts_path: str, drained_at: str,
-                 name: str = "alerts") -> StreamingQuery:
+                 name: str = "alerts", repeats_within: str = "40 days") -> StreamingQuery:
+    """Signals into the versioned alert table.  A signal key emitted again within ``repeats_within`` of its
+    first ``fecha`` raises nothing: the keys are stream state that the watermark clears, so
+    it holds that span's keys and no more.  Signals behind the watermark are dropped
+    and counted (``late_rows``)."""
     from terroir.operators.alerts import group_alerts
     from terroir.sinks import read_versioned, write_version
-    key = ["origen", "clave", "id_tiempo"]
-    keys_path = f"{alerts_path.rstrip('/')}-claves"
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
-        """The alert table carries the last batch in it (``lote``), written in
-        the same version; the keys of each batch are recorded before it."""
+        """The alert table carries the last batch in it (``lote``), written in the same version."""
         current = read_versioned(spark, alerts_path)
         if current is not None and (current.agg(F.max("lote")).first()[0] or -1) >= batch_id:
             return                                            # this batch is already in the table
-        sig = df.withColumn("procesada", F.lit(False)).dropDuplicates(key)
-        seen = read_versioned(spark, keys_path)
-        if seen is not None:
-            earlier = seen.filter(F.col("lote") < batch_id).select(*[F.col(k).alias(f"_{k}") for k in key])
-            same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key]
-            sig = sig.join(earlier, same[0] & same[1] & same[2], "left_anti")
-        now = sig.select(*key, F.lit(batch_id).cast("long").alias("lote"))
-        write_version(spark, keys_path, now if seen is None else seen.filter(F.col("lote") < batch_id).unionByName(now))
-        merged, _ = group_alerts(sig, None if current is None else current.drop("lote"), drained_at)
+        merged, _ = group_alerts(df.withColumn("procesada", F.lit(False)), None if current is None else current.drop("lote"), drained_at)
         write_version(spark, alerts_path, merged.withColumn("lote", F.lit(batch_id).cast("long")))
 
     stream = spark.readStream.schema(schema).format("parquet").load(signals_dir)
-    return (stream.writeStream.foreachBatch(per_batch)
+    once = stream.withWatermark("fecha", repeats_within).dropDuplicatesWithinWatermark(SIGNAL_KEY)
+    return (once.writeStream.foreachBatch(per_batch)
             .option("checkpointLocation", checkpoint_location(spark, name)).trigger(availableNow=True).start())
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the query's stateful operators dropped behind the watermark, over its reported batches."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
+def kept_keys(query: StreamingQuery) -> int:
+    """Rows in the query's state after its last batch."""
+    return sum(op["numRowsTotal"] for op in query.lastProgress["stateOperators"]) if query.lastProgress else 0
+
+
 # ---------------------------------------------------------------- D15
 def event_facts_stream(stream: DataFrame, ts: str = "fecha", group: list[str] | None = None,
                        value: str = "mrr_delta", watermark: str = "2 days") -> DataFrame:

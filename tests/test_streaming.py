@@ -44,3 +44,23 @@ def test_alert_stream_drains_into_versioned_table(spark, tmp):
     # (origen, clave, id_tiempo) is the signal key: the repeat refreshes the signal, one occurrence
     assert set(alerts) == {"k1", "p1"} and alerts["k1"].severidad == "critical"
     assert alerts["p1"].responsable == "Ingeniería de datos"
+
+
+def test_signal_keys_are_bounded_and_late_signals_counted(spark, tmp):
+    from terroir.operators.alerts import empty_signals
+    from terroir.sinks import read_versioned
+    schema = empty_signals(spark).drop("procesada").schema
+
+    def emit(key, day, period=202606):
+        return ("ml", "churn", None, "c", "acme-" + key, key, 0.7, 0.42, period, "{}", datetime(2026, 6, 1, 10) + timedelta(days=day))
+    files = [[emit("k1", 0), emit("k1", 1), emit("k2", 1)], [emit("k1", 2), emit("k3", 30)], [emit("late", 1), emit("k4", 60)], [emit("k5", 90)]]
+    seen = []
+    for rows in files:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp}/bus")
+        q = ST.alert_stream(spark, f"{tmp}/bus", schema, f"{tmp}/alerts", "2026-06-01 12:00:00", name=f"keys-{id(tmp)}", repeats_within="10 days")
+        q.awaitTermination()
+        seen.append((ST.kept_keys(q), ST.late_rows(q)))
+    got = {r.clave: r.ocurrencias for r in read_versioned(spark, f"{tmp}/alerts").collect()}
+    assert got == {"k1": 1, "k2": 1, "k3": 1, "k4": 1, "k5": 1}
+    assert max(k for k, _ in seen) <= 3 and seen[-1][0] <= 2   # keys behind the watermark are gone
+    assert sum(n for _, n in seen) == 1                       # the late one
