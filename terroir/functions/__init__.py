@@ -190,7 +190,7 @@ DATE_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "d
 
 
 def parse_any_date(c: ColumnOrName) -> Column:
-    txt = F.regexp_replace(F.trim(_c(c).cast("string")), r"(\.\d+)?(Z|[+-]\d\d:?\d\d)?$", "")
+    txt = F.regexp_replace(F.trim(_c(c).cast("string")), r"(?<=:\d\d)(\.\d+)?(Z|[+-]\d\d:?\d\d)?$", "")
     return F.coalesce(*[F.try_to_timestamp(txt, F.lit(f)) for f in DATE_FORMATS])
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terroir.operators.windows import latest_by
@@ -72,53 +72,68 @@ def _evaluated(ch: Check) -> Column:
     return F.count(F.lit(1))
 
 
+def _offending(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """(i, v, n): the offending values of each check (its number) with their rows, all checks in one pass.
+
+    Each row lists a value per row-local check that it violates, and its keys for the uniqueness and
+    relationship checks; what is offending among those shows once equal values are counted."""
+    listed = []
+    for i, ch in enumerate(checks):
+        c = F.col(ch.column)
+        hit = _violation(ch) if ch.kind in ("not_null", "between", "in_set") else c.isNotNull()
+        listed.append(F.when(hit, F.struct(F.lit(i).alias("i"), c.cast("string").alias("v"))))
+    counts = (df.select(F.inline(F.array_compact(F.array(*listed)))).groupBy("i", "v").agg(F.count(F.lit(1)).alias("n")))
+    types = dict(df.dtypes)
+    keys = [ch.args["dim"].select(F.lit(i).alias("i"), F.col(ch.args["key"]).cast(types[ch.column]).cast("string").alias("v"))
+            for i, ch in enumerate(checks) if ch.kind == "fk"]
+    unique = [i for i, ch in enumerate(checks) if ch.kind == "unique"]
+    if unique:
+        counts = counts.filter(~F.col("i").isin(unique) | (F.col("n") > 1))
+    return counts.join(reduce(DataFrame.unionAll, keys), ["i", "v"], "left_anti") if keys else counts
+
+
+RESULTS = "dataset string, expectativa string, evaluadas long, fallidas long, exito boolean, muestra string"
+
+
 def run_suite(dataset: str, df: DataFrame, checks: list[Check], sample: int = 3) -> DataFrame:
     """Q08: results (dataset, check, evaluated, failed, success, sample).
 
-    Row-local checks are one aggregate; unique / fk are one shuffle each."""
+    One job per dataset: the evaluated rows of every check in one aggregate, and beside it the offending
+    values counted by (check, value), of which the total and the ``sample`` smallest are kept per check."""
     spark = df.sparkSession
-    rows = []
     cols = set(df.columns)
-    local = [ch for ch in checks if ch.kind in ("not_null", "between", "in_set") and ch.column in cols]
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for i, ch in enumerate(local):
-        aggs += [_evaluated(ch).alias(f"e{i}"), F.count_if(_violation(ch)).alias(f"f{i}")]
-    stats = df.agg(*aggs).first()
-    n = stats["_n"]
-
-    def sample_of(cond, col):
-        # bounded sample of offending values, fetched only for failing checks
-        return ",".join(str(r[0]) for r in df.filter(cond).select(F.col(col).cast("string"))
-                        .distinct().limit(sample).collect())
-    for i, ch in enumerate(local):
-        ev, fl = stats[f"e{i}"], stats[f"f{i}"]
-        ok = (fl == 0) if ch.mostly >= 1.0 else (ev == 0 or (ev - fl) / ev >= ch.mostly)
-        rows.append((dataset, ch.name, int(ev), int(fl), bool(ok),
-                     sample_of(_violation(ch), ch.column) if fl else ""))
+    row_kinds = ("not_null", "between", "in_set", "unique", "fk")
+    real = [ch for ch in checks if ch.kind in row_kinds and ch.column in cols]
+    evaluated = df.agg(F.count(F.lit(1)).alias("_n"), *[_evaluated(ch).alias(f"e{i}") for i, ch in enumerate(real)])
+    counts = evaluated.select(F.inline(F.array(
+        F.struct(F.lit(-1).alias("i"), F.col("_n").alias("e")), *[F.struct(F.lit(i).alias("i"), F.col(f"e{i}").alias("e")) for i in range(len(real))])))
+    if real:
+        bad = _offending(df, real)
+        rank = F.row_number().over(Window.partitionBy("i").orderBy("v"))
+        few = (bad.filter(F.col("v").isNotNull()).withColumn("_r", rank).filter(F.col("_r") <= sample)      # pruned before the exchange
+               .groupBy("i").agg(F.array_join(F.array_sort(F.collect_list("v")), ",").alias("s")))
+        counts = counts.join(bad.groupBy("i").agg(F.sum("n").alias("f")).join(few, "i", "left"), "i", "left")
+    found = {r["i"]: r for r in counts.collect()}                      # a row per check
+    n, number, rows = found[-1]["e"], 0, []
     for ch in checks:
         if ch.kind == "rows":
             rows.append((dataset, ch.name, int(n), 0 if n >= ch.args["min"] else 1, n >= ch.args["min"], ""))
-        elif ch.kind == "column" or (ch.kind in ("not_null", "between", "in_set", "unique", "fk")
-                                     and ch.column not in cols):
+        elif ch.kind == "column" or ch.column not in cols:
             present = ch.column in cols
-            rows.append((dataset, f"column:{ch.column}" if ch.kind != "column" else ch.name, 1,
-                         0 if present else 1, present, ""))
-        elif ch.kind == "unique":
-            d = (df.filter(F.col(ch.column).isNotNull()).groupBy(ch.column).count().filter("count > 1"))
-            f = d.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
-            smp = ",".join(str(r[0]) for r in d.select(F.col(ch.column).cast("string")).limit(sample).collect()) \
-                if f else ""
-            rows.append((dataset, ch.name, int(n), int(f), f == 0, smp))
-        elif ch.kind == "fk":
-            dim, key = ch.args["dim"], ch.args["key"]
-            orphans = (df.select(ch.column).filter(F.col(ch.column).isNotNull())
-                       .join(dim.select(F.col(key).alias(ch.column)), ch.column, "left_anti"))
-            f = orphans.count()
-            smp = ",".join(str(r[0]) for r in orphans.select(F.col(ch.column).cast("string")).distinct()
-                           .limit(sample).collect()) if f else ""
-            rows.append((dataset, ch.name, int(n), int(f), f == 0, smp))
-    return spark.createDataFrame(rows, "dataset string, expectativa string, evaluadas long, fallidas long, "
-                                       "exito boolean, muestra string")
+            rows.append((dataset, ch.name if ch.kind == "column" else f"column:{ch.column}", 1, 0 if present else 1, present, ""))
+        else:
+            r, number = found[number], number + 1
+            ev, fl = r["e"], r["f"] or 0
+            ok = (fl == 0) if ch.mostly >= 1.0 else (ev == 0 or (ev - fl) / ev >= ch.mostly)
+            rows.append((dataset, ch.name, int(ev), int(fl), bool(ok), r["s"] or ""))
+    return spark.createDataFrame(rows, RESULTS)
+
+
+def datasets_present(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """Q07: one 'dataset' check per path; an absent table is a failed check, not an error."""
+    from terroir.plans.materialize import exists
+    rows = [(n, "dataset", 1, 0 if ok else 1, ok, "") for n, ok in ((n, exists(spark, p)) for n, p in paths.items())]
+    return spark.createDataFrame(rows, RESULTS)
 
 
 def suite_plan(dataset: str, df: DataFrame, checks: list[Check]) -> DataFrame:

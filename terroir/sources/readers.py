@@ -7,7 +7,9 @@ of offending values is collected for the error message.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,19 +95,65 @@ def normalise_columns(df: DataFrame, required: list[str] = REQUIRED_REVIEW_COLUM
     return df.withColumns({c: F.lit(None).cast("string") for c in required if c not in df.columns})
 
 
+def split_csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """(_path, _n, record): the records of CSV files with line breaks inside quotes, read by many tasks per file.
+
+    The text reader cuts files by bytes and lines.  A line begins inside a quoted field where an odd
+    number of quotes lies before it in its file, so the quotes of each split, summed over the splits before,
+    tell every split which of its lines begin a record; doubled quotes count as two.  Lines are then numbered
+    by the records begun so far, in the same way, and joined per record.  ``_n`` counts a file's records from
+    0, the header included; blank lines between records are none.  Quotes must follow RFC 4180 (a lone quote
+    inside an unquoted field is taken for an opening one).
+    """
+    from terroir.operators.scans import stored
+    split = ["_path", "_block"]
+    lines = stored(spark.read.option("lineSep", "\n").text(path).select(
+        "value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_at")))
+
+    def before(totals: DataFrame, c: str) -> DataFrame:                # one row per split
+        w = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        return totals.select(*split, F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"_in{c}"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    counted = lines.withColumn("_q", quotes)
+    earlier = Window.partitionBy(*split).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    parity = (F.col("_in_q") + F.coalesce(F.sum("_q").over(earlier), F.lit(0))) % 2
+    opened = (counted.join(before(counted.groupBy(*split).agg(F.sum("_q").alias("_q")), "_q"), split)
+              .withColumn("_outside", parity == 0).withColumn("_begins", (F.col("_outside") & (F.trim(F.translate("value", "\r", "")) != "")).cast("int")))
+    opened = stored(opened.filter((F.col("_begins") == 1) | ~F.col("_outside")).drop("_in_q", "_q"))
+    upto = Window.partitionBy(*split).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = (opened.join(before(opened.groupBy(*split).agg(F.sum("_begins").alias("_b")), "_b"), split)
+                .withColumn("_n", F.col("_in_b") + F.sum("_begins").over(upto) - 1))
+    ordered = F.array_sort(F.collect_list(F.struct("_block", "_at", "value")))           # the lines of one record
+    record = F.array_join(F.transform(ordered, lambda x: x["value"]), "\n")
+    return numbered.groupBy("_path", "_n").agg(F.regexp_replace(record, "\r$", "").alias("record"))
+
+
+def read_split_csv(spark: SparkSession, path: str, offset: int = 0) -> DataFrame:
+    """All columns as strings, by the header of the first file; ``offset`` skips the first rows in the order of path and record."""
+    from terroir.operators.scans import stored
+    records = stored(split_csv_records(spark, path))
+    first = records.filter("_n = 0").orderBy("_path").first()
+    if first is None:
+        return spark.createDataFrame([], T.StructType([]))
+    names = next(csv.reader([first["record"]]))
+    schema = ", ".join(f"c{i} string" for i in range(len(names)))
+    rows = records.filter("_n > 0")
+    if offset:
+        counts = rows.groupBy("_path").agg(F.count(F.lit(1)).alias("_rows"))            # one row per file
+        w = Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
+        starts = counts.select("_path", F.coalesce(F.sum("_rows").over(w), F.lit(0)).alias("_start"))
+        rows = rows.join(starts, "_path").filter(F.col("_start") + F.col("_n") > offset)
+    parsed = F.from_csv("record", schema, {"escape": '"', "multiLine": "true", "maxCharsPerColumn": "-1"})
+    return rows.select(parsed.alias("r")).select("r.*").toDF(*[n if n else f"_c{i}" for i, n in enumerate(names)])
+
+
 def read_reviews_csv(spark: SparkSession, path: str, offset: int = 0, max_description: int | None = None) -> DataFrame:
     """Lenient review CSV → record-normalised rows (strings '' for NULL,
     points int 0 default, price 0.0 default; the whole description unless
     ``max_description`` asks for a cut).  ``offset`` skips the first rows in
-    the order of file path and row (resume)."""
-    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    if offset:
-        # scan order follows file sizes, so the resume order is named: path, then
-        # row inside the file (a multi-line file is one split, so ids grow with its rows)
-        from terroir.operators.ids import global_row_number
-        raw = raw.withColumns({"_path": F.col("_metadata.file_path"), "_scan": F.monotonically_increasing_id()})
-        raw = global_row_number(raw, ["_path", "_scan"], "_row").filter(F.col("_row") > offset).drop("_path", "_scan", "_row")
-    df = normalise_columns(raw)
+    the order of file path and row (resume).  A large file is read by many tasks."""
+    df = normalise_columns(read_split_csv(spark, path, offset))
     text = [c for c in REQUIRED_REVIEW_COLUMNS if c not in ("points", "price")]
     return df.select(
         *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in text if c != "description"],
@@ -139,12 +187,8 @@ def read_records(spark: SparkSession, path: str, fmt: str = "json", schema: T.St
 def read_serving(spark: SparkSession, path: str | None, fallback, name: str = "serving") -> DataFrame:
     """The serving aggregate when present and non-empty, else the
     warehouse plan ``fallback()``; the result says which source answered."""
-    df = None
-    if path:
-        try:
-            df = spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 — absent table
-            df = None
+    from terroir.plans.materialize import exists
+    df = spark.read.parquet(path) if path and exists(spark, path) else None      # other read errors are raised
     if df is not None and not df.isEmpty():
         return df.withColumn("fuente", F.lit(name))
     return fallback().withColumn("fuente", F.lit("warehouse"))

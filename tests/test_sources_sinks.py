@@ -121,3 +121,32 @@ def test_refresh_replace_period_archive_records(spark, tmp):
     spark.createDataFrame([("r1", "c", "x", 1)], "id string, collectionId string, title string, points int") \
         .write.json(f"{tmp}/rec")
     assert RD.read_records(spark, f"{tmp}/rec").columns == ["points", "title"]
+
+
+def test_one_csv_file_by_many_tasks(spark, tmp):
+    import csv
+    import io
+    import random
+
+    from terroir.sources import readers as RD
+    rnd = random.Random(2)
+    parts = ["word", '"quoted"', "a,b", "\n", "\n\n", "x\ny", "", "é", '""', "\r\n"]
+    rows = [[f"t{i}", "".join(rnd.choices(parts, k=rnd.randint(0, 9))), str(rnd.randint(70, 100))] for i in range(900)]
+    os.makedirs(f"{tmp}/csv")
+    for name, part in (("a.csv", rows[:700]), ("b.csv", rows[700:])):
+        text = io.StringIO(newline="")
+        w = csv.writer(text, lineterminator="\r\n" if name == "b.csv" else "\n")
+        w.writerows([["Title", "Description", "points"], *part])
+        with open(f"{tmp}/csv/{name}", "w", newline="") as f:
+            f.write(text.getvalue() + ("\n\n" if name == "a.csv" else ""))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+        assert spark.read.text(f"{tmp}/csv/a.csv").rdd.getNumPartitions() > 3
+        got = RD.read_split_csv(spark, f"{tmp}/csv").collect()
+        skipped = {r["Title"] for r in RD.read_split_csv(spark, f"{tmp}/csv", offset=703).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((r["Title"], r["Description"] or "", r["points"]) for r in got) == sorted(map(tuple, rows))
+    assert skipped == {r[0] for r in rows[703:]}
+    assert RD.read_reviews_csv(spark, f"{tmp}/csv").count() == 900
