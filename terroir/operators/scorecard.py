@@ -50,10 +50,8 @@ def _r4(c: Column) -> Column:
 
 
 def _measures(fact: DataFrame, **aggregates: Column) -> DataFrame:
-    """(medida, v): one row per named aggregate of ``fact`` (a one-row aggregate, stacked)."""
-    one = fact.agg(*[a.cast("double").alias(k) for k, a in aggregates.items()])
-    rows = F.array(*[F.struct(F.lit(k).alias("medida"), F.col(k).alias("v")) for k in aggregates])
-    return one.select(F.inline(rows))
+    """The named aggregates of ``fact`` as one row of doubles."""
+    return fact.agg(*[a.cast("double").alias(k) for k, a in aggregates.items()])
 
 
 def _mean_of(value: str, cond: Column) -> dict[str, Column]:
@@ -61,8 +59,8 @@ def _mean_of(value: str, cond: Column) -> dict[str, Column]:
     return {f"{value}_suma": F.sum(F.when(cond, F.col(value))), f"{value}_filas": F.count_if(cond)}
 
 
-def scorecard_measures(s: Facts, reviews_fact: DataFrame, latest: int) -> DataFrame:
-    """The base sums and counts of A08, one row per measure (J08): every fact
+def scorecard_measures(s: Facts, reviews_fact: DataFrame, latest: int) -> list[DataFrame]:
+    """The base sums and counts of A08, a one-row frame per fact (J08): every fact
     is scanned once at a literal period, and the KPIs are formulas over them."""
     now = F.col("id_tiempo") == latest
     billed = s["fact_suscripcion"].filter(F.col("id_tiempo").isin(latest, latest - 100) & (F.col("es_churn") == 0))
@@ -70,7 +68,7 @@ def scorecard_measures(s: Facts, reviews_fact: DataFrame, latest: int) -> DataFr
     at = {n: s[f"fact_{n}"].filter(now) for n in ("consumo_api", "conversion", "retencion", "disponibilidad",
                                                   "uso_plataforma", "aprendizaje")}
     nps = F.col("nps_score")
-    parts = [
+    return [
         _measures(billed, ingreso=F.sum(F.when(now, F.col("mrr"))), ingreso_hace_un_ano=F.sum(F.when(~now, F.col("mrr")))),
         _measures(recent, altas=F.sum("es_nuevo")),
         _measures(at["consumo_api"], ingreso_api=F.sum("ingreso_api")),
@@ -87,20 +85,20 @@ def scorecard_measures(s: Facts, reviews_fact: DataFrame, latest: int) -> DataFr
                                                               "tecnologias_adoptadas", "rotacion_personal",
                                                               "modelos_ml_produccion")}),
     ]
-    return reduce(DataFrame.unionAll, parts)
 
 
 def scorecard_kpis(s: Facts, reviews_fact: DataFrame, latest: int | None = None) -> DataFrame:
-    """One-row KPI vector at ``latest`` (formulas of §2.5.1)."""
+    """One-row KPI vector at ``latest`` (formulas of §2.5.1).  Each fact's measures are one struct-valued
+    scalar subquery, so a reader of a few KPIs scans only the facts behind them."""
     t = s["dim_tiempo"]
     latest = latest or latest_period(t)
-    all_of = scorecard_measures(s, reviews_fact, latest).agg(
-        F.map_from_entries(F.collect_list(F.struct("medida", F.coalesce("v", F.lit(0.0))))).alias("m"))
-    row = (t.filter(F.col("id_tiempo") == latest).agg(F.max("periodo").alias("periodo"))
-           .select("periodo", one_row(all_of)["m"].alias("m")).filter(F.col("periodo").isNotNull()))
+    parts = scorecard_measures(s, reviews_fact, latest)
+    part_of = {c: f"_{i}" for i, p in enumerate(parts) for c in p.columns}
+    row = (t.filter(F.col("id_tiempo") == latest).agg(F.max("periodo").alias("periodo")).filter(F.col("periodo").isNotNull())
+           .select("periodo", *[one_row(p).alias(f"_{i}") for i, p in enumerate(parts)]))
 
     def v(name: str) -> Column:
-        return F.element_at("m", name)
+        return F.coalesce(F.col(part_of[name])[name], F.lit(0.0))
 
     def share(part: Column, whole: Column, scale: float = 100.0, empty: float = 0.0) -> Column:
         return F.when(whole == 0, F.lit(empty)).otherwise(part * scale / whole)

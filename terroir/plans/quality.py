@@ -196,7 +196,7 @@ def a21_daily_report(spark, sf_dir):
     from terroir.plans.reviews import a01_kpis
     s = PB.biz(spark, sf_dir)
     a11, a01 = B.daily_consolidation(s), a01_kpis(spark, sf_dir)
-    report = daily_report(a11, a01, PB._a08(spark, sf_dir), "2024-02-01")
+    report = daily_report(a11, a01, PB.published_scorecard(spark, sf_dir), "2024-02-01")
     fields = lambda df: f"struct<{','.join(f'{f.name}:{f.dataType.simpleString()}' for f in df.schema.fields)}>"
     doc = F.from_json("documento", f"operacion {fields(a11)}, catalogo {fields(a01)}, calidad struct<periodo:string,calidad:double>, "
                                    "trazabilidad struct<periodo:string>")
@@ -209,7 +209,7 @@ def a21_daily_report(spark, sf_dir):
     FROM ({PB.A09_SQL}) s"""))
 def a25_series_payload(spark, sf_dir):
     """The payload per series, opened again into its ordered points."""
-    doc = B.series_payload(B.scorecard_series(PB.biz(spark, sf_dir)))
+    doc = B.series_payload(PB.published_series(spark, sf_dir))
     return doc.select("perspectiva", "serie", F.inline("puntos")).select("perspectiva", "serie", "orden", "etiqueta", "valor")
 
 
@@ -217,7 +217,7 @@ def a25_series_payload(spark, sf_dir):
 # ====================================================== P10 / A26 / J15
 def _theme_frames(spark, sf_dir):
     from terroir.plans.reviews import a01_kpis, a02_by_country
-    return a01_kpis(spark, sf_dir), a02_by_country(spark, sf_dir), PB._a08(spark, sf_dir)
+    return a01_kpis(spark, sf_dir), a02_by_country(spark, sf_dir), PB.published_scorecard(spark, sf_dir)
 
 
 THEME_MARKET = "NATION_3"
