@@ -17,15 +17,20 @@ from "nothing is blocked" on.  What is right up to some request stays right, and
 each round settles at least the next request of every client, in practice all
 that do not hang on a chain of blocked ones (four rounds on the test data).
 When a round changes nothing, the ledger is the one that a step-by-step
-replay gives.  Clients that a round leaves unchanged are done; the next
-round takes only the others.
+replay gives.
 
-All running aggregates go over range partitions (``scans``): neither a client nor
-a subscription nor a plan has to fit a task.
+Clients of up to ``LIGHT`` requests go through their rounds together in tasks of bounded size, as numpy
+arrays of many clients.  A larger client's rounds are Spark jobs whose running aggregates go over range
+partitions (``scans``): neither a client nor a subscription nor a plan has to fit a task.  Clients
+that a round leaves unchanged are done; the next round takes only the others.  The same two
+expressions then give every request's verdict, once, from the blocked requests of both.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +40,8 @@ from terroir.operators.scans import cut_keys, ranged, running, stored
 
 SUB = ["cliente", "suscripcion"]
 TIME = ["fecha", "seq", "_row"]
+LIGHT = 10_000                    # requests of a client that is settled inside one task
+TASK_ROWS = 100_000               # requests of such clients per group
 BITS = 13                         # plan * 4 + billing ok * 2 + yearly, in the low bits of a packed row number
 
 
@@ -149,6 +156,71 @@ def _blocked(d: DataFrame, cut: DataFrame) -> DataFrame:
     return summed.where("kind = 0 AND _active > 0").select("cliente", "_row")
 
 
+def _settled(pdf: pd.DataFrame) -> np.ndarray:
+    """Which requests the duplicate rule blocks, for whole clients, sorted by subscription and time."""
+    n = len(pdf)
+    at = np.arange(n)
+    client, plan, bill = pdf["_client"].to_numpy(), pdf["_code"].to_numpy(), pdf["_bill"].to_numpy(bool)
+    action, wanted = pdf["accion"].to_numpy(object), pdf["estado_solicitado"].to_numpy(object)
+    sub = np.cumsum(np.r_[True, pdf["_sub"].to_numpy()[1:] != pdf["_sub"].to_numpy()[:-1]]) - 1
+    first = np.searchsorted(sub, sub)                                       # the subscription's first row
+    time = np.empty(n, np.int64)
+    time[np.lexsort((at, pdf["seq"].to_numpy(), pdf["fecha"].to_numpy()))] = at
+    known, signs, moves = plan >= 0, action == "alta", action == "plan"
+    asked = np.where(action == "estado", wanted, None)
+
+    def last_before(mask: np.ndarray) -> np.ndarray:
+        seen = np.r_[-1, np.maximum.accumulate(np.where(mask, at, -1))[:-1]]
+        return np.where(seen >= first, seen, -1)
+    switch, cancel = last_before((asked == "ACTIVA") | (asked == "EN_PAUSA")), last_before(asked == "CANCELADA")
+    blocked = np.zeros(n, bool)
+    while True:
+        made = np.full(sub[-1] + 1, n)
+        np.minimum.at(made, sub[signs & known & ~blocked], at[signs & known & ~blocked])
+        made = made[sub]
+        exists = made < at
+        origin = np.minimum(made, n - 1)
+        alive = exists & (cancel <= made)
+        moved = last_before(moves & known & ~blocked & alive)
+        cur = np.where(moved >= 0, plan[moved], plan[origin])
+        billed = bill[origin]
+        active = alive & billed & ((switch <= made) | (wanted[switch] == "ACTIVA"))
+        asks = known & ((signs & ~exists) | (moves & alive & (plan != cur)))
+        made_now = signs & ~exists & known & ~blocked
+        now = np.where(made_now, bill, np.where(alive & (asked == "ACTIVA"), billed, np.where((asked == "EN_PAUSA") | (asked == "CANCELADA"), False, active)))
+        plan_now = np.where(made_now | (moves & alive & known & ~(blocked & (plan != cur))), plan, cur)
+        changed = (active != now) | (active & (cur != plan_now))
+        rows = [at[asks], at[changed & active], at[changed & now]]
+        key = np.concatenate([client[r] * (1 << BITS) + p[r] for r, p in zip(rows, (plan, cur, plan_now), strict=True)])
+        kind, value = np.repeat([0, 1, 1], [len(r) for r in rows]), np.repeat([0, -1, 1], [len(r) for r in rows])
+        row = np.concatenate(rows)
+        order = np.lexsort((kind, time[row], key))
+        total = np.cumsum(value[order]) - value[order]                       # before each entry
+        starts = np.r_[True, key[order][1:] != key[order][:-1]] if len(order) else np.zeros(0, bool)
+        total -= np.repeat(total[starts], np.diff(np.r_[np.flatnonzero(starts), len(order)]))
+        found = np.zeros(n, bool)
+        hit = (kind[order] == 0) & (total > 0)
+        found[row[order][hit]] = True
+        if (found == blocked).all():
+            return found
+        blocked = found
+
+
+def _light_blocked(rows: DataFrame, total: int) -> DataFrame:
+    """(cliente, _row) of the blocked requests of small clients, many clients to a task."""
+    groups = max(1, -(-total // TASK_ROWS))
+    narrow = rows.select("cliente", F.xxhash64(*SUB).alias("_sub"), "accion", "estado_solicitado", "fecha", "seq", "_row",
+                         F.coalesce("_plan", F.lit(-1)).alias("_code"), F.coalesce("facturacion_ok", F.lit(False)).alias("_bill"),
+                         F.pmod(F.xxhash64("cliente"), F.lit(groups)).alias("_group"))
+
+    def settle(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_row", ignore_index=True)                     # by client, subscription and time
+        pdf["_client"] = pd.factorize(pdf["cliente"], use_na_sentinel=False)[0]
+        return pdf.loc[_settled(pdf), ["cliente", "_row"]]
+    schema = narrow.select("cliente", "_row").schema
+    return narrow.groupBy("_group").applyInPandas(settle, schema)
+
+
 def subscription_ledger(requests: DataFrame, plans: DataFrame) -> DataFrame:
     """Replay of subscription requests (cliente, suscripcion, accion in
     alta / estado / plan, plan, periodo, titular, metodo_pago_token,
@@ -170,9 +242,14 @@ def subscription_ledger(requests: DataFrame, plans: DataFrame) -> DataFrame:
         flagged = some.join(marks, "_row", "left").withColumn("_blocked", F.coalesce("_b", F.lit(False))).drop("_b")
         return _decided(_history(flagged, cut), cents)
     still = F.col("l.cliente").eqNullSafe(F.col("r.cliente"))
-    blocked = rows.sparkSession.createDataFrame([], rows.select("cliente", "_row").schema)
-    open_rows, mine = rows, blocked                                   # of the clients that are not settled
-    while True:
+    sizes = stored(rows.groupBy("cliente").agg(F.count(F.lit(1)).alias("n")))
+    large = stored(sizes.where(F.col("n") > LIGHT))
+    total = sizes.where(F.col("n") <= LIGHT).agg(F.sum("n")).first()[0] or 0
+    small = rows.alias("l").join(large.alias("r"), still, "left_anti")
+    blocked = stored(_light_blocked(small, total))
+    open_rows = rows.alias("l").join(large.alias("r"), still, "left_semi")             # of the clients that are not settled
+    mine = rows.sparkSession.createDataFrame([], rows.select("cliente", "_row").schema)
+    while not large.isEmpty():
         found = stored(_blocked(decided(open_rows, mine), time_cut))
         changed = stored(found.withColumn("s", F.lit(1)).unionAll(mine.withColumn("s", F.lit(-1))).groupBy("cliente", "_row")
                          .agg(F.sum("s").alias("s")).where("s <> 0").select("cliente").distinct())

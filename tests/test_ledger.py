@@ -5,7 +5,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from terroir.operators import scans
+from terroir.operators import ledger, scans
 from terroir.operators.ledger import subscription_ledger
 from terroir.operators.lifecycle import APPLIED, INVALID, SUBSCRIPTION, SUBSCRIPTION_EVENTS
 
@@ -75,8 +75,12 @@ CASES = {
 }
 
 
+@pytest.mark.parametrize("light", [10_000, 0, 40])
 @pytest.mark.parametrize("case", sorted(CASES))
-def test_ledger_equals_step_by_step(spark, case):
+def test_ledger_equals_step_by_step(spark, case, light, monkeypatch):
+    """All clients settled inside tasks, all by jobs over range partitions, or the small ones and the large ones each their way."""
+    monkeypatch.setattr(ledger, "LIGHT", light)
+    monkeypatch.setattr(ledger, "TASK_ROWS", 300)
     rows = random_requests(900, len(case), *CASES[case])
     plans = spark.createDataFrame([(k, v / 100) for k, v in PRICES.items()], "nombre string, precio_mensual double")
     got = subscription_ledger(spark.createDataFrame(rows, SCHEMA).repartition(5), plans)
