@@ -46,18 +46,6 @@ def distinct_values(df: DataFrame, col: str, alias: str = "nombre") -> DataFrame
     return non_blank(df, col).select(F.trim(F.col(col)).alias(alias)).distinct()
 
 
-def new_members(staging: DataFrame, col: str, existing: DataFrame | None, id_col: str) -> DataFrame:
-    """J10 + K10: trimmed names not yet in ``existing``; ids continue after
-    the existing maximum, numbered by name (deterministic)."""
-    names = distinct_values(staging, col)
-    start = F.lit(0)
-    if existing is not None:
-        names = names.join(existing.select("nombre"), "nombre", "left_anti")
-        start = F.coalesce(F.lit(existing.agg(F.max(id_col)).first()[0]), F.lit(0))
-    # a dimension's new members: small, one ordered window is fine
-    return names.select((start + F.row_number().over(Window.orderBy("nombre"))).cast("int").alias(id_col), "nombre")
-
-
 def clickstream_dims(staging: DataFrame, existing: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """D10 with J10: the six name dimensions in one pass.  The names of all six
     columns are stacked and made distinct in one aggregate of one scan; those

@@ -81,9 +81,9 @@ def ingest_batch(df: DataFrame, kind: str, source: str, ingest_date: str, ordina
                .withColumn("fuente", F.lit(source)).withColumn("fecha_ingesta", F.lit(ingest_date)))
     keys = [k for k in NATURAL_KEYS[kind] if k in df.columns]
     if keys:
-        others = [c for c in valid.columns if c not in keys]
-        firsts = valid.groupBy(*keys).agg(F.min(F.struct(ordinal, *[c for c in others if c != ordinal])).alias("_f"))
-        deduped = firsts.select(*keys, *[F.col(f"_f.{c}").alias(c) for c in others])
+        # the aggregate holds numbers only; the rows follow by their ordinal
+        firsts = valid.groupBy(*keys).agg(F.min(ordinal).alias(ordinal)).select(ordinal)
+        deduped = valid.join(firsts, ordinal, "left_semi").select(*keys, *[c for c in valid.columns if c not in keys])
     else:
         deduped = valid
     report = batch_report(tagged, kind, source, ingest_date, keys, threshold)
