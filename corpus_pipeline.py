@@ -4,6 +4,13 @@ decontamination, packing.
 Each stage takes the documents its predecessor kept; ``run`` writes every
 stage's result as Parquet below the shared folder and reads it back.  All but
 the last stage return the columns of ``documents``.
+
+Defined results: what each operator's docstring says of nulls, empty and very long
+texts and ties holds for its stage.  Texts without 50 words are rejected by the
+first stage.  Of repeated rows (one doc_id and text) one stays after the near-duplicate
+stage; rows of one doc_id with different texts are judged each by its own text.
+Extra columns, clashing names included, pass through the first four stages.  An
+empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -16,6 +16,7 @@ Defined results
   window that counts for each of them; a null item_id still hits but is not
   counted.  Empty benchmark: nothing is hit.
 * repeated document rows: one result row each.
+* very long texts: all words of a row are held at once, as one array, and every window of them is probed.
 * empty documents table: empty result.
 * extra columns pass through ``remove``; internal columns start with ``__``.
 """

@@ -18,8 +18,8 @@ They are numbered and taken in blocks of ``BLOCK`` anchors, each brought to all
 tasks (at most ``BLOCK`` vectors and, in the second pass, ``N_POSITIVES`` scores
 each); every task streams its own rows in batches, so memory is bounded by
 batch times block, and keeps only the best rows per anchor, which a window then
-merges over the tasks.  Rows are never shuffled, hence no label or repeated
-vector is hot.  The prepared rows and every block's results are written to the
+merges over the tasks.  Rows are dealt once, by their whole contents (repeated
+rows), and never by label or vector, hence none of these is hot.  The prepared rows and every block's results are written to the
 shared folder, so a lost executor repeats only its own tasks.
 
 Defined results

@@ -15,6 +15,8 @@ Defined results
 * repeated rows / ties: rows of one ``doc_id`` count as one document; each
   row's lines are judged by key, so equal rows get equal results.
 * null ``doc_id``: all such rows are one document, ordered below every other.
+* very long texts are split whole; from then on each long line is a row of its own,
+  and only its hash and position travel.
 * empty table: empty result with the same columns.
 * extra columns pass through ``apply``; internal columns start with ``__``.
 """

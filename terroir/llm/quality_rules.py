@@ -20,6 +20,7 @@ Defined results
 * null language or source: a group of its own value (null joins null).
 * groups with fewer than ``MIN_GROUP`` rows that pass the base rules share one
   pooled estimate; if the pool itself is smaller, its rows keep the base verdict.
+* very long texts: all words of a row are held at once; only its counts go on.
 * constant statistics: a variance floor keeps every covariance regular.
 * repeated rows count as often as they occur and get equal verdicts;
   empty table: empty result; extra columns are not read by ``verdicts``.

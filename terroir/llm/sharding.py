@@ -23,6 +23,7 @@ Defined results
 * null text: no bytes, checksum 0; null and empty texts are one group.
 * repeated rows: each is counted and gets its own slot.
 * ties (equal hash and doc_id): slots in arbitrary order among equals.
+* very long texts: only their size, checksum and hash are taken; one text is never split.
 * empty table: empty result.  Shards may be empty when there are fewer
   groups than shards.
 * extra columns are not read; the result has the contract's columns.

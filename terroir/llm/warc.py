@@ -27,6 +27,7 @@ Defined results
 * rows that repeat a page_id: each has its record; rows of the smallest id
   of a group are all responses.  A null page_id never becomes a group's
   smallest id unless it is the only one.
+* very long payloads are one record, in a frame of their own if need be, held whole by one task.
 * empty table: no bundle, empty result; extra columns are not read.
 """
 

@@ -57,3 +57,27 @@ def test_pipeline_stages(spark):
     key = ["doc_id", "start", "length", "ids_crc32"]
     assert Counter(tuple(r) for r in whole.select(*key).collect()) == Counter(tuple(r) for r in e.select(*key).collect())
     assert packing.digest(d).columns == whole.columns
+
+
+def words(prefix, n):
+    return " ".join(f"{prefix}{i}" for i in range(n))
+
+
+def test_pipeline_on_messy_documents(spark, tmp_path, messy, messy_rows):
+    """Short, repetitive, copied and contaminated texts go; one of each group of copies stays, whatever its columns hold."""
+    def row(doc_id, text, lang="en", source="s0"):
+        return (doc_id, text, lang, source, len(text), 7, "clash", None)
+    passage = words("item", 13)
+    rows = [*messy_rows, row(100, words("a", 80)), row(101, words("a", 80)), row(102, words("a", 79) + " changed"),
+            row(103, words("b", 60) + " " + passage), row(104, words("c", 70), None, None), row(105, words("d", 70)), row(105, words("d", 70)),
+            row(105, words("e", 70)), row(None, words("f", 70), None, None), row(106, words("g", 700) + " " + passage)]
+    docs = spark.createDataFrame(rows, messy.schema)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([("q1", passage), (None, None), ("q2", "")], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    got = Counter(r["doc_id"] for r in out.where("start = 0").collect())
+    assert got == Counter({100: 1, 104: 1, 105: 2, None: 1, 106: 1})      # 106: 13 of 713 words are under one in twenty
+    empty = tmp_path / "empty"
+    docs.limit(0).write.parquet(f"{empty}/documents.parquet")
+    spark.createDataFrame([], "item_id string, text string").write.parquet(f"{empty}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(empty)).count() == 0
