@@ -235,30 +235,34 @@ def subscription_ledger(requests: DataFrame, plans: DataFrame) -> DataFrame:
     rows, catalogue = _prepared(requests, plans)
     cents = [x["c"] for x in catalogue]
     cut, time_cut = cut_keys(rows, SUB), cut_keys(rows.withColumn("_pid", F.col("_time")), ["cliente"])
-    rows = stored(_static(rows, cut))
 
     def decided(some: DataFrame, blocked: DataFrame) -> DataFrame:
         marks = blocked.select("_row", F.lit(True).alias("_b"))
         flagged = some.join(marks, "_row", "left").withColumn("_blocked", F.coalesce("_b", F.lit(False))).drop("_b")
         return _decided(_history(flagged, cut), cents)
     still = F.col("l.cliente").eqNullSafe(F.col("r.cliente"))
-    sizes = stored(rows.groupBy("cliente").agg(F.count(F.lit(1)).alias("n")))
-    large = stored(sizes.where(F.col("n") > LIGHT))
-    total = sizes.where(F.col("n") <= LIGHT).agg(F.sum("n")).first()[0] or 0
-    small = rows.alias("l").join(large.alias("r"), still, "left_anti")
-    blocked = stored(_light_blocked(small, total))
-    open_rows = rows.alias("l").join(large.alias("r"), still, "left_semi")             # of the clients that are not settled
-    mine = rows.sparkSession.createDataFrame([], rows.select("cliente", "_row").schema)
-    while not large.isEmpty():
-        found = stored(_blocked(decided(open_rows, mine), time_cut))
-        changed = stored(found.withColumn("s", F.lit(1)).unionAll(mine.withColumn("s", F.lit(-1))).groupBy("cliente", "_row")
-                         .agg(F.sum("s").alias("s")).where("s <> 0").select("cliente").distinct())
-        if changed.isEmpty():
-            break
-        # clients without a change are settled; the others take the new marks and go on
-        mine = found.alias("l").join(changed.alias("r"), still, "left_semi")
-        blocked = stored(blocked.alias("l").join(changed.alias("r"), still, "left_anti").unionByName(mine))
-        open_rows = rows.alias("l").join(changed.alias("r"), still, "left_semi")
+    sizes = rows.groupBy("cliente").agg(F.count(F.lit(1)).alias("n"))
+    small = F.col("n") <= LIGHT
+    count = sizes.agg(F.sum(F.when(small, F.col("n"))).alias("rows"), F.count_if(~small).alias("large")).first()
+    if not count["large"]:
+        blocked = stored(_light_blocked(rows, count["rows"] or 0))
+        rows = _static(rows, cut)
+    else:
+        rows = stored(_static(rows, cut))
+        large = stored(sizes.where(~small))
+        blocked = stored(_light_blocked(rows.alias("l").join(large.alias("r"), still, "left_anti"), count["rows"] or 0))
+        open_rows = rows.alias("l").join(large.alias("r"), still, "left_semi")          # of the clients that are not settled
+        mine = rows.sparkSession.createDataFrame([], rows.select("cliente", "_row").schema)
+        while True:
+            found = stored(_blocked(decided(open_rows, mine), time_cut))
+            changed = stored(found.withColumn("s", F.lit(1)).unionAll(mine.withColumn("s", F.lit(-1))).groupBy("cliente", "_row")
+                             .agg(F.sum("s").alias("s")).where("s <> 0").select("cliente").distinct())
+            if changed.isEmpty():
+                break
+            # clients without a change are settled; the others take the new marks and go on
+            mine = found.alias("l").join(changed.alias("r"), still, "left_semi")
+            blocked = stored(blocked.alias("l").join(changed.alias("r"), still, "left_anti").unionByName(mine))
+            open_rows = rows.alias("l").join(changed.alias("r"), still, "left_semi")
     ledger = decided(rows, blocked).withColumn("_pid", F.col("_time"))
     summed = running(ledger, ["cliente"], TIME, {"_mrr": ("sum", F.col("_delta"))}, cut=time_cut)
     names = F.array(*[F.lit(x["nombre"]) for x in catalogue] or [F.lit("")])
