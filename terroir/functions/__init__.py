@@ -184,6 +184,18 @@ def decode(c: ColumnOrName, schema) -> Column:
     return F.from_json(_c(c), schema, {"mode": "PERMISSIVE"})
 
 
+def decode_kept(c: ColumnOrName, schema) -> Column:
+    """struct(valor, crudo): the parsed payload, or the raw text of one that is no JSON (never lost)."""
+    text = _c(c)
+    good = F.try_parse_json(text).isNotNull()
+    return F.struct(F.when(good, F.from_json(text, schema)).alias("valor"), F.when(text.isNotNull() & ~good, text).alias("crudo"))
+
+
+def payload_field(c: ColumnOrName, path: str, kind: str = "string") -> Column:
+    """one field of a payload as a variant; null where the payload is broken, or has no such field of that type."""
+    return F.try_variant_get(F.try_parse_json(_c(c)), path, kind)
+
+
 # ------------------------------------------------------ F18 any-format date
 # Accepted date layouts, tried in order.
 DATE_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "dd/MM/yyyy", "dd-MM-yyyy")

@@ -229,3 +229,18 @@ def s02_reviews_csv(spark, sf_dir):
         return RD.read_reviews_csv(spark, path).select("title", "description", "points", "price", "winery")
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+# ====================================================== F17: payloads of every event, one in ten cut off
+@register("f17_payloads", """SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN event_type END AS tipo,
+    CASE WHEN event_id % 10 <> 0 THEN user_id END AS usuario, CASE WHEN event_id % 10 = 0 THEN '{"tipo":"' || event_type || '","dat' END AS crudo
+  FROM events""")
+def f17_payloads(spark, sf_dir):
+    """Encoded and decoded again; the field ``usuario`` is read from the variant."""
+    e = T.table(spark, sf_dir, "events")
+    whole = F.to_json(F.struct(F.col("event_type").alias("tipo"), F.struct(F.col("user_id").alias("usuario")).alias("datos")))
+    cut = F.concat(F.lit('{"tipo":"'), F.col("event_type"), F.lit('","dat'))
+    rows = e.select("event_id", F.when(F.col("event_id") % 10 != 0, whole).otherwise(cut).alias("payload"))
+    d = FN.decode_kept("payload", "tipo string, datos struct<usuario: long>")
+    return rows.select("event_id", d["valor"]["tipo"].alias("tipo"), FN.payload_field("payload", "$.datos.usuario", "long").alias("usuario"),
+                       d["crudo"].alias("crudo"))
