@@ -1,12 +1,22 @@
 """Quality rules: robust multivariate outliers per language and source.
 
 Method: every document gets a vector of transformed statistics.  For each
-(language, source) the minimum covariance determinant is approximated
-by concentration steps: starting from the coordinate-wise median and
-median absolute deviation, the h = 75 % of rows with the smallest Mahalanobis
-distances give the next mean and covariance, until ``steps`` rounds are done.
-The final distances are scaled down to the chi-square median and a row beyond the
-cut-off quantile is rejected.
+(language, source) the minimum covariance determinant is searched by
+concentration steps from three deterministic starts (median and median
+absolute deviation; all rows' mean and covariance; the covariance of the
+spatial signs around the median): the h = 75 % of rows with the smallest
+Mahalanobis distances give the next mean and covariance.  After ``FIRST_STEPS``
+the start with the smallest determinant goes on until its determinant falls by
+less than ``TOLERANCE`` (in its logarithm).  Rows within the 97.5 % quantile
+then give the reweighted estimate.
+
+Groups of every size are treated alike: the mean and covariance of a group's
+reweighted rows are averaged with its language's at the weight of ``PRIOR_ROWS``
+rows, and a language's with all rows' (both are sums over the groups'
+reweighted rows, so one outlying group hardly moves them).  A group of one row is thus
+judged by its language, one of thousands by itself, and every row gets a
+verdict.  The final distances are scaled down to the chi-square median, with
+the same weights, and a row beyond the cut-off quantile is rejected.
 
 All of it is grouped aggregates: the vectors are fixed-point integers, so
 sums are exact and independent of the order of rows, and quantiles come from
@@ -18,8 +28,8 @@ expressions.
 Defined results
 * null or empty text: no words, hence ``base_failed``.
 * null language or source: a group of its own value (null joins null).
-* groups with fewer than ``MIN_GROUP`` rows that pass the base rules share one
-  pooled estimate; if the pool itself is smaller, its rows keep the base verdict.
+* rows that fail the base rules enter no estimate; a group without other rows has
+  none, and its rows are rejected with a null distance.
 * very long texts: all words of a row are held at once; only its counts go on.
 * constant statistics: a variance floor keeps every covariance regular.
 * repeated rows count as often as they occur and get equal verdicts;
@@ -36,12 +46,14 @@ from terroir.llm.text import SPACED_WORD, WHITE, let, text_or_empty, words
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-MIN_GROUP = 200
+PRIOR_ROWS = 50                   # weight of the language in a group, and of all rows in a language
 SUBSET = 0.75
-STEPS = 4
+FIRST_STEPS = 2
+TOLERANCE = 1e-3
 SCALE = 1000                      # fixed point of the vectors
-# Chi-square quantiles for 4 degrees of freedom (median, and the cut-off at 1 - 1e-6).
+# Chi-square quantiles for 4 degrees of freedom (median, 0.975, and the cut-off at 1 - 1e-6).
 CHI2_MEDIAN = 3.3567
+CHI2_REWEIGHT = 11.143
 CHI2_CUTOFF = 33.377
 IDX_BITS = 30                     # a text has fewer than 2^30 words (Java strings)
 # Statistics and the least standard deviation of each, in its transformed unit: differences
@@ -121,16 +133,25 @@ def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 def group_quantile(counts: DataFrame, keys: list[str], value: str, q: float, name: str) -> DataFrame:
     """The smallest integer value that at least a share ``q`` of each group's
-    rows do not exceed, from exact counts per value."""
+    rows do not exceed, from exact counts per value; and the group's rows."""
     run = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     total = Window.partitionBy(*keys)
     return (counts.withColumns({"__run": F.sum("__n").over(run), "__all": F.sum("__n").over(total)})
             .where(F.col("__run") >= F.ceil(F.col("__all") * F.lit(q)))
-            .groupBy(*keys).agg(F.min(value).alias(name)))
+            .groupBy(*keys).agg(F.min(value).alias(name), F.max("__all").alias("__rows")))
 
 
-def cholesky(df: DataFrame) -> DataFrame:
-    """(__g, __m_i, __l_ij) from means and covariances (__m_i, __c_ij)."""
+def per_pair(name: str) -> list[str]:
+    """Names of the lower triangle: name_00, name_10, name_11, ..."""
+    return [f"{name}_{i}{j}" for i in range(len(STATS)) for j in range(i + 1)]
+
+
+def per_stat(name: str) -> list[str]:
+    return [f"{name}_{i}" for i in range(len(STATS))]
+
+
+def cholesky(df: DataFrame, keys: tuple[str, ...] = ("__g",)) -> DataFrame:
+    """``keys``, __m_i, __l_ij and the logarithm of the determinant from means and covariances (__m_i, __c_ij)."""
     p = len(STATS)
     for j in range(p):
         rest = df
@@ -141,8 +162,8 @@ def cholesky(df: DataFrame) -> DataFrame:
             value = F.sqrt(F.greatest(s, F.lit(FLOOR[j] ** 2))) if i == j else s / F.col(f"__l_{j}{j}")
             rest = rest.withColumn(f"__l_{i}{j}", value)
         df = rest
-    return df.select("__g", *[f"__m_{i}" for i in range(p)],
-                     *[f"__l_{i}{j}" for i in range(p) for j in range(i + 1)])
+    logdet = 2 * sum((F.log(f"__l_{i}{i}") for i in range(1, p)), F.log("__l_00"))
+    return df.select(*keys, *per_stat("__m"), *per_pair("__l"), logdet.alias("__logdet"))
 
 
 def distance(df: DataFrame) -> DataFrame:
@@ -158,71 +179,150 @@ def distance(df: DataFrame) -> DataFrame:
         *[f"__z_{i}" for i in range(len(STATS))])
 
 
-def moments(df: DataFrame) -> DataFrame:
-    """Means and covariances per group from exact integer sums."""
+def sums(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows (__n), exact sums (__s_i) and sums of products (__q_ij) per group."""
     p = len(STATS)
     x = [F.col(f"__x_{s}") for s in STATS]
-    wide = "decimal(38,0)"
-    sums = df.groupBy("__g").agg(
+    return df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__n"), *[F.sum(x[i]).alias(f"__s_{i}") for i in range(p)],
-        *[F.sum((x[i] * x[j]).cast("decimal(20,0)")).cast(wide).alias(f"__q_{i}{j}") for i in range(p) for j in range(i + 1)])
+        *[F.sum((x[i] * x[j]).cast("decimal(20,0)")).cast("decimal(38,0)").alias(f"__q_{i}{j}")
+          for i in range(p) for j in range(i + 1)])
+
+
+def added(df: DataFrame, *keys: str) -> DataFrame:
+    """The sums of whole groups of groups."""
+    return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ["__n", *per_stat("__s")]],
+                                 *[F.sum(c).cast("decimal(38,0)").alias(c) for c in per_pair("__q")])
+
+
+def moments(df: DataFrame) -> DataFrame:
+    """``df`` plus means (__m_i) and covariances (__c_ij) from its sums."""
+    p = len(STATS)
     n = F.col("__n").cast("double")
     mean = {f"__m_{i}": F.col(f"__s_{i}") / n for i in range(p)}
     cov = {f"__c_{i}{j}": F.col(f"__q_{i}{j}").cast("double") / n - (F.col(f"__s_{i}") / n) * (F.col(f"__s_{j}") / n)
            + F.lit(FLOOR[i] ** 2 if i == j else 0.0) for i in range(p) for j in range(i + 1)}
-    return sums.withColumns({**mean, **cov})
+    return df.withColumns({**mean, **cov})
 
 
-def start_estimate(df: DataFrame) -> DataFrame:
-    """Coordinate-wise median and median absolute deviation as a diagonal covariance."""
+def blended(df: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """Means and covariances, averaged with the parent's at the weight of ``PRIOR_ROWS`` rows.
+
+    The distance between the two means does not widen the covariance: a lone odd row
+    would else excuse itself.  A whole group that lies apart is excused by its median."""
+    p = len(STATS)
+    above = parent.select(key, *[F.col(c).alias(f"__p{c}") for c in [*per_stat("__m"), *per_pair("__c")]])
+    n, k = F.col("__n").cast("double"), F.lit(float(PRIOR_ROWS))
+    off = [F.col(f"__m_{i}") - F.col(f"__p__m_{i}") for i in range(p)]
+    mean = {f"__m_{i}": F.col(f"__p__m_{i}") + off[i] * n / (n + k) for i in range(p)}
+    cov = {f"__c_{i}{j}": (n * F.col(f"__c_{i}{j}") + k * F.col(f"__p__c_{i}{j}")) / (n + k)
+           for i in range(p) for j in range(i + 1)}
+    return df.join(above, key).withColumns({**mean, **cov})
+
+
+def starts(x: DataFrame) -> DataFrame:
+    """Three first estimates per group (__g, __start)."""
+    p = len(STATS)
     keys = ["__g", "__k"]
-    long = df.select("__g", F.posexplode(F.array(*[f"__x_{s}" for s in STATS])).alias("__k", "__v"))
+    long = x.select("__g", F.posexplode(F.array(*[f"__x_{s}" for s in STATS])).alias("__k", "__v"))
     counts = written(value_counts(long, keys, "__v"), "mcd-values")
-    med = group_quantile(counts, keys, "__v", 0.5, "__med")
+    med = group_quantile(counts, keys, "__v", 0.5, "__med").drop("__rows")
     dev = (counts.join(med, keys).groupBy(*keys, "__med", F.abs(F.col("__v") - F.col("__med")).alias("__dev"))
            .agg(F.sum("__n").alias("__n")))
     mad = group_quantile(dev, [*keys, "__med"], "__dev", 0.5, "__mad")
     sd = F.col("__mad") * 1.4826 + F.element_at(F.array(*[F.lit(v) for v in FLOOR]), F.col("__k") + 1)
-    p = len(STATS)
     at = lambda i, c: F.max(F.when(F.col("__k") == i, c))
-    return mad.groupBy("__g").agg(
-        *[at(i, F.col("__med")).cast("double").alias(f"__m_{i}") for i in range(p)],
-        *[(at(i, sd * sd) if i == j else F.max(F.lit(0.0))).alias(f"__c_{i}{j}") for i in range(p) for j in range(i + 1)])
-
-
-def estimates(x: DataFrame, steps: int = STEPS) -> DataFrame:
-    """Per group: rows, mean, Cholesky factor and the median distance bin."""
-    x = x.select("__g", *[f"__x_{s}" for s in STATS])
-    current = written(cholesky(start_estimate(x)), "mcd")
-    for _ in range(steps):
-        d = distance(x.join(current, "__g"))
-        # one row per group, written: the join knows its size and never deals the rows by group
-        limit = written(group_quantile(value_counts(d, ["__g"], "__bin"), ["__g"], "__bin", SUBSET, "__limit"), "mcd-limit")
-        subset = d.join(limit, "__g").where("__bin <= __limit")
-        current = written(cholesky(moments(subset)), "mcd")
+    centre = written(mad.groupBy("__g").agg(*[at(i, F.col("__med")).cast("double").alias(f"__m_{i}") for i in range(p)],
+                                            *[at(i, sd).alias(f"__sd_{i}") for i in range(p)]), "mcd-centre")
+
+    def from_centre(df, c):
+        return df.select("__g", *per_stat("__m"), *[c(i, j).alias(f"__c_{i}{j}") for i in range(p) for j in range(i + 1)])
+    spread = from_centre(centre, lambda i, j: F.col(f"__sd_{i}") * F.col(f"__sd_{i}") if i == j else F.lit(0.0))
+    z = x.join(centre, "__g").withColumns(
+        {f"__z_{i}": (F.col(f"__x_{s}") - F.col(f"__m_{i}")) / F.col(f"__sd_{i}") for i, s in enumerate(STATS)})
+    z = z.withColumn("__r", F.sqrt(sum((F.col(f"__z_{i}") * F.col(f"__z_{i}") for i in range(1, p)), F.col("__z_0") * F.col("__z_0"))))
+    unit = [F.coalesce(F.try_divide(F.col(f"__z_{i}"), F.col("__r")), F.lit(0.0)) for i in range(p)]
+    of_signs = z.groupBy("__g").agg(F.count(F.lit(1)).alias("__n"), *[
+        F.sum(F.round(unit[i] * unit[j] * SCALE * SCALE).cast("long")).alias(f"__u_{i}{j}") for i in range(p) for j in range(i + 1)])
+    signs = from_centre(of_signs.join(centre, "__g"), lambda i, j: F.col(f"__u_{i}{j}") / (F.col("__n") * SCALE * SCALE)
+                        * F.col(f"__sd_{i}") * F.col(f"__sd_{j}"))
+    plain = moments(sums(x, "__g")).select(*spread.columns)
+    every = None
+    for n, df in enumerate((spread, signs, plain)):
+        df = cholesky(df.withColumn("__start", F.lit(n)), ("__g", "__start"))
+        every = df if every is None else every.unionAll(df)
+    return written(every, "mcd")
+
+
+def concentrate(x: DataFrame, current: DataFrame) -> DataFrame:
+    """One concentration step of every estimate in ``current`` (__g, __start)."""
+    keys = ["__g", "__start"]
     d = distance(x.join(current, "__g"))
-    size = x.groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
-    return written(current.join(group_quantile(value_counts(d, ["__g"], "__bin"), ["__g"], "__bin", 0.5, "__mid"), "__g").join(size, "__g"), "mcd")
-
-
-def with_group(x: DataFrame, min_group: int) -> DataFrame:
-    """``x`` plus its group ``__g``: its language and source, or the pool of the small ones."""
-    named = x.withColumn("__g", F.to_json(F.struct("__lang", "__source")))
-    sizes = (named.where(~F.col("base_failed")).groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
-             .where(F.col("__n") >= min_group).select(F.col("__g").alias("__own")))
-    sizes = written(sizes, "mcd-groups")
-    return (named.join(sizes, F.col("__g") == F.col("__own"), "left")
-            .withColumn("__g", F.coalesce("__own", F.lit("pool"))).drop("__own"))
-
-
-def verdicts(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
+    # one row per estimate, written: the join knows its size and never deals the rows by group
+    limit = written(group_quantile(value_counts(d, keys, "__bin"), keys, "__bin", SUBSET, "__limit"), "mcd-limit")
+    subset = d.join(limit, keys).where("__bin <= __limit")
+    return written(cholesky(moments(sums(subset, *keys)), tuple(keys)), "mcd")
+
+
+def minimum(x: DataFrame) -> DataFrame:
+    """Per group the estimate of the smallest determinant found (__g, __start, __m_i, __l_ij, __logdet)."""
+    current = starts(x)
+    for _ in range(FIRST_STEPS):
+        current = concentrate(x, current)
+    names = ["__logdet", "__start", *per_stat("__m"), *per_pair("__l")]
+    best = written(current.groupBy("__g").agg(F.min(F.struct(*names)).alias("__e"))
+                   .select("__g", "__e.*", F.lit(True).alias("__open")), "mcd-best")
+    # every round lowers the determinant of all open groups by a fixed share, and the floors bound it from below
+    while not (still := best.where("__open").drop("__open")).isEmpty():
+        new = concentrate(x, still).select("__g", F.struct(*names).alias("__new"))
+        fall = F.col("__old.__logdet") - F.col("__new.__logdet")
+        best = written(best.select("__g", F.struct(*names).alias("__old")).join(new, "__g", "left").select(
+            "__g", F.when(fall > 0, F.col("__new")).otherwise(F.col("__old")).alias("__e"),
+            F.coalesce(fall > TOLERANCE, F.lit(False)).alias("__open")).select("__g", "__e.*", "__open"), "mcd-best")
+    return best.drop("__open")
+
+
+def median_factor(counts: DataFrame, key: str) -> DataFrame:
+    """How far the median distance lies above the chi-square median (``__f``, 1 at least), and the rows."""
+    per_bin = counts.groupBy(key, "__bin").agg(F.sum("__n").alias("__n"))
+    mid = F.expm1(F.col("__mid") / SCALE) / CHI2_MEDIAN
+    return group_quantile(per_bin, [key], "__bin", 0.5, "__mid").select(
+        key, F.greatest(mid, F.lit(1.0)).alias(f"__f{key}"), F.col("__rows").cast("double").alias(f"__rows{key}"))
+
+
+def estimates(x: DataFrame) -> DataFrame:
+    """Per group: mean, Cholesky factor and the factor that scales distances down (``__scale``)."""
+    levels = ["__g", "__h", "__a"]
+    x = x.select(*levels, *[f"__x_{s}" for s in STATS])
+    raw = minimum(x.drop("__h", "__a"))
+    d = distance(x.join(raw, "__g"))
+    mid = written(median_factor(value_counts(d, ["__g"], "__bin"), "__g"), "mcd-mid")
+    near = d.join(mid, "__g").where(F.col("__d") <= CHI2_REWEIGHT * F.col("__f__g"))
+    own = written(sums(near, *levels), "mcd-sums")
+    whole = written(moments(added(own, "__a")), "mcd-whole")
+    language = written(blended(moments(added(own, "__h", "__a")), whole, "__a"), "mcd-language")
+    final = written(cholesky(blended(moments(own), language, "__h"), tuple(levels)), "mcd")
+    counts = written(value_counts(distance(x.join(final.drop("__h", "__a"), "__g")), levels, "__bin"), "mcd-bins")
+    k = PRIOR_ROWS
+    for level in levels:
+        final = final.join(median_factor(counts, level), level)
+    of = lambda c, above: (F.col(f"__f{c}") * F.col(f"__rows{c}") + k * above) / (F.col(f"__rows{c}") + k)
+    return written(final.select("__g", *per_stat("__m"), *per_pair("__l"),
+                                of("__g", of("__h", F.col("__f__a"))).alias("__scale")), "mcd")
+
+
+def with_group(x: DataFrame) -> DataFrame:
+    """``x`` plus its group ``__g`` (language and source), the level above ``__h`` (language) and all rows ``__a``."""
+    return x.withColumns({"__g": F.to_json(F.struct("__lang", "__source")), "__h": F.to_json(F.struct("__lang")),
+                          "__a": F.lit(0)})
+
+
+def verdicts(docs: DataFrame) -> DataFrame:
     """Base columns, ``base_failed``, ``kept`` and the scaled ``distance`` per row, with doc_id and __th."""
-    stats = written(statistics(docs), "stats")
-    x = written(with_group(vectors(stats), min_group), "vectors")
+    x = written(with_group(vectors(statistics(docs))), "vectors")
     d = distance(x.join(estimates(x.where(~F.col("base_failed"))), "__g", "left"))
-    # the subset's covariance is too small: distances are scaled down to the chi-square median
-    scaled = F.col("__d") * CHI2_MEDIAN / F.greatest(F.expm1(F.col("__mid") / SCALE), F.lit(CHI2_MEDIAN))
-    outlier = F.coalesce((F.col("__n") >= min_group) & (scaled > CHI2_CUTOFF), F.lit(False))
+    scaled = F.col("__d") / F.col("__scale")
+    outlier = F.coalesce(scaled > CHI2_CUTOFF, F.lit(False))
     return d.select("doc_id", "__th", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     "base_failed", (~F.col("base_failed") & ~outlier).alias("kept"), scaled.alias("distance"))
 

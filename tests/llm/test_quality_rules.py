@@ -1,3 +1,5 @@
+import json
+import math
 import random
 import re
 
@@ -49,17 +51,125 @@ def corpus(n=700, junk=60):
 def test_outliers_per_group(spark):
     rows = corpus()
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    kept = {r["doc_id"]: r["kept"] for r in quality_rules.verdicts(docs, min_group=100).collect()}
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules.verdicts(docs).collect()}
     assert not any(kept[i] for i in range(60))
     assert sum(not kept[i] for i in range(60, 700)) <= 3
     out = quality_rules.reject(docs)
     assert out.columns == docs.columns
 
 
-def test_small_groups_keep_the_base_verdict(spark):
-    docs = spark.createDataFrame(corpus(40, 10), "doc_id long, text string, lang string, source string")
-    got = quality_rules.verdicts(docs).collect()
-    assert all(r["kept"] == (not r["base_failed"]) for r in got)
+def np_vectors(rows):
+    x = []
+    for _, t, *_ in rows:
+        n, chars, symbols, dup, _, _ = brute(t)
+        x.append([math.log1p(n), 2 * math.log1p(chars / n), math.log1p(100 * symbols / n), math.log1p(100 * dup / n)])
+    return np.floor(np.array(x) * 1000 + 0.5)
+
+
+FLOOR = np.diag(np.array(quality_rules.FLOOR) ** 2)
+
+
+def np_distance(x, mean, cov):
+    return np.einsum("ij,ij->i", (x - mean) @ np.linalg.inv(cov), x - mean)
+
+
+def np_moments(x):
+    return x.mean(0), np.cov(x.T, bias=True).reshape(len(x.T), -1) + FLOOR
+
+
+def np_minimum(x, rng, tries=200):
+    """Smallest determinant over random starts of a few rows each, every one concentrated to the end."""
+    best = None
+    for _ in range(tries):
+        mean, cov = np_moments(x[rng.choice(len(x), min(len(x), 6), replace=False)])
+        last = math.inf
+        while True:
+            bins = np.floor(np.log1p(np_distance(x, mean, cov)) * 1000 + 0.5)
+            limit = np.sort(bins)[math.ceil(0.75 * len(x)) - 1]
+            mean, cov = np_moments(x[bins <= limit])
+            det = np.linalg.slogdet(cov)[1]
+            if det >= last - 1e-3:
+                break
+            last = det
+        if best is None or det < best[0]:
+            best = det, mean, cov
+    return best
+
+
+def np_distances(groups, rng):
+    """Scaled distances of every row from a search by random starts; groups = {(lang, source): vectors}."""
+    k, median = quality_rules.PRIOR_ROWS, lambda d: max(np.sort(d)[math.ceil(len(d) / 2) - 1] / quality_rules.CHI2_MEDIAN, 1)
+    near, dets = {}, {}
+    for g, x in groups.items():
+        det, mean, cov = np_minimum(x, rng)
+        d = np_distance(x, mean, cov)
+        near[g], dets[g] = x[d <= quality_rules.CHI2_REWEIGHT * median(d)], det
+
+    def blend(x, above):
+        (m, c), n, (pm, pc) = np_moments(x), len(x), above
+        return (n * m + k * pm) / (n + k), (n * c + k * pc) / (n + k)
+    of = lambda lang: np.concatenate([x for g, x in near.items() if g[0] == lang])
+    whole = np_moments(np.concatenate(list(near.values())))
+    d = {g: np_distance(x, *blend(near[g], blend(of(g[0]), whole))) for g, x in groups.items()}
+    every = np.concatenate(list(d.values()))
+    out = {}
+    for g, x in d.items():
+        lang = np.concatenate([y for h, y in d.items() if h[0] == g[0]])
+        f = (len(lang) * median(lang) + k * median(every)) / (len(lang) + k)
+        out[g] = x / ((len(x) * median(x) + k * f) / (len(x) + k))
+    return out, dets
+
+
+def grouped(rows):
+    x, groups, at = np_vectors(rows), {}, {}
+    for i, r in enumerate(rows):
+        groups.setdefault(r[2:], []).append(i)
+    for g, idx in groups.items():
+        at.update({rows[i][0]: (g, j) for j, i in enumerate(idx)})
+    return {g: x[idx] for g, idx in groups.items()}, at
+
+
+def mixed_corpus():
+    """Groups of 1, 3, 40, 199, 200 and 300 rows in three languages, a fifth of the large ones of another kind."""
+    rnd = random.Random(11)
+    rows = []
+    for lang, source, n in (("en", "s1", 300), ("en", "s2", 200), ("en", "s3", 199), ("de", "s1", 40), ("de", None, 3),
+                            (None, "s9", 1), ("en", "tiny", 1)):
+        for i in range(n):
+            w = ["".join(rnd.choices("abcdefghij", k=rnd.randint(2, 9))) for _ in range(int(rnd.lognormvariate(5, 0.4)) + 50)]
+            if i % 5 == 4 or source == "tiny":
+                w = [x + "|###" for x in w]
+            rows.append((len(rows), " ".join(w), lang, source))
+    return rows
+
+
+def test_verdicts_equal_a_search_from_random_starts(spark, monkeypatch):
+    rows = mixed_corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found, minimum = [], quality_rules.minimum
+    monkeypatch.setattr(quality_rules, "minimum", lambda x: found.append(minimum(x)) or found[0])
+    got = {r["doc_id"]: r for r in quality_rules.verdicts(docs).collect()}
+    groups, at = grouped(rows)
+    want, dets = np_distances(groups, np.random.default_rng(3))
+    # determinants as small as from 200 random starts
+    logdet = {(j.get("__lang"), j.get("__source")): r["__logdet"] for r in found[0].collect() for j in [json.loads(r["__g"])]}
+    assert logdet.keys() == dets.keys() and all(logdet[g] <= dets[g] + 0.05 for g in dets), (logdet, dets)
+    cut = quality_rules.CHI2_CUTOFF
+    clear = [i for i, (g, j) in at.items() if abs(want[g][j] / cut - 1) > 0.1]
+    assert len(clear) > 0.97 * len(rows)
+    assert [i for i in clear if got[i]["kept"] != (not got[i]["base_failed"] and want[at[i][0]][at[i][1]] <= cut)] == []
+    # the odd fifth goes alike in sources of 199 and of 200 rows, and so does an odd row that is alone in its source
+    odd = {s: [got[r[0]]["kept"] for r in rows if r[3] == s and "###" in r[1]] for s in ("s1", "s2", "s3", "tiny")}
+    assert not any(odd["s2"] + odd["s3"] + odd["tiny"])
+
+
+def test_small_groups_are_judged_by_their_language(spark):
+    rows = [r[:2] + ("en", f"site{i}" if i % 40 == 7 else "main") for i, r in enumerate(corpus(400, 0))]
+    rows += [(1000, rows[0][1].replace(" ", "|### "), "en", "alone"), (1001, rows[1][1], "xx", "alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in quality_rules.verdicts(docs).collect()}
+    assert all(r["distance"] is not None for r in got.values())
+    assert not got[1000]["kept"] and got[1001]["kept"] and sum(not r["kept"] for r in got.values()) <= 2
 
 
 def test_cholesky_and_distance(spark):
