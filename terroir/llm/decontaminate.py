@@ -2,8 +2,10 @@
 
 Method: every item's windows (13 consecutive normalised words; a shorter item
 is one window) are keyed by the hash of their leading words.  That set is
-broadcast behind a check of its size; a larger benchmark is scanned in
-several blocks of the allowed size.  Each document's words are scanned once per
+broadcast behind a check of its rows and bytes; a larger benchmark is scanned in
+several blocks of the allowed size.  A window of more than ``MAX_WINDOW_BYTES``
+is held as the SHA-256 of its words, and one of more than ``MAX_ITEMS`` items as
+several rows, so no row outgrows a block.  Each document's words are scanned once per
 block: the hash of the leading words at every position probes the set, and a
 hit is verified word by word against the whole window, inside the join.  Only
 verified hits and one row per document leave the scan, so a passage that many
@@ -32,7 +34,10 @@ from terroir.llm.text import ALNUM_WORD, ascii_lower, let, text_or_empty, words
 N = 13
 LEAD = 4
 SHARE = 20                        # contaminated: SHARE * n_hit >= n_words
-MAX_BROADCAST_WINDOWS = 200_000   # about 60 MB of windows
+MAX_BROADCAST_WINDOWS = 200_000
+MAX_BROADCAST_BYTES = 64 << 20
+MAX_WINDOW_BYTES = 1024
+MAX_ITEMS = 1000                  # of one window, in one row
 # The contract's word class before lower-casing.
 ANY_CASE_WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 
@@ -46,8 +51,14 @@ def lead_hash(w: Column, i: Column | int, g: int) -> Column:
     return F.xxhash64(*[F.get(w, F.lit(i) + j if isinstance(i, int) else i + j) for j in range(g)])
 
 
+def joined(w: Column) -> Column:
+    """The words as one string (no word holds a blank)."""
+    return F.array_join(w, " ")
+
+
 def item_windows(benchmark: DataFrame, n: int = N) -> DataFrame:
-    """(__window words, __k, __g lead length, __head hash, __items ids), one row per distinct window."""
+    """One row per distinct window and ``MAX_ITEMS`` of its items: __window words (null: too long) or __sha of them,
+    __k words, __g lead length, __head hash, __items ids, __bytes in memory, __part a hash to cut blocks by."""
     w = F.col("__w")
     items = (benchmark.select("item_id", normalised_words(F.col("text")).alias("__w"))
              .where(F.size("__w") > 0).withColumn("__k", F.least(F.size("__w"), F.lit(n))))
@@ -56,7 +67,18 @@ def item_windows(benchmark: DataFrame, n: int = N) -> DataFrame:
     one = cut.groupBy("__window").agg(F.first("__k").alias("__k"), F.collect_set("item_id").alias("__items"))
     head = F.coalesce(*[F.when(F.col("__k") == g, lead_hash(F.col("__window"), 0, g)) for g in range(1, LEAD)],
                       lead_hash(F.col("__window"), 0, LEAD))
-    return one.withColumns({"__g": F.least(F.col("__k"), F.lit(LEAD)), "__head": head})
+    n_parts = F.greatest(F.ceil(F.size("__items") / MAX_ITEMS), F.lit(1)).cast("int")
+    one = one.withColumns({"__g": F.least(F.col("__k"), F.lit(LEAD)), "__head": head}).select(
+        "*", F.explode(F.sequence(F.lit(0), n_parts - 1)).alias("__n"))
+    long = F.octet_length(joined(F.col("__window"))) > MAX_WINDOW_BYTES
+    one = one.withColumns({
+        "__items": F.slice("__items", F.col("__n") * MAX_ITEMS + 1, MAX_ITEMS),
+        "__part": F.xxhash64("__window", "__n"),
+        "__sha": F.when(long, F.sha2(joined(F.col("__window")), 256)),
+        "__window": F.when(~long, F.col("__window"))}).drop("__n")
+    text = [F.coalesce(F.octet_length(joined(F.col(c).cast("array<string>"))), F.lit(0)) + 16 * F.greatest(F.size(c), F.lit(0))
+            for c in ("__window", "__items")]
+    return one.withColumn("__bytes", (text[0] + text[1] + 128).cast("long"))
 
 
 def scan(docs: DataFrame, windows: DataFrame, leads: list[int]) -> DataFrame:
@@ -79,10 +101,12 @@ def scan(docs: DataFrame, windows: DataFrame, leads: list[int]) -> DataFrame:
                         F.when(last, len(leads)).otherwise(F.expr("__at div n_words")).cast("int") + 1)
     probes = probes.withColumns({"__last": last, "__lead": lead,
                                  "__pos": F.when(last, F.lit(-1)).otherwise(F.expr("__at % n_words")).cast("int")})
-    hit = ((F.col("__h") == F.col("__head")) & (F.col("__lead") == F.col("__g"))
-           & (F.slice("__w", F.greatest(F.col("__pos"), F.lit(0)) + 1, F.col("__k")) == F.col("__window")))
-    return (probes.join(F.broadcast(windows), hit, "left")          # <= MAX_BROADCAST_WINDOWS rows
-            .where(F.col("__last") | F.col("__window").isNotNull())
+    found = F.slice("__w", F.greatest(F.col("__pos"), F.lit(0)) + 1, F.col("__k"))
+    same = F.coalesce(found == F.col("__window"), F.sha2(joined(found), 256) == F.col("__sha"))
+    hit = (F.col("__h") == F.col("__head")) & (F.col("__lead") == F.col("__g")) & same
+    block = windows.select("__head", "__g", "__k", "__window", "__sha", "__items")
+    return (probes.join(F.broadcast(block), hit, "left")            # about MAX_BROADCAST_BYTES at most
+            .where(F.col("__last") | F.col("__head").isNotNull())
             .select("doc_id", "__th", "__row", "n_words", "__pos", "__k", "__items"))
 
 
@@ -97,15 +121,17 @@ def covered(spans: Column) -> Column:
     return F.aggregate(spans, start, step, lambda a: a["total"])
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, n: int = N, max_windows: int = MAX_BROADCAST_WINDOWS) -> DataFrame:
+def hits(docs: DataFrame, benchmark: DataFrame, n: int = N, max_windows: int = MAX_BROADCAST_WINDOWS,
+         max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Per document row: doc_id, __th, n_words, spans (pos, k sorted), items (sorted id strings), n_hit."""
     windows = written(item_windows(benchmark, n), "windows")
-    size = windows.agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set("__g")).alias("g")).first()
-    blocks = max(1, -(-size["n"] // max_windows))
+    size = windows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("__bytes"), F.lit(0)).alias("bytes"),
+                       F.sort_array(F.collect_set("__g")).alias("g")).first()
+    blocks = max(1, -(-size["n"] // max_windows), -(-size["bytes"] // max_bytes))
     leads = size["g"] or [LEAD]
     found = None
     for b in range(blocks):
-        part = windows if blocks == 1 else windows.where(F.pmod(F.col("__head"), F.lit(blocks)) == b)
+        part = windows if blocks == 1 else windows.where(F.pmod(F.col("__part"), F.lit(blocks)) == b)
         found = scan(docs, part, leads) if found is None else found.unionAll(scan(docs, part, leads))
     span = F.when(F.col("__pos") >= 0, F.struct(F.col("__pos").alias("pos"), F.col("__k").alias("k")))
     per_doc = found.groupBy("doc_id", "__th", "__row", "n_words").agg(

@@ -53,6 +53,23 @@ def test_digest_equals_brute_force(messy, messy_rows, items, max_windows, monkey
     assert got == brute(messy_rows, ITEMS)
 
 
+@pytest.mark.parametrize("max_bytes", [64 << 20, 20_000])
+def test_long_windows_and_windows_of_many_items(spark, monkeypatch, max_bytes):
+    """Windows too long for the broadcast go as a digest, and the items of one window as several rows."""
+    long = [c * 3000 for c in "abcdefgh"]
+    texts = [(1, " ".join(long)), (2, " ".join(long[:7])), (3, "x " + " ".join(long[:7]) + " y"), (4, "same short words here"),
+             (5, " ".join(long[:6] + ["g" * 2999 + "h"])), (6, "Same, short words here!"), (7, None)]
+    items = [(100, " ".join(long[:7])), (101, " ".join(long[4:6])), *[(1000 + i, "same short words here") for i in range(25)]]
+    monkeypatch.setattr(decontaminate, "MAX_ITEMS", 10)
+    hits = decontaminate.hits
+    monkeypatch.setattr(decontaminate, "hits", lambda d, b: hits(d, b, max_bytes=max_bytes))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = Counter(tuple(r) for r in decontaminate.digest(spark.createDataFrame(texts, "doc_id long, text string"), bench).collect())
+    assert got == brute(texts, items)
+    windows = decontaminate.item_windows(bench).collect()
+    assert len(windows) == 5 and max(r["__bytes"] for r in windows) < 1000
+
+
 def test_no_items(messy, items):
     assert decontaminate.digest(messy, items.limit(0)).where("n_hit > 0 or contaminated").count() == 0
 
