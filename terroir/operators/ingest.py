@@ -8,7 +8,7 @@ runs are reproducible.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terroir.functions import lenient_double, round_half_up, strip
@@ -81,9 +81,10 @@ def ingest_batch(df: DataFrame, kind: str, source: str, ingest_date: str, ordina
                .withColumn("fuente", F.lit(source)).withColumn("fecha_ingesta", F.lit(ingest_date)))
     keys = [k for k in NATURAL_KEYS[kind] if k in df.columns]
     if keys:
-        # the aggregate holds numbers only; the rows follow by their ordinal
-        firsts = valid.groupBy(*keys).agg(F.min(ordinal).alias(ordinal)).select(ordinal)
-        deduped = valid.join(firsts, ordinal, "left_semi").select(*keys, *[c for c in valid.columns if c not in keys])
+        # one exchange by key; each input task passes on one row per key at most
+        w = Window.partitionBy(*keys).orderBy(F.col(ordinal).asc_nulls_last())
+        deduped = (valid.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
+                   .select(*keys, *[c for c in valid.columns if c not in keys]))
     else:
         deduped = valid
     report = batch_report(tagged, kind, source, ingest_date, keys, threshold)

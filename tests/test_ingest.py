@@ -51,3 +51,11 @@ def test_prices_currency_and_future_date(spark):
     assert reasons["C"].startswith("dominio:moneda_no_iso4217")
     assert reasons["D"].startswith("dominio:fecha_futura")
     assert "A" not in reasons
+
+
+def test_deduplication_moves_the_rows_once(spark):
+    rows = [(3, "V", "90", "Ana", "B"), (1, "V", "91", "Ana", "B"), (2, "W", "92", "Ana", "B"), (4, "W", "93", "Ana", "B")]
+    valid = ingest_batch(batch(spark, rows), "reseñas", "s", "2026-06-29")[0]
+    p = valid._jdf.queryExecution().executedPlan().toString()
+    assert p.count("Exchange hashpartitioning") == 1 and "Join" not in p
+    assert sorted((r.ordinal, r.points) for r in valid.collect()) == [(1, "91"), (2, "92")]
