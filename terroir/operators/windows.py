@@ -15,9 +15,12 @@ def dedup_by_id(df: DataFrame, id_col: str) -> DataFrame:
     """One row per id.  The survivor is the smallest row (deterministic).
 
     Only the ids that repeat are sorted by all columns; a hash aggregate of
-    the id column finds them, the other rows pass unsorted."""
+    the id column finds them, the other rows pass unsorted.  Whether there are
+    any is asked first: where none repeats, no row is moved."""
     others = [c for c in df.columns if c != id_col]
     repeated = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(F.col(id_col).alias("_id"))
+    if repeated.isEmpty():
+        return df
     same = F.col(id_col).eqNullSafe(F.col("_id"))
     w = Window.partitionBy(id_col).orderBy(*[F.col(c).asc_nulls_last() for c in others])
     chosen = df.join(repeated, same, "left_semi").withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
