@@ -18,6 +18,8 @@ from terroir.sources.testdata import RAW_REVIEWS_SQL, REVIEW_ORDER, raw_reviews
 
 _CACHE: dict = {}
 _FEED: dict = {}
+_DIMS: dict = {}
+_STAGED: dict = {}
 
 
 STAR_TABLES = ["dim_pais", "dim_variedad", "dim_bodega", "dim_provincia", "dim_region", "dim_catador",
@@ -30,45 +32,56 @@ def build_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return D.review_star(raw_reviews(spark, sf_dir), REVIEW_ORDER)
 
 
-def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The reviews star, written once per input snapshot and read back.
-
-    1. the feed is joined, range-partitioned by its input order and cleaned,
-       and written once with its partition-local index (``reviews_clean``);
-    2. reading it back attaches the global ordinal (offsets from per-partition
-       counts), so the feed is written a single time;
-    3. all six dimensions are numbered in one pass and written as one table;
-    4. the fact resolves its keys against them (AQE broadcasts the small
-       dimensions at runtime) and is written.
-    """
-    from terroir.operators.ids import attach_row_number
+def _once(cache: dict, spark: SparkSession, sf_dir: str, build):
+    """``build(key)`` once per session and input snapshot."""
     key = fingerprint(spark, sf_dir, STAR_INPUTS)
     ck = (id(spark), key)
-    if ck in _CACHE:
-        return _CACHE[ck]
-    # the order columns served the range partitioning; (_pid, _local) carry
-    # the position, so the written feed keeps only the review columns
-    ranged = materialized(spark, "reviews_clean", key,
-                          lambda: D.clean_reviews(raw_reviews(spark, sf_dir, ranged=True)).drop(*REVIEW_ORDER))
-    c = attach_row_number(ranged, "ordinal")
-    _FEED[ck] = c
-    all_dims = materialized(spark, "reviews_dims", key, lambda: D.build_all_dims(c), ["dim"])
-    out = {name: D.dim_table(all_dims, name) for name in D.DIM_IDS}
-    out["fact_resenas"] = materialized(spark, "reviews_fact_resenas", key, lambda: D.build_fact(c, out))
-    _CACHE[ck] = out
-    return out
+    if ck not in cache:
+        cache[ck] = build(key)
+    return cache[ck]
 
 
-def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The staging view (one row per id), written once per snapshot."""
-    fact = star(spark, sf_dir)["fact_resenas"]
-    return materialized(spark, "reviews_staging", fingerprint(spark, sf_dir, STAR_INPUTS), lambda: D.stg_review(fact))
+# The reviews star, written once per input snapshot and read back.  Each part
+# builds only what it needs itself: the feed no dimension, those no fact.
+def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned review feed with its input ordinal: joined, range-partitioned
+    by its input order, cleaned and written once with its partition-local index
+    (``reviews_clean``); reading it back attaches the global ordinal (offsets
+    from per-partition counts)."""
+    from terroir.operators.ids import attach_row_number
 
+    def build(key):
+        # the order columns served the range partitioning; (_pid, _local) carry
+        # the position, so the written feed keeps only the review columns
+        ranged = materialized(spark, "reviews_clean", key,
+                              lambda: D.clean_reviews(raw_reviews(spark, sf_dir, ranged=True)).drop(*REVIEW_ORDER))
+        return attach_row_number(ranged, "ordinal")
+    return _once(_FEED, spark, sf_dir, build)
 
-def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cleaned review feed with its input ordinal (written once)."""
-    star(spark, sf_dir)
-    return _FEED[(id(spark), fingerprint(spark, sf_dir, STAR_INPUTS))]
+
+def dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The six review dimensions, numbered in one pass and written as one table."""
+    def build(key):
+        all_dims = materialized(spark, "reviews_dims", key, lambda: D.build_all_dims(feed(spark, sf_dir)), ["dim"])
+        return {name: D.dim_table(all_dims, name) for name in D.DIM_IDS}
+    return _once(_DIMS, spark, sf_dir, build)
+
+
+def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The dimensions and the fact, which resolves its keys against them (AQE
+    broadcasts the small dimensions at runtime) and is written."""
+    def build(key):
+        out = dict(dims(spark, sf_dir))
+        out["fact_resenas"] = materialized(spark, "reviews_fact_resenas", key,
+                                           lambda: D.build_fact(feed(spark, sf_dir), out))
+        return out
+    return _once(_CACHE, spark, sf_dir, build)
+
+
+def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staging view (one row per id) over the written fact; whether ids
+    repeat is looked up once per snapshot."""
+    return _once(_STAGED, spark, sf_dir, lambda key: D.stg_review(star(spark, sf_dir)["fact_resenas"]))
 
 
 # ------------------------------------------------------------------ SQL twin
@@ -132,22 +145,22 @@ def q(body: str) -> str:
 # ======================================================= marts
 @register("d07_dim_pais", q("SELECT id_pais, nombre FROM dim_pais"))
 def d07_dim_pais(spark, sf_dir):
-    return star(spark, sf_dir)["dim_pais"]
+    return dims(spark, sf_dir)["dim_pais"]
 
 
 @register("d07_dim_bodega", q("SELECT id_bodega, nombre FROM dim_bodega"))
 def d07_dim_bodega(spark, sf_dir):
-    return star(spark, sf_dir)["dim_bodega"]
+    return dims(spark, sf_dir)["dim_bodega"]
 
 
 @register("d07_dim_variedad", q("SELECT id_variedad, nombre FROM dim_variedad"))
 def d07_dim_variedad(spark, sf_dir):
-    return star(spark, sf_dir)["dim_variedad"]
+    return dims(spark, sf_dir)["dim_variedad"]
 
 
 @register("d08_dim_catador", q("SELECT id_catador, nombre, twitter FROM dim_catador"))
 def d08_dim_catador(spark, sf_dir):
-    return star(spark, sf_dir)["dim_catador"]
+    return dims(spark, sf_dir)["dim_catador"]
 
 
 @register("d09_fact_resenas", q("""SELECT id_resena, points, CAST(price AS DOUBLE) AS price, title, designation,
@@ -179,16 +192,16 @@ def d04_fct_precio_mercado(spark, sf_dir):
 
 @register("d05_dim_mercado_vino", q("SELECT id_pais AS id_mercado, nombre AS pais FROM dim_pais"))
 def d05_dim_mercado_vino(spark, sf_dir):
-    return D.mart_dims(star(spark, sf_dir))["dim_mercado_vino"]
+    return D.mart_dims(dims(spark, sf_dir))["dim_mercado_vino"]
 
 
 for _name, _sql in (("dim_vino", "SELECT id_variedad AS id_vino, nombre AS variedad FROM dim_variedad"),
                     ("dim_bodega_vino", "SELECT id_bodega, nombre AS bodega FROM dim_bodega"),
                     ("dim_region_vitivinicola", "SELECT id_region, nombre AS region FROM dim_region"),
                     ("dim_catador_sumiller", "SELECT id_catador, nombre AS catador, twitter FROM dim_catador")):
-    register(f"d05_{_name}", q(_sql))(lambda spark, sf_dir, n=_name: D.mart_dims(star(spark, sf_dir))[n])
+    register(f"d05_{_name}", q(_sql))(lambda spark, sf_dir, n=_name: D.mart_dims(dims(spark, sf_dir))[n])
 for _name, _id in (("dim_provincia", "id_provincia"), ("dim_region", "id_region")):
-    register(f"d07_{_name}", q(f"SELECT {_id}, nombre FROM {_name}"))(lambda spark, sf_dir, n=_name: star(spark, sf_dir)[n])
+    register(f"d07_{_name}", q(f"SELECT {_id}, nombre FROM {_name}"))(lambda spark, sf_dir, n=_name: dims(spark, sf_dir)[n])
 
 
 # ============================================= serving aggregates

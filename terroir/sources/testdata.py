@@ -38,6 +38,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # line-item column as tie-break, so ties are only between identical rows.
 REVIEW_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity",
                 "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+# Rows that tie on these give the same review, so the rest of the order cannot show in a numbered feed.
+REVIEW_POSITION = REVIEW_ORDER[:7]
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str, ranged: bool = False) -> DataFrame:
@@ -49,17 +51,13 @@ def raw_reviews(spark: SparkSession, sf_dir: str, ranged: bool = False) -> DataF
     The ordering columns l_orderkey, l_linenumber, l_partkey, l_suppkey are
     kept as the input order (first appearance) of the review feed.
 
-    ``ranged=True`` range-partitions the narrow lineitem scan by that order
-    *before* the joins and carries (_pid, _local) through them (see
-    ``operators.ids``): the range sampling then reads one table instead of
-    recomputing the 7-way join.
+    ``ranged=True`` range-partitions the joined rows by that order while they
+    are still narrow (names, no derived texts) and adds (_pid, _local) (see
+    ``operators.ids``) after the joins, so line items without an order or
+    part, or with several, are numbered as they come out of the joins.
     """
-    li = table(spark, sf_dir, "lineitem").select(*REVIEW_ORDER)
-    extra = []
-    if ranged:
-        from terroir.operators.ids import range_local_index
-        li = range_local_index(li, REVIEW_ORDER)
-        extra = ["_pid", "_local"]
+    order = REVIEW_POSITION if ranged else REVIEW_ORDER
+    li = table(spark, sf_dir, "lineitem").select(*order)
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -69,16 +67,23 @@ def raw_reviews(spark: SparkSession, sf_dir: str, ranged: bool = False) -> DataF
     # nation (25 rows) and region (5 rows) are bounded by the TPC-H schema:
     # broadcast them.  orders/customer/part/supplier grow with the data and
     # are left to the planner / AQE.
+    # customers meet the orders first: line items are not shuffled for them.
     geo = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).drop("n_regionkey", "r_regionkey")
-    df = (li.join(o, li.l_orderkey == o.o_orderkey)
-          .join(c, F.col("o_custkey") == c.c_custkey)
-          .join(F.broadcast(geo), F.col("c_nationkey") == geo.n_nationkey)
+    buyers = o.join(c, o.o_custkey == c.c_custkey).drop("o_custkey", "c_custkey")
+    df = (li.join(buyers, li.l_orderkey == buyers.o_orderkey)
           .join(p, li.l_partkey == p.p_partkey)
-          .join(s, li.l_suppkey == s.s_suppkey))
+          .join(s, li.l_suppkey == s.s_suppkey)
+          .join(F.broadcast(geo), F.col("c_nationkey") == geo.n_nationkey)
+          .drop("o_orderkey", "p_partkey", "s_suppkey", "c_nationkey", "n_nationkey"))
+    extra = []
+    if ranged:
+        from terroir.operators.ids import range_local_index
+        df = range_local_index(df, [F.col(c).asc_nulls_last() for c in order])
+        extra = ["_pid", "_local"]
     cents = F.when(F.col("l_linenumber") == 1, F.lit(0)).otherwise(
         F.floor(F.col("l_extendedprice") + F.lit(0.5)))
     return df.select(
-        *REVIEW_ORDER, *extra,
+        *order, *extra,
         F.col("n_name").alias("country"),
         F.concat(F.col("p_name"), F.lit(" / "), F.col("p_type")).alias("description"),
         F.col("p_type").alias("designation"),
